@@ -10,7 +10,6 @@ def normalise_label(col, labels=LABELS, default=UNKNOWN):
 
     Null and "Empty" pass through: no question was asked for those.
     """
-    hit = F.regexp_extract(col, rf"(?i)\b({'|'.join(labels)})\b", 1)
+    hit = F.upper(F.regexp_extract(col, rf"(?i)\b({'|'.join(labels)})\b", 1))
     return (F.when(col.isNull() | (col == EMPTY), col)
-             .when(F.length(hit) == 0, F.lit(default))
-             .otherwise(F.upper(hit)))
+             .otherwise(F.coalesce(F.nullif(hit, F.lit("")), F.lit(default))))

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.records import field
 from ..functions.text import strip
 from ..schema import REQUIRED, REVIEW
 
@@ -17,17 +16,10 @@ def check_contract(lines, schema=REVIEW, required=REQUIRED):
     or ``quarantine``) and ``reason`` (null, ``blank``, ``malformed`` or
     ``missing:<first missing field>``).
     """
-    wide = T.StructType(schema.fields + [T.StructField(_BAD, T.StringType())])
-    data = F.from_json(F.col("value"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    parsed = lines.select(F.col("value").alias("line"), data.alias("data")).select("line", "data.*")
-    blank = F.coalesce(F.length(strip(F.col("line"))) == 0, F.lit(True))
-    reason = F.when(blank, "blank").when(F.col(_BAD).isNotNull(), "malformed")
-    for name in required:
-        reason = reason.when(field(name).isNull(), f"missing:{name}")
-    return (parsed.withColumn("reason", reason)
-            .select(*[field(n) for n in schema.names], "line",
-                    F.when(F.col("reason").isNull(), "valid").otherwise("quarantine").alias("status"),
-                    "reason"))
+    return _judge(lines, schema, required).select(
+        "data.*", "line",
+        F.when(F.col("reason").isNull(), "valid").otherwise("quarantine").alias("status"),
+        "reason")
 
 
 def split_contract(lines, schema=REVIEW, required=REQUIRED):
@@ -36,9 +28,24 @@ def split_contract(lines, schema=REVIEW, required=REQUIRED):
     Both come from one plan, so writing both reads the input twice; to write
     them in one pass use ``write_split``.
     """
-    checked = check_contract(lines, schema, required)
-    valid = checked.filter("status = 'valid'").select(*[field(n) for n in schema.names])
-    return valid, checked.filter("status = 'quarantine'").select("line", "reason")
+    judged = _judge(lines, schema, required)
+    # Not filter(): Spark would push it below the parse and parse every line twice.
+    valid = F.when(F.col("reason").isNull(), F.array("data"))
+    bad = F.when(F.col("reason").isNotNull(), F.array(F.struct("line", "reason")))
+    return judged.select(F.inline(valid)), judged.select(F.inline(bad))
+
+
+def _judge(lines, schema, required):
+    """The columns ``line``, ``data`` (the fields of ``schema``) and ``reason``."""
+    wide = T.StructType(schema.fields + [T.StructField(_BAD, T.StringType())])
+    data = F.from_json(F.col("value"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    blank = F.coalesce(F.length(strip(F.col("line"))) == 0, F.lit(True))
+    reason = F.when(blank, "blank").when(F.col("data")[_BAD].isNotNull(), "malformed")
+    for name in required:
+        reason = reason.when(F.col("data")[name].isNull(), f"missing:{name}")
+    return (lines.select(F.col("value").alias("line"), data.alias("data"))
+            .select("line", F.struct(*[F.col("data")[n].alias(n) for n in schema.names]).alias("data"),
+                    reason.alias("reason")))
 
 
 def keep_bad_lines(checked):

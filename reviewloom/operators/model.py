@@ -38,28 +38,35 @@ class ModelScorer:
         return cls(PipelineModel.load(path), tuple(labels))
 
 
-def train_model(labelled, text_col="text", label_col="label", labels=LABELS,
+def train_model(labelled, features_dir, text_col="text", label_col="label", labels=LABELS,
                 n_features=1 << 14, max_iter=10, regularisation=0.01, tree_depth=3):
     """Fit hashed word counts and logistic regression on rows of text and label.
 
-    The gradient is merged in a tree of ``tree_depth`` levels, so neither one
-    task nor the driver receives a vector from every partition; its size is
-    bounded by ``n_features``. Texts are read once: the fit keeps its hashed
-    form, on disk where memory is short. Rows with another label are refused.
+    The texts are read once and their hashed form is written to ``features_dir``,
+    a folder all executors reach: every later pass starts there, also after an
+    executor was lost. Gradients are merged in a tree of ``tree_depth`` levels, so
+    neither one task nor the driver receives a vector from every partition, and
+    their size is bounded by ``n_features``. Rows with another label are refused.
     """
-    index = F.lit(None).cast("double")
-    for i, name in enumerate(labels):
-        index = F.when(field(label_col) == name, float(i)).otherwise(index)
-    rows = labelled.filter(field(text_col).isNotNull()).select(
-        field(text_col).alias(_TEXT),
-        F.coalesce(index, F.raise_error(F.concat(F.lit("unknown label: "),
-                   F.coalesce(field(label_col), F.lit("null")))).cast("double")).alias(_CLASS))
-    steps = Pipeline(stages=[
+    spark = labelled.sparkSession
+    hashing = Pipeline(stages=[
         RegexTokenizer(inputCol=_TEXT, outputCol=_WORDS, pattern=r"[^\p{L}]+"),
         HashingTF(inputCol=_WORDS, outputCol=_TERMS, numFeatures=n_features),
-        LogisticRegression(
-            featuresCol=_TERMS, labelCol=_CLASS, predictionCol=_GUESS,
-            rawPredictionCol="", probabilityCol="", family="multinomial",
-            maxIter=max_iter, regParam=regularisation, aggregationDepth=tree_depth),
-    ])
-    return ModelScorer(steps.fit(rows), tuple(labels))
+    ]).fit(labelled)  # nothing to learn, so this reads no data
+    rows = labelled.filter(field(text_col).isNotNull()).select(
+        field(text_col).alias(_TEXT), _class_index(field(label_col), labels).alias(_CLASS))
+    hashing.transform(rows).select(_CLASS, _TERMS).write.parquet(features_dir)
+
+    regression = LogisticRegression(
+        featuresCol=_TERMS, labelCol=_CLASS, predictionCol=_GUESS,
+        rawPredictionCol="", probabilityCol="", family="multinomial",
+        maxIter=max_iter, regParam=regularisation, aggregationDepth=tree_depth)
+    fitted = regression.fit(spark.read.parquet(features_dir))
+    return ModelScorer(PipelineModel(hashing.stages + [fitted]), tuple(labels))
+
+
+def _class_index(label, labels):
+    refuse = F.raise_error(F.concat(
+        F.lit("unknown label: "), F.coalesce(label, F.lit("null")))).cast("double")
+    index = F.array_position(F.array(*[F.lit(x) for x in labels]), label) - 1
+    return F.when(label.isin(*labels), index.cast("double")).otherwise(refuse)

@@ -6,7 +6,9 @@ from ..operators.parse import decode_values, parse_records
 from ..sources.kafka import stream_topic
 from ..sources.lines import read_lines, strip_lines
 from ..sources.sockets import stream_socket
-from ..streaming.sinks import KafkaSink, start_stream, write_batch
+from ..streaming.audit import audited_delivery
+from ..streaming.landing import replay_stream
+from ..streaming.sinks import KafkaSink, start_batches, start_stream, write_batch
 from ..streaming.supervise import supervise
 
 # Topic names.
@@ -60,3 +62,15 @@ def run_topic_job(spark, settings, scorer, checkpoint_root, source=RAW_TOPIC,
         return start_stream(enriched, KafkaSink(target, settings), name, checkpoint_root, every)
 
     return supervise(start, **supervision)
+
+
+def run_files_job(spark, landed_dir, scorer, out_dir, audit_dir, checkpoint_root,
+                  name="file-reviews", limits=None, every=None, until_done=False,
+                  mode="permissive", **supervision):
+    """Landed lines to a table with a delivery report per batch, restarted after failures."""
+    def start():
+        labelled = label_lines(replay_stream(spark, landed_dir, **(limits or {})), scorer, mode)
+        deliver = audited_delivery(name, out_dir, audit_dir)
+        return start_batches(labelled, deliver, name, checkpoint_root, every, until_done)
+
+    return supervise(start, **supervision)

@@ -294,6 +294,6 @@ def feedback_model(spark, sf_dir):
     marks = table(spark, sf_dir, "labels").select("doc_id", F.expr(
         "CASE WHEN toxic = 1 THEN 'NEGATIVE' WHEN quality = 1 THEN 'POSITIVE' ELSE 'NEUTRAL' END"
     ).alias("label"))
-    scorer = train_model(docs.join(marks, "doc_id"))
+    scorer = train_model(docs.join(marks, "doc_id"), work_dir(spark, "model-features"))
     return classify(docs, scorer).select("doc_id", "feedback")
 

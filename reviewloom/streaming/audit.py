@@ -58,9 +58,10 @@ def audited_delivery(name, out_dir, audit_dir, key="review_id", feedback="feedba
         counted = batch.observe(seen, *delivery_counts(key, feedback))
         to_envelope(counted, key).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
         counts = seen.get
-        report = (name, *(counts.get(c, 0) for c in COUNTS))
-        (batch.sparkSession.createDataFrame([report], AUDIT).coalesce(1)
-         .write.mode("overwrite").parquet(f"{audit_dir}/batch_id={batch_id}"))
+        report = batch.sparkSession.range(1, numPartitions=1).select(
+            F.lit(name).alias("query"),
+            *[F.lit(counts.get(c, 0)).cast("bigint").alias(c) for c in COUNTS])
+        report.write.mode("overwrite").parquet(f"{audit_dir}/batch_id={batch_id}")
 
     return deliver
 

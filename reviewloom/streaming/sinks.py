@@ -20,7 +20,11 @@ class KafkaSink:
 
 @dataclass(frozen=True)
 class FileSink:
-    """Exactly once for readers that use Spark: committed files are listed in a log."""
+    """Exactly once for readers that use Spark: committed files are listed in a log.
+
+    The log grows with the number of files. For a table of very many batches use
+    ``audit.audited_delivery``, which keeps one folder per batch and no log.
+    """
 
     path: str
     format: str = "parquet"
