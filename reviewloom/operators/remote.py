@@ -27,6 +27,9 @@ class RemoteScorer:
     task would repeat every call of its partition; after that the task fails, or
     with ``on_failure="unknown"`` the row is labelled UNKNOWN. ``partitions``
     spreads a narrow source over more tasks before the calls.
+
+    Write the labels out before sorting by a global order or using them twice:
+    Spark would run the calls again for each pass over the plan.
     """
 
     client_factory: Callable

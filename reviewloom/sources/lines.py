@@ -38,7 +38,7 @@ def stream_lines(spark, path, files_per_trigger=None, bytes_per_trigger=None, gl
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(files_per_trigger))
     if bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", str(bytes_per_trigger))
+        reader = reader.option("maxBytesPerTrigger", int(bytes_per_trigger))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(path)

@@ -1,0 +1,192 @@
+import sys
+import types
+
+import pytest
+from pyspark.errors import PythonException
+from pyspark.sql import functions as F
+
+from reviewloom.operators.classify import classify
+from reviewloom.operators.lexicon import LexiconScorer
+from reviewloom.operators.model import ModelScorer, train_model
+from reviewloom.operators.remote import RemoteScorer, chat_client
+
+SCORER = LexiconScorer(["good", "great"], ["bad"])
+
+
+def _texts(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+
+
+def _labels(df):
+    # Sorted here: a sort in Spark samples its input first, which asks a client twice.
+    return [r.feedback for r in sorted(df.collect(), key=lambda r: r.id)]
+
+
+def test_guard_and_lexicon(spark):
+    df = _texts(spark, None, "", "  ", "Good, GREAT; bad", "bad/bad good", "good bad", "goodness")
+    assert _labels(classify(df, SCORER)) == [
+        None, "Empty", "NEUTRAL", "POSITIVE", "NEGATIVE", "NEUTRAL", "NEUTRAL"]
+
+
+def test_existing_feedback_is_replaced_and_columns_kept(spark):
+    df = _texts(spark, "good").withColumn("feedback", F.lit("old")).withColumn("x.y", F.lit(1))
+    got = classify(df, SCORER)
+    assert got.columns == ["id", "text", "x.y", "feedback"]
+    assert got.first().feedback == "POSITIVE"
+
+
+def test_word_on_both_lists_cancels_itself(spark):
+    scorer = LexiconScorer(["good", "odd"], ["odd", "bad"])
+    df = _texts(spark, "odd odd good", "odd bad", "odd")
+    assert _labels(classify(df, scorer)) == ["POSITIVE", "NEGATIVE", "NEUTRAL"]
+    assert [(r.n_positive, r.n_negative) for r in scorer.counts(df).orderBy("id").collect()] == [
+        (3, 2), (1, 2), (1, 1)]
+
+
+def test_large_lexicon_and_long_text(spark):
+    words = ["w" + "".join(chr(97 + int(d)) for d in str(i)) for i in range(3000)]
+    df = _texts(spark, " ".join(words[:1501]) + " " + " ".join(words[1500:]))
+    scorer = LexiconScorer(words[:1501], words[1501:])
+    assert (lambda r: (r.n_positive, r.n_negative))(scorer.counts(df).first()) == (1502, 1499)
+    assert _labels(classify(df, scorer)) == ["POSITIVE"]
+
+
+def test_words_that_can_never_match_are_refused():
+    with pytest.raises(ValueError, match="don't"):
+        LexiconScorer(["don't"], [])
+
+
+def test_other_separators(spark):
+    scorer = LexiconScorer(["schön"], [], separators=r"[^\p{L}]+")
+    assert _labels(classify(_texts(spark, "Schön!", "schönes"), scorer)) == ["POSITIVE", "NEUTRAL"]
+
+
+# ---- remote --------------------------------------------------------------
+
+def _counting_factory(spark):
+    clients, calls = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def factory():
+        clients.add(1)
+
+        def ask(prompt, timeout):
+            calls.add(1)
+            assert prompt.startswith("Q ") and timeout == 5.0
+            return "Positive." if "good" in prompt else "dunno"
+
+        return ask
+
+    return factory, clients, calls
+
+
+def test_each_text_is_asked_once(spark):
+    factory, clients, calls = _counting_factory(spark)
+    texts = [None, "", "  ", "good %s {x}", "meh"] * 40
+    df = _texts(spark, *texts).repartition(4)
+    scorer = RemoteScorer(factory, template="Q %s", timeout_s=5.0, concurrency=3)
+    got = classify(df, scorer)
+    assert _labels(got) == [None, "Empty", "UNKNOWN", "POSITIVE", "UNKNOWN"] * 40
+    assert calls.value == 120
+    assert 1 <= clients.value <= 8
+
+
+def test_filter_on_the_label_does_not_ask_twice(spark):
+    factory, _, calls = _counting_factory(spark)
+    df = _texts(spark, *["good", "meh"] * 25)
+    got = classify(df, RemoteScorer(factory, template="Q %s", timeout_s=5.0))
+    assert len(got.filter("feedback = 'POSITIVE'").collect()) == 25
+    assert calls.value == 50
+
+
+def test_unused_label_is_not_asked_for(spark):
+    factory, _, calls = _counting_factory(spark)
+    classify(_texts(spark, "good"), RemoteScorer(factory, template="Q %s")).select("id").collect()
+    assert calls.value == 0
+
+
+def test_partitions_spread_the_calls(spark):
+    factory, clients, _ = _counting_factory(spark)
+    df = _texts(spark, *["good"] * 60).coalesce(1)
+    scorer = RemoteScorer(factory, template="Q %s", timeout_s=5.0, partitions=6)
+    assert _labels(classify(df, scorer)) == ["POSITIVE"] * 60
+    assert clients.value == 6
+
+
+def _flaky_factory(failures):
+    def factory():
+        seen = {}
+
+        def ask(prompt, timeout):
+            seen[prompt] = seen.get(prompt, 0) + 1
+            if seen[prompt] <= failures:
+                raise OSError("busy")
+            return "neutral"
+
+        return ask
+
+    return factory
+
+
+def test_calls_are_retried_inside_the_task(spark):
+    df = _texts(spark, "a", "b")
+    assert _labels(classify(df, RemoteScorer(_flaky_factory(2), backoff_s=0))) == ["NEUTRAL"] * 2
+
+
+def test_lasting_failure_raises_or_is_unknown(spark):
+    df = _texts(spark, "a")
+    with pytest.raises(PythonException, match="busy"):
+        classify(df, RemoteScorer(_flaky_factory(3), backoff_s=0)).collect()
+    lenient = RemoteScorer(_flaky_factory(3), backoff_s=0, on_failure="unknown")
+    assert _labels(classify(df, lenient)) == ["UNKNOWN"]
+    with pytest.raises(ValueError):
+        RemoteScorer(_flaky_factory(0), on_failure="ignore")
+
+
+def test_no_reply_is_unknown(spark):
+    scorer = RemoteScorer(lambda: lambda prompt, timeout: None)
+    assert _labels(classify(_texts(spark, "a"), scorer)) == ["UNKNOWN"]
+
+
+def test_chat_client_sends_one_message(monkeypatch):
+    sent = {}
+
+    class Client:
+        def __init__(self, api_key, base_url):
+            sent.update(api_key=api_key, base_url=base_url)
+            done = types.SimpleNamespace(
+                choices=[types.SimpleNamespace(message=types.SimpleNamespace(content="POSITIVE"))])
+            self.chat = types.SimpleNamespace(completions=types.SimpleNamespace(
+                create=lambda **call: sent.update(call) or done))
+
+    monkeypatch.setitem(sys.modules, "openai", types.SimpleNamespace(OpenAI=Client))
+    monkeypatch.setenv("SOME_KEY", "k")
+    assert chat_client("m", "SOME_KEY")()("how?", 3) == "POSITIVE"
+    assert sent["api_key"] == "k" and sent["model"] == "m" and sent["timeout"] == 3
+    assert [m["content"] for m in sent["messages"]] == ["how?"]
+
+
+# ---- model ---------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def trained(spark, tmp_path_factory):
+    rows = [("sun joy", "POSITIVE"), ("rain grief", "NEGATIVE"), ("desk chair", "NEUTRAL")] * 20
+    return train_model(spark.createDataFrame(rows, "text string, label string"),
+                       str(tmp_path_factory.mktemp("model") / "features"), n_features=256)
+
+
+def test_model_learns_and_guards(spark, trained):
+    df = _texts(spark, "joy joy", "grief", "chair, desk", None, "")
+    assert _labels(classify(df, trained)) == ["POSITIVE", "NEGATIVE", "NEUTRAL", None, "Empty"]
+
+
+def test_saved_model_labels_alike(spark, trained, tmp_path):
+    trained.save(str(tmp_path / "m"))
+    df = _texts(spark, "joy", "rain", "x")
+    assert _labels(classify(df, ModelScorer.load(str(tmp_path / "m")))) == _labels(classify(df, trained))
+
+
+@pytest.mark.parametrize("label", ["HAPPY", None])
+def test_unknown_training_label_is_refused(spark, tmp_path, label):
+    rows = spark.createDataFrame([("a", "POSITIVE"), ("b", label)], "text string, label string")
+    with pytest.raises(Exception, match="unknown label"):
+        train_model(rows, str(tmp_path / "features"))

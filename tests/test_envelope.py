@@ -1,0 +1,77 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewloom.functions.labels import normalise_label
+from reviewloom.functions.numbers import nan_to_null
+from reviewloom.operators.envelope import to_envelope, to_messages
+from reviewloom.operators.union import read_records, union_records
+from reviewloom.schema import REVIEW
+
+
+def _review(spark, *values):
+    return spark.createDataFrame([values], REVIEW)
+
+
+def test_nulls_are_left_out_unless_kept(spark):
+    df = _review(spark, "r", None, "b", 5.0, None, "")
+    row = to_envelope(df).first()
+    assert (row.key, row.value) == ("r", '{"review_id":"r","business_id":"b","stars":5.0,"text":""}')
+    assert json.loads(to_envelope(df, keep_nulls=True).first().value) == {
+        "review_id": "r", "user_id": None, "business_id": "b", "stars": 5.0, "date": None, "text": ""}
+
+
+def test_row_of_nulls_has_no_key_and_an_empty_object(spark):
+    row = to_envelope(_review(spark, *[None] * 6)).first()
+    assert (row.key, row.value) == (None, "{}")
+
+
+def test_not_a_number_becomes_text(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("b", float("inf"))], "review_id string, stars float")
+    assert [r.value for r in to_envelope(df).collect()] == [
+        '{"review_id":"a","stars":"NaN"}', '{"review_id":"b","stars":"Infinity"}']
+
+
+def test_chosen_key_and_columns(spark):
+    df = spark.createDataFrame([(7, "x", 1)], "`a.b` int, c string, d int")
+    row = to_envelope(df, key="a.b", value_cols=["c"]).first()
+    assert (row.key, row.value) == ("7", '{"c":"x"}')
+
+
+def test_messages_have_no_key(lines):
+    row = to_messages(lines("é")).first()
+    assert row.key is None and bytes(row.value) == "é".encode()
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame(
+        [(1, float("nan"), float("nan"), '"NaN"'), (2, float("inf"), 0.5, "NaN")],
+        "i int, f float, d double, t string")
+    assert [tuple(r) for r in nan_to_null(df, text_cols=["t"]).collect()] == [
+        (1, None, None, None), (2, float("inf"), 0.5, "NaN")]
+    assert nan_to_null(df, ["f"]).schema == df.schema
+    assert nan_to_null(df.select("i")).columns == ["i"]
+
+
+@pytest.mark.parametrize("reply, label", [
+    ("POSITIVE", "POSITIVE"), ("Positive.", "POSITIVE"), ("\n it is neutral", "NEUTRAL"),
+    ("negative, not positive", "NEGATIVE"), ("dunno", "UNKNOWN"), ("", "UNKNOWN"),
+    ("positively", "UNKNOWN"), ("Empty", "Empty"), (None, None)])
+def test_normalise_label(lines, reply, label):
+    assert lines(reply).select(normalise_label(F.col("value")).alias("v")).first().v == label
+
+
+def test_union_of_fields(spark):
+    a = spark.createDataFrame([(1, "x")], "n int, s string")
+    b = spark.createDataFrame([(2.5, 9, True)], "n double, s bigint, extra boolean")
+    got = union_records([a, b])
+    assert got.dtypes == [("n", "double"), ("s", "string"), ("extra", "boolean")]
+    assert sorted(map(tuple, got.collect())) == [(1.0, "x", None), (2.5, "9", True)]
+
+
+def test_read_records_finds_all_keys(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"a":1}\n{"b":2.5,"a":null}\n{"a":3.5,"c":"x"}\n')
+    got = read_records(spark, str(tmp_path / "in.json"))
+    assert got.dtypes == [("a", "double"), ("b", "double"), ("c", "string")]
+    assert read_records(spark, str(tmp_path / "in.json"), "c string").columns == ["c"]
