@@ -1,6 +1,7 @@
 """Scorer that asks a remote client, one call per text."""
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -76,9 +77,24 @@ class RemoteScorer:
                             return fallback
                         time.sleep(backoff_s * 2 ** attempt)
 
+            def drain(todo, replies):
+                while todo:
+                    try:
+                        at, text = todo.popleft()
+                    except IndexError:  # another thread took the last one
+                        return
+                    try:
+                        replies[at] = one(text)
+                    except Exception:
+                        todo.clear()  # the task fails: make no further calls
+                        raise
+
             with ThreadPoolExecutor(concurrency) as pool:
                 for texts in batches:
-                    yield pd.Series(list(pool.map(one, texts)), dtype=object)
+                    todo, replies = deque(enumerate(texts)), [None] * len(texts)
+                    for run in [pool.submit(drain, todo, replies) for _ in range(concurrency)]:
+                        run.result()
+                    yield pd.Series(replies, dtype=object)
 
         # Not deterministic: otherwise a filter on the label would ask twice per row.
         return F.pandas_udf(reply, "string").asNondeterministic()

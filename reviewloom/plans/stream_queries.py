@@ -102,10 +102,10 @@ def stream_recovery(spark, sf_dir):
 
 
 @query(f"""WITH {SQL_REVIEWS}, labelled AS (SELECT {SQL_LABEL} AS feedback FROM reviews)
-SELECT 'enrich' AS query, count(*) AS n_rows, 0 AS null_keys, 0 AS null_feedback,
+SELECT 'enrich' AS query, count(*) AS n_rows, 0::BIGINT AS null_keys, 0::BIGINT AS null_feedback,
   count(*) FILTER (feedback = 'POSITIVE') AS n_positive,
   count(*) FILTER (feedback = 'NEGATIVE') AS n_negative,
-  count(*) FILTER (feedback = 'NEUTRAL') AS n_neutral, 0 AS n_empty, 0 AS n_unknown
+  count(*) FILTER (feedback = 'NEUTRAL') AS n_neutral, 0::BIGINT AS n_empty, 0::BIGINT AS n_unknown
 FROM labelled""")
 def delivery_audit(spark, sf_dir):
     """Per-batch delivery reports, added up."""

@@ -1,5 +1,7 @@
 """Registered queries over tables, each with the SQL that states its answer."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from ..functions.labels import normalise_label
@@ -53,8 +55,8 @@ SQL_LINE = sql_json(*REVIEW.names)
 
 def sql_hits(words):
     listed = ", ".join(f"'{w}'" for w in sorted(words))
-    return ("len(list_filter(string_split_regex(lower(text), '[^a-z]+'), "
-            f"lambda w: w IN ({listed})))")
+    return ("CAST(len(list_filter(string_split_regex(lower(text), '[^a-z]+'), "
+            f"lambda w: w IN ({listed}))) AS INT)")
 
 
 SQL_LABEL = (f"CASE WHEN {sql_hits(LEXICON.positive)} > {sql_hits(LEXICON.negative)} THEN 'POSITIVE' "
@@ -141,7 +143,7 @@ def event_time_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", to_json(["ts"]).alias("value"))
 
 
-@query(f"WITH {SQL_REVIEWS} SELECT review_id, octet_length(encode(text)) AS n_bytes, text FROM reviews")
+@query(f"WITH {SQL_REVIEWS} SELECT review_id, CAST(octet_length(encode(text)) AS INT) AS n_bytes, text FROM reviews")
 def utf8_bytes(spark, sf_dir):
     raw = reviews(spark, sf_dir).withColumn("raw", encode_utf8(F.col("text")))
     return raw.select("review_id", F.octet_length("raw").alias("n_bytes"),
@@ -267,12 +269,17 @@ def label_normalise(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", normalise_label(reply).alias("feedback"))
 
 
-def rule_client():
+def rule_client(latency_s=0.0):
     """In-process stand-in for a remote client: the reply follows the prompt's length."""
     replies = ["Positive.", "\nnegative", "It is NEUTRAL, I think", "no idea"]
 
     def factory():
-        return lambda text, timeout: replies[len(text) % len(replies)]
+        def ask(prompt, timeout):
+            if latency_s:
+                time.sleep(latency_s)
+            return replies[len(prompt) % len(replies)]
+
+        return ask
 
     return factory
 

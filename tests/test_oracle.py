@@ -22,6 +22,10 @@ def duck():
     con.close()
 
 
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT",
+             "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _sorted(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return (sorted(columns), sorted((tuple(r[i] for i in order) for r in rows), key=repr))
@@ -32,6 +36,7 @@ def test_matches_sql(spark, duck, name):
     got = QUERIES[name](spark, SF)
     want = duck.execute(ORACLE[name])
     want_columns = [d[0] for d in want.description]
+    assert {c: SQL_TYPES[t] for c, t in got.dtypes} == {d[0]: str(d[1]) for d in want.description}
     assert _sorted(got.columns, [tuple(r) for r in got.collect()]) == _sorted(want_columns, want.fetchall())
 
 
