@@ -25,16 +25,20 @@ def drop_bad_lines(lines):
     return lines.filter(is_json(lines["value"]))
 
 
-def stream_lines(spark, path, files_per_trigger=None, bytes_per_trigger=None, glob=None):
-    """Line files as a stream.
+def stream_lines(spark, path, files_per_trigger=None, bytes_per_trigger=None, glob=None,
+                 line_sep=None):
+    """Line files as a stream. ``path`` is a folder or a pattern.
 
     A file is admitted whole, so a batch is bounded by a number of files or of
-    bytes, not both. Give ``glob`` to pick files within a folder.
+    bytes, not both. Give ``glob`` to pick files within a folder. Lines end at
+    any of the usual line ends unless ``line_sep`` names one.
     """
     if files_per_trigger and bytes_per_trigger:
         raise ValueError("bound a batch by files or by bytes, not by both")
     read_lines(spark, path)  # a missing folder raises here instead of idling for ever
-    reader = spark.readStream.option("lineSep", "\n")
+    reader = spark.readStream
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(files_per_trigger))
     if bytes_per_trigger:

@@ -49,7 +49,9 @@ def audited_delivery(name, out_dir, audit_dir, key="review_id", feedback="feedba
     """A batch handler that writes envelopes and one report row per batch.
 
     Each batch overwrites its own ``batch_id=<n>`` folders, so a batch repeated
-    after a failure replaces what it wrote before. Every row is scored once: the
+    after a failure replaces what it wrote before. The folders belong to one
+    checkpoint: with a new checkpoint, whose batches count from 0 again, use new
+    folders. Every row is scored once: the
     counts are taken while the envelopes are written. The plan has no shuffle,
     so no finished task is run and counted again when an executor is lost.
     """

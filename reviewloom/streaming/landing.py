@@ -9,7 +9,10 @@ MIN_ROWS_PER_FILE = 250
 
 
 def land(lines, out_dir, rows_per_file=MAX_ROWS_PER_FILE, mode="errorifexists", compression=None):
-    """Write lines as text files of at most ``rows_per_file`` rows, without a shuffle."""
+    """Write lines as text files of at most ``rows_per_file`` rows, without a shuffle.
+
+    A line must hold no line feed; JSON text holds none.
+    """
     writer = lines.select("value").write.mode(mode).option("lineSep", "\n")
     if compression:
         writer = writer.option("compression", compression)
@@ -31,7 +34,7 @@ def land_lines(spark, path, out_dir, rows_per_file=MAX_ROWS_PER_FILE, strip=True
 
 def replay_stream(spark, landed_dir, files_per_trigger=None, bytes_per_trigger=None):
     """The landed lines as a stream; the limit paces it batch by batch."""
-    return stream_lines(spark, landed_dir, files_per_trigger, bytes_per_trigger)
+    return stream_lines(spark, landed_dir, files_per_trigger, bytes_per_trigger, line_sep="\n")
 
 
 def pace(rows, slots, batches=4):

@@ -100,6 +100,15 @@ def test_missing_folder_raises(spark, home):
         replay_stream(spark, f"{home}/nowhere")
 
 
+def test_lines_end_as_usual_or_at_line_feeds_only(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"1\r\n2\r3\n")
+    home = str(tmp_path)
+    _run(stream_lines(spark, home, glob="*.txt"), LineSink(f"{home}/any"), "any", home)
+    _run(stream_lines(spark, home, glob="*.txt", line_sep="\n"), FileSink(f"{home}/lf"), "lf", home)
+    assert sorted(r.value for r in spark.read.text(f"{home}/any").collect()) == ["1", "2", "3"]
+    assert sorted(r.value for r in spark.read.parquet(f"{home}/lf").collect()) == ["1\r", "2\r3"]
+
+
 def test_glob_picks_files(spark, tmp_path):
     (tmp_path / "a.json").write_text("1\n")
     (tmp_path / "b.txt").write_text("2\n")
