@@ -2,7 +2,17 @@
 
 from pyspark.sql import functions as F
 
+from .text import strip
+
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+CORRUPT = "_corrupt_record"
+
+# Without the first, Spark takes a text of over 20 million characters for corrupt.
+PARSE_OPTIONS = {
+    "maxStringLen": str(2**31 - 1),
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+}
 
 
 def field(name):
@@ -10,9 +20,20 @@ def field(name):
     return F.col(f"`{name}`")
 
 
+def from_json(col, schema, **options):
+    """The fields of ``schema``; a field ``CORRUPT`` receives an unreadable line."""
+    return F.from_json(col, schema, PARSE_OPTIONS | options)
+
+
+def is_blank(col):
+    return F.coalesce(F.length(strip(col)) == 0, F.lit(True))
+
+
 def is_json(col):
-    """True where the text is a JSON value of any kind, false otherwise (null included)."""
-    return F.try_parse_json(col).isNotNull()
+    """True where the text starts with a JSON value of any kind, false otherwise
+    (null included). Objects may hold NaN, repeated names and texts of any length."""
+    read = from_json(col, f"{CORRUPT} STRING", allowSingleQuotes="false")
+    return ~is_blank(col) & (read[CORRUPT].isNull() | F.try_parse_json(col).isNotNull())
 
 
 def to_json(columns, keep_nulls=False, time_format=TIME_FORMAT):

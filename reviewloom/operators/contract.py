@@ -3,11 +3,9 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import strip
+from ..functions.records import CORRUPT, from_json, is_blank
 from ..schema import REQUIRED, REVIEW
 
-_BAD = "_corrupt_record"
-
 
 def check_contract(lines, schema=REVIEW, required=REQUIRED):
     """Parse once and say for each line whether it meets the contract.
@@ -37,10 +35,10 @@ def split_contract(lines, schema=REVIEW, required=REQUIRED):
 
 def _judge(lines, schema, required):
     """The columns ``line``, ``data`` (the fields of ``schema``) and ``reason``."""
-    wide = T.StructType(schema.fields + [T.StructField(_BAD, T.StringType())])
-    data = F.from_json(F.col("value"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
-    blank = F.coalesce(F.length(strip(F.col("line"))) == 0, F.lit(True))
-    reason = F.when(blank, "blank").when(F.col("data")[_BAD].isNotNull(), "malformed")
+    wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    data = from_json(F.col("value"), wide)
+    reason = F.when(is_blank(F.col("line")), "blank").when(
+        F.col("data")[CORRUPT].isNotNull(), "malformed")
     for name in required:
         reason = reason.when(F.col("data")[name].isNull(), f"missing:{name}")
     return (lines.select(F.col("value").alias("line"), data.alias("data"))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.records import from_json
 from ..functions.text import decode_utf8
 from ..schema import REVIEW
 from ..sources.lines import drop_bad_lines
@@ -24,5 +25,4 @@ def parse_records(lines, schema=REVIEW, mode="permissive"):
         raise ValueError(f"mode must be permissive or drop, not {mode!r}")
     if mode == "drop":
         lines = drop_bad_lines(lines)
-    data = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE"})
-    return lines.select(data.alias("data")).select("data.*")
+    return lines.select(from_json(F.col("value"), schema).alias("data")).select("data.*")

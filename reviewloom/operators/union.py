@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import types as T
 
-from ..functions.records import field
+from ..functions.records import PARSE_OPTIONS, field
 
 
 def union_records(frames):
@@ -30,4 +30,4 @@ def read_records(spark, path, schema=None):
     widen numbers; declare it for large inputs, and always for streams.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.json(path)
+    return reader.options(**PARSE_OPTIONS).json(path)

@@ -13,8 +13,6 @@ DEFAULTS = {
     # Join large texts to a smaller table without sorting them, where Spark's own
     # size check finds the hash side small enough.
     "spark.sql.join.preferSortMergeJoin": "false",
-    # Long texts: bound the Arrow batches handed to a remote scorer.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

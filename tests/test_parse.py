@@ -94,8 +94,19 @@ def test_unknown_modes_are_refused(lines):
 
 
 def test_is_json_is_never_null(lines):
-    got = lines("{}", "[]", "1", '"x"', "nope", "", None).select(is_json(F.col("value")).alias("v"))
-    assert [r.v for r in got.collect()] == [True, True, True, True, False, False, False]
+    good = ["{}", "[]", "1", '"x"', "null", ' {"a":1} ', '{"a":NaN}', '{"a":1,"a":2}', '{"a":{"b":[1]}}']
+    bad = ["nope", "", "  ", None, '{"a":', "[1,", "tru", "{'a':1}", '{"a":1,"b":tru}', "01"]
+    got = lines(*good, *bad).select(is_json(F.col("value")).alias("v")).collect()
+    assert [r.v for r in got] == [True] * len(good) + [False] * len(bad)
+
+
+def test_texts_of_any_length_stay_whole(spark):
+    n = 21_000_000
+    line = spark.range(1).select(F.concat(
+        F.lit(FULL[:-6]), F.repeat(F.lit("x"), F.lit(n)), F.lit('"}')).alias("value"))
+    for mode in ("permissive", "drop"):
+        assert parse_records(line, mode=mode).select(F.length("text").alias("n")).first().n == n
+    assert check_contract(line).first().status == "valid"
 
 
 def test_decode_modes(spark):
