@@ -1,5 +1,7 @@
 """Line files: one message per line."""
 
+from pyspark.sql import functions as F
+
 from ..functions.records import is_json
 from ..functions.text import strip
 
@@ -22,7 +24,9 @@ def strip_lines(lines):
 
 
 def drop_bad_lines(lines):
-    return lines.filter(is_json(lines["value"]))
+    # Not filter(): Spark would push it below the step that makes the line, and
+    # run that step again for each mention of it.
+    return lines.select(F.inline(F.when(is_json(lines["value"]), F.array(F.struct("value")))))
 
 
 def stream_lines(spark, path, files_per_trigger=None, bytes_per_trigger=None, glob=None,

@@ -10,7 +10,8 @@ from reviewloom.session import open_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = open_session("tests", "local[8]", {
+    # A failed task is tried once more, as on a cluster.
+    session = open_session("tests", "local[8, 2]", {
         "spark.ui.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",

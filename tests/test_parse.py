@@ -1,3 +1,4 @@
+import json
 import math
 
 import pytest
@@ -82,8 +83,23 @@ def test_required_fields_are_a_choice(lines):
 
 
 def test_drop_removes_only_what_is_not_json(lines):
-    got = parse_records(lines(FULL, "junk", "", None, "[]", "3"), mode="drop").collect()
-    assert [r.review_id for r in got] == ["a", None, None]
+    partly = '{"review_id":"c","stars":"4.5"}'
+    got = parse_records(lines(FULL, "junk", "", None, "[]", "3", partly, "{'review_id':'q'}", "\t"), mode="drop")
+    assert [r.review_id for r in got.collect()] == ["a", None, None, "c"]
+    assert got.schema == parse_records(lines(FULL)).schema
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(
+    st.none(), st.text("{}[]:,\"'aeltrufNn0. \\\t", max_size=14),
+    st.recursive(st.one_of(st.none(), st.booleans(), st.integers(-9, 9), st.text(max_size=3)),
+                 lambda v: st.one_of(st.lists(v, max_size=3),
+                                     st.dictionaries(st.sampled_from([*REVIEW.names, "x"]), v, max_size=4)),
+                 max_leaves=8).map(json.dumps)), min_size=60, max_size=120))
+def test_drop_is_a_filter_on_the_line(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    want = parse_records(df.filter(is_json(F.col("value"))))
+    assert sorted(map(repr, parse_records(df, mode="drop").collect())) == sorted(map(repr, want.collect()))
 
 
 def test_unknown_modes_are_refused(lines):

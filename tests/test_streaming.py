@@ -274,6 +274,31 @@ def test_audit_scores_each_row_once(spark, home):
     assert read_audit(spark, f"{home}/audit").first().n_neutral == 40
 
 
+def test_a_task_tried_again_is_counted_once(spark, home):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+
+    def factory():
+        from pyspark import TaskContext
+
+        first, asked = TaskContext.get().attemptNumber() == 0, []
+
+        def ask(prompt, timeout):
+            asked.append(prompt)
+            if first and len(asked) > 25:  # two Arrow batches have passed by then
+                raise OSError("lost")
+            return "negative"
+        return ask
+
+    try:
+        labelled = label_lines(_numbered(spark, 40), RemoteScorer(factory, retries=0, concurrency=1))
+        audited_delivery("job", f"{home}/out", f"{home}/audit")(labelled, 0)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    report = read_audit(spark, f"{home}/audit").first()
+    assert (report.n_rows, report.n_negative) == (40, 40)
+    assert read_deliveries(spark, f"{home}/out").count() == 40
+
+
 def test_progress_reports_counts(spark, home):
     land(_numbered(spark, 200), f"{home}/in", rows_per_file=100)
     labelled = observe_delivery(label_lines(replay_stream(spark, f"{home}/in", 1), LEXICON), "counts")
