@@ -29,24 +29,26 @@ class LexiconScorer:
             object.__setattr__(self, name, lists[name])
         object.__setattr__(self, "separators", separators)
 
-    def words(self, text):
-        return F.split(F.lower(text), self.separators)
+    def hits(self, text):
+        """The words of the text that are on a list, repeats included. One look-up
+        settles most words, whatever the length of the lists."""
+        listed = sorted(self.positive | self.negative)
+        return F.filter(F.split(F.lower(text), self.separators), lambda w: w.isin(listed))
 
     def counts(self, df, text_col="text"):
         """Adds ``n_positive`` and ``n_negative``."""
-        def hits(wanted):
-            return F.size(F.filter("__words", lambda w: w.isin(sorted(wanted))))
-        return (df.withColumn("__words", self.words(field(text_col)))
+        def count(words):
+            return F.size(F.filter("__hits", lambda w: w.isin(sorted(words))))
+        return (df.withColumn("__hits", self.hits(field(text_col)))
                 .select(*[field(c) for c in df.columns],
-                        hits(self.positive).alias("n_positive"),
-                        hits(self.negative).alias("n_negative")))
+                        count(self.positive).alias("n_positive"),
+                        count(self.negative).alias("n_negative")))
 
     def score(self, df, text_col, out_col):
-        # Only the sign matters, so one pass over the words is enough. A word on
-        # both lists cancels itself out.
+        # Only the sign matters. A word on both lists cancels itself out.
         up, down = sorted(self.positive - self.negative), sorted(self.negative - self.positive)
         balance = F.aggregate(
-            self.words(field(text_col)), F.lit(0),
+            self.hits(field(text_col)), F.lit(0),
             lambda total, w: total + F.when(w.isin(up), 1).when(w.isin(down), -1).otherwise(0))
         # elt names the balance once; a CASE on its sign would compute it per branch.
         place = (F.signum(balance) + 2).cast("int")

@@ -1,20 +1,25 @@
 """Options and jobs. No broker or socket is opened here."""
 
+import threading
+
 import pytest
 from pyspark.errors import AnalysisException
 
 from reviewloom import __main__ as cli
 from reviewloom.operators.remote import RemoteScorer
+from reviewloom.plans import enrich, table_queries
 from reviewloom.plans.enrich import raw_messages
+from reviewloom.plans.table_queries import LEXICON
+from reviewloom.schema import KAFKA_ROW
 from reviewloom.session import work_dir
 from reviewloom.settings import KafkaSettings
 from reviewloom.sources.kafka import batch_options, decode_rows, stream_options
-from reviewloom.sources.lines import read_json_lines, read_lines
+from reviewloom.sources.lines import read_json_lines, read_lines, stream_lines
 from reviewloom.sources.sockets import stream_socket
 from reviewloom.sources.tables import kafka_rows, reviews
-from reviewloom.schema import KAFKA_ROW
 from reviewloom.streaming.audit import read_deliveries
-from reviewloom.streaming.sinks import KafkaSink
+from reviewloom.streaming.landing import land
+from reviewloom.streaming.sinks import FileSink, KafkaSink
 
 SETTINGS = KafkaSettings("broker:9092", username='us"er', password="p\\w", session_timeout_ms=50000)
 
@@ -109,3 +114,54 @@ def test_command_line_defaults():
     assert (args.source, args.target, args.starting) == ("ingest-file", "ingested-file", "latest")
     assert isinstance(cli._scorer(args), RemoteScorer)
     assert cli.parser().parse_args(["enrich-socket", "--host", "h", "--checkpoint", "/c"]).port == 9999
+
+
+# ---- job wiring, with files in place of the broker ----------------------
+
+@pytest.fixture
+def files_for_kafka(spark, monkeypatch):
+    """Lets the jobs read Kafka-shaped rows from, and write messages to, a folder."""
+    home = work_dir(spark, "jobs")
+    kafka_rows(reviews(spark, "/root/testdata/sf0.001")).write.parquet(f"{home}/topic")
+
+    def topic(spark, settings, name, **limits):
+        assert (settings, name, limits) == (SETTINGS, "ingest-file", {"max_offsets": 5})
+        return spark.readStream.schema(KAFKA_ROW).parquet(f"{home}/topic")
+
+    def sink(name, settings):
+        assert settings is SETTINGS
+        return FileSink(f"{home}/{name}")
+
+    monkeypatch.setattr(enrich, "stream_topic", topic)
+    monkeypatch.setattr(enrich, "stream_socket", lambda spark, host, port: stream_lines(spark, f"{home}/lines"))
+    monkeypatch.setattr(enrich, "KafkaSink", sink)
+    return home
+
+
+def _until_done(query):
+    threading.Thread(target=lambda: (query.processAllAvailable(), query.stop())).start()
+
+
+def test_topic_job(spark, files_for_kafka):
+    enrich.run_topic_job(spark, SETTINGS, LEXICON, f"{files_for_kafka}/checkpoints",
+                         limits={"max_offsets": 5}, on_start=_until_done)
+    got = spark.read.parquet(f"{files_for_kafka}/ingested-file")
+    want = table_queries.feedback_lexicon(spark, "/root/testdata/sf0.001")
+    assert got.schema == want.schema
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
+def test_socket_job(spark, files_for_kafka, lines):
+    land(lines('{"review_id":"1","text":"the"}', "junk"), f"{files_for_kafka}/lines")
+    enrich.run_socket_job(spark, SETTINGS, LEXICON, "host", 9999,
+                          f"{files_for_kafka}/checkpoints", on_start=_until_done)
+    got = spark.read.parquet(f"{files_for_kafka}/customers_review").collect()
+    assert sorted((r.key or "", r.value) for r in got) == [
+        ("", "{}"), ("1", '{"review_id":"1","text":"the","feedback":"POSITIVE"}')]
+
+
+def test_produce_file(spark, tmp_path):
+    (tmp_path / "in.json").write_text(' {"a":1}\t\n\nnope\n')
+    enrich.produce_file(spark, str(tmp_path / "in.json"), FileSink(str(tmp_path / "topic")))
+    got = decode_rows(spark.read.parquet(str(tmp_path / "topic"))).collect()
+    assert sorted(tuple(r)[1] for r in got) == ["", "nope", '{"a":1}'] and {r.key for r in got} == {None}
