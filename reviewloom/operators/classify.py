@@ -8,6 +8,13 @@ from ..schema import EMPTY
 _SCORE = "__score"
 
 
+def guard(length, score, empty_label=EMPTY):
+    """The label by the text's length: null for null, ``empty_label`` for 0, else the score."""
+    return (F.when(length.isNull(), F.lit(None).cast("string"))
+             .when(length == 0, F.lit(empty_label))
+             .otherwise(score))
+
+
 def classify(df, scorer, text_col="text", out_col="feedback", empty_label=EMPTY):
     """Null text gives null, ``""`` gives ``empty_label``, any other text the
     scorer's label. No row is removed.
@@ -16,9 +23,6 @@ def classify(df, scorer, text_col="text", out_col="feedback", empty_label=EMPTY)
     Filter before this call: Spark pushes no filter below a remote scorer.
     """
     scored = scorer.score(df, text_col, _SCORE)
-    text = field(text_col)
-    label = (F.when(text.isNull(), F.lit(None).cast("string"))
-              .when(F.length(text) == 0, F.lit(empty_label))
-              .otherwise(F.col(_SCORE)))
+    label = guard(F.octet_length(field(text_col)), F.col(_SCORE), empty_label)
     kept = [field(c) for c in df.columns if c != out_col]
     return scored.select(*kept, label.alias(out_col))

@@ -2,22 +2,24 @@
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.sql import functions as F
 
 from ..functions.records import field
-from ..schema import LABELS
+from ..schema import EMPTY, LABELS
+from .classify import guard
 
-_TEXT, _WORDS, _TERMS, _CLASS, _GUESS = (
-    "__text", "__words", "__terms", "__class", "__guess")
+# Columns the fitted pipeline reads and writes.
+_TEXT, _WORDS, _GUESS = "__text", "__words", "__guess"
+# Columns of a table of hashed texts.
+TERMS, LENGTH = "terms", "n_chars"
 
 
 @dataclass(frozen=True)
 class ModelScorer:
-    """Labels text with a fitted pipeline that reads ``__text`` and writes the
-    index of a label to ``__guess``. Runs in the JVM, on batches and streams."""
+    """Labels text with a fitted pipeline. Runs in the JVM, on batches and streams."""
 
     model: PipelineModel
     labels: tuple = LABELS
@@ -25,9 +27,17 @@ class ModelScorer:
     def score(self, df, text_col, out_col):
         guessed = self.model.transform(
             df.withColumn(_TEXT, F.coalesce(field(text_col), F.lit(""))))
-        label = F.element_at(F.array(*[F.lit(x) for x in self.labels]),
-                             F.col(_GUESS).cast("int") + 1)
-        return guessed.select(*[field(c) for c in df.columns], label.alias(out_col))
+        return guessed.select(*[field(c) for c in df.columns], self._label().alias(out_col))
+
+    def classify_hashed(self, hashed, out_col="feedback", empty_label=EMPTY):
+        """As ``classify``, for a table from ``hash_texts``: the texts are not read again."""
+        label = guard(F.col(LENGTH), self._label(), empty_label)
+        kept = [field(c) for c in hashed.columns if c not in (TERMS, LENGTH, out_col)]
+        return self.model.stages[-1].transform(hashed).select(*kept, label.alias(out_col))
+
+    def _label(self):
+        return F.element_at(F.array(*[F.lit(x) for x in self.labels]),
+                            F.col(_GUESS).cast("int") + 1)
 
     def save(self, path):
         """Keep the model in a shared folder, so that a restarted stream scores alike."""
@@ -38,31 +48,47 @@ class ModelScorer:
         return cls(PipelineModel.load(path), tuple(labels))
 
 
-def train_model(labelled, features_dir, text_col="text", label_col="label", labels=LABELS,
-                n_features=1 << 14, max_iter=10, regularisation=0.01, tree_depth=3):
-    """Fit hashed word counts and logistic regression on rows of text and label.
+def _hashing(n_features):
+    return PipelineModel([
+        RegexTokenizer(inputCol=_TEXT, outputCol=_WORDS, pattern=r"[^\p{L}]+"),
+        HashingTF(inputCol=_WORDS, outputCol=TERMS, numFeatures=n_features),
+    ])
+
 
-    The texts are read once and their hashed form is written to ``features_dir``,
-    a folder all executors reach: every later pass starts there, also after an
-    executor was lost. Gradients are merged in a tree of ``tree_depth`` levels, so
-    neither one task nor the driver receives a vector from every partition, and
-    their size is bounded by ``n_features``. Rows with another label are refused.
+def hash_texts(df, out_dir, text_col="text", n_features=1 << 14):
+    """Write hashed word counts in place of the texts, and read them back.
+
+    The table is a fraction of the texts' size, so joining labels to it moves
+    vectors instead of texts, and training and labelling read the texts once.
     """
-    spark = labelled.sparkSession
-    hashing = Pipeline(stages=[
-        RegexTokenizer(inputCol=_TEXT, outputCol=_WORDS, pattern=r"[^\p{L}]+"),
-        HashingTF(inputCol=_WORDS, outputCol=_TERMS, numFeatures=n_features),
-    ]).fit(labelled)  # nothing to learn, so this reads no data
-    rows = labelled.filter(field(text_col).isNotNull()).select(
-        field(text_col).alias(_TEXT), _class_index(field(label_col), labels).alias(_CLASS))
-    hashing.transform(rows).select(_CLASS, _TERMS).write.parquet(features_dir)
+    kept = [field(c) for c in df.columns if c != text_col]
+    text = df.select(*kept, F.length(field(text_col)).alias(LENGTH),
+                     F.coalesce(field(text_col), F.lit("")).alias(_TEXT))
+    _hashing(n_features).transform(text).drop(_TEXT, _WORDS).write.parquet(out_dir)
+    return df.sparkSession.read.parquet(out_dir)
+
+
+def train_model(hashed, training_dir, label_col="label", labels=LABELS, max_iter=10,
+                regularisation=0.01, tree_depth=3):
+    """Fit a logistic regression on a table from ``hash_texts`` with a label column.
 
+    The training rows are written to ``training_dir`` first, a folder all executors
+    reach: when an executor is lost, its share is read again from there instead of
+    joined again. Gradients are merged in a tree of ``tree_depth`` levels, so
+    neither one task nor the driver receives a vector from every partition, and
+    the number of features bounds their size. An unknown label is refused, a
+    null text left out.
+    """
+    (hashed.filter(F.col(LENGTH).isNotNull())
+     .select(_class_index(field(label_col), labels).alias("class"), TERMS)
+     .write.parquet(training_dir))
+    rows = hashed.sparkSession.read.parquet(training_dir)
     regression = LogisticRegression(
-        featuresCol=_TERMS, labelCol=_CLASS, predictionCol=_GUESS,
+        featuresCol=TERMS, labelCol="class", predictionCol=_GUESS,
         rawPredictionCol="", probabilityCol="", family="multinomial",
-        maxIter=max_iter, regParam=regularisation, aggregationDepth=tree_depth)
-    fitted = regression.fit(spark.read.parquet(features_dir))
-    return ModelScorer(PipelineModel(hashing.stages + [fitted]), tuple(labels))
+        maxIter=max_iter, regParam=regularisation, aggregationDepth=tree_depth).fit(rows)
+    steps = _hashing(regression.numFeatures).stages + [regression]
+    return ModelScorer(PipelineModel(steps), tuple(labels))
 
 
 def _class_index(label, labels):

@@ -12,7 +12,7 @@ from ..operators.classify import classify
 from ..operators.contract import check_contract, split_contract
 from ..operators.envelope import to_envelope
 from ..operators.lexicon import LexiconScorer
-from ..operators.model import train_model
+from ..operators.model import hash_texts, train_model
 from ..operators.parse import parse_records
 from ..operators.remote import RemoteScorer
 from ..operators.union import union_records
@@ -297,10 +297,9 @@ def feedback_remote_fake(spark, sf_dir):
 @query()
 def feedback_model(spark, sf_dir):
     """A model trained on all labelled documents labels all documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    home = work_dir(spark, "model")
+    hashed = hash_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{home}/hashed")
     marks = table(spark, sf_dir, "labels").select("doc_id", F.expr(
         "CASE WHEN toxic = 1 THEN 'NEGATIVE' WHEN quality = 1 THEN 'POSITIVE' ELSE 'NEUTRAL' END"
     ).alias("label"))
-    scorer = train_model(docs.join(marks, "doc_id"), work_dir(spark, "model-features"))
-    return classify(docs, scorer).select("doc_id", "feedback")
-
+    return train_model(hashed.join(marks, "doc_id"), f"{home}/training").classify_hashed(hashed)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.classify import classify
 from reviewloom.operators.lexicon import LexiconScorer
-from reviewloom.operators.model import ModelScorer, train_model
+from reviewloom.operators.model import ModelScorer, hash_texts, train_model
 from reviewloom.operators.remote import RemoteScorer, chat_client
 
 SCORER = LexiconScorer(["good", "great"], ["bad"])
@@ -167,11 +167,16 @@ def test_chat_client_sends_one_message(monkeypatch):
 
 # ---- model ---------------------------------------------------------------
 
+def _train(spark, home, rows, n_features=256):
+    texts = spark.createDataFrame(rows, "text string, label string")
+    return train_model(hash_texts(texts, f"{home}/hashed", n_features=n_features), f"{home}/training")
+
+
 @pytest.fixture(scope="module")
 def trained(spark, tmp_path_factory):
-    rows = [("sun joy", "POSITIVE"), ("rain grief", "NEGATIVE"), ("desk chair", "NEUTRAL")] * 20
-    return train_model(spark.createDataFrame(rows, "text string, label string"),
-                       str(tmp_path_factory.mktemp("model") / "features"), n_features=256)
+    rows = [("sun joy", "POSITIVE"), ("rain grief", "NEGATIVE"), ("desk chair", "NEUTRAL"),
+            (None, "POSITIVE")] * 20
+    return _train(spark, tmp_path_factory.mktemp("model"), rows)
 
 
 def test_model_learns_and_guards(spark, trained):
@@ -185,8 +190,16 @@ def test_saved_model_labels_alike(spark, trained, tmp_path):
     assert _labels(classify(df, ModelScorer.load(str(tmp_path / "m")))) == _labels(classify(df, trained))
 
 
+def test_hashed_texts_are_labelled_like_texts(spark, trained, tmp_path):
+    df = _texts(spark, "joy joy", "Grief!", "chair, desk", None, "", "  ", "12").withColumn("a.b", F.lit(1))
+    hashed = hash_texts(df, str(tmp_path / "h"), n_features=256)
+    assert hashed.columns == ["id", "a.b", "n_chars", "terms"]
+    got = trained.classify_hashed(hashed)
+    assert got.columns == ["id", "a.b", "feedback"]
+    assert _labels(got) == _labels(classify(df, trained))
+
+
 @pytest.mark.parametrize("label", ["HAPPY", None])
 def test_unknown_training_label_is_refused(spark, tmp_path, label):
-    rows = spark.createDataFrame([("a", "POSITIVE"), ("b", label)], "text string, label string")
     with pytest.raises(Exception, match="unknown label"):
-        train_model(rows, str(tmp_path / "features"))
+        _train(spark, tmp_path, [("a", "POSITIVE"), ("b", label)])

@@ -8,6 +8,7 @@ from reviewloom.operators.classify import classify
 from reviewloom.operators.contract import check_contract
 from reviewloom.operators.envelope import to_envelope
 from reviewloom.operators.lexicon import LexiconScorer
+from reviewloom.operators.model import hash_texts, train_model
 from reviewloom.operators.parse import decode_values, parse_records
 from reviewloom.operators.remote import RemoteScorer
 from reviewloom.plans.enrich import enrich_lines, label_lines, run_files_job
@@ -147,11 +148,10 @@ def test_message_stream_equals_batch(spark, home):
     assert _multiset(spark.read.parquet(f"{home}/out")) == _multiset(decode_values(rows))
 
 
-def test_model_scores_a_stream(spark, home, tmp_path):
-    from reviewloom.operators.model import train_model
-    labelled = spark.createDataFrame([("the best", "POSITIVE"), ("of to", "NEGATIVE"),
-                                      ("x", "NEUTRAL")] * 10, "text string, label string")
-    scorer = train_model(labelled, f"{home}/features", n_features=64)
+def test_model_scores_a_stream(spark, home):
+    texts = spark.createDataFrame([("the best", "POSITIVE"), ("of to", "NEGATIVE"),
+                                   ("x", "NEUTRAL")] * 10, "text string, label string")
+    scorer = train_model(hash_texts(texts, f"{home}/hashed", n_features=64), f"{home}/training")
     land(_numbered(spark, 50), f"{home}/in")
     _run(enrich_lines(replay_stream(spark, f"{home}/in"), scorer), FileSink(f"{home}/out"), "q", home)
     assert spark.read.parquet(f"{home}/out").filter("value LIKE '%\"feedback\":\"POSITIVE\"%'").count() == 50
