@@ -76,6 +76,8 @@ def parser():
     job.add_argument("--files-per-batch", type=int)
     job.add_argument("--every", help='pace of the batches, such as "10 seconds"')
     job.add_argument("--until-done", action="store_true", help="handle what is there and stop")
+    job.add_argument("--mode", choices=["permissive", "drop"], default="permissive",
+                     help="keep unreadable lines as empty messages, or drop them")
     _add_scorer(job)
     return top
 
@@ -99,7 +101,7 @@ def main(argv=None):
     else:
         enrich.run_files_job(spark, args.landed, _scorer(args), args.out, args.audit,
                              args.checkpoint, limits={"files_per_trigger": args.files_per_batch},
-                             every=args.every, until_done=args.until_done)
+                             every=args.every, until_done=args.until_done, mode=args.mode)
 
 
 if __name__ == "__main__":

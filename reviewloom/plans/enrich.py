@@ -1,8 +1,13 @@
 """The pipelines: the same plan for a table and for a stream."""
 
+from pyspark.sql import functions as F
+
+from ..functions.records import to_json
 from ..operators.classify import classify
+from ..operators.contract import check_contract, keep_bad_lines
 from ..operators.envelope import to_envelope, to_messages
 from ..operators.parse import decode_values, parse_records
+from ..schema import REVIEW
 from ..sources.kafka import stream_topic
 from ..sources.lines import read_lines, strip_lines
 from ..sources.sockets import stream_socket
@@ -32,6 +37,21 @@ def enrich_messages(rows, scorer, mode="permissive", on_error="replace"):
     return enrich_lines(decode_values(rows, on_error), scorer, mode)
 
 
+def enrich_valid(lines, scorer):
+    """Keyed messages from the lines that meet the contract, the others with a reason.
+
+    One pass gives ``key, value`` for ``status`` valid and ``line, reason`` for
+    quarantine; write it partitioned by ``status``. Quarantined texts are not scored.
+    """
+    valid = F.col("status") == "valid"
+    checked = keep_bad_lines(check_contract(lines)).withColumn("text", F.when(valid, F.col("text")))
+    labelled = classify(checked, scorer)
+    return labelled.select(
+        F.when(valid, F.col("review_id")).alias("key"),
+        F.when(valid, to_json([*REVIEW.names, "feedback"])).alias("value"),
+        "line", "reason", "status")
+
+
 def raw_messages(lines):
     """Lines of any content to messages without a key."""
     return to_messages(strip_lines(lines))

@@ -22,7 +22,7 @@ from ..sources.lines import read_json_lines
 from ..sources.tables import (MINUTES_PER_YEAR, contract_lines, corrupt_lines, gappy_reviews,
                               kafka_rows, nan_lines, review_lines, reviews, table)
 from ..streaming.landing import land
-from .enrich import enrich_messages, raw_messages
+from .enrich import enrich_messages, enrich_valid, raw_messages
 
 # The test prose is invented, so everyday function words stand in for sentiment.
 LEXICON = LexiconScorer(positive=["the", "best", "and"], negative=["of", "to", "in"])
@@ -258,6 +258,16 @@ def feedback_guard(spark, sf_dir):
     return classify(gappy_reviews(spark, sf_dir), LEXICON).select("review_id", "text", "feedback")
 
 
+@query(f"""WITH {SQL_CONTRACT}, labelled AS (SELECT *, {SQL_LABEL} AS feedback FROM checked)
+SELECT CASE WHEN reason IS NULL THEN review_id END AS key,
+  CASE WHEN reason IS NULL THEN {sql_json(*REVIEW.names, 'feedback')} END AS value,
+  CASE WHEN reason IS NOT NULL THEN line END AS line, reason,
+  CASE WHEN reason IS NULL THEN 'valid' ELSE 'quarantine' END AS status FROM labelled""")
+def feedback_valid(spark, sf_dir):
+    """Labelled messages and quarantined lines from one pass."""
+    return enrich_valid(contract_lines(spark, sf_dir), LEXICON)
+
+
 @query("""SELECT event_id, CASE event_type WHEN 'view' THEN 'POSITIVE' WHEN 'click' THEN 'NEGATIVE'
   WHEN 'signup' THEN 'NEUTRAL' WHEN 'purchase' THEN 'UNKNOWN' END AS feedback FROM events""")
 def label_normalise(spark, sf_dir):

@@ -4,24 +4,25 @@
 from pyspark.sql import functions as F
 
 
-def stream_options(settings, topic, starting="latest", max_offsets=None, min_partitions=None):
+def _given(**options):
+    return {name: str(value) for name, value in options.items() if value}
+
+
+def stream_options(settings, topic, starting="latest", max_offsets=None, min_partitions=None,
+                   group_id=None):
     """``starting`` counts for the first start only; later the checkpoint decides.
     ``max_offsets`` bounds a batch, ``min_partitions`` splits wide topic partitions."""
-    out = settings.consumer_options() | {"subscribe": topic, "startingOffsets": starting}
-    if max_offsets:
-        out["maxOffsetsPerTrigger"] = str(max_offsets)
-    if min_partitions:
-        out["minPartitions"] = str(min_partitions)
-    return out
+    return (settings.consumer_options()
+            | {"subscribe": topic, "startingOffsets": starting}
+            | _given(maxOffsetsPerTrigger=max_offsets, minPartitions=min_partitions)
+            | _given(**{"kafka.group.id": group_id}))
 
 
-def batch_options(settings, topic, min_partitions=None):
-    out = settings.consumer_options() | {
-        "subscribe": topic, "startingOffsets": "earliest", "endingOffsets": "latest",
-    }
-    if min_partitions:
-        out["minPartitions"] = str(min_partitions)
-    return out
+def batch_options(settings, topic, min_partitions=None, group_id=None):
+    return (settings.consumer_options()
+            | {"subscribe": topic, "startingOffsets": "earliest", "endingOffsets": "latest"}
+            | _given(minPartitions=min_partitions)
+            | _given(**{"kafka.group.id": group_id}))
 
 
 def stream_topic(spark, settings, topic, **limits):
@@ -29,10 +30,10 @@ def stream_topic(spark, settings, topic, **limits):
         **stream_options(settings, topic, **limits)).load()
 
 
-def read_topic(spark, settings, topic, min_partitions=None):
+def read_topic(spark, settings, topic, **limits):
     """Everything the topic holds now, decoded."""
     rows = spark.read.format("kafka").options(
-        **batch_options(settings, topic, min_partitions)).load()
+        **batch_options(settings, topic, **limits)).load()
     return decode_rows(rows)
 
 

@@ -9,6 +9,7 @@ from reviewloom.operators.classify import classify
 from reviewloom.operators.lexicon import LexiconScorer
 from reviewloom.operators.model import ModelScorer, hash_texts, train_model
 from reviewloom.operators.remote import RemoteScorer, chat_client
+from reviewloom.plans.enrich import enrich_valid
 
 SCORER = LexiconScorer(["good", "great"], ["bad"])
 
@@ -165,6 +166,15 @@ def test_chat_client_sends_one_message(monkeypatch):
     assert [m["content"] for m in sent["messages"]] == ["how?"]
 
 
+def test_quarantined_texts_are_not_asked_about(spark):
+    factory, _, calls = _counting_factory(spark)
+    good = '{"review_id":"1","user_id":"u","business_id":"b","stars":1,"date":"d","text":"good"}'
+    lines = spark.createDataFrame([(good,), (good.replace('"stars":1', '"stars":"1"'),), ("",)], "value string")
+    got = enrich_valid(lines, RemoteScorer(factory, template="Q %s", timeout_s=5.0)).collect()
+    assert sorted(r.reason or "" for r in got) == ["", "blank", "malformed"]
+    assert calls.value == 1
+
+
 # ---- model ---------------------------------------------------------------
 
 def _train(spark, home, rows, n_features=256):

@@ -59,9 +59,9 @@ def test_source_and_sink_options():
     assert stream_options(SETTINGS, "t", "earliest", 1000, 64) == common | timeout | {
         "subscribe": "t", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "1000",
         "minPartitions": "64"}
-    assert batch_options(SETTINGS, "t", 8) == common | timeout | {
+    assert batch_options(SETTINGS, "t", 8, "group-1") == common | timeout | {
         "subscribe": "t", "startingOffsets": "earliest", "endingOffsets": "latest",
-        "minPartitions": "8"}
+        "minPartitions": "8", "kafka.group.id": "group-1"}
     assert KafkaSink("t", SETTINGS).options() == common | {"topic": "t"}
 
 

@@ -11,7 +11,7 @@ from reviewloom.operators.lexicon import LexiconScorer
 from reviewloom.operators.model import hash_texts, train_model
 from reviewloom.operators.parse import decode_values, parse_records
 from reviewloom.operators.remote import RemoteScorer
-from reviewloom.plans.enrich import enrich_lines, label_lines, run_files_job
+from reviewloom.plans.enrich import enrich_lines, enrich_valid, label_lines, run_files_job
 from reviewloom.plans.table_queries import rule_client
 from reviewloom.schema import ENVELOPE, MESSAGE
 from reviewloom.session import work_dir
@@ -126,8 +126,9 @@ def test_glob_picks_files(spark, tmp_path):
     check_contract,
     lambda lines: to_envelope(parse_records(lines)),
     lambda lines: enrich_lines(lines, LEXICON),
+    lambda lines: enrich_valid(lines, LEXICON),
     lambda lines: classify(parse_records(lines), RemoteScorer(rule_client())),
-], ids=["parse", "drop", "contract", "envelope", "enrich", "remote"])
+], ids=["parse", "drop", "contract", "envelope", "enrich", "enrich-valid", "remote"])
 @pytest.mark.parametrize("source", [corrupt_lines, contract_lines,
                                     lambda s, d: review_lines(gappy_reviews(s, d))],
                          ids=["corrupt", "contract", "gappy"])
