@@ -67,20 +67,34 @@ SQL_LABEL = (f"CASE WHEN {sql_hits(LEXICON.positive)} > {sql_hits(LEXICON.negati
 SQL_FEEDBACK = f"""WITH {SQL_REVIEWS}, labelled AS (SELECT *, {SQL_LABEL} AS feedback FROM reviews)
 SELECT review_id AS key, {sql_json(*REVIEW.names, 'feedback')} AS value FROM labelled"""
 
-SQL_CORRUPT_FIELDS = ", ".join(
-    f"CASE WHEN doc_id % 10 NOT IN (3, 7) THEN {c} END AS {c}" for c in REVIEW.names)
 
-SQL_CONTRACT = f"""{SQL_REVIEWS}, checked AS (
-  SELECT *, CASE doc_id % 10
+def sql_read(name):
+    """The field as SQL reads it from ``line``, null where the line is not JSON."""
+    if name == "stars":  # a number in quotes is no number
+        return ("CASE WHEN json_valid(line) AND json_type(line, '$.stars') <> 'VARCHAR' "
+                "THEN CAST(json_extract(line, '$.stars') AS FLOAT) END")
+    return f"CASE WHEN json_valid(line) THEN json_extract_string(line, '$.{name}') END"
+
+
+SQL_READ = ", ".join(f"{sql_read(c)} AS {c}" for c in REVIEW.names)
+
+SQL_CORRUPT = f"""{SQL_REVIEWS}, spoilt AS (
+  SELECT CASE doc_id % 10 WHEN 3 THEN substr({SQL_LINE}, 1, 20) WHEN 7 THEN '' ELSE {SQL_LINE} END AS line
+  FROM reviews)"""
+
+SQL_CONTRACT = f"""{SQL_REVIEWS}, spoilt AS (
+  SELECT CASE doc_id % 10
       WHEN 1 THEN {sql_json(*[c for c in REVIEW.names if c != 'text'])}
       WHEN 3 THEN substr({SQL_LINE}, 1, 20)
       WHEN 5 THEN {sql_json(*[c for c in REVIEW.names if c != 'review_id'])}
       WHEN 7 THEN ''
       WHEN 8 THEN regexp_replace({SQL_LINE}, '"stars":([0-9.]+)', '"stars":"\\1"')
-      ELSE {SQL_LINE} END AS line,
-    CASE doc_id % 10 WHEN 1 THEN 'missing:text' WHEN 3 THEN 'malformed'
-      WHEN 5 THEN 'missing:review_id' WHEN 7 THEN 'blank' WHEN 8 THEN 'malformed' END AS reason
-  FROM reviews)"""
+      ELSE {SQL_LINE} END AS line
+  FROM reviews), fields AS (SELECT line, {SQL_READ} FROM spoilt), checked AS (
+  SELECT *, CASE WHEN trim(line) = '' THEN 'blank' WHEN NOT json_valid(line) THEN 'malformed'
+      WHEN json_type(line, '$.stars') = 'VARCHAR' THEN 'malformed'
+      {' '.join(f"WHEN {c} IS NULL THEN 'missing:{c}'" for c in REVIEW.names)} END AS reason
+  FROM fields)"""
 
 QUERIES, ORACLE = {}, {}
 
@@ -163,12 +177,12 @@ def utf8_bad_bytes(spark, sf_dir):
         decode_utf8(F.col("raw"), "null").alias("nulled"))
 
 
-@query(f"WITH {SQL_REVIEWS} SELECT {SQL_CORRUPT_FIELDS} FROM reviews")
+@query(f"WITH {SQL_CORRUPT} SELECT {SQL_READ} FROM spoilt")
 def malformed_permissive(spark, sf_dir):
     return parse_records(corrupt_lines(spark, sf_dir))
 
 
-@query(f"WITH {SQL_REVIEWS} SELECT {SQL_FIELDS} FROM reviews WHERE doc_id % 10 NOT IN (3, 7)")
+@query(f"WITH {SQL_CORRUPT} SELECT {SQL_READ} FROM spoilt WHERE json_valid(line)")
 def malformed_drop(spark, sf_dir):
     return parse_records(corrupt_lines(spark, sf_dir), mode="drop")
 
@@ -192,7 +206,9 @@ def nan_lines_clean(spark, sf_dir):
     return nan_to_null(parse_records(nan_lines(spark, sf_dir)), text_cols=["text"])
 
 
-@query("SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN value END AS value FROM events")
+@query("""WITH spoilt AS (
+  SELECT event_id, CASE WHEN event_id % 10 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END AS value FROM events)
+SELECT event_id, CASE WHEN NOT isnan(value) THEN value END AS value FROM spoilt""")
 def nan_clean(spark, sf_dir):
     spoilt = F.when(F.col("event_id") % 10 == 0, float("nan")).otherwise(F.col("value"))
     return nan_to_null(table(spark, sf_dir, "events").select("event_id", spoilt.alias("value")))
@@ -221,7 +237,7 @@ def ingest_messages(spark, sf_dir):
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-@query(f"WITH {SQL_REVIEWS} SELECT {SQL_FIELDS} FROM reviews WHERE doc_id % 10 NOT IN (3, 7)")
+@query(f"WITH {SQL_CORRUPT} SELECT {SQL_READ} FROM spoilt WHERE json_valid(line)")
 def landed_lines(spark, sf_dir):
     """Lines written to files, and read back without the bad ones."""
     folder = work_dir(spark, "landed-lines")

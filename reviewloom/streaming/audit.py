@@ -51,9 +51,11 @@ def audited_delivery(name, out_dir, audit_dir, key="review_id", feedback="feedba
     Each batch overwrites its own ``batch_id=<n>`` folders, so a batch repeated
     after a failure replaces what it wrote before. The folders belong to one
     checkpoint: with a new checkpoint, whose batches count from 0 again, use new
-    folders. Every row is scored once: the
-    counts are taken while the envelopes are written. The plan has no shuffle,
-    so no finished task is run and counted again when an executor is lost.
+    folders.
+
+    Every row is scored once: the counts are taken while the envelopes are
+    written, in the tasks that write them. Spark counts a finished task of that
+    stage once, whatever was lost or tried again before.
     """
     def deliver(batch, batch_id):
         seen = Observation(f"{name}-{batch_id}-{uuid.uuid4().hex}")

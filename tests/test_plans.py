@@ -40,7 +40,7 @@ def test_model_labels_without_reading_the_texts_again(spark):
 
 @pytest.mark.parametrize("name", ["json_roundtrip", "feedback_lexicon", "malformed_permissive",
                                   "malformed_drop", "contract_valid", "contract_quarantine",
-                                  "nan_lines_clean"])
+                                  "nan_lines_clean", "feedback_valid"])
 def test_lines_are_parsed_once(spark, name):
     reads_text = re.findall(r"from_json\(StructField\(review_id", _plan(queries()[name](spark, SF)))
     assert len(reads_text) == 1

@@ -165,6 +165,7 @@ def test_batch_sinks(spark, home):
     write_batch(messages, FileSink(f"{home}/table"))
     write_batch(messages, FileSink(f"{home}/table"))
     assert spark.read.parquet(f"{home}/table").count() == 4
+    write_batch(messages, ConsoleSink())
     write_batch(messages, LineSink(f"{home}/lines"))
     assert sorted(r.value for r in spark.read.text(f"{home}/lines").collect()) == ['{"a":1}', "{}"]
 
