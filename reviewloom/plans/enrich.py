@@ -11,7 +11,7 @@ from ..schema import REVIEW
 from ..sources.kafka import stream_topic
 from ..sources.lines import read_lines, strip_lines
 from ..sources.sockets import stream_socket
-from ..streaming.audit import audited_delivery
+from ..streaming.audit import audited_delivery, observe_delivery
 from ..streaming.landing import replay_stream
 from ..streaming.sinks import KafkaSink, start_batches, start_stream, write_batch
 from ..streaming.supervise import supervise
@@ -21,6 +21,8 @@ RAW_TOPIC = "ingest-file"
 ENRICHED_TOPIC = "ingested-file"
 SOCKET_TOPIC = "customers_review"
 
+DELIVERY = "delivery"
+
 
 def label_lines(lines, scorer, mode="permissive"):
     """JSON lines to reviews with feedback."""
@@ -62,11 +64,16 @@ def produce_file(spark, path, sink):
     write_batch(raw_messages(read_lines(spark, path)), sink)
 
 
+def _reported(lines, scorer):
+    """As ``enrich_lines``; the query's progress reports the counts per batch under ``DELIVERY``."""
+    return to_envelope(observe_delivery(label_lines(lines, scorer), DELIVERY))
+
+
 def run_socket_job(spark, settings, scorer, host, port, checkpoint_root,
                    topic=SOCKET_TOPIC, name="socket-reviews", **supervision):
     """Socket lines to a topic, restarted after failures."""
     def start():
-        enriched = enrich_lines(stream_socket(spark, host, port), scorer)
+        enriched = _reported(stream_socket(spark, host, port), scorer)
         return start_stream(enriched, KafkaSink(topic, settings), name, checkpoint_root)
 
     return supervise(start, **supervision)
@@ -78,7 +85,7 @@ def run_topic_job(spark, settings, scorer, checkpoint_root, source=RAW_TOPIC,
     """Topic to topic, restarted after failures."""
     def start():
         rows = stream_topic(spark, settings, source, **(limits or {}))
-        enriched = enrich_messages(rows, scorer)
+        enriched = _reported(decode_values(rows), scorer)
         return start_stream(enriched, KafkaSink(target, settings), name, checkpoint_root, every)
 
     return supervise(start, **supervision)

@@ -17,7 +17,7 @@ from reviewloom.sources.kafka import batch_options, decode_rows, stream_options
 from reviewloom.sources.lines import read_json_lines, read_lines, stream_lines
 from reviewloom.sources.sockets import stream_socket
 from reviewloom.sources.tables import kafka_rows, reviews
-from reviewloom.streaming.audit import read_deliveries
+from reviewloom.streaming.audit import progress_counts, read_deliveries
 from reviewloom.streaming.landing import land
 from reviewloom.streaming.sinks import FileSink, KafkaSink
 
@@ -143,8 +143,10 @@ def _until_done(query):
 
 
 def test_topic_job(spark, files_for_kafka):
-    enrich.run_topic_job(spark, SETTINGS, LEXICON, f"{files_for_kafka}/checkpoints",
-                         limits={"max_offsets": 5}, on_start=_until_done)
+    outcome = enrich.run_topic_job(spark, SETTINGS, LEXICON, f"{files_for_kafka}/checkpoints",
+                                   limits={"max_offsets": 5}, on_start=_until_done)
+    counts = progress_counts(outcome.query, enrich.DELIVERY).values()
+    assert sum(c["n_rows"] for c in counts) == 200 and sum(c["null_keys"] for c in counts) == 0
     got = spark.read.parquet(f"{files_for_kafka}/ingested-file")
     want = table_queries.feedback_lexicon(spark, "/root/testdata/sf0.001")
     assert got.schema == want.schema

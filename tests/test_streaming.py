@@ -276,10 +276,13 @@ def test_audit_scores_each_row_once(spark, home):
     assert read_audit(spark, f"{home}/audit").first().n_neutral == 40
 
 
-def test_a_task_tried_again_is_counted_once(spark, home):
+@pytest.mark.parametrize("crash", [False, True], ids=["error", "dead worker"])
+def test_a_task_tried_again_is_counted_once(spark, home, crash):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
 
     def factory():
+        import os
+
         from pyspark import TaskContext
 
         first, asked = TaskContext.get().attemptNumber() == 0, []
@@ -287,6 +290,8 @@ def test_a_task_tried_again_is_counted_once(spark, home):
         def ask(prompt, timeout):
             asked.append(prompt)
             if first and len(asked) > 25:  # two Arrow batches have passed by then
+                if crash:
+                    os._exit(1)
                 raise OSError("lost")
             return "negative"
         return ask
