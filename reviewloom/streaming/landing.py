@@ -6,6 +6,7 @@ from ..sources.lines import drop_bad_lines, read_lines, stream_lines, strip_line
 
 MAX_ROWS_PER_FILE = 100_000
 MIN_ROWS_PER_FILE = 250
+MAX_FILES_PER_BATCH = 10_000
 
 
 def land(lines, out_dir, rows_per_file=MAX_ROWS_PER_FILE, mode="errorifexists", compression=None):
@@ -40,9 +41,10 @@ def replay_stream(spark, landed_dir, files_per_trigger=None, bytes_per_trigger=N
 def pace(rows, slots, batches=4):
     """(rows per file, files per batch) for about ``batches`` batches.
 
-    Files stay between MIN_ROWS_PER_FILE and MAX_ROWS_PER_FILE rows. A batch gets
-    at most 32 files per task slot, so larger inputs take more batches instead.
+    Files are small enough to keep ``slots`` tasks busy, within MIN_ROWS_PER_FILE
+    and MAX_ROWS_PER_FILE. A batch gets at most MAX_FILES_PER_BATCH files, so that
+    little is repeated after a failure; larger inputs take more batches instead.
     """
     rows_per_file = min(max(ceil(rows / (batches * slots)), MIN_ROWS_PER_FILE), MAX_ROWS_PER_FILE)
     files = ceil(rows / rows_per_file)
-    return rows_per_file, max(1, min(ceil(files / batches), 32 * slots))
+    return rows_per_file, max(1, min(ceil(files / batches), MAX_FILES_PER_BATCH))

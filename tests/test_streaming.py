@@ -91,8 +91,8 @@ def test_landing_can_compress_and_refuses_to_overwrite(spark, home):
 
 @pytest.mark.parametrize("rows, slots, want", [
     (0, 8, (250, 1)), (200, 8, (250, 1)), (10_000, 8, (313, 8)),
-    (10**10, 8_000, (100_000, 25_000)), (10**12, 8_000, (100_000, 256_000))])
-def test_pace_grows_with_input_and_cluster(rows, slots, want):
+    (10**9, 8_000, (31_250, 8_000)), (10**10, 2, (100_000, 10_000))])
+def test_pace_follows_input_and_cluster(rows, slots, want):
     assert pace(rows, slots) == want
 
 
