@@ -1,7 +1,10 @@
+import os
+import subprocess
 import sys
 import types
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
@@ -148,6 +151,15 @@ def test_no_reply_is_unknown(spark):
     assert _labels(classify(_texts(spark, "a"), scorer)) == ["UNKNOWN"]
 
 
+def test_the_function_travels_without_the_package(tmp_path):
+    sent = cloudpickle.dumps(RemoteScorer(chat_client("m"))._udf().func)
+    (tmp_path / "f").write_bytes(sent)
+    check = ("import pickle, sys; pickle.load(open('f', 'rb')); "
+             "assert not any(m.startswith('reviewloom') for m in sys.modules)")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", check], cwd=tmp_path, env=env, check=True)
+
+
 def test_chat_client_sends_one_message(monkeypatch):
     sent = {}
 
