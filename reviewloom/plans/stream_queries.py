@@ -11,18 +11,9 @@ from ..streaming.landing import land, pace, replay_stream
 from ..streaming.sinks import FileSink, start_batches, start_stream
 from ..streaming.supervise import supervise
 from .enrich import enrich_lines, enrich_messages, label_lines, raw_messages
+from .registry import query
 from .table_queries import LEXICON, SQL_CONTRACT, SQL_FEEDBACK, SQL_LABEL, SQL_REVIEWS
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        ORACLE[fn.__name__] = sql
-        return fn
-    return add
-
 
 def _pace(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").count()  # answered from file footers
@@ -36,18 +27,13 @@ def _replay(spark, sf_dir, home, lines):
     return lambda: replay_stream(spark, f"{home}/landed", files_per_trigger=files)
 
 
-def _finish(query):
-    query.awaitTermination()
-    return query
-
-
 @query(SQL_FEEDBACK)
 def stream_feedback(spark, sf_dir):
     """Landed lines, labelled batch by batch."""
     home = work_dir(spark, "stream-feedback")
     source = _replay(spark, sf_dir, home, review_lines(reviews(spark, sf_dir)))
-    _finish(start_stream(enrich_lines(source(), LEXICON), FileSink(f"{home}/out"),
-                         "enrich", f"{home}/checkpoints", until_done=True))
+    start_stream(enrich_lines(source(), LEXICON), FileSink(f"{home}/out"),
+                 "enrich", f"{home}/checkpoints", until_done=True).awaitTermination()
     return spark.read.schema(ENVELOPE).parquet(f"{home}/out")
 
 
@@ -56,11 +42,11 @@ def stream_two_hop(spark, sf_dir):
     """Lines to a raw table of messages, and that table to labelled messages."""
     home = work_dir(spark, "two-hop")
     source = _replay(spark, sf_dir, home, review_lines(reviews(spark, sf_dir)))
-    _finish(start_stream(raw_messages(source()), FileSink(f"{home}/raw"), "ingest",
-                         f"{home}/checkpoints", until_done=True))
+    start_stream(raw_messages(source()), FileSink(f"{home}/raw"), "ingest",
+                 f"{home}/checkpoints", until_done=True).awaitTermination()
     rows = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", _pace(spark, sf_dir)[1])
-    _finish(start_stream(enrich_messages(rows.parquet(f"{home}/raw"), LEXICON),
-                         FileSink(f"{home}/out"), "enrich", f"{home}/checkpoints", until_done=True))
+    start_stream(enrich_messages(rows.parquet(f"{home}/raw"), LEXICON),
+                 FileSink(f"{home}/out"), "enrich", f"{home}/checkpoints", until_done=True).awaitTermination()
     return spark.read.schema(ENVELOPE).parquet(f"{home}/out")
 
 
@@ -74,8 +60,8 @@ def stream_resume(spark, sf_dir):
         land(review_lines(reviews(spark, sf_dir).filter(half == wave)), f"{home}/landed",
              rows_per_file, mode="append")
         source = replay_stream(spark, f"{home}/landed", files_per_trigger=files)
-        _finish(start_stream(enrich_lines(source, LEXICON), FileSink(f"{home}/out"),
-                             "enrich", f"{home}/checkpoints", until_done=True))
+        start_stream(enrich_lines(source, LEXICON), FileSink(f"{home}/out"),
+                     "enrich", f"{home}/checkpoints", until_done=True).awaitTermination()
     return spark.read.schema(ENVELOPE).parquet(f"{home}/out")
 
 
@@ -97,7 +83,7 @@ def stream_recovery(spark, sf_dir):
         return start_batches(label_lines(source(), LEXICON), deliver_once_failing, "enrich",
                              f"{home}/checkpoints", until_done=True)
 
-    supervise(start, backoff_s=0, max_restarts=1)
+    supervise(start, backoff_s=0)
     return read_deliveries(spark, f"{home}/out").select(*ENVELOPE.names)
 
 
@@ -111,9 +97,9 @@ def delivery_audit(spark, sf_dir):
     """Per-batch delivery reports, added up."""
     home = work_dir(spark, "audit")
     source = _replay(spark, sf_dir, home, review_lines(reviews(spark, sf_dir)))
-    _finish(start_batches(label_lines(source(), LEXICON),
-                          audited_delivery("enrich", f"{home}/out", f"{home}/audit"),
-                          "enrich", f"{home}/checkpoints", until_done=True))
+    start_batches(label_lines(source(), LEXICON),
+                  audited_delivery("enrich", f"{home}/out", f"{home}/audit"),
+                  "enrich", f"{home}/checkpoints", until_done=True).awaitTermination()
     return (read_audit(spark, f"{home}/audit").groupBy("query")
             .agg(*[F.sum(c).alias(c) for c in COUNTS]).select(*AUDIT.names))
 
@@ -126,7 +112,7 @@ def stream_contract(spark, sf_dir):
     home = work_dir(spark, "contract")
     source = _replay(spark, sf_dir, home, contract_lines(spark, sf_dir))
     checked = keep_bad_lines(check_contract(source()))
-    _finish(start_stream(checked, FileSink(f"{home}/out", partition_by=("status",)), "check",
-                         f"{home}/checkpoints", until_done=True))
+    start_stream(checked, FileSink(f"{home}/out", partition_by=("status",)), "check",
+                 f"{home}/checkpoints", until_done=True).awaitTermination()
     return (spark.read.schema(checked.schema).parquet(f"{home}/out")
             .select("review_id", "stars", "text", "line", "reason", "status"))

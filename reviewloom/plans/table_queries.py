@@ -23,6 +23,7 @@ from ..sources.tables import (MINUTES_PER_YEAR, contract_lines, corrupt_lines, g
                               kafka_rows, nan_lines, review_lines, reviews, table)
 from ..streaming.landing import land
 from .enrich import enrich_messages, enrich_valid, raw_messages
+from .registry import query
 
 # The test prose is invented, so everyday function words stand in for sentiment.
 LEXICON = LexiconScorer(positive=["the", "best", "and"], negative=["of", "to", "in"])
@@ -96,18 +97,6 @@ SQL_CONTRACT = f"""{SQL_REVIEWS}, spoilt AS (
       {' '.join(f"WHEN {c} IS NULL THEN 'missing:{c}'" for c in REVIEW.names)} END AS reason
   FROM fields)"""
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(sql=None):
-    """Register the function under its name, with its SQL if there is one."""
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLE[fn.__name__] = sql
-        return fn
-    return add
-
 
 # ---- parsing and serialising ---------------------------------------------
 
