@@ -10,9 +10,14 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Join large texts to a smaller table without sorting them, where Spark's own
+    # Join long rows to a smaller table without sorting them, where Spark's own
     # size check finds the hash side small enough.
     "spark.sql.join.preferSortMergeJoin": "false",
+    # Write valid and quarantined records side by side instead of sorting them apart.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # A remote scorer holds a batch at a time, and its calls take far longer than
+    # handing a batch over.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
