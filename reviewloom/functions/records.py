@@ -1,6 +1,7 @@
 """JSON column functions."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import WHITESPACE
 
@@ -31,11 +32,27 @@ def is_blank(col):
     return F.coalesce(F.ltrim(col, F.lit(WHITESPACE)) == "", F.lit(True))
 
 
+def read_value(col, fields=()):
+    """Read a line as one JSON value; ``fields``, if any, come as the struct ``line``.
+
+    Spark stops reading after the first value. So the line is read as a member of
+    an object whose ``end`` must still be found; ``is_whole`` tells.
+    """
+    member = F.concat(F.lit('{"line":'), col, F.lit(',"end":true}'))
+    schema = T.StructType(
+        ([T.StructField("line", T.StructType(list(fields)))] if fields else [])
+        + [T.StructField("end", T.BooleanType()), T.StructField(CORRUPT, T.StringType())])
+    return from_json(member, schema, allowSingleQuotes="false")
+
+
+def is_whole(read):
+    return read[CORRUPT].isNull() & read["end"].isNotNull()
+
+
 def is_json(col):
-    """True where the text starts with a JSON value of any kind, false otherwise
-    (null included). Objects may hold NaN, repeated names and texts of any length."""
-    read = from_json(col, f"{CORRUPT} STRING", allowSingleQuotes="false")
-    return ~is_blank(col) & (read[CORRUPT].isNull() | F.try_parse_json(col).isNotNull())
+    """True where the line is one JSON value of any kind, false otherwise (null and
+    blank included). NaN, repeated names and texts of any length are accepted."""
+    return ~is_blank(col) & is_whole(read_value(col))
 
 
 def to_json(columns, keep_nulls=False, time_format=TIME_FORMAT):

@@ -1,9 +1,8 @@
 """Lines or messages to review columns."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.records import CORRUPT, from_json, is_blank, is_json
+from ..functions.records import from_json, is_blank, is_json, is_whole, read_value
 from ..functions.text import decode_utf8
 from ..schema import REVIEW
 
@@ -26,11 +25,10 @@ def parse_records(lines, schema=REVIEW, mode="permissive"):
         return lines.select(from_json(line, schema).alias("data")).select("data.*")
     if mode != "drop":
         raise ValueError(f"mode must be permissive or drop, not {mode!r}")
-    wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    data = F.col("data")
+    read = F.col("read")
     # A line that fits the schema is JSON; only the others need a second look.
-    keep = ~is_blank(line) & (data[CORRUPT].isNull() | is_json(line))
-    fields = F.struct(*[data[n].alias(n) for n in schema.names])
+    keep = ~is_blank(line) & (is_whole(read) | is_json(line))
+    fields = F.struct(*[read["line"][n].alias(n) for n in schema.names])
     # Not filter(): Spark would push it below the parse and parse every line twice.
-    return (lines.select("value", from_json(line, wide, allowSingleQuotes="false").alias("data"))
+    return (lines.select("value", read_value(line, schema.fields).alias("read"))
             .select(F.inline(F.when(keep, F.array(fields)))))

@@ -89,7 +89,14 @@ def test_drop_removes_only_what_is_not_json(lines):
     assert got.schema == parse_records(lines(FULL)).schema
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+def _python_reads(value):
+    try:
+        return value is not None and (json.loads(value), True)[1]
+    except json.JSONDecodeError:
+        return False
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(
     st.none(), st.text("{}[]:,\"'aeltrufNn0. \\\t", max_size=14),
     st.recursive(st.one_of(st.none(), st.booleans(), st.integers(-9, 9), st.text(max_size=3)),
@@ -98,6 +105,8 @@ def test_drop_removes_only_what_is_not_json(lines):
                  max_leaves=8).map(json.dumps)), min_size=60, max_size=120))
 def test_drop_is_a_filter_on_the_line(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "value string")
+    judged = df.select("value", is_json(F.col("value")).alias("good")).collect()
+    assert [(r.value, r.good) for r in judged] == [(v, _python_reads(v)) for v in values]
     want = parse_records(df.filter(is_json(F.col("value"))))
     assert sorted(map(repr, parse_records(df, mode="drop").collect())) == sorted(map(repr, want.collect()))
 
@@ -111,7 +120,8 @@ def test_unknown_modes_are_refused(lines):
 
 def test_is_json_is_never_null(lines):
     good = ["{}", "[]", "1", '"x"', "null", ' {"a":1} ', '{"a":NaN}', '{"a":1,"a":2}', '{"a":{"b":[1]}}']
-    bad = ["nope", "", "  ", None, '{"a":', "[1,", "tru", "{'a':1}", '{"a":1,"b":tru}', "01"]
+    bad = ["nope", "", "  ", None, '{"a":', "[1,", "tru", "{'a':1}", '{"a":1,"b":tru}', "01",
+           "{} {}", "{}{}", "{},{}", '{"a":1} x', '{"a":1}}', '{"a":1}]', "1}", "1,", "\x0b1"]
     got = lines(*good, *bad).select(is_json(F.col("value")).alias("v")).collect()
     assert [r.v for r in got] == [True] * len(good) + [False] * len(bad)
 
