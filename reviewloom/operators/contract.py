@@ -1,9 +1,8 @@
 """Separate records that meet the contract from those that do not."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.records import CORRUPT, from_json, is_blank
+from ..functions.records import is_blank, is_whole, read_value
 from ..schema import REQUIRED, REVIEW
 
 
@@ -12,7 +11,8 @@ def check_contract(lines, schema=REVIEW, required=REQUIRED):
 
     Adds to the fields of ``schema``: ``line`` (the input), ``status`` (``valid``
     or ``quarantine``) and ``reason`` (null, ``blank``, ``malformed`` or
-    ``missing:<first missing field>``).
+    ``missing:<first missing field>``). A line that holds more than one value, or
+    a field of the wrong type, is malformed.
     """
     return _judge(lines, schema, required).select(
         "data.*", "line",
@@ -35,15 +35,15 @@ def split_contract(lines, schema=REVIEW, required=REQUIRED):
 
 def _judge(lines, schema, required):
     """The columns ``line``, ``data`` (the fields of ``schema``) and ``reason``."""
-    wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    data = from_json(F.col("value"), wide)
-    reason = F.when(is_blank(F.col("line")), "blank").when(
-        F.col("data")[CORRUPT].isNotNull(), "malformed")
+    read = F.col("read")
+    malformed = ~is_whole(read) | read["line"].isNull()
+    reason = F.when(is_blank(F.col("line")), "blank").when(malformed, "malformed")
     for name in required:
-        reason = reason.when(F.col("data")[name].isNull(), f"missing:{name}")
-    return (lines.select(F.col("value").alias("line"), data.alias("data"))
-            .select("line", F.struct(*[F.col("data")[n].alias(n) for n in schema.names]).alias("data"),
-                    reason.alias("reason")))
+        reason = reason.when(read["line"][name].isNull(), f"missing:{name}")
+    fields = F.struct(*[read["line"][n].alias(n) for n in schema.names])
+    return (lines.select(F.col("value").alias("line"),
+                         read_value(F.col("value"), schema.fields).alias("read"))
+            .select("line", fields.alias("data"), reason.alias("reason")))
 
 
 def keep_bad_lines(checked):

@@ -30,7 +30,9 @@ CASES = {
     '{"review_id":"n","text":{"a":1}}': ({"review_id": "n", "text": '{"a":1}'}, "missing:user_id"),
     '{"Review_ID":"case"}': ({}, "missing:review_id"),
     '  {"review_id":"s"}  ': ({"review_id": "s"}, "missing:user_id"),
-    '{"review_id":"one"} {"review_id":"two"}': ({"review_id": "one"}, "missing:user_id"),
+    '{"review_id":"one"} {"review_id":"two"}': ({"review_id": "one"}, "malformed"),
+    FULL + FULL: ({"review_id": "a", "user_id": "u", "business_id": "b", "stars": 5.0,
+                   "date": "2024-01-01 00:00:00", "text": "fine"}, "malformed"),
     '{"review_id":"cut","te': ({}, "malformed"),
     '[{"review_id":"arr"}]': ({}, "malformed"),
     "[]": ({}, "malformed"),
