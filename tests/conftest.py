@@ -2,12 +2,19 @@ import os
 import sys
 
 import pytest
+from hypothesis import HealthCheck, settings
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from reviewloom.session import open_session  # noqa: E402
 
 
+# Every example is a Spark job; the same examples run each time.
+settings.register_profile("spark", derandomize=True, deadline=None,
+                          suppress_health_check=list(HealthCheck))
+settings.load_profile("spark")
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     # A failed task is tried once more, as on a cluster.

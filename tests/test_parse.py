@@ -2,7 +2,7 @@ import json
 import math
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -98,7 +98,7 @@ def _python_reads(value):
         return False
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12)
 @given(st.lists(st.one_of(
     st.none(), st.text("{}[]:,\"'aeltrufNn0. \\\t", max_size=14),
     st.recursive(st.one_of(st.none(), st.booleans(), st.integers(-9, 9), st.text(max_size=3)),
@@ -146,7 +146,7 @@ def test_decode_modes(spark):
         decode_values(raw, "fail").collect()
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8)
 @given(st.lists(st.binary(max_size=40), min_size=30, max_size=60))
 def test_replacing_decode_never_fails(spark, values):
     raw = spark.createDataFrame([(bytearray(v),) for v in values], "value binary")
@@ -175,7 +175,7 @@ _text = st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"]), m
 _stars = st.one_of(st.none(), st.floats(width=32, allow_nan=False, allow_infinity=False))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8)
 @given(st.lists(st.tuples(_text, _text, _text, _stars, _text, _text), min_size=20, max_size=50))
 def test_parse_undoes_envelope(spark, records):
     df = spark.createDataFrame(records, REVIEW)
