@@ -36,7 +36,8 @@ def read_value(col, fields=()):
     """Read a line as one JSON value; ``fields``, if any, come as the struct ``line``.
 
     Spark stops reading after the first value. So the line is read as a member of
-    an object whose ``end`` must still be found; ``is_whole`` tells.
+    an object whose ``end`` must still be found; ``is_whole`` tells. Only a value
+    followed by further members, such as ``{}, "x": 1``, passes unnoticed.
     """
     member = F.concat(F.lit('{"line":'), col, F.lit(',"end":true}'))
     schema = T.StructType(
