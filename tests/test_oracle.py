@@ -6,10 +6,11 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
+from reviewloom.plans.registry import ORACLE, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLE = queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +44,8 @@ def test_matches_sql(spark, duck, name):
 def test_every_query_but_the_model_has_sql():
     assert set(QUERIES) - set(ORACLE) == {"feedback_model"}
     assert set(ORACLE) <= set(QUERIES)
+    assert QUERIES.items() <= __spark_entry__.queries().items()
+    assert ORACLE.items() <= __spark_entry__.oracle_sql().items()
 
 
 def test_entry(spark):
