@@ -39,6 +39,11 @@ def normalised(text):
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACES, " ")
 
 
+def text_digest(text):
+    """The digest by which groups are named: SHA-256 of the normalised text."""
+    return F.sha2(normalised(text).cast("binary"), 256)
+
+
 def split_depths(load, capacity):
     """The depth of each cell's bucket; ``load`` holds the bytes of 2**n cells.
 

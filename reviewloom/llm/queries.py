@@ -3,11 +3,18 @@
 Each query derives the columns of its contract from its operator's own result.
 """
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from . import hmm, toxicity
+from .bpe import round_trip
 from .common import LOWER, UPPER, table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .html_text import extract_text
+from .jaccard_join import jaccard_components
+from .licenses import license_report
+from .quality import resample
 from .sharding import shard_documents
 
 QUERIES, ORACLE = {}, {}
@@ -66,3 +73,47 @@ FROM d WINDOW g AS (PARTITION BY t)
 """)
 def op3_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_main_text(spark, sf_dir):
+    """No SQL: HTML is a nested language."""
+    return extract_text(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query()
+def op5_toxicity(spark, sf_dir):
+    """No SQL: weights are fitted step by step."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op6_jaccard_join(spark, sf_dir):
+    """No SQL: it takes too long to join all shingles of whole tables."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_byte_bpe(spark, sf_dir):
+    """No SQL: merges are applied in the order of their ranks."""
+    return round_trip(table(spark, sf_dir, "documents"),
+                      public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query()
+def op8_licenses(spark, sf_dir):
+    """No SQL: expressions are nested."""
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_hmm_score(spark, sf_dir):
+    """No SQL: the model is fitted step by step."""
+    return hmm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_importance(spark, sf_dir):
+    """No SQL: the n-grams are hashed."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
