@@ -37,7 +37,7 @@ PREFIXES = (4, 5)         # bytes of a word's beginning
 MEMBERS = 3
 MAX_POSITIVE = 4_000      # toxic documents, the same for all members
 MAX_UNLABELLED = 8_000    # unlabelled documents of each member
-MIN_DEVIATION = 3.0       # of a feature's count, see telling()
+MIN_DEVIATION = 4.0       # of a feature's count, see telling()
 EPOCHS = 400
 RATE = 0.05
 RIDGE = 3e-4
