@@ -105,15 +105,13 @@ def _uniform(seed):
 
 def ranked(rows, key, n):
     """``rows`` with their place (from 1) by falling ``key``, without one task sorting all."""
-    cuts = max(16, min(10_000, n // CUT_ROWS))
-    points = rows.agg(F.percentile_approx(key, [i / cuts for i in range(1, cuts)], 10 * cuts)).first()[0] or []
-    at = F.lit(len(points)) - F.size(F.filter(F.array(*map(F.lit, sorted(points))) if points else F.array().cast("array<double>"),
-                                              lambda p: p <= F.col(key)))
-    rows = rows.withColumn("cut", at)
-    before = Window.orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)  # one row per cut
-    starts = rows.groupBy("cut").count().select("cut", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    cuts = max(16, n // CUT_ROWS)
+    cut = stored(rows.repartitionByRange(cuts, F.col(key).desc(), "row").withColumn("cut", F.spark_partition_id()), "cuts")
+    sizes = sorted((r.cut, r["count"]) for r in cut.groupBy("cut").count().collect())  # a row per cut
+    ends = np.cumsum([0] + [size for _, size in sizes]).tolist()
+    starts = rows.sparkSession.createDataFrame([(c, start) for (c, _), start in zip(sizes, ends)], "cut int, start bigint")
     within = Window.partitionBy("cut").orderBy(F.col(key).desc(), "row")
-    return (rows.withColumn("nth", F.row_number().over(within)).join(F.broadcast(starts), "cut")
+    return (cut.withColumn("nth", F.row_number().over(within)).join(starts, "cut")
             .withColumn("rank", (F.col("start") + F.col("nth")).cast("bigint")).drop("cut", "nth", "start"))
 
 
