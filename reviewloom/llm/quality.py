@@ -1,13 +1,11 @@
 """Quality selection by importance resampling.
 
-Two generative models of hashed n-grams (words and word pairs) are counted: one over target text,
-the documents labelled as of good quality, one over all raw text. The importance of a document is the
-log of the ratio of its probabilities under both. Adding Gumbel noise and taking the k highest
-is a draw of k documents without replacement, in proportion to their importance.
-
-The log ratio is a sum over the n-grams of the whole text; it is divided by the root of their number
-so that the draw does not go by length alone. The noise comes from a hash of the row, so a draw can
-be repeated.
+Two generative models of hashed n-grams (tokens and pairs of them) are counted: one over target text,
+the documents labelled as of good quality, one over all raw text. Tokens are runs of letters and digits, in their case,
+and runs of other signs. The importance of a document is the log of the ratio of its probabilities
+under both, a sum over the whole text. Adding Gumbel noise and taking the k highest is a draw of
+k documents without replacement, in proportion to their importance. The noise comes from a hash of
+the row's number, so a draw from the same table can be repeated.
 
 The raw model counts every text. The target model counts those of at most ``MAX_TARGET`` labelled rows
 outside the held-out fold. k is ``share`` of all rows; by default the share of good quality among the
@@ -18,23 +16,26 @@ both models are equal and the draw is uniform. Rows with null or repeated ids ar
 of their own. An empty table gives an empty result.
 """
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .common import in_fold, stored
-from .features import CACHE_WORDS, Hasher, contains, label_share, labelled_ids, words_of
+from .features import Hasher, contains, label_share, labelled_ids
 
 BUCKETS = 1 << 15
 MAX_TARGET = 50_000
 SMOOTHING = 1.0
 CUT_ROWS = 20_000
 SEED = 5
+TOKENS = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
 
 
 def ngrams(hashed):
-    """Buckets of words and word pairs from the words' 64-bit numbers."""
+    """Buckets of tokens and token pairs from the tokens' 64-bit numbers."""
     h = np.asarray(hashed, dtype=np.uint64)
     with np.errstate(over="ignore"):
         pairs = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] + np.uint64(1)
@@ -52,7 +53,7 @@ def count_batches(shared):
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
             chosen = contains(targets, ids)
             for text, is_target in zip(batch.column(1).to_pylist(), chosen):
-                found = np.bincount(ngrams(hasher(words_of(text))).astype(np.int64), minlength=BUCKETS)
+                found = np.bincount(ngrams(hasher(TOKENS.findall(text))).astype(np.int64), minlength=BUCKETS)
                 raw += found
                 if is_target:
                     target += found
@@ -78,8 +79,8 @@ def importance_batches(shared):
         for batch in batches:
             out = np.zeros(batch.num_rows)
             for i, text in enumerate(batch.column(2).to_pylist()):
-                found = ngrams(hasher(words_of(text)))
-                out[i] = ratio[found.astype(np.int64)].sum() / np.sqrt(max(1, len(found)))
+                found = ngrams(hasher(TOKENS.findall(text)))
+                out[i] = ratio[found.astype(np.int64)].sum()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out)], names=["row", "id", "importance"])
     return scores
