@@ -1,5 +1,7 @@
 """JSON column functions."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,9 +10,11 @@ from .text import WHITESPACE
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 CORRUPT = "_corrupt_record"
 
-# Without the first, Spark takes a text of over 20 million characters for corrupt.
+# Without the first three, Spark takes long texts, long numbers and deep nesting for corrupt.
 PARSE_OPTIONS = {
     "maxStringLen": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+    "maxNestingDepth": str(2**31 - 1),
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
 }
@@ -32,27 +36,41 @@ def is_blank(col):
     return F.coalesce(F.ltrim(col, F.lit(WHITESPACE)) == "", F.lit(True))
 
 
+# Names that no line can hold, drawn per process.
+_LIST, _MARK = (f"_{uuid.uuid4().hex}" for _ in range(2))
+
+
 def read_value(col, fields=()):
-    """Read a line as one JSON value; ``fields``, if any, come as the struct ``line``.
+    """Read a line as one JSON value; ``line_of`` gives the ``fields``, ``is_whole`` tells if it is one.
 
-    Spark stops reading after the first value. So the line is read as a member of
-    an object whose ``end`` must still be found; ``is_whole`` tells. Only a value
-    followed by further members, such as ``{}, "x": 1``, passes unnoticed.
+    Spark stops reading after the first value. So the line is read as the first of
+    a list of two, under a name drawn at random; the second, drawn as well, must come right after
+    it. Without ``fields`` a value of any kind will do.
     """
-    member = F.concat(F.lit('{"line":'), col, F.lit(',"end":true}'))
-    schema = T.StructType(
-        ([T.StructField("line", T.StructType(list(fields)))] if fields else [])
-        + [T.StructField("end", T.BooleanType()), T.StructField(CORRUPT, T.StringType())])
-    return from_json(member, schema, allowSingleQuotes="false")
+    if fields:
+        element = T.StructType([*fields, T.StructField(_MARK, T.StringType())])
+        mark = f'{{"{_MARK}":"{_MARK}"}}'
+    else:
+        element, mark = T.StringType(), f'"{_MARK}"'
+    pair = F.concat(F.lit(f'{{"{_LIST}":['), col, F.lit(f",{mark}]}}"))
+    schema = T.StructType([T.StructField(_LIST, T.ArrayType(element)), T.StructField(CORRUPT, T.StringType())])
+    return from_json(pair, schema, allowSingleQuotes="false")
+
+
+def line_of(read):
+    """The line's fields, null if it is not an object."""
+    return F.get(read[_LIST], F.lit(0))
 
 
-def is_whole(read):
-    return read[CORRUPT].isNull() & read["end"].isNotNull()
+def is_whole(read, fields=()):
+    mark = F.get(read[_LIST], F.lit(1))
+    return F.coalesce(read[CORRUPT].isNull() & (F.size(read[_LIST]) == 2)
+                      & ((mark[_MARK] if fields else mark) == _MARK), F.lit(False))
 
 
 def is_json(col):
     """True where the line is one JSON value of any kind, false otherwise (null and
-    blank included). NaN, repeated names and texts of any length are accepted."""
+    blank included). NaN, repeated names, texts and numbers of any length and any nesting are accepted."""
     return ~is_blank(col) & is_whole(read_value(col))
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.records import is_blank, is_whole, read_value
+from ..functions.records import is_blank, is_whole, line_of, read_value
 from ..schema import REQUIRED, REVIEW
 
 
@@ -11,8 +11,9 @@ def check_contract(lines, schema=REVIEW, required=REQUIRED):
 
     Adds to the fields of ``schema``: ``line`` (the input), ``status`` (``valid``
     or ``quarantine``) and ``reason`` (null, ``blank``, ``malformed`` or
-    ``missing:<first missing field>``). A line that holds more than one value, or
-    a field of the wrong type, is malformed.
+    ``missing:<first missing field>``). A line that holds more than one value is malformed, and so is
+    a text where a number is asked for. A string field takes any value, as its JSON
+    text, and a number may be NaN or beyond range (infinite).
     """
     return _judge(lines, schema, required).select(
         "data.*", "line",
@@ -36,11 +37,11 @@ def split_contract(lines, schema=REVIEW, required=REQUIRED):
 def _judge(lines, schema, required):
     """The columns ``line``, ``data`` (the fields of ``schema``) and ``reason``."""
     read = F.col("read")
-    malformed = ~is_whole(read) | read["line"].isNull()
+    malformed = ~is_whole(read, schema.fields) | line_of(read).isNull()
     reason = F.when(is_blank(F.col("line")), "blank").when(malformed, "malformed")
     for name in required:
-        reason = reason.when(read["line"][name].isNull(), f"missing:{name}")
-    fields = F.struct(*[read["line"][n].alias(n) for n in schema.names])
+        reason = reason.when(line_of(read)[name].isNull(), f"missing:{name}")
+    fields = F.struct(*[line_of(read)[n].alias(n) for n in schema.names])
     return (lines.select(F.col("value").alias("line"),
                          read_value(F.col("value"), schema.fields).alias("read"))
             .select("line", fields.alias("data"), reason.alias("reason")))

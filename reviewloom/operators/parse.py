@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.records import from_json, is_blank, is_json, is_whole, read_value
+from ..functions.records import from_json, is_blank, is_json, is_whole, line_of, read_value
 from ..functions.text import decode_utf8
 from ..schema import REVIEW
 
@@ -27,8 +27,8 @@ def parse_records(lines, schema=REVIEW, mode="permissive"):
         raise ValueError(f"mode must be permissive or drop, not {mode!r}")
     read = F.col("read")
     # A line that fits the schema is JSON; only the others need a second look.
-    keep = ~is_blank(line) & (is_whole(read) | is_json(line))
-    fields = F.struct(*[read["line"][n].alias(n) for n in schema.names])
+    keep = ~is_blank(line) & (is_whole(read, schema.fields) | is_json(line))
+    fields = F.struct(*[line_of(read)[n].alias(n) for n in schema.names])
     # Not filter(): Spark would push it below the parse and parse every line twice.
     return (lines.select("value", read_value(line, schema.fields).alias("read"))
             .select(F.inline(F.when(keep, F.array(fields)))))

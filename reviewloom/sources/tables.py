@@ -53,6 +53,30 @@ def corrupt_lines(spark, sf_dir):
          .alias("value"))
 
 
+def trailing_lines(spark, sf_dir):
+    """Lines that hold more than one JSON value. 1: a further member, 2: an end and trash, 3: a second
+    record as a member, 4: a second record, 5: an end of a list and a new one; 6: a bracket too many."""
+    digit, line = _last_digit(), to_json(REVIEW.names)
+    return reviews(spark, sf_dir).select(
+        F.when(digit == 1, F.concat(line, F.lit(',"x":1')))
+         .when(digit == 2, F.concat(line, F.lit(',"end":true}trash')))
+         .when(digit == 3, F.concat(line, F.lit(',"line":'), line))
+         .when(digit == 4, F.concat(line, F.lit(","), line))
+         .when(digit == 5, F.concat(line, F.lit('],"line":['), line))
+         .when(digit == 6, F.concat(line, F.lit("]")))
+         .otherwise(line).alias("value"))
+
+
+def wide_lines(spark, sf_dir):
+    """Valid lines with an extra member. 1: a number of 1,500 digits, 2: a list nested 1,200 deep."""
+    digit, line = _last_digit(), to_json(REVIEW.names)
+    head = F.rtrim(line, F.lit("}"))
+    return reviews(spark, sf_dir).select(
+        F.when(digit == 1, F.concat(head, F.lit(',"x":' + "7" * 1500 + "}")))
+         .when(digit == 2, F.concat(head, F.lit(',"x":' + "[" * 1200 + "]" * 1200 + "}")))
+         .otherwise(line).alias("value"))
+
+
 def contract_lines(spark, sf_dir):
     """As ``corrupt_lines``, and 1: no text, 5: no review_id, 8: stars in quotes."""
     digit, line = _last_digit(), to_json(REVIEW.names)

@@ -57,11 +57,24 @@ def test_nan_to_null(spark):
 @pytest.mark.parametrize("reply, label", [
     ("POSITIVE", "POSITIVE"), ("Positive.", "POSITIVE"), ("\n it is neutral", "NEUTRAL"),
     ("negative, not positive", "NEGATIVE"), ("dunno", "UNKNOWN"), ("", "UNKNOWN"),
-    ("positively", "UNKNOWN"), ("Empty", "Empty"), (None, None)])
+    ("positively", "UNKNOWN"), ("Empty", "UNKNOWN"), (None, None)])
 def test_normalise_label(lines, reply, label):
     assert lines(reply).select(normalise_label(F.col("value")).alias("v")).first().v == label
 
 
+@pytest.mark.parametrize("reply, labels, label", [
+    ("good!", ("Good", "Bad"), "Good"), ("C", ("C++", "D"), "UNKNOWN"), ("c++ it is", ("C", "C++"), "C++"),
+    ("c it is", ("C", "C++"), "C"), ("a.b", ("a.b",), "a.b"), ("axb", ("a.b",), "UNKNOWN"),
+    ("ÉTÉ", ("été",), "été"), ("étés", ("été",), "UNKNOWN")])
+def test_labels_are_taken_literally(lines, reply, labels, label):
+    assert lines(reply).select(normalise_label(F.col("value"), labels).alias("v")).first().v == label
+
+
+def test_passed_replies(lines):
+    got = lines("Empty", "empty", None).select(normalise_label(F.col("value"), passed=("Empty",)).alias("v")).collect()
+    assert [r.v for r in got] == ["Empty", "UNKNOWN", None]
+
+
 def test_union_of_fields(spark):
     a = spark.createDataFrame([(1, "x")], "n int, s string")
     b = spark.createDataFrame([(2.5, 9, True)], "n double, s bigint, extra boolean")

@@ -37,6 +37,14 @@ CASES = {
     '[{"review_id":"arr"}]': ({}, "malformed"),
     "[]": ({}, "malformed"),
     "null": ({}, "malformed"),
+    FULL + ',"line":' + FULL: ({"review_id": "a", "user_id": "u", "business_id": "b", "stars": 5.0,
+                                "date": "2024-01-01 00:00:00", "text": "fine"}, "malformed"),
+    FULL.replace('"text":"fine"', '"text":[1,2]'): (
+        {"review_id": "a", "user_id": "u", "business_id": "b", "stars": 5.0,
+         "date": "2024-01-01 00:00:00", "text": "[1,2]"}, None),
+    FULL.replace("}", ',"x":' + "7" * 1500 + "}"): (
+        {"review_id": "a", "user_id": "u", "business_id": "b", "stars": 5.0,
+         "date": "2024-01-01 00:00:00", "text": "fine"}, None),
     FULL.replace('"text":"fine"', '"extra":1'): (
         {"review_id": "a", "user_id": "u", "business_id": "b", "stars": 5.0,
          "date": "2024-01-01 00:00:00"}, "missing:text"),
@@ -65,7 +73,8 @@ def test_contract_reasons(lines):
 
 def test_split_is_complete_and_apart(lines):
     valid, bad = split_contract(lines(*CASES))
-    assert [r.review_id for r in valid.collect()] == ["a"]
+    n_valid = sum(reason is None for _, reason in CASES.values())
+    assert [r.review_id for r in valid.collect()] == ["a"] * n_valid
     assert valid.schema.names == REVIEW.names
     assert bad.count() + valid.count() == len(CASES)
 
@@ -74,7 +83,7 @@ def test_write_split_keeps_raw_lines_of_bad_records_only(spark, lines, tmp_path)
     write_split(check_contract(lines(*CASES)), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert {r.status: r.n for r in back.groupBy("status").agg(F.count("*").alias("n")).collect()} == {
-        "valid": 1, "quarantine": len(CASES) - 1}
+        "valid": 3, "quarantine": len(CASES) - 3}
     assert back.filter("status = 'valid'").first().line is None
     assert back.filter("reason = 'malformed' AND line = 'not json'").count() == 1
 
@@ -101,6 +110,8 @@ def _python_reads(value):
 @settings(max_examples=12)
 @given(st.lists(st.one_of(
     st.none(), st.text("{}[]:,\"'aeltrufNn0. \\\t", max_size=14),
+    st.tuples(st.sampled_from([FULL, "{}", "1", '"x"']), st.sampled_from([',"x":', ',"end":true}', "],", "},{", ',{"a":', "]"]),
+              st.sampled_from([FULL, "1", "", "2}"])).map("".join),
     st.recursive(st.one_of(st.none(), st.booleans(), st.integers(-9, 9), st.text(max_size=3)),
                  lambda v: st.one_of(st.lists(v, max_size=3),
                                      st.dictionaries(st.sampled_from([*REVIEW.names, "x"]), v, max_size=4)),
@@ -122,7 +133,8 @@ def test_unknown_modes_are_refused(lines):
 
 def test_is_json_is_never_null(lines):
     good = ["{}", "[]", "1", '"x"', "null", ' {"a":1} ', '{"a":NaN}', '{"a":1,"a":2}', '{"a":{"b":[1]}}']
-    bad = ["nope", "", "  ", None, '{"a":', "[1,", "tru", "{'a':1}", '{"a":1,"b":tru}', "01",
+    bad = [FULL + ',"x":1', FULL + ',"end":true}trash', FULL + ',"line":' + FULL, FULL + "," + FULL, FULL + '],"line":[' + FULL,
+           "1,2", '"a","b"', "nope", "", "  ", None, '{"a":', "[1,", "tru", "{'a':1}", '{"a":1,"b":tru}', "01",
            "{} {}", "{}{}", "{},{}", '{"a":1} x', '{"a":1}}', '{"a":1}]', "1}", "1,", "\x0b1"]
     got = lines(*good, *bad).select(is_json(F.col("value")).alias("v")).collect()
     assert [r.v for r in got] == [True] * len(good) + [False] * len(bad)
