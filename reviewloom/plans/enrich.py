@@ -46,9 +46,7 @@ def enrich_valid(lines, scorer):
     quarantine; write it partitioned by ``status``. Quarantined texts are not scored.
     """
     valid = F.col("status") == "valid"
-    checked = keep_bad_lines(check_contract(lines)).withColumn("text", F.when(valid, F.col("text")))
-    labelled = classify(checked, scorer)
-    return labelled.select(
+    return _labelled_or_quarantined(lines, scorer).select(
         F.when(valid, F.col("review_id")).alias("key"),
         F.when(valid, to_json([*REVIEW.names, "feedback"])).alias("value"),
         "line", "reason", "status")
@@ -64,40 +62,77 @@ def produce_file(spark, path, sink):
     write_batch(raw_messages(read_lines(spark, path)), sink)
 
 
-def _reported(lines, scorer):
+def _reported(lines, scorer, mode="permissive"):
     """As ``enrich_lines``; the query's progress reports the counts per batch under ``DELIVERY``."""
-    return to_envelope(observe_delivery(label_lines(lines, scorer), DELIVERY))
+    return to_envelope(observe_delivery(label_lines(lines, scorer, mode), DELIVERY))
+
+
+def _labelled_or_quarantined(lines, scorer):
+    """Lines checked against the contract; only those that meet it are scored."""
+    valid = F.col("status") == "valid"
+    checked = keep_bad_lines(check_contract(lines)).withColumn("text", F.when(valid, F.col("text")))
+    return classify(checked, scorer)
+
+
+def _start_topic(lines, scorer, sink, name, checkpoint_root, every, mode, audit_dir, quarantine_dir):
+    """Lines to a topic; with ``audit_dir`` each batch leaves a report there."""
+    if mode == "split":
+        if not (audit_dir and quarantine_dir):
+            raise ValueError("mode split needs an audit and a quarantine folder")
+        rows = _labelled_or_quarantined(lines, scorer)
+    elif quarantine_dir:
+        raise ValueError("a quarantine folder goes with mode split")
+    elif not audit_dir:
+        return start_stream(_reported(lines, scorer, mode), sink, name, checkpoint_root, every)
+    else:
+        rows = label_lines(lines, scorer, mode)
+    deliver = audited_delivery(name, sink, audit_dir, quarantine_dir=quarantine_dir)
+    return start_batches(rows, deliver, name, checkpoint_root, every)
 
 
 def run_socket_job(spark, settings, scorer, host, port, checkpoint_root,
-                   topic=SOCKET_TOPIC, name="socket-reviews", **supervision):
-    """Socket lines to a topic, restarted after failures."""
+                   topic=SOCKET_TOPIC, name="socket-reviews", mode="permissive",
+                   audit_dir=None, quarantine_dir=None, **supervision):
+    """Socket lines to a topic, restarted after failures.
+
+    ``mode`` keeps unreadable lines as empty messages (``permissive``), drops them, or keeps what
+    does not meet the contract in ``quarantine_dir`` (``split``). ``audit_dir`` receives a report
+    per batch that outlives restarts; without it the query's progress has the recent ones.
+    """
     def start():
-        enriched = _reported(stream_socket(spark, host, port), scorer)
-        return start_stream(enriched, KafkaSink(topic, settings), name, checkpoint_root)
+        return _start_topic(stream_socket(spark, host, port), scorer, KafkaSink(topic, settings),
+                            name, checkpoint_root, None, mode, audit_dir, quarantine_dir)
 
     return supervise(start, **supervision)
 
 
 def run_topic_job(spark, settings, scorer, checkpoint_root, source=RAW_TOPIC,
                   target=ENRICHED_TOPIC, name="topic-reviews", limits=None, every=None,
+                  mode="permissive", on_error="replace", audit_dir=None, quarantine_dir=None,
                   **supervision):
-    """Topic to topic, restarted after failures."""
+    """Topic to topic, restarted after failures; options as in ``run_socket_job``.
+
+    ``on_error`` says what becomes of bytes that are not UTF-8 (see ``decode_utf8``).
+    """
     def start():
         rows = stream_topic(spark, settings, source, **(limits or {}))
-        enriched = _reported(decode_values(rows), scorer)
-        return start_stream(enriched, KafkaSink(target, settings), name, checkpoint_root, every)
+        return _start_topic(decode_values(rows, on_error), scorer, KafkaSink(target, settings),
+                            name, checkpoint_root, every, mode, audit_dir, quarantine_dir)
 
     return supervise(start, **supervision)
 
 
 def run_files_job(spark, landed_dir, scorer, out_dir, audit_dir, checkpoint_root,
                   name="file-reviews", limits=None, every=None, until_done=False,
-                  mode="permissive", **supervision):
+                  mode="permissive", quarantine_dir=None, **supervision):
     """Landed lines to a table with a delivery report per batch, restarted after failures."""
+    if (mode == "split") != bool(quarantine_dir):
+        raise ValueError("mode split and a quarantine folder go together")
+
     def start():
-        labelled = label_lines(replay_stream(spark, landed_dir, **(limits or {})), scorer, mode)
-        deliver = audited_delivery(name, out_dir, audit_dir)
-        return start_batches(labelled, deliver, name, checkpoint_root, every, until_done)
+        lines = replay_stream(spark, landed_dir, **(limits or {}))
+        rows = _labelled_or_quarantined(lines, scorer) if mode == "split" else label_lines(lines, scorer, mode)
+        deliver = audited_delivery(name, out_dir, audit_dir, quarantine_dir=quarantine_dir)
+        return start_batches(rows, deliver, name, checkpoint_root, every, until_done)
 
     return supervise(start, **supervision)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators.contract import check_contract, keep_bad_lines
 from ..schema import ENVELOPE, MESSAGE
 from ..session import work_dir
+from ..sources.lines import NO_FILE_TOO_OLD
 from ..sources.tables import contract_lines, review_lines, reviews, table
 from ..streaming.audit import AUDIT, COUNTS, audited_delivery, read_audit, read_deliveries
 from ..streaming.landing import land, pace, replay_stream
@@ -44,7 +45,8 @@ def stream_two_hop(spark, sf_dir):
     source = _replay(spark, sf_dir, home, review_lines(reviews(spark, sf_dir)))
     start_stream(raw_messages(source()), FileSink(f"{home}/raw"), "ingest",
                  f"{home}/checkpoints", until_done=True).awaitTermination()
-    rows = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", _pace(spark, sf_dir)[1])
+    rows = (spark.readStream.schema(MESSAGE).options(**NO_FILE_TOO_OLD)
+            .option("maxFilesPerTrigger", _pace(spark, sf_dir)[1]))
     start_stream(enrich_messages(rows.parquet(f"{home}/raw"), LEXICON),
                  FileSink(f"{home}/out"), "enrich", f"{home}/checkpoints", until_done=True).awaitTermination()
     return spark.read.schema(ENVELOPE).parquet(f"{home}/out")

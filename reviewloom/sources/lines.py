@@ -29,18 +29,26 @@ def drop_bad_lines(lines):
     return lines.select(F.inline(F.when(is_json(lines["value"]), F.array(F.struct("value")))))
 
 
+#: Files of any age are read: Spark skips files older than this, seen from the newest.
+NO_FILE_TOO_OLD = {"maxFileAge": "36500d"}
+
+
 def stream_lines(spark, path, files_per_trigger=None, bytes_per_trigger=None, glob=None,
-                 line_sep=None):
+                 line_sep=None, archive_dir=None):
     """Line files as a stream. ``path`` is a folder or a pattern.
 
     A file is admitted whole, so a batch is bounded by a number of files or of
     bytes, not both. Give ``glob`` to pick files within a folder. Lines end at
-    any of the usual line ends unless ``line_sep`` names one.
+    any of the usual line ends unless ``line_sep`` names one. A file counts whatever
+    its time stamp. Spark remembers each file it has read, so give a long-lived stream an
+    ``archive_dir`` to which finished files are moved, or dated folders to read from.
     """
     if files_per_trigger and bytes_per_trigger:
         raise ValueError("bound a batch by files or by bytes, not by both")
     read_lines(spark, path)  # a missing folder raises here instead of idling for ever
-    reader = spark.readStream
+    reader = spark.readStream.options(**NO_FILE_TOO_OLD)
+    if archive_dir:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive_dir)
     if line_sep:
         reader = reader.option("lineSep", line_sep)
     if files_per_trigger:

@@ -33,9 +33,10 @@ def land_lines(spark, path, out_dir, rows_per_file=MAX_ROWS_PER_FILE, strip=True
     land(lines, out_dir, rows_per_file, **write_options)
 
 
-def replay_stream(spark, landed_dir, files_per_trigger=None, bytes_per_trigger=None):
+def replay_stream(spark, landed_dir, files_per_trigger=None, bytes_per_trigger=None, archive_dir=None):
     """The landed lines as a stream; the limit paces it batch by batch."""
-    return stream_lines(spark, landed_dir, files_per_trigger, bytes_per_trigger, line_sep="\n")
+    return stream_lines(spark, landed_dir, files_per_trigger, bytes_per_trigger, line_sep="\n",
+                        archive_dir=archive_dir)
 
 
 def pace(rows, slots, batches=4):

@@ -1,4 +1,6 @@
+import os
 import threading
+import time
 
 import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
@@ -96,6 +98,30 @@ def test_pace_follows_input_and_cluster(rows, slots, want):
     assert pace(rows, slots) == want
 
 
+def test_late_files_are_read(spark, home, tmp_path):
+    """A file whose time stamp is a month older than the last, added between two runs."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    now = time.time()
+    for name, age in (("new", 0), ("old", 30 * 86_400)):
+        (folder / name).write_text(f"{name}\n")
+        os.utime(folder / name, (now - age, now - age))
+        start_stream(stream_lines(spark, str(folder)), LineSink(f"{home}/out"), "q", f"{home}/checkpoints",
+                     until_done=True).awaitTermination()
+    assert sorted(r.value for r in spark.read.text(f"{home}/out").collect()) == ["new", "old"]
+
+
+def test_finished_files_can_be_moved_away(spark, home, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"f{i}").write_text(f"{i}\n")
+        start_stream(stream_lines(spark, str(folder), archive_dir=str(tmp_path / "done")), LineSink(f"{home}/out"), "q",
+                     f"{home}/checkpoints", until_done=True).awaitTermination()
+    assert spark.read.text(f"{home}/out").count() == 3
+    assert len(list(folder.glob("f*"))) < 3
+
+
 def test_missing_folder_raises(spark, home):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         replay_stream(spark, f"{home}/nowhere")
@@ -255,6 +281,35 @@ def test_a_repeated_batch_replaces_itself(spark, home):
             read_audit(spark, f"{home}/audit").orderBy("batch_id").collect()] == [(0, 30, 30), (1, 5, 5)]
 
 
+def test_another_checkpoint_is_refused(spark, home):
+    """A second job with the same folders and a new checkpoint must not overwrite the first one's batches."""
+    for job in "ab":
+        land(_numbered(spark, 10), f"{home}/in-{job}")
+    run = lambda job, audit: run_files_job(
+        spark, f"{home}/in-{job}", LEXICON, f"{home}/out", f"{home}/{audit}", f"{home}/checkpoints-{job}", until_done=True,
+        max_stuck=1, sleep=lambda s: None)
+    run("a", "audit")
+    for audit in ("audit", "audit-2"):
+        with pytest.raises(GaveUp) as gave_up:
+            run("b", audit)
+        assert "ForeignFolder" in str(gave_up.value.__cause__)
+    land(_numbered(spark, 10), f"{home}/in-a", mode="append")
+    run("a", "audit")  # its own checkpoint goes on
+    assert read_deliveries(spark, f"{home}/out").count() == 20
+
+
+def test_split_keeps_bad_lines_apart(spark, home, lines):
+    land(lines('{"review_id":"1","user_id":"u","business_id":"b","stars":1,"date":"d","text":"x"}', "junk", "{}"), f"{home}/in")
+    run_files_job(spark, f"{home}/in", LEXICON, f"{home}/out", f"{home}/audit", f"{home}/checkpoints",
+                  until_done=True, mode="split", quarantine_dir=f"{home}/bad")
+    assert [r.key for r in read_deliveries(spark, f"{home}/out").collect()] == ["1"]
+    assert sorted((r.line, r.reason) for r in spark.read.parquet(f"{home}/bad").collect()) == [
+        ("junk", "malformed"), ("{}", "missing:review_id")]
+    assert read_audit(spark, f"{home}/audit").first().n_rows == 1
+    with pytest.raises(ValueError):
+        run_files_job(spark, f"{home}/in", LEXICON, "o", "a", "c", mode="split")
+
+
 def test_an_empty_batch_is_reported(spark, home):
     empty = label_lines(_numbered(spark, 3).filter("value = 'x'"), LEXICON)
     audited_delivery("job", f"{home}/out", f"{home}/audit")(empty, 0)
@@ -347,7 +402,7 @@ def test_poison_record_is_given_up(spark, home):
         return start_stream(decode_values(rows, "fail"), FileSink(f"{home}/out"), "q",
                             f"{home}/checkpoints", until_done=True)
 
-    with pytest.raises(GaveUp, match="no batch finished in 3 runs"):
+    with pytest.raises(GaveUp, match="the same batch failed in 3 runs"):
         supervise(start, backoff_s=0, max_stuck=3)
 
 
@@ -371,6 +426,19 @@ def test_progress_resets_the_stuck_count():
     assert supervise(lambda: next(runs), max_stuck=3, sleep=lambda s: None).restarts == 5
 
 
+def test_an_outage_is_outlived():
+    """Ten refused connections, then success: the waits double up to a bound."""
+    refused = StreamingQueryException("java.net.ConnectException: Connection refused")
+    runs, slept = iter([_Query(refused)] * 10 + [_Query()]), []
+    assert supervise(lambda: next(runs), max_stuck=3, max_backoff_s=100, sleep=slept.append).restarts == 10
+    assert slept == [10, 20, 40, 80] + [100] * 6
+
+
+def test_different_errors_are_not_stuck():
+    runs = iter([_Query(StreamingQueryException(x)) for x in "abcabc"] + [_Query()])
+    assert supervise(lambda: next(runs), max_stuck=2, sleep=lambda s: None).restarts == 6
+
+
 def test_restarts_are_bounded():
     with pytest.raises(GaveUp, match="2 restarts"):
         supervise(lambda: _Query(_failure(), finished=1), max_restarts=2, sleep=lambda s: None)
