@@ -1,5 +1,6 @@
 """Scorer that asks a remote client, one call per text."""
 
+import random
 import time
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -16,18 +17,29 @@ from ..schema import LABELS, UNKNOWN
 
 _REPLY = "__reply"
 
+#: HTTP states that a repeated call would meet again: bad request, refused key, no such model.
+LASTING = frozenset({400, 401, 403, 404, 405, 422})
+
+
+def is_lasting(error):
+    """Whether asking again is of no use."""
+    return getattr(error, "status_code", None) in LASTING
+
 
 @dataclass(frozen=True)
 class RemoteScorer:
     """``client_factory()`` runs once per partition, on the executor, and returns
     ``ask(prompt, timeout) -> reply``; read secrets from the environment there.
 
-    Only text that is neither null nor empty reaches the client. ``concurrency``
-    calls are under way at a time, so ``ask`` must be thread-safe above 1. A call
-    that raises is tried ``retries`` more times inside the task, since a failed
-    task would repeat every call of its partition; after that the task fails, or
-    with ``on_failure="unknown"`` the row is labelled UNKNOWN. ``partitions``
-    spreads a narrow source over more tasks before the calls.
+    Only text that is neither null nor empty reaches the client. A task has up to ``concurrency``
+    calls under way, so ``ask`` must be thread-safe above 1. ``max_in_flight`` bounds the calls of the
+    whole job: it is shared out over the cluster's slots, and where there are more slots than
+    calls, the rows go to as many partitions as calls. A call that raises is tried
+    ``retries`` more times inside the task, after a wait that doubles and varies at random, since a
+    failed task would repeat every call of its partition; an error that ``lasting(error)`` calls lasting
+    (a refused key) is not tried again. After that the task fails, or with ``on_failure="unknown"``
+    the row is labelled UNKNOWN. ``partitions`` spreads a narrow source over more tasks
+    before the calls.
 
     Write the labels out before sorting by a global order or using them twice:
     Spark would run the calls again for each pass over the plan.
@@ -40,6 +52,8 @@ class RemoteScorer:
     retries: int = 2
     backoff_s: float = 1.0
     concurrency: int = 8
+    max_in_flight: int | None = None
+    lasting: Callable = is_lasting
     on_failure: str = "raise"
     partitions: int | None = None
 
@@ -48,16 +62,25 @@ class RemoteScorer:
             raise ValueError(f"on_failure must be raise or unknown, not {self.on_failure!r}")
 
     def score(self, df, text_col, out_col):
-        if self.partitions:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if self.max_in_flight and self.max_in_flight < slots:
+            df = df.repartition(min(self.max_in_flight, self.partitions or slots))
+        elif self.partitions:
             df = df.repartition(self.partitions)
-        asked = df.withColumn(_REPLY, self._udf()(field(text_col)))
+        asked = df.withColumn(_REPLY, self._udf(self.calls_per_task(slots))(field(text_col)))
         return asked.withColumn(
             out_col, normalise_label(F.col(_REPLY), self.labels)).drop(_REPLY)
 
-    def _udf(self):
+    def calls_per_task(self, slots):
+        """Calls under way in one task when ``slots`` tasks run at once."""
+        share = self.concurrency if self.max_in_flight is None else self.max_in_flight // slots
+        return max(1, min(self.concurrency, share))
+
+    def _udf(self, concurrency):
         # Plain values only, so the function travels to the executors by itself.
         factory, template, timeout_s = self.client_factory, self.template, self.timeout_s
-        retries, backoff_s, concurrency = self.retries, self.backoff_s, self.concurrency
+        retries, backoff_s = self.retries, self.backoff_s
+        lasting = _by_value(self.lasting)
         fallback = UNKNOWN if self.on_failure == "unknown" else None
 
         def reply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -70,12 +93,12 @@ class RemoteScorer:
                     try:
                         # An empty reply is a reply: it ends up as UNKNOWN, not as null.
                         return ask(template % text, timeout_s) or ""
-                    except Exception:
-                        if attempt == retries:
+                    except Exception as error:
+                        if attempt == retries or lasting(error):
                             if fallback is None:
                                 raise
                             return fallback
-                        time.sleep(backoff_s * 2 ** attempt)
+                        time.sleep(backoff_s * 2 ** attempt * random.uniform(0.5, 1.5))
 
             def drain(todo, replies):
                 while todo:
@@ -100,15 +123,23 @@ class RemoteScorer:
         return F.pandas_udf(reply, "string").asNondeterministic()
 
 
+def _by_value(lasting):
+    """``is_lasting`` as a function that needs no package on the executors."""
+    if lasting is not is_lasting:
+        return lasting
+    states = LASTING
+    return lambda error: getattr(error, "status_code", None) in states
+
+
 def chat_client(model, api_key_env="OPENAI_API_KEY", base_url=None):
     """Client factory for a chat-completion service; needs the ``openai`` package
-    and the key in the executors' environment."""
+    and the key in the executors' environment. The scorer retries, so the library does not."""
     def factory():
         import os
 
         from openai import OpenAI
 
-        client = OpenAI(api_key=os.environ[api_key_env], base_url=base_url)
+        client = OpenAI(api_key=os.environ[api_key_env], base_url=base_url, max_retries=0)
 
         def ask(prompt, timeout):
             done = client.chat.completions.create(

@@ -1,7 +1,6 @@
 """Registered queries over tables, each with the SQL that states its answer."""
 
-import time
-
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.labels import normalise_label
@@ -12,7 +11,7 @@ from ..operators.classify import classify
 from ..operators.contract import check_contract, split_contract
 from ..operators.envelope import to_envelope
 from ..operators.lexicon import LexiconScorer
-from ..operators.model import hash_texts, train_model
+from ..operators.model import hash_texts, join_labels, train_model
 from ..operators.parse import parse_records
 from ..operators.remote import RemoteScorer
 from ..operators.union import union_records
@@ -20,7 +19,8 @@ from ..schema import REVIEW
 from ..session import work_dir
 from ..sources.lines import read_json_lines
 from ..sources.tables import (MINUTES_PER_YEAR, contract_lines, corrupt_lines, gappy_reviews,
-                              kafka_rows, nan_lines, review_lines, reviews, table)
+                              kafka_rows, nan_lines, review_lines, reviews, table,
+                              trailing_lines, wide_lines)
 from ..streaming.landing import land
 from .enrich import enrich_messages, enrich_valid, raw_messages
 from .registry import query
@@ -176,6 +176,21 @@ def malformed_drop(spark, sf_dir):
     return parse_records(corrupt_lines(spark, sf_dir), mode="drop")
 
 
+@query(f"WITH {SQL_REVIEWS} SELECT {SQL_FIELDS} FROM reviews WHERE doc_id % 10 NOT IN (1, 2, 3, 4, 5, 6)")
+def malformed_trailing(spark, sf_dir):
+    """Lines with anything after their one value are dropped."""
+    return parse_records(trailing_lines(spark, sf_dir), mode="drop")
+
+
+@query(f"""WITH {SQL_REVIEWS} SELECT 'drop' AS mode, {SQL_FIELDS} FROM reviews
+  UNION ALL SELECT 'permissive' AS mode, {SQL_FIELDS} FROM reviews""")
+def long_numbers(spark, sf_dir):
+    """Long numbers and deep nesting leave a line valid."""
+    lines = wide_lines(spark, sf_dir)
+    parts = [parse_records(lines, mode=mode).select(F.lit(mode).alias("mode"), "*") for mode in ("drop", "permissive")]
+    return parts[0].unionByName(parts[1])
+
+
 @query(f"WITH {SQL_CONTRACT} SELECT {SQL_FIELDS} FROM checked WHERE reason IS NULL")
 def contract_valid(spark, sf_dir):
     valid, _ = split_contract(contract_lines(spark, sf_dir))
@@ -274,29 +289,29 @@ def feedback_valid(spark, sf_dir):
 
 
 @query("""SELECT event_id, CASE event_type WHEN 'view' THEN 'POSITIVE' WHEN 'click' THEN 'NEGATIVE'
-  WHEN 'signup' THEN 'NEUTRAL' WHEN 'purchase' THEN 'UNKNOWN' END AS feedback FROM events""")
+  WHEN 'signup' THEN 'NEUTRAL' WHEN 'purchase' THEN 'UNKNOWN' END AS feedback,
+  CASE event_type WHEN 'view' THEN 'UNKNOWN' WHEN 'click' THEN 'C' WHEN 'signup' THEN 'C++'
+    WHEN 'purchase' THEN 'Good' END AS own_label,
+  CASE event_type WHEN 'view' THEN 'Empty' WHEN 'click' THEN 'UNKNOWN' WHEN 'signup' THEN 'UNKNOWN'
+    WHEN 'purchase' THEN 'UNKNOWN' END AS passed FROM events""")
 def label_normalise(spark, sf_dir):
     kind = F.col("event_type")
     reply = (F.when(kind == "view", F.concat(F.lit("Positive. Sure about #"), "event_id"))
               .when(kind == "click", "negative")
               .when(kind == "signup", "it is Neutral, not POSITIVE")
               .when(kind == "purchase", "dunno"))
-    return table(spark, sf_dir, "events").select("event_id", normalise_label(reply).alias("feedback"))
+    odd = (F.when(kind == "view", "Empty").when(kind == "click", "grade c").when(kind == "signup", "I like c++!")
+            .when(kind == "purchase", "gOOD"))
+    return table(spark, sf_dir, "events").select(
+        "event_id", normalise_label(reply).alias("feedback"),
+        normalise_label(odd, ("Good", "Bad", "C", "C++")).alias("own_label"),
+        normalise_label(odd, passed=("Empty",)).alias("passed"))
 
 
-def rule_client(latency_s=0.0):
-    """In-process stand-in for a remote client: the reply follows the prompt's length."""
+def rule_client():
+    """Factory of a plain function in place of a client: the reply follows the prompt's length."""
     replies = ["Positive.", "\nnegative", "It is NEUTRAL, I think", "no idea"]
-
-    def factory():
-        def ask(prompt, timeout):
-            if latency_s:
-                time.sleep(latency_s)
-            return replies[len(prompt) % len(replies)]
-
-        return ask
-
-    return factory
+    return lambda: lambda prompt, timeout: replies[len(prompt) % len(replies)]
 
 
 @query(f"""WITH {SQL_GAPPY} SELECT review_id,
@@ -309,12 +324,52 @@ def feedback_remote_fake(spark, sf_dir):
     return labelled.select("review_id", "feedback")
 
 
+# The training label of a document: toxic ones are bad, clean ones of good quality are good.
+MARK = "CASE WHEN toxic = 1 THEN 'NEGATIVE' WHEN quality = 1 THEN 'POSITIVE' ELSE 'NEUTRAL' END"
+
+
+def _marks(spark, sf_dir):
+    return table(spark, sf_dir, "labels").selectExpr("doc_id", f"{MARK} AS label")
+
+
 @query()
 def feedback_model(spark, sf_dir):
     """A model trained on all labelled documents labels all documents."""
     home = work_dir(spark, "model")
     hashed = hash_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{home}/hashed")
-    marks = table(spark, sf_dir, "labels").select("doc_id", F.expr(
-        "CASE WHEN toxic = 1 THEN 'NEGATIVE' WHEN quality = 1 THEN 'POSITIVE' ELSE 'NEUTRAL' END"
-    ).alias("label"))
-    return train_model(hashed.join(marks, "doc_id"), f"{home}/training").classify_hashed(hashed)
+    marked = join_labels(hashed, _marks(spark, sf_dir), "doc_id")
+    return train_model(marked, f"{home}/training").classify_hashed(hashed)
+
+
+@query(r"""SELECT doc_id, length(text) AS n_chars,
+  CAST(len(list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda w: w <> '')) AS BIGINT) AS n_tokens
+FROM documents""")
+def model_features(spark, sf_dir):
+    """What the model sees of a text: the hashed counts add up to the number of its words."""
+    home = work_dir(spark, "model-features")
+    hashed = hash_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{home}/hashed")
+    counts = F.aggregate(vector_to_array("terms"), F.lit(0.0), lambda total, n: total + n)
+    return hashed.select("doc_id", F.col("n_chars").cast("bigint").alias("n_chars"),
+                         counts.cast("bigint").alias("n_tokens"))
+
+
+@query(f"""SELECT label, count(*) AS n_rows FROM (SELECT {MARK} AS label FROM documents JOIN labels USING (doc_id))
+GROUP BY label""")
+def model_training(spark, sf_dir):
+    """Training rows by class."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return join_labels(docs, _marks(spark, sf_dir), "doc_id").groupBy("label").agg(F.count("*").alias("n_rows"))
+
+
+@query(f"""SELECT doc_id % 5 = 0 AS held_out, count(*) AS n_rows, TRUE AS beats_majority
+FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
+def model_quality(spark, sf_dir):
+    """Trained on four fifths: is the mean recall of the classes better than that of always naming the commonest?"""
+    home = work_dir(spark, "model-quality")
+    hashed = hash_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{home}/hashed")
+    marked = join_labels(hashed, _marks(spark, sf_dir), "doc_id").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    scorer = train_model(marked.where("NOT held_out"), f"{home}/training")
+    right = scorer.classify_hashed(marked).groupBy("held_out", "label").agg(
+        F.avg((F.col("feedback") == F.col("label")).cast("double")).alias("recall"), F.count("*").alias("n"))
+    return right.groupBy("held_out").agg(
+        F.sum("n").alias("n_rows"), (F.avg("recall") > 1 / F.count("*")).alias("beats_majority"))

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.classify import classify
 from reviewloom.operators.lexicon import LexiconScorer
-from reviewloom.operators.model import ModelScorer, hash_texts, train_model
+from reviewloom.operators.model import ModelScorer, hash_texts, join_labels, train_model
 from reviewloom.operators.remote import RemoteScorer, chat_client
 from reviewloom.plans.enrich import enrich_valid
+from reviewloom.plans.table_queries import MARK
 
 SCORER = LexiconScorer(["good", "great"], ["bad"])
 
@@ -146,13 +147,65 @@ def test_lasting_failure_raises_or_is_unknown(spark):
         RemoteScorer(_flaky_factory(0), on_failure="ignore")
 
 
+def _refusing_factory(calls):
+    class Refused(Exception):
+        status_code = 401
+
+    def factory():
+        def ask(prompt, timeout):
+            calls.add(1)
+            raise Refused("refused")
+        return ask
+    return factory
+
+
+def test_a_refused_key_is_not_tried_again(spark):
+    calls = spark.sparkContext.accumulator(0)
+    scorer = RemoteScorer(_refusing_factory(calls), on_failure="unknown", backoff_s=60)
+    assert _labels(classify(_texts(spark, "a", "b"), scorer)) == ["UNKNOWN"] * 2
+    assert calls.value == 2
+
+
+@pytest.mark.parametrize("bound, concurrency, slots, each", [
+    (None, 8, 4, 8), (16, 8, 4, 4), (64, 8, 4, 8), (6, 8, 4, 1), (3, 8, 4, 1)])
+def test_calls_in_flight_are_shared_out(bound, concurrency, slots, each):
+    scorer = RemoteScorer(None, concurrency=concurrency, max_in_flight=bound)
+    assert scorer.calls_per_task(slots) == each
+
+
+def test_calls_in_flight_are_bounded(spark, tmp_path):
+    """Four partitions and more slots than calls: never more than two calls at a time."""
+    log = str(tmp_path / "calls")
+
+    def factory():
+        import os
+        import time
+
+        def ask(prompt, timeout):
+            for sign in "+-":
+                fd = os.open(log, os.O_APPEND | os.O_CREAT | os.O_WRONLY)
+                os.write(fd, sign.encode())
+                os.close(fd)
+                time.sleep(0.005)
+            return "neutral"
+        return ask
+
+    df = _texts(spark, *["x"] * 80).repartition(4)
+    assert _labels(classify(df, RemoteScorer(factory, max_in_flight=2))) == ["NEUTRAL"] * 80
+    now = most = 0
+    for sign in open(log).read():
+        now += 1 if sign == "+" else -1
+        most = max(most, now)
+    assert most <= 2
+
+
 def test_no_reply_is_unknown(spark):
     scorer = RemoteScorer(lambda: lambda prompt, timeout: None)
     assert _labels(classify(_texts(spark, "a"), scorer)) == ["UNKNOWN"]
 
 
 def test_the_function_travels_without_the_package(tmp_path):
-    sent = cloudpickle.dumps(RemoteScorer(chat_client("m"))._udf().func)
+    sent = cloudpickle.dumps(RemoteScorer(chat_client("m"))._udf(1).func)
     (tmp_path / "f").write_bytes(sent)
     check = ("import pickle, sys; pickle.load(open('f', 'rb')); "
              "assert not any(m.startswith('reviewloom') for m in sys.modules)")
@@ -164,8 +217,8 @@ def test_chat_client_sends_one_message(monkeypatch):
     sent = {}
 
     class Client:
-        def __init__(self, api_key, base_url):
-            sent.update(api_key=api_key, base_url=base_url)
+        def __init__(self, api_key, base_url, max_retries):
+            sent.update(api_key=api_key, base_url=base_url, max_retries=max_retries)
             done = types.SimpleNamespace(
                 choices=[types.SimpleNamespace(message=types.SimpleNamespace(content="POSITIVE"))])
             self.chat = types.SimpleNamespace(completions=types.SimpleNamespace(
@@ -174,7 +227,7 @@ def test_chat_client_sends_one_message(monkeypatch):
     monkeypatch.setitem(sys.modules, "openai", types.SimpleNamespace(OpenAI=Client))
     monkeypatch.setenv("SOME_KEY", "k")
     assert chat_client("m", "SOME_KEY")()("how?", 3) == "POSITIVE"
-    assert sent["api_key"] == "k" and sent["model"] == "m" and sent["timeout"] == 3
+    assert sent["max_retries"] == 0 and sent["api_key"] == "k" and sent["model"] == "m" and sent["timeout"] == 3
     assert [m["content"] for m in sent["messages"]] == ["how?"]
 
 
@@ -221,6 +274,26 @@ def test_hashed_texts_are_labelled_like_texts(spark, trained, tmp_path):
     assert _labels(got) == _labels(classify(df, trained))
 
 
+def test_model_is_fair_to_rare_classes(spark, tmp_path):
+    """On labels it has not seen, the mean recall of the classes is well above chance."""
+    sf = "/root/testdata/sf0.1"
+    hashed = hash_texts(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), str(tmp_path / "h"))
+    marks = spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id", f"{MARK} AS label")
+    marked = join_labels(hashed, marks, "doc_id").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    scorer = train_model(marked.where("NOT held_out"), str(tmp_path / "t"))
+    recall = (scorer.classify_hashed(marked.where("held_out")).groupBy("label")
+              .agg(F.avg((F.col("feedback") == F.col("label")).cast("double")).alias("r")).collect())
+    assert len(recall) == 3 and sum(r.r for r in recall) / 3 > 0.6
+
+
+def test_labels_can_be_bounded(spark):
+    rows = spark.range(50).withColumnRenamed("id", "doc_id")
+    labels = rows.withColumn("label", F.lit("POSITIVE"))
+    assert join_labels(rows, labels, "doc_id").count() == 50
+    first, again = (sorted(r.doc_id for r in join_labels(rows, labels, "doc_id", 7).collect()) for _ in "ab")
+    assert first == again and len(first) == 7
+
+
 @pytest.mark.parametrize("label", ["HAPPY", None])
 def test_unknown_training_label_is_refused(spark, tmp_path, label):
     with pytest.raises(Exception, match="unknown label"):

@@ -24,7 +24,7 @@ def duck():
 
 
 SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "float": "FLOAT",
-             "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+             "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def _sorted(columns, rows):
