@@ -4,6 +4,14 @@ import os
 from dataclasses import dataclass, field
 
 
+# The login module of each mechanism that takes a name and a password.
+LOGIN_MODULES = {
+    "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
+    "SCRAM-SHA-256": "org.apache.kafka.common.security.scram.ScramLoginModule",
+    "SCRAM-SHA-512": "org.apache.kafka.common.security.scram.ScramLoginModule",
+}
+
+
 def _jaas_quote(text):
     return '"' + text.replace("\\", "\\\\").replace('"', '\\"') + '"'
 
@@ -52,9 +60,11 @@ class KafkaSettings:
         if self.security_protocol.startswith("SASL"):
             if self.username is None or self.password is None:
                 raise ValueError(f"{self.security_protocol} needs a username and a password")
+            if self.mechanism not in LOGIN_MODULES:
+                raise ValueError(f"mechanism must be one of {', '.join(LOGIN_MODULES)}, not {self.mechanism!r}")
             out["kafka.sasl.mechanism"] = self.mechanism
             out["kafka.sasl.jaas.config"] = (
-                "org.apache.kafka.common.security.plain.PlainLoginModule required "
+                f"{LOGIN_MODULES[self.mechanism]} required "
                 f"username={_jaas_quote(self.username)} password={_jaas_quote(self.password)};"
             )
         return out

@@ -17,7 +17,7 @@ from reviewloom.sources.kafka import batch_options, decode_rows, stream_options
 from reviewloom.sources.lines import read_json_lines, read_lines, stream_lines
 from reviewloom.sources.sockets import stream_socket
 from reviewloom.sources.tables import kafka_rows, reviews
-from reviewloom.streaming.audit import progress_counts, read_deliveries
+from reviewloom.streaming.audit import progress_counts, read_audit, read_deliveries
 from reviewloom.streaming.landing import land
 from reviewloom.streaming.sinks import FileSink, KafkaSink
 
@@ -36,6 +36,18 @@ def test_connection_options():
     assert "p\\w" not in repr(SETTINGS)
 
 
+@pytest.mark.parametrize("mechanism, module", [
+    ("PLAIN", "plain.PlainLoginModule"), ("SCRAM-SHA-256", "scram.ScramLoginModule"), ("SCRAM-SHA-512", "scram.ScramLoginModule")])
+def test_login_module_follows_the_mechanism(mechanism, module):
+    options = KafkaSettings("h:1", mechanism=mechanism, username="u", password="p").options()
+    assert module in options["kafka.sasl.jaas.config"] and options["kafka.sasl.mechanism"] == mechanism
+
+
+def test_unknown_mechanism_is_refused():
+    with pytest.raises(ValueError, match="GSSAPI"):
+        KafkaSettings("h:1", mechanism="GSSAPI", username="u", password="p").options()
+
+
 def test_plaintext_needs_no_secret_and_sasl_does():
     assert KafkaSettings("b:1", security_protocol="PLAINTEXT").options() == {
         "kafka.bootstrap.servers": "b:1", "kafka.security.protocol": "PLAINTEXT"}
@@ -112,10 +124,28 @@ def test_command_line_files_job(spark, tmp_path):
 def test_command_line_defaults():
     args = cli.parser().parse_args(["enrich-topic", "--checkpoint", "/c"])
     assert (args.source, args.target, args.starting) == ("ingest-file", "ingested-file", "latest")
-    assert isinstance(cli._scorer(args), RemoteScorer)
+    assert isinstance(cli._scorer(None, args), RemoteScorer)
     assert cli.parser().parse_args(["enrich-socket", "--host", "h", "--checkpoint", "/c"]).port == 9999
 
 
+@pytest.mark.parametrize("extra", [
+    ["--scorer", "lexicon"], ["--scorer", "lexicon", "--positive", "p"], ["--scorer", "model"],
+    ["--mode", "split", "--audit", "a"], ["--mode", "split", "--quarantine", "q"], ["--quarantine", "q"]])
+def test_command_line_refuses_early(extra):
+    with pytest.raises(SystemExit):
+        cli.main(["enrich-topic", "--checkpoint", "/c", *extra])
+
+
+def test_consume_shows_or_writes(spark, tmp_path, monkeypatch, capsys):
+    rows = spark.range(30).selectExpr("'k' AS key", "CAST(id AS STRING) AS value")
+    monkeypatch.setattr(cli, "read_topic", lambda spark, settings, topic: rows)
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "h:1")
+    cli.main(["consume", "--out", str(tmp_path / "all")])
+    assert spark.read.parquet(str(tmp_path / "all")).count() == 30
+    cli.main(["consume", "--rows", "5"])
+    assert "first 5 rows" in capsys.readouterr().out
+
+
 # ---- job wiring, with files in place of the broker ----------------------
 
 @pytest.fixture
@@ -153,6 +183,45 @@ def test_topic_job(spark, files_for_kafka):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
+def test_topic_job_keeps_a_report_per_batch(spark, files_for_kafka, monkeypatch):
+    """120 batches of one file and a restart: every batch is in the table."""
+    home = files_for_kafka
+    kafka_rows(reviews(spark, "/root/testdata/sf0.001")).repartition(120).write.parquet(f"{home}/many")
+    monkeypatch.setattr(enrich, "stream_topic", lambda spark, settings, name, **limits: (
+        spark.readStream.schema(KAFKA_ROW).option("maxFilesPerTrigger", 1).parquet(f"{home}/many")))
+    deliver, failed = enrich.audited_delivery, []
+
+    def failing_once(*args, **kwargs):
+        handle = deliver(*args, **kwargs)
+
+        def batch(df, batch_id):
+            if batch_id == 60 and not failed:
+                failed.append(batch_id)
+                raise OSError("lost")
+            handle(df, batch_id)
+        return batch
+
+    monkeypatch.setattr(enrich, "audited_delivery", failing_once)
+    files = len(spark.read.parquet(f"{home}/many").inputFiles())
+    outcome = enrich.run_topic_job(spark, SETTINGS, LEXICON, f"{home}/checkpoints", audit_dir=f"{home}/audit",
+                                   on_start=_until_done, sleep=lambda s: None)
+    report = read_audit(spark, f"{home}/audit").collect()
+    assert outcome.restarts == 1 and failed == [60]
+    assert sorted(r.batch_id for r in report) == list(range(files)) and files > 100
+    assert sum(r.n_rows for r in report) == spark.read.parquet(f"{home}/ingested-file").count() == 200
+
+
+def test_topic_job_quarantines(spark, files_for_kafka):
+    home = files_for_kafka
+    enrich.run_topic_job(spark, SETTINGS, LEXICON, f"{home}/checkpoints", limits={"max_offsets": 5}, mode="split",
+                         audit_dir=f"{home}/audit", quarantine_dir=f"{home}/bad", on_start=_until_done)
+    assert spark.read.parquet(f"{home}/ingested-file").count() == 200
+    assert spark.read.schema("line string, reason string").parquet(f"{home}/bad").count() == 0
+    for wrong in ({"mode": "split"}, {"quarantine_dir": "q"}):
+        with pytest.raises(ValueError):
+            enrich.run_topic_job(spark, SETTINGS, LEXICON, "c", limits={"max_offsets": 5}, **wrong)
+
+
 def test_socket_job(spark, files_for_kafka, lines):
     land(lines('{"review_id":"1","text":"the"}', "junk"), f"{files_for_kafka}/lines")
     enrich.run_socket_job(spark, SETTINGS, LEXICON, "host", 9999,
