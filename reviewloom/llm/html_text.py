@@ -48,7 +48,7 @@ SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {
 LIST_ROOTS = frozenset("ul ol menu dl table select".split())
 # What is never part of an article.
 DROPPED = frozenset(
-    "head script style template noscript iframe object svg canvas nav header footer aside form button select "
+    "head title script style template noscript iframe object svg canvas nav header footer aside form button select "
     "textarea input dialog menu noembed noframes xmp".split())
 DROPPED_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|"

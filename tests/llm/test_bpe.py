@@ -1,0 +1,79 @@
+import base64
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, strategies as st
+
+from reviewloom.llm import bpe
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+RANKS = bpe.load_ranks(PATH)
+REFERENCE = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
+SPLIT = bpe.splitter(PATTERN)
+CASES = [(1, "Hello  world's 123 \n\n x"), (2, None), (2, ""), (3, "naïve é漢字 　 \x85 \x1c t"), (3, "again"), (None, "null id"),
+         (4, "<|endoftext|>"), (5, "ab " * 20_000), (6, "x" * 5_000), (7, "   "), (8, "tail  "), (9, "²³ Ⅷ _it's_ IT'S")]
+
+
+def want(doc_id, text):
+    ids = REFERENCE.encode_ordinary(text or "")
+    return (doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256((text or "").encode()).hexdigest())
+
+
+@given(st.text(st.sampled_from("aZéß漢1²Ⅷ _'s.-\t\n\r\x0b\x0c\x1c\x85\xa0 　$́"), max_size=40))
+def test_any_text(text):
+    assert [i for word in SPLIT(text) for i in bpe.merge(word.encode(), RANKS)] == REFERENCE.encode_ordinary(text)
+
+
+def test_edge_cases(documents):
+    got = bpe.round_trip(documents(CASES).repartition(3), PATH, PATTERN).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted((want(*c) for c in CASES), key=repr)
+
+
+def test_whole_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = {tuple(r) for r in bpe.round_trip(docs, PATH, PATTERN).collect()}
+    assert got == {want(r.doc_id, r.text) for r in docs.collect()}
+
+
+def test_decoding_is_a_round_trip(documents):
+    encoded = bpe.encode(documents(CASES), PATH, PATTERN)
+    back = {(r.doc_id, bytes(r.bytes).decode()) for r in bpe.decode(encoded, PATH).collect()}
+    assert back == {(i, t or "") for i, t in CASES}
+
+
+def test_empty_table(documents):
+    assert bpe.round_trip(documents([]), PATH, PATTERN).count() == 0
+
+
+def test_numbers_do_not_depend_on_the_order():
+    import pyarrow as pa
+    texts = ["b a a", "c", "", "a b d"]
+    first, again = bpe.Part(SPLIT), bpe.Part(SPLIT)
+    first.add(pa.array(texts))
+    for text in reversed(texts):
+        again.add(pa.array([text]))
+    assert first.numbered()[0] == again.numbered()[0] and first.numbered()[2] == again.numbered()[2]
+
+
+def test_a_changed_partition_is_noticed():
+    table = bpe.WordTable([(1, *(np.array([0]) for _ in "abc"))])
+    with pytest.raises(RuntimeError, match="changed between two scans"):
+        table.documents(2, [1], np.array([1]), np.array([0]))
+
+
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=50))
+def test_squeezed_numbers(numbers):
+    assert bpe.unsqueezed(bpe.squeezed(np.array(numbers, dtype=np.uint32))).tolist() == numbers
+
+
+def test_vocabulary_size_is_checked(tmp_path, monkeypatch):
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(bytes([b])) + b" %d\n" % b for b in range(256)))
+    assert len(bpe.load_ranks(path)) == 256
+    monkeypatch.setattr(bpe, "MAX_RANKS", 10)
+    with pytest.raises(ValueError):
+        bpe.load_ranks(path)

@@ -1,0 +1,131 @@
+import itertools
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from reviewloom.llm import hmm
+
+
+def held_out(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 7 == 2
+
+
+def base(docs):
+    """The contract's columns, one document at a time."""
+    tokens = [((t or "").encode().lower().split() + [None]) for _, t in docs]
+    c = Counter(x for (i, _), w in zip(docs, tokens) if not held_out(i) for x in w)
+    n, v = sum(c.values()), len(c)
+    return [(i, held_out(i), len(w), sum(c[x] > 0 for x in w), n, sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w))
+            for (i, _), w in zip(docs, tokens)]
+
+
+def check(rows, docs):
+    got = sorted((tuple(r)[:6] for r in rows), key=repr)
+    want = sorted(base(docs), key=repr)
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9)
+
+
+def random_model(states, rng):
+    rows = lambda *shape: (lambda x: x / x.sum(axis=-1, keepdims=True))(rng.random(shape) + 0.05)
+    return rows(states), rows(states, states), rows(states, 5)
+
+
+def path_likelihood(s, model):
+    """Sum over all paths of states."""
+    start, move, emit = model
+    total = 0.0
+    for path in itertools.product(range(len(start)), repeat=len(s)):
+        p = start[path[0]] * emit[path[0], s[0]]
+        for t in range(1, len(s)):
+            p *= move[path[t - 1], path[t]] * emit[path[t], s[t]]
+        total += p
+    return total
+
+
+def by_length(sequences):
+    return sorted(sequences, key=lambda s: -len(s))
+
+
+def test_forward_is_exact():
+    rng = np.random.default_rng(1)
+    model = random_model(3, rng)
+    sequences = by_length([rng.integers(0, 5, n) for n in (1, 4, 2, 6, 6, 3)])
+    want = [math.log(path_likelihood(s, model)) for s in sequences]
+    assert hmm.forward(sequences, model) == pytest.approx(want, rel=1e-10)
+
+
+def test_expected_counts_are_exact():
+    rng = np.random.default_rng(2)
+    model = random_model(2, rng)
+    start, move, emit = model
+    sequences = by_length([rng.integers(0, 5, n) for n in (1, 4, 5, 2)])
+    starts, moves, emits = np.zeros(2), np.zeros((2, 2)), np.zeros((2, 5))
+    for s in sequences:
+        whole = path_likelihood(s, model)
+        for path in itertools.product(range(2), repeat=len(s)):
+            p = start[path[0]] * emit[path[0], s[0]]
+            for t in range(1, len(s)):
+                p *= move[path[t - 1], path[t]] * emit[path[t], s[t]]
+            p /= whole
+            starts[path[0]] += p
+            for t in range(len(s)):
+                emits[path[t], s[t]] += p
+                if t:
+                    moves[path[t - 1], path[t]] += p
+    got = hmm.expected_counts(sequences, model)
+    for a, b in zip(got, (starts, moves, emits)):
+        assert np.allclose(a, b)
+
+
+def test_long_sequence_does_not_underflow():
+    model = random_model(3, np.random.default_rng(3))
+    assert np.isfinite(hmm.forward([np.zeros(200_000, dtype=int)], model)).all()
+
+
+CASES = [(i, f"the cat {i % 5} sat on the mat the end") for i in range(30)] + [
+    (100, None), (101, ""), (102, " \n"), (None, "the null id"), (103, "UNSEEN words É é"), (103, "the cat"), (104, "a " * 40_000)]
+
+
+@pytest.mark.parametrize("head", [2, 65_536])
+def test_base_against_brute_force(documents, head):
+    check(hmm.score_documents(documents(CASES), head=head).collect(), CASES)
+
+
+def test_whole_table(spark, sf):
+    from reviewloom.llm.queries import QUERIES
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = QUERIES["op9_hmm_score"](spark, sf).collect()
+    check(rows, docs)
+    # Better than single words on texts it has not seen.
+    assert sum(r.score for r in rows if r.held_out) > sum(r.base_score for r in rows if r.held_out) + 50
+
+
+def test_training_raises_the_likelihood(spark):
+    rng = np.random.default_rng(4)
+    sequences = [rng.integers(0, 40, 50) + 100 * (i % 2) for i in range(60)]
+    rows = spark.createDataFrame([(bytearray(s.astype(np.uint16).tobytes()),) for s in sequences], "symbols binary").repartition(5)
+    tokens = np.bincount(np.concatenate(sequences), minlength=hmm.SYMBOLS)
+    model, likelihoods = hmm.train(rows, tokens, states=2, steps=6)
+    assert all(b >= a - 1e-6 for a, b in zip(likelihoods, likelihoods[1:])) and likelihoods[-1] > likelihoods[0] + 100
+    assert all(np.allclose(part.sum(axis=-1), 1) for part in model)
+
+
+def test_scores_are_a_probability(documents):
+    """Over all one-word texts, known and one unknown per symbol, the probabilities sum to no more than 1."""
+    docs = [(i, t) for i, t in enumerate(["a b a", "b c", "a", "d"] * 5)]
+    seen = [(1000 + i, w) for i, w in enumerate(["a", "b", "c", "d", ""])]
+    rows = {r.doc_id: r.score for r in hmm.score_documents(documents(docs + seen)).collect()}
+    assert sum(10 ** rows[1000 + i] for i in range(5)) <= 1
+
+
+def test_no_training_text_and_empty_table(documents):
+    only = [(i, "x y") for i in range(200) if held_out(i)]
+    rows = hmm.score_documents(documents(only)).collect()
+    check(rows, only)
+    assert all(np.isfinite(r.score) for r in rows)
+    assert hmm.score_documents(documents([])).count() == 0

@@ -1,0 +1,103 @@
+import html
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from reviewloom.llm.html_text import extract_text, host_of, main_text, site_templates, template_hashes
+
+PAGES = "page_id bigint, url string, html string"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("", ""),
+    ("plain", "plain"),
+    ("a < b &amp; c &lt;p&gt; &eacute;&#233;", "a < b & c <p> éé"),
+    ("<p>a\n\t b&nbsp;c <i>d</i>e<p>f", "a b c de\n\nf"),
+    ("<article><h1>T</h1><p><b>x<br>y<p>z</article>tail", "T\n\nx y\n\nz"),
+    ("<div>out</div><main>in<ul><li>1<li>2</ul>after</main>", "in\n\n1\n\n2\n\nafter"),
+    ("<article>a<aside>b</aside>c</article>", "a\n\nc"),
+    ("<article>a<div class='user-comments'><p>b</p></div></article>", "a"),
+    ("<article><p class=adventure>kept</p><p class='ad-box'>gone</p></article>", "kept"),
+    ("<script>var x='<p>no</p>'</script><style>p{}</style><p>yes", "yes"),
+    ("<title>no</title><p>yes</p><!-- <p>no</p> --><p>too", "yes\n\ntoo"),
+    ("<!-- never closed <p>no", ""),
+    ("<script>never closed <p>no", ""),
+    ("<nav><p>menu</p></nav><header>h</header><p>x</p><footer>f</footer><form>q</form>", "x"),
+    ("<a title='1 > 0'>link</a>", "link"),
+    ("</p></div>stray", "stray"),
+    ("<ARTICLE><P>Up</P></ARTICLE>", "Up"),
+    ("<article>one</article><article>two</article>", "one\n\ntwo"),
+    ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
+])
+def test_one_page(page, text):
+    assert main_text(page) == text
+
+
+def test_deep_and_long_pages_end():
+    assert main_text("<div>" * 20_000 + "x") == "x"
+    assert main_text("<p>" + "word " * 200_000).count("word") == 200_000
+    assert len(template_hashes("<b>" * 5_000 + "x")) == 5_000
+
+
+def site(host, n, body):
+    return [(i, f"https://{host}/{i}", body(i)) for i in range(n)]
+
+
+def test_recurring_subtrees_go(spark):
+    def body(i):
+        return (f"<div><div><p>Our shop</p><p>Call us</p></div><div><p>Story {i}</p><p>{'Shared' if i < 2 else i}</p></div>"
+                f"<div>About</div></div>")
+    rows = site("a.example", 8, body) + site("b.example", 2, body) + [(99, None, body(0)), (98, "no host", body(1))]
+    got = {(r.page_id, r.url): r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3, "https://a.example/3"] == "Story 3\n\n3"
+    assert got[0, "https://a.example/0"] == "Story 0\n\nShared"
+    # Two pages are not many, and without a host there is no site.
+    assert got[1, "https://b.example/1"] == "Our shop\n\nCall us\n\nStory 1\n\nShared\n\nAbout"
+    assert got[99, None].startswith("Our shop") and got[98, "no host"].startswith("Our shop")
+
+
+def test_articles_may_quote_each_other(spark):
+    rows = site("a.example", 9, lambda i: f"<div>Menu of all</div><article><p>Quoted by all</p><p>{i}</p></article>")
+    got = [r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).orderBy("page_id").collect()]
+    assert got == [f"Quoted by all\n\n{i}" for i in range(9)]
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    rows = [(i, f"https://a.example/{i}", "<div><p>One text</p></div>") for i in range(20)]
+    assert {r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()} == {"One text"}
+
+
+def test_templates_are_counted_per_host(spark):
+    rows = spark.createDataFrame(
+        [(i, "h", f"<div>t</div><p>{i}</p>") for i in range(6)] + [(i, "g", "<div>t</div>" + "x" * i) for i in range(4)],
+        "page_id int, host string, html string")
+    got = {r.host: len(r.templates) for r in site_templates(rows).collect()}
+    assert got == {"h": 1}
+
+
+def test_edge_rows(spark):
+    rows = spark.createDataFrame([(None, None, None), (1, "", ""), (1, "", ""), (2, "http://x/", None)], PAGES)
+    rows = rows.selectExpr("*", "1 AS host", "2 AS templates", "3 AS text")
+    got = sorted(map(tuple, extract_text(rows).collect()), key=repr)
+    assert got == [(1, "", ""), (1, "", ""), (2, "http://x/", ""), (None, None, "")]
+    assert extract_text(rows.limit(0)).count() == 0
+
+
+def test_hosts(spark):
+    urls = ["https://User:pw@WWW.A.example:80/x?y//z", "//b.example/x", "mailto:x", "", None, "ftp://c"]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(host_of(F.col("u"))).collect()]
+    assert got == ["www.a.example", "b.example", "", "", "", "c"]
+
+
+def test_whole_table_against_its_articles(spark, sf):
+    """In the given pages the main text is the article element."""
+    from reviewloom.llm.queries import QUERIES
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = QUERIES["op4_main_text"](spark, sf).collect()
+    assert len(got) == len(pages)
+    for row in got:
+        article = re.search(r"<article>(.*)</article>", pages[row.page_id].html, re.S).group(1)
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
+        assert row.text == "\n\n".join(b for b in blocks if b) and row.n_chars == len(row.text)
+        assert row.url == pages[row.page_id].url

@@ -1,0 +1,130 @@
+"""The pipeline against plain versions of its stages."""
+
+import hashlib
+import re
+import zlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import corpus_pipeline as pipeline
+from reviewloom.llm.bpe import load_ranks
+from reviewloom.llm.toxicity import THRESHOLD, score_documents
+
+from .test_decontaminate import brute as brute_contamination
+from .test_jaccard_join import brute as brute_components
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def key(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output rows of every stage on the small tables."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    out = []
+    for name, stage in pipeline.STAGES:
+        before = docs
+        docs = pipeline.stored(stage(spark, docs, sf), f"test-{name}")
+        out.append((before, docs))
+    return out
+
+
+def pairs(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def test_stages_and_columns(stages):
+    assert [n for n, _ in pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontaminate", "tokens"]
+    for _, after in stages[:-1]:
+        assert after.columns == COLUMNS
+    counts = [before.count() for before, _ in stages]
+    assert counts == sorted(counts, reverse=True)
+
+
+def test_toxicity_stage(spark, stages):
+    before, after = stages[0]
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    kept = {r.doc_id for r in score_documents(before, labels).where(f"score < {THRESHOLD}").collect()}
+    assert {i for i, _ in pairs(after)} == kept
+
+
+def test_exact_stage(stages):
+    before, after = map(pairs, stages[1])
+    best = {}
+    for i, t in before:
+        best[key(t)] = min(best.get(key(t), i), i)
+    assert sorted(i for i, _ in after) == sorted(best.values())
+
+
+def test_near_stage(stages):
+    before, after = map(pairs, stages[2])
+    assert sorted(i for i, _ in after) == sorted({c for _, _, c in brute_components(before)})
+
+
+def test_clean_stage(spark, stages):
+    before, after = map(pairs, stages[3])
+    items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
+    assert sorted(i for i, _ in after) == sorted(i for i, _, hit, _ in brute_contamination(before, items) if not hit)
+
+
+def test_tokens_stage_and_run(spark, stages):
+    before, after = stages[4]
+    ranks = load_ranks(public_tokenizers.path(pipeline.VOCABULARY))
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = set()
+    for i, t in pairs(before):
+        ids = encoding.encode_ordinary(t or "")
+        want.add((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                  hashlib.sha256((t or "").encode()).hexdigest()))
+    assert set(map(tuple, after.collect())) == want
+    assert set(map(tuple, pipeline.run(spark, "/root/testdata/sf0.001").collect())) == want
+
+
+ROWS = [(1, "alpha beta gamma"), (2, "alpha  beta\tgamma"), (3, None), (4, ""), (None, "alpha beta gamma"), (5, "same row"), (5, "same row"),
+        (6, "one"), (6, "two"), (7, "x " * 50_000), (8, " "), (None, None)]
+
+
+def test_exact_stage_edge_rows(spark, documents, sf):
+    kept = pipeline.exact(spark, documents(ROWS), sf)
+    assert kept.columns == documents([]).columns
+    assert sorted(pairs(kept), key=repr) == sorted(
+        [(1, "alpha beta gamma"), (3, None), (5, "same row"), (6, "one"), (6, "two"), (7, "x " * 50_000), (8, " ")], key=repr)
+
+
+def test_near_stage_edge_rows(spark, documents, sf):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(9, text), (4, text + " end"), (None, text), (5, None), (6, ""), (7, "short text"), (7, "other text here")]
+    kept = pipeline.near(spark, documents(rows), sf)
+    assert sorted(pairs(kept), key=repr) == sorted([rows[1], *rows[3:]], key=repr)
+
+
+def test_clean_stage_edge_rows(spark, documents, sf):
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 100").first().text
+    rows = [(1, "x " + item), (None, item), (2, None), (3, ""), (4, "clean"), (4, item), (None, None)]
+    kept = pipeline.clean(spark, documents(rows), sf)
+    assert sorted(pairs(kept), key=repr) == sorted([(2, None), (3, ""), (4, "clean"), (None, None)], key=repr)
+
+
+def test_toxic_stage_edge_rows(spark, documents, sf):
+    kept = pairs(pipeline.toxic(spark, documents(ROWS), sf))
+    assert (3, None) in kept and (4, "") in kept and (None, None) in kept
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_empty_input(spark, documents, sf, stage):
+    out = pipeline.STAGES[stage][1](spark, documents([]), sf)
+    assert out.count() == 0
+    if stage < 4:
+        assert out.columns == documents([]).columns
+
+
+def test_crc_of_the_fold_matches(spark):
+    from reviewloom.llm.common import in_fold
+    rows = spark.range(50).select("id", in_fold("id", 4, 2).alias("held")).collect()
+    assert all(r.held == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)

@@ -1,0 +1,68 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from reviewloom.llm.sharding import draw_matrix, shard_documents, uniform_shards
+
+
+def check_exact(rows, shards):
+    sizes = Counter(r.shard for r in rows)
+    assert max(sizes.values()) - min(sizes[s] for s in range(shards)) <= 1
+    for shard, n in sizes.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(n))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_sizes_are_exact_and_slots_gapless(spark, parts):
+    rows = uniform_shards(spark.range(1003).repartition(parts), 8).collect()
+    assert sorted(r.id for r in rows) == list(range(1003))
+    check_exact(rows, 8)
+
+
+def test_matrix_margins():
+    counts = [0, 5, 1, 1000, 17]
+    matrix = draw_matrix(counts, 8, 3)
+    assert [sum(row) for row in matrix] == counts
+    columns = [sum(c) for c in zip(*matrix)]
+    assert sum(columns) == 1023 and max(columns) - min(columns) <= 1
+
+
+def test_matrix_is_hypergeometric():
+    """Mean and variance of one cell over many draws."""
+    cells = np.array([draw_matrix([40, 60], 2, seed)[0][0] for seed in range(4000)])
+    assert abs(cells.mean() - 20) < 0.2
+    assert abs(cells.var() - 40 * 0.5 * 0.5 * 60 / 99) < 0.5
+
+
+def test_places_are_uniform(spark):
+    """Neither shard nor slot tells where a row came from."""
+    rows = uniform_shards(spark.range(8000, numPartitions=4), 8, 3).collect()
+    for shard in range(8):
+        own = sorted((r.slot, r.id) for r in rows if r.shard == shard)
+        ids = np.array([i for _, i in own])
+        assert abs(ids.mean() - 4000) < 5 * 2310 / 1000 ** 0.5
+        assert all(abs(np.sum(ids // 2000 == part) - 250) < 70 for part in range(4))
+        assert abs(np.corrcoef(np.arange(1000), ids)[0, 1]) < 0.16
+        assert abs(np.corrcoef(ids[1:], ids[:-1])[0, 1]) < 0.16
+
+
+def test_same_seed_same_shuffle(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    first, again, other = ({(r.doc_id, r.shard, r.slot) for r in shard_documents(docs, 8, seed).collect()}
+                           for seed in (1, 1, 2))
+    assert first == again != other
+
+
+def test_documents(documents):
+    rows = shard_documents(documents([(1, "é"), (2, None), (2, None), (None, ""), (4, "x" * 100_000)]), 8).collect()
+    assert sorted((r.size, r.text_crc32) for r in rows)[:3] == [(1, 0)] * 3
+    assert {r.size for r in rows} == {1, 3, 100_001} and {r.law for r in rows} == {"rows"}
+    assert all(r.grown_shard is None for r in rows)
+    check_exact(rows, 8)
+
+
+def test_empty_and_clashing(spark, documents):
+    assert shard_documents(documents([])).count() == 0
+    rows = uniform_shards(documents([(1, "a"), (2, "b")]), 8).collect()
+    assert {r.row for r in rows} == {"x"} and {type(r.shard) for r in rows} == {int}
