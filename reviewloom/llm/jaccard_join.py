@@ -11,14 +11,18 @@ trees are built over blocks. Similar sets share a shingle among the first n - ce
 of each in any fixed order of all shingles. The documents with the same such shingle
 are a block, and every linked pair meets in one. Frequent shingles come last in the order.
 
+Within a block sorted by size, a step of more than a third ends the block: no similar pair spans it.
+
 1. Equal sets become one class; each task hands on the shingles of a class once.
-2. In every block the member with the lowest key is paired with each other one. These pairs, linear
-   in the block, are bounded, verified, and joined to components; that settles copies in large groups.
+2. In every block the smallest member is paired with each other one. Those of these pairs, linear
+   in the block, that are within the bound are verified and joined to components; that settles copies in large groups.
 3. In the blocks that still hold several components an R-tree join finds the pairs of
-   different components within the bound; they are verified too. Blocks with the same members
-   are treated once. A block beyond ``PAGE`` members is cut in pages, and each
+   different components within the bound: first the best partner of each document, and when these are verified and
+   joined, all pairs that are left. Blocks with the same members are treated once. A block beyond ``PAGE`` members is cut in pages, and each
    pair of pages is a task of its own.
 
+Sets are fetched for verification only, for the documents of pairs within the bound.
+
 Sets and classes are known by 64-bit hashes of the words and of the sorted set. Only the frequent
 shingles reach the driver, from a bounded sample (they set the order, never the result).
 
@@ -32,16 +36,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stored
+from .common import most_frequent, shuffle_partitions, stored
 from .components import connected
 
 SHINGLE = 5
-GROUPS = 256
+GROUPS = 1024
+LONG = 100_000          # the bound passes all sets of so many shingles, whose counts might not fit a byte
 LEAF = 16               # points of a leaf, and nodes of an inner node
 PAGE = 2048             # members of a block that one task joins
-SAMPLE_ROWS = 8_000     # documents sampled for the order of shingles
-FREQUENT_ROWS = 8       # a shingle in so many of them is frequent
-MAX_FREQUENT = 100_000
+VERIFY_PAGE = 256       # documents of a component that one task verifies, beside those they are paired with
+SAMPLE_ROWS = 20_000    # documents sampled for the order of shingles
+FREQUENT_ROWS = 2       # a shingle in so many of them is frequent
+MAX_FREQUENT = 400_000
 MAX_BROADCAST = 500_000  # ids broadcast at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,7 +93,15 @@ def prefix(members, frequent):
 
 
 def point(members):
-    return np.bincount((members & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+    counts = np.bincount((members & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(counts, 255).astype(np.uint8)
+
+
+def most_shared(high_a, high_b, n_a, n_b):
+    """What sets of at most so many members, whose counts are no higher, share at most; row by row."""
+    least = np.minimum(n_a, n_b)
+    shared = np.minimum(high_a, high_b).sum(axis=1, dtype=np.int64)
+    return np.where(np.maximum(n_a, n_b) >= LONG, least, np.minimum(shared, least))
 
 
 def within_bound(shared, n_a, n_b):
@@ -97,15 +111,15 @@ def within_bound(shared, n_a, n_b):
 
 # ---- sets ----
 
-SETS = "id bigint, n bigint, k bigint, tokens array<bigint>"
+SETS = "id bigint, n bigint, k bigint, tokens array<bigint>, point binary"
 
 
 def set_batches(shared):
-    """(id, text) to the set's size and key; the first of equal sets in a task has the prefix."""
+    """(id, text) to the set's size and key; the first of equal sets in a task has the prefix and the point."""
     def sets(batches):
         frequent, seen = shared.value, set()
         for batch in batches:
-            sizes, keys, tokens = [], [], []
+            sizes, keys, tokens, points = [], [], [], []
             for text in batch.column(1).to_pylist():
                 members = shingles(text)
                 key = set_key(members)
@@ -114,9 +128,11 @@ def set_batches(shared):
                 sizes.append(len(members))
                 keys.append(key)
                 tokens.append(prefix(members, frequent).view(np.int64) if new else None)
+                points.append(point(members).tobytes() if new else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, type=pa.int64()), pa.array(keys, type=pa.int64()),
-                 pa.array(tokens, type=pa.list_(pa.int64()))], names=["id", "n", "k", "tokens"])
+                 pa.array(tokens, type=pa.list_(pa.int64())), pa.array(points, type=pa.binary())],
+                names=["id", "n", "k", "tokens", "point"])
     return sets
 
 
@@ -134,47 +150,35 @@ def frequent_shingles(rows):
     """Hashes of shingles that many sampled documents share, sorted."""
     every = max(1, rows.count() // SAMPLE_ROWS)
     sample = rows.where(F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(every)) == 0)
-    counts = sample.select("text").mapInArrow(sample_batches, "token bigint").groupBy("token").count()
-    top = counts.where(F.col("count") >= FREQUENT_ROWS).orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).collect()
+    counts = stored(sample.select("text").mapInArrow(sample_batches, "token bigint")
+                    .groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT_ROWS), "frequent")
+    top = most_frequent(counts, MAX_FREQUENT)
     return np.unique(np.array([r.token for r in top], dtype=np.int64).view(np.uint64))
 
 
-MEMBERS = "k bigint, n bigint, members binary"
-
-
-def member_batches(batches):
-    """(text) to (key, size, sorted set)."""
-    for batch in batches:
-        sets = [shingles(text) for text in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([set_key(s) for s in sets], type=pa.int64()), pa.array([len(s) for s in sets], type=pa.int64()),
-             pa.array([s.tobytes() for s in sets], type=pa.binary())], names=["k", "n", "members"])
-
-
 # ---- blocks ----
 
 STARS = "token bigint, low bigint, k bigint, place bigint"
 
 
 def star_batches(batches):
-    """(token, k), sorted, to a row per further member of a block, with the lowest member.
+    """(token, n, k), sorted, to a row per further member of a block, with the block's smallest member.
 
-    Runs over blocks of any size without holding them. ``place`` counts the members after the lowest.
+    Runs over blocks of any size without holding them. ``place`` counts the members after the first.
     """
     token = low = last = None
-    place = 0
+    last_n = place = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        t, k = (c.to_numpy() for c in batch.columns)
+        t, n, k = (c.to_numpy() for c in batch.columns)
         first = np.empty(len(t), dtype=bool)
-        first[1:] = t[1:] != t[:-1]
-        first[0] = t[0] != token
+        first[1:] = (t[1:] != t[:-1]) | (3 * n[1:] > 4 * n[:-1])
+        first[0] = t[0] != token or 3 * n[0] > 4 * last_n
         same = np.empty(len(t), dtype=bool)
         same[1:] = ~first[1:] & (k[1:] == k[:-1])
         same[0] = not first[0] and k[0] == last
-        at = np.arange(len(t))
-        start = np.maximum.accumulate(np.where(first, at, -1))
+        start = np.maximum.accumulate(np.where(first, np.arange(len(t)), -1))
         lows = np.where(start >= 0, k[np.maximum(start, 0)], low if low is not None else 0)
         member = ~first & ~same
         total = np.cumsum(member)
@@ -183,7 +187,7 @@ def star_batches(batches):
         yield pa.RecordBatch.from_arrays(
             [pa.array(t[member]), pa.array(lows[member]), pa.array(k[member]), pa.array(places[member])],
             names=["token", "low", "k", "place"])
-        token, low, last, place = t[-1], lows[-1], k[-1], int(places[-1])
+        token, low, last, last_n, place = t[-1], lows[-1], k[-1], int(n[-1]), int(places[-1])
 
 
 class Tree:
@@ -209,8 +213,7 @@ class Tree:
 
 def _may_hold(a, i, b, j):
     """Which nodes ``j`` of level ``b`` may hold a similar point of another component for nodes ``i`` of ``a``."""
-    shared = np.minimum(a[0][i], b[0][j]).sum(axis=1, dtype=np.int64)
-    shared = np.minimum(shared, np.minimum(a[2][i], b[2][j]))  # nor more than the smaller set has
+    shared = most_shared(a[0][i], b[0][j], a[2][i], b[2][j])
     return within_bound(shared, a[1][i], b[1][j]) & ((a[3][i] != b[3][j]) | (a[3][i] < 0))
 
 
@@ -250,109 +253,162 @@ def _children(nodes, tree, level):
     return [np.arange(node * LEAF, min(below, (node + 1) * LEAF)) for node in nodes]
 
 
-def block_batches(batches):
-    """Members of blocks, sorted by (token, one, two), to pairs within the bound.
+def block_batches(nearest):
+    """Members of blocks, sorted by (token, low, one, two), to pairs within the bound.
 
     A run is one block, or a pair of its pages: those of page ``one`` against those of page ``two``.
+    With ``nearest`` each member is paired only with the one that it may share most with.
     """
-    at, held = None, []
-
-    def pairs():
-        keys = np.array([h[0] for h in held], dtype=np.int64)
-        sets = [np.frombuffer(h[1], dtype=np.uint32) for h in held]
-        components = np.array([h[2] for h in held], dtype=np.int64)
-        pages = np.array([h[3] for h in held])
-        points = np.stack(sets).astype(np.int64)
-        sizes = points.sum(axis=1)
-        numbers = np.unique(components, return_inverse=True)[1]
-        if at[1] == at[2]:
-            i, j = tree_join(Tree(points, sizes, numbers))
-        else:
-            one, two = np.flatnonzero(pages == at[1]), np.flatnonzero(pages == at[2])
-            if not len(one) or not len(two):
-                return None
-            i, j = tree_join(*(Tree(points[x], sizes[x], numbers[x]) for x in (one, two)))
+    def blocks(batches):
+        at, held = None, []
+        for batch in batches:
+            for *block, k, n, where, component, page in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != at:
+                    if len(held) > 1:
+                        yield _block_pairs(at, held, nearest)
+                    at, held = block, []
+                held.append((k, n, where, component, page))
+        if len(held) > 1:
+            yield _block_pairs(at, held, nearest)
+    return blocks
+
+
+def _block_pairs(block, held, nearest):
+    keys, sizes, _, components, pages = (np.array(column) if i != 2 else None for i, column in enumerate(zip(*held)))
+    points = np.frombuffer(b"".join(h[2] for h in held), dtype=np.uint8).reshape(-1, GROUPS)
+    numbers = np.unique(components, return_inverse=True)[1]
+    tree = lambda x: Tree(points[x], sizes[x], numbers[x])
+    if block[2] == block[3]:
+        i, j = tree_join(tree(slice(None)))
+    else:
+        one, two = np.flatnonzero(pages == block[2]), np.flatnonzero(pages == block[3])
+        i = j = np.zeros(0, dtype=np.int64)
+        if len(one) and len(two):
+            i, j = tree_join(tree(one), tree(two))
             i, j = one[i], two[j]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(keys[i], keys[j])), pa.array(np.maximum(keys[i], keys[j]))], names=["a", "b"])
+    if nearest and len(i):
+        share = np.concatenate([most_shared(points[i[c:c + 4096]], points[j[c:c + 4096]], sizes[i[c:c + 4096]], sizes[j[c:c + 4096]])
+                                for c in range(0, len(i), 4096)]) / (sizes[i] + sizes[j])
+        ends, pair = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
+        order = np.lexsort((pair, -share[pair], ends))
+        best = np.unique(pair[order][np.unique(ends[order], return_index=True)[1]])
+        i, j = i[best], j[best]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.minimum(keys[i], keys[j])), pa.array(np.maximum(keys[i], keys[j]))], names=["a", "b"])
 
+
+# ---- pairs ----
+
+def bound_batches(batches):
+    """(a, b, sizes, points) to the pairs within the bound."""
     for batch in batches:
-        for token, one, two, *member in zip(*(c.to_pylist() for c in batch.columns)):
-            if (token, one, two) != at:
-                if len(held) > 1 and (found := pairs()) is not None:
-                    yield found
-                at, held = (token, one, two), []
-            held.append(member)
-    if len(held) > 1 and (found := pairs()) is not None:
-        yield found
+        a, b = batch.column(0), batch.column(1)
+        n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
+        left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
+                       for i in (4, 5))
+        kept = pa.array(within_bound(most_shared(left, right, n_a, n_b), n_a, n_b))
+        yield pa.RecordBatch.from_arrays([a.filter(kept), b.filter(kept)], names=["a", "b"])
+
+
+def bounded(pairs, classes):
+    """Those of ``pairs`` (a, b) whose sizes and points allow them to be similar."""
+    a, b = (classes.select(F.col("k").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"point_{x}")) for x in "ab")
+    return (pairs.join(a, "a").join(b, "b").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
+            .select("a", "b", "n_a", "n_b", "point_a", "point_b").mapInArrow(bound_batches, "a bigint, b bigint"))
 
 
-# ---- verification ----
+PAGE_ROWS = "root bigint, page int, kind int, a bigint, b bigint, members binary"
+
+
+def member_batches(batches):
+    """(root, page, k, text) to the sorted sets, as rows of kind 0. A text of another key has the same id only."""
+    for batch in batches:
+        sets = [shingles(text) for text in batch.column(3).to_pylist()]
+        own = pa.array([set_key(s) == k for s, k in zip(sets, batch.column(2).to_pylist())], type=pa.bool_())
+        n = batch.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([0] * n, type=pa.int32()), batch.column(2), pa.nulls(n, pa.int64()),
+             pa.array([s.tobytes() for s in sets], type=pa.binary())],
+            names=["root", "page", "kind", "a", "b", "members"]).filter(own)
+
 
 def verify_batches(batches):
-    """(a, b, set of a, set of b) to the pairs that are similar."""
+    """Sets and pairs, sorted by (root, page, kind), to the pairs that are similar."""
+    at, sets = None, {}
     for batch in batches:
         a, b = [], []
-        for x, y, left, right in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            left, right = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
-            bound = int(np.minimum(point(left), point(right)).sum())
-            if within_bound(bound, len(left), len(right)):
-                shared = len(np.intersect1d(left, right, assume_unique=True))
-                if within_bound(shared, len(left), len(right)):
+        for root, page, kind, x, y, members in zip(*(column.to_pylist() for column in batch.columns)):
+            if (root, page) != at:
+                at, sets = (root, page), {}
+            if kind == 0:
+                sets[x] = np.frombuffer(members, dtype=np.uint64)
+            else:
+                shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if within_bound(shared, len(sets[x]), len(sets[y])):
                     a.append(x)
                     b.append(y)
         yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
 
 
-def verified(pairs, members):
-    """Those of ``pairs`` (a, b) that are similar, by their sets in ``members`` (k, n, members)."""
-    a = members.select(F.col("k").alias("a"), F.col("n").alias("n_a"), F.col("members").alias("left"))
-    b = members.select(F.col("k").alias("b"), F.col("n").alias("n_b"), F.col("members").alias("right"))
-    sizes = members.select("k", "n")
-    # The sizes alone rule out many pairs before the sets are fetched.
-    near = (pairs.join(sizes.select(F.col("k").alias("a"), F.col("n").alias("n_a")), "a")
-            .join(sizes.select(F.col("k").alias("b"), F.col("n").alias("n_b")), "b")
-            .where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)").select("a", "b"))
-    return (near.join(a.drop("n_a"), "a").join(b.drop("n_b"), "b").select("a", "b", "left", "right")
-            .mapInArrow(verify_batches, "a bigint, b bigint"))
+def verified(pairs, rows, classes, page=VERIFY_PAGE):
+    """Those of ``pairs`` (a, b) that are similar, by the sets of their documents in ``rows`` (id, text).
 
+    The pairs are dealt by their component, a large one in pages, and each set goes where its pairs are:
+    once, unless it is paired across pages.
+    """
+    roots = connected(pairs)
+    sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(page)).alias("pages"))
+    dealt = stored(pairs.join(roots.withColumnRenamed("node", "a"), "a").join(sizes, "root")
+                   .select("root", F.pmod(F.xxhash64("b"), F.col("pages")).cast("int").alias("page"), "a", "b"), "dealt")
+    wanted = stored(dealt.select("root", "page", F.explode(F.array("a", "b")).alias("k")).distinct()
+                    .join(classes.select("k", "first"), "k").select("root", "page", "k", "first"), "wanted")
+    small = wanted.count() <= MAX_BROADCAST
+    texts = rows.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("first")))
+    sets = texts.select("root", "page", "k", "text").mapInArrow(member_batches, PAGE_ROWS)
+    asked = dealt.select("root", "page", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("members"))
+    where = ["root", "page"]
+    return (sets.unionAll(asked).repartition(shuffle_partitions(rows.sparkSession), *where)
+            .sortWithinPartitions(*where, "kind").mapInArrow(verify_batches, "a bigint, b bigint"))
 
-def point_batches(batches):
-    for batch in batches:
-        points = [point(np.frombuffer(s, dtype=np.uint64)).tobytes() for s in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(points, type=pa.binary())], names=["k", "point"])
 
+def open_pairs(stars, pairs, roots, classes, page=PAGE, nearest=False):
+    """Pairs of different components that an R-tree join of the unsettled blocks finds.
 
-def open_pairs(stars, pairs, roots, members, page=PAGE):
-    """Pairs of different components that an R-tree join of the unsettled blocks finds."""
+    A block is unsettled if its members, paired with the lowest, are not all of one component. With
+    ``nearest`` only the best partner of each member is given.
+    """
     a, b = (roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
     failed = stored(
         pairs.join(a, "a", "left").join(b, "b", "left")
         .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
         .select(F.col("a").alias("low"), F.col("b").alias("k")), "failed")
     # A block of two is settled: its one pair has been looked at.
-    larger = stars.where("place = 2").select("token")
-    unsettled = stars.join(failed, ["low", "k"], "left_semi").select("token").distinct().join(larger, "token", "left_semi")
-    rows = stars.join(stored(unsettled, "unsettled"), "token", "left_semi")
-    rows = rows.select("token", "k").unionByName(rows.where("place = 1").select("token", F.col("low").alias("k")))
+    block = ["token", "low"]
+    larger = stars.where("place = 2").select(block)
+    unsettled = stored(stars.join(larger, block, "left_semi").join(failed, ["low", "k"], "left_semi").select(block).distinct(),
+                       "unsettled")
+    rows = stars.join(unsettled, block, "left_semi")
+    rows = rows.select(*block, "k").unionByName(rows.where("place = 1").select(*block, F.col("low").alias("k")))
     # Blocks with the same members are one.
-    same = rows.groupBy("token").agg(F.count("*").alias("size"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("sum"),
-                                     F.min("k").alias("low"))
-    blocks = stored(same.groupBy("size", "sum", "low").agg(F.min("token").alias("token")).select("token", "size"), "blocks")
-    points = members.select("k", "members").mapInArrow(point_batches, "k bigint, point binary")
+    same = rows.groupBy(block).agg(F.count("*").alias("size"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("sum"))
+    blocks = stored(same.groupBy("size", "sum", "low").agg(F.min("token").alias("token")).select(*block, "size"), "blocks")
     pages = F.ceil(F.col("size") / F.lit(page)).cast("int")
-    rows = (rows.join(blocks, "token")
+    rows = (rows.join(blocks, block)
             .join(roots.withColumnRenamed("node", "k"), "k", "left")
-            .select("token", "k", F.coalesce("root", "k").alias("component"), pages.alias("pages"))
+            .select(*block, "k", F.coalesce("root", "k").alias("component"), pages.alias("pages"))
             .withColumn("page", F.pmod(F.xxhash64("k"), F.col("pages")).cast("int")))
     split = (rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-             .select("token", F.least("page", "other").alias("one"), F.greatest("page", "other").alias("two"),
+             .select(*block, F.least("page", "other").alias("one"), F.greatest("page", "other").alias("two"),
                      "k", "component", "page"))
-    return (split.join(points, "k")
-            .select("token", "one", "two", "k", "point", "component", "page")
-            .repartition(shuffle_partitions(rows.sparkSession), "token", "one", "two")
-            .sortWithinPartitions("token", "one", "two")
-            .mapInArrow(block_batches, "a bigint, b bigint").distinct())
+    run = [*block, "one", "two"]
+    return (split.join(classes.select("k", "n", "point"), "k")
+            .select(*run, "k", "n", "point", "component", "page")
+            .repartition(shuffle_partitions(rows.sparkSession), *run).sortWithinPartitions(*run)
+            .mapInArrow(block_batches(nearest), "a bigint, b bigint").distinct())
+
+
+def ordered(pairs):
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
@@ -362,30 +418,26 @@ def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows))  # at most MAX_FREQUENT numbers
     sets = stored(rows.mapInArrow(set_batches(shared), SETS), "sets")
-    classes = stored(sets.where("n > 0").groupBy("k").agg(F.min("id").alias("first"), F.max("n").alias("n")), "classes")
+    classes = stored(sets.where("n > 0").groupBy("k").agg(
+        F.min("id").alias("first"), F.max("n").alias("n"), F.first("point", ignorenulls=True).alias("point")), "classes")
 
-    stars = stored(sets.where("tokens IS NOT NULL").select(F.explode("tokens").alias("token"), "k")
-                   .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "k")
+    stars = stored(sets.where("tokens IS NOT NULL").select(F.explode("tokens").alias("token"), "n", "k")
+                   .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "n", "k")
                    .mapInArrow(star_batches, STARS), "stars")
     pairs = stored(stars.select(F.col("low").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    wanted = stored(classes.join(wanted, "k").select("k", "first"), "wanted")
-    small = wanted.count() <= MAX_BROADCAST
-    texts = wanted.select("first").distinct()
-    texts = rows.join(F.broadcast(texts) if small else texts, F.col("id").eqNullSafe(F.col("first")), "left_semi")
-    members = (texts.select("text").mapInArrow(member_batches, MEMBERS)
-               .join(wanted.select("k"), "k", "left_semi").dropDuplicates(["k"]))
-    members = stored(members, "members")
-
-    links = stored(verified(pairs, members), "star-links")
+    near = stored(bounded(ordered(pairs), classes), "near")
+    links = stored(verified(near, rows, classes), "star-links")
     roots = stored(connected(links), "roots")
-    found = open_pairs(stars, pairs, roots, members, page).join(pairs, ["a", "b"], "left_anti")
-    more = stored(verified(found, members), "tree-links")
-    if more.isEmpty():
-        whole = roots
-    else:
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        whole = connected(known.unionByName(more))
+
+    # First the best partners, which joins most of what belongs together, then all pairs that are left.
+    asked, whole = ordered(pairs), roots
+    for nearest in (True, False):
+        found = stored(open_pairs(stars, pairs, whole, classes, page, nearest).join(asked, ["a", "b"], "left_anti"), "tree-pairs")
+        if found.isEmpty():
+            continue
+        more = verified(found, rows, classes)
+        whole = stored(connected(more.unionByName(whole.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+        asked = stored(asked.unionByName(found), "asked")
     whole = stored(classes.join(whole.withColumnRenamed("node", "k"), "k", "left")
                    .select("k", "first", F.coalesce("root", "k").alias("root")), "component-roots")
     lowest = whole.groupBy("root").agg(F.min("first").alias("component"))

@@ -129,13 +129,13 @@ def test_bound_is_never_below_the_overlap():
 def test_tree_finds_all_pairs_within_the_bound(n, m):
     rng = np.random.default_rng(n)
     base = rng.integers(0, 6, (8, jj.GROUPS))
-    make = lambda k: np.maximum(0, base[rng.integers(0, 8, k)] + (rng.random((k, jj.GROUPS)) < 0.1))
+    make = lambda k: (base[rng.integers(0, 8, k)] + (rng.random((k, jj.GROUPS)) < 0.1)).astype(np.uint8)
     a, b = make(n), make(m)
     ca, cb = rng.integers(0, 5, n), rng.integers(0, 5, m)
     pairs = lambda x, cx, y, cy: {
         (i, j) for i in range(len(x)) for j in range(len(y))
-        if cx[i] != cy[j] and 7 * np.minimum(x[i], y[j]).sum() >= 3 * (x[i].sum() + y[j].sum())}
-    ta, tb = jj.Tree(a, a.sum(axis=1), ca), jj.Tree(b, b.sum(axis=1), cb)
+        if cx[i] != cy[j] and 7 * np.minimum(x[i], y[j]).sum(dtype=int) >= 3 * (x[i].sum(dtype=int) + y[j].sum(dtype=int))}
+    ta, tb = jj.Tree(a, a.sum(axis=1, dtype=int), ca), jj.Tree(b, b.sum(axis=1, dtype=int), cb)
     assert set(zip(*(x.tolist() for x in jj.tree_join(ta, tb)))) == pairs(a, ca, b, cb)
     own = [tuple(sorted(p)) for p in zip(*(x.tolist() for x in jj.tree_join(ta)))]
     assert len(own) == len(set(own)) and set(own) == {p for p in pairs(a, ca, a, ca) if p[0] < p[1]}
