@@ -43,11 +43,11 @@ SHINGLE = 5
 GROUPS = 1024
 LONG = 100_000          # the bound passes all sets of so many shingles, whose counts might not fit a byte
 LEAF = 16               # points of a leaf, and nodes of an inner node
-PAGE = 2048             # members of a block that one task joins
+PAGE = 512              # members of a block that one task joins
 VERIFY_PAGE = 256       # documents of a component that one task verifies, beside those they are paired with
 SAMPLE_ROWS = 20_000    # documents sampled for the order of shingles
 FREQUENT_ROWS = 2       # a shingle in so many of them is frequent
-MAX_FREQUENT = 400_000
+MAX_FREQUENT = 200_000
 MAX_BROADCAST = 500_000  # ids broadcast at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
