@@ -26,13 +26,14 @@ so null or repeated ids are fine. An empty table gives an empty result.
 """
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from .common import in_fold, stored
+from .common import in_fold, most_frequent, stored
 
 STATES = 6
 OWN = 1024
@@ -41,9 +42,10 @@ SYMBOLS = OWN + SHARED
 STEPS = 4
 STAY = 0.9              # chance to stay in a state, at the start of the training
 UNEVEN = 4.0            # how much the states' emissions differ then
-HEAD = 65_536           # most frequent words that are broadcast, at least OWN
+HEAD = 131_072          # most frequent words that are broadcast, at most
 SMOOTHING = 0.01        # added to every expected count
 FLUSH_WORDS = 300_000   # distinct words that a task counts before it hands them on
+TEXT_AT_ONCE = 1 << 22  # bytes that are held as separate words at a time, about
 TOKENS_AT_ONCE = 400_000  # tokens of the texts that one recursion handles together, about
 MAX_AT_ONCE = 1024      # and texts
 END = b""               # no word is empty
@@ -60,13 +62,34 @@ def symbol_of(word, own):
     return OWN + xxhash.xxh3_64_intdigest(word) % SHARED if symbol is None else symbol
 
 
+def encoded(texts):
+    """A column of texts, some at a time: (tokens of each text, distinct tokens, the place of each token among them).
+
+    All tokens follow each other in one array; every text ends with END.
+    """
+    some, size = [], 0
+    for text in texts.to_pylist():
+        some.append(text)
+        size += len(text)
+        if size >= TEXT_AT_ONCE:
+            yield _encoded(some)
+            some, size = [], 0
+    if some:
+        yield _encoded(some)
+
+
+def _encoded(texts):
+    words = [tokens_of(text) + [END] for text in texts]
+    found = pa.array(list(chain.from_iterable(words)), type=pa.binary()).dictionary_encode()
+    return np.array([len(w) for w in words]), found.dictionary, found.indices.to_numpy()
+
+
 def count_batches(batches):
     """(text) to partial counts (word, n)."""
     counts = Counter()
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(tokens_of(text))
-            counts[END] += 1
+        for _, words, places in encoded(batch.column(0)):
+            counts.update(dict(zip(words.to_pylist(), np.bincount(places, minlength=len(words)).tolist())))
             if len(counts) > FLUSH_WORDS:
                 yield _counts(counts)
                 counts = Counter()
@@ -84,6 +107,11 @@ def word_counts(texts):
                   .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
 
 
+def frequent_words(counts, head):
+    """At most ``head`` of the most frequent words, the most frequent first."""
+    return sorted(most_frequent(counts, head), key=lambda r: (-r.n, bytes(r.word)))
+
+
 def symbol_batches(shared):
     """(word, n) with the word's symbol."""
     def symbols(batches):
@@ -109,39 +137,40 @@ DOCUMENT = ("row bigint, id bigint, held_out boolean, n_tokens bigint, head_know
 
 def document_batches(shared):
     """(row, id, held_out, text) to the document's symbols, the sums over its head words, and its rare words."""
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(),
-             pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))]
     names = [field.split()[0] for field in DOCUMENT.split(", ")]
 
     def documents(batches):
         logs, own = shared.value
-        symbols = {}
         for batch in batches:
-            out = [[] for _ in range(5)]
-            for text in batch.column(3).to_pylist():
-                words = tokens_of(text)
-                words.append(END)
-                if len(symbols) > FLUSH_WORDS:
-                    symbols = {}
-                for word in words:
-                    if word not in symbols:
-                        symbols[word] = symbol_of(word, own)
-                known, total, rare = 0, 0.0, []
-                for word, times in Counter(words).items():
-                    log = logs.get(word)
-                    if log is None:
-                        rare.append({"word": word, "times": times})
-                    else:
-                        known += times
-                        total += times * log
-                row = (len(words), known, total, np.array([symbols[w] for w in words], dtype=np.uint16).tobytes(), rare)
-                for column, value in zip(out, row):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], *[pa.array(c, type=k) for c, k in zip(out, kinds[3:])]], names=names)
+            first = 0
+            for sizes, words, places in encoded(batch.column(3)):
+                known = words.to_pylist()
+                symbols = np.array([symbol_of(w, own) for w in known], dtype=np.uint16)[places]
+                log = np.array([logs.get(w, np.nan) for w in known])[places]
+                starts = np.cumsum(sizes) - sizes
+                in_head = ~np.isnan(log)
+                rare, rare_ends = _rare(words, places, in_head, sizes)
+                columns = [
+                    pa.array(sizes), pa.array(np.add.reduceat(in_head.astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(np.nan_to_num(log), starts)),
+                    pa.array([symbols[a:a + n].tobytes() for a, n in zip(starts, sizes)], type=pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(rare_ends, type=pa.int32()), rare)]
+                yield pa.RecordBatch.from_arrays(
+                    [c.slice(first, len(sizes)) for c in batch.columns[:3]] + columns, names=names)
+                first += len(sizes)
     return documents
 
 
+def _rare(words, places, in_head, sizes):
+    """The words outside the head with their number of times, text by text, and the list's offsets."""
+    text = np.repeat(np.arange(len(sizes)), sizes)[~in_head]
+    pairs, times = np.unique(text * len(words) + places[~in_head], return_counts=True)
+    ends = np.searchsorted(pairs, np.arange(len(sizes) + 1) * len(words))
+    found = pa.StructArray.from_arrays(
+        [words.take(pa.array(pairs % max(1, len(words)))), pa.array(times.astype(np.int32))], names=["word", "times"])
+    return found, ends
+
+
 def initial_model(tokens, states=STATES):
     """Start, transition and emission probabilities: states that last, each with its own leaning.
 
@@ -185,20 +214,21 @@ def forward(sequences, model, keep=False):
     """Scaled forward recursion over sequences sorted by falling length.
 
     Returns the natural log-likelihoods and, with ``keep``, the lattice, emissions, scaled alphas and scales.
+    States are rows and tokens columns throughout, in the model's precision.
     """
     start, move, emit = model
     lattice = Lattice(sequences)
-    emitted = emit.T[lattice.symbols]
-    alphas, scales = np.empty_like(emitted), np.empty(len(emitted))
-    logs = np.zeros(lattice.n)
-    alpha = np.broadcast_to(start, (lattice.n, len(start)))
+    emitted = np.ascontiguousarray(emit[:, lattice.symbols])
+    alphas, scales = np.empty_like(emitted), np.empty(emitted.shape[1], dtype=emitted.dtype)
+    logs, step = np.zeros(lattice.n), np.ascontiguousarray(move.T)
+    alpha = np.repeat(start[:, None], lattice.n, axis=1)
     for t in range(lattice.longest):
         here, k = lattice.at(t), lattice.alive[t]
-        alpha = (alpha[:k] @ move if t else alpha) * emitted[here]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        alphas[here], scales[here] = alpha, scale
-    log_scales = np.log(scales)
+        alpha = (step @ alpha[:, :k] if t else alpha) * emitted[:, here]
+        scale = alpha.sum(axis=0)
+        alpha /= scale
+        alphas[:, here], scales[here] = alpha, scale
+    log_scales = np.log(scales.astype(np.float64))
     for t in range(lattice.longest):
         logs[:lattice.alive[t]] += log_scales[lattice.at(t)]
     return (logs, lattice, emitted, alphas, scales) if keep else logs
@@ -208,36 +238,35 @@ def expected_counts(sequences, model):
     """Start, transition and emission counts, and the log-likelihood, of some sequences."""
     start, move, emit = model
     logs, lattice, emitted, alphas, scales = forward(sequences, model, keep=True)
-    states = len(start)
-    emitted /= scales[:, None]
+    emitted /= scales
     betas = np.ones_like(alphas)  # a sequence's last place keeps its ones
     for t in range(lattice.longest - 1, 0, -1):
         here = lattice.at(t)
-        emitted[here] *= betas[here]
+        emitted[:, here] *= betas[:, here]
         before = lattice.start[t - 1]
-        betas[before:before + lattice.alive[t]] = emitted[here] @ move.T
+        betas[:, before:before + lattice.alive[t]] = move @ emitted[:, here]
     gammas = alphas * betas
-    emits = np.stack([np.bincount(lattice.symbols, weights=gammas[:, s], minlength=emit.shape[1]) for s in range(states)])
+    emits = np.stack([np.bincount(lattice.symbols, weights=gamma, minlength=emit.shape[1]) for gamma in gammas])
     # Each token after the first is reached from the same sequence's token at the place before.
     first = lattice.alive[0]
     place = np.repeat(np.arange(lattice.longest), lattice.alive)[first:]
-    at = np.arange(first, len(alphas))
-    reached_from = at - lattice.start[place] + lattice.start[place - 1]
-    moves = alphas[reached_from].T @ emitted[first:]
-    return gammas[:first].sum(axis=0), moves * move, emits, float(logs.sum())
+    reached_from = np.arange(first, alphas.shape[1]) - lattice.start[place] + lattice.start[place - 1]
+    moves = alphas[:, reached_from] @ emitted[:, first:].T * move
+    return gammas[:, :first].sum(axis=1), moves, emits, float(logs.sum())
 
 
 def expectation_batches(shared):
     """(symbols) to a task's summed counts: rows (state, place, n)."""
     def expectations(batches):
-        model = shared.value
-        states, total = len(model[0]), None
+        # Single precision is enough for counts; scores are computed in double.
+        model = tuple(part.astype(np.float32) for part in shared.value)
+        total = None
         for batch in batches:
             sequences = [np.frombuffer(s, dtype=np.uint16) for s in batch.column(0).to_pylist()]
             for group in _groups(sequences):
                 starts, moves, emits, log = expected_counts([sequences[i] for i in group], model)
                 # One row per state: start, moves, emissions; the likelihood in a row of its own.
-                counts = np.column_stack([starts, moves, emits])
+                counts = np.column_stack([starts, moves, emits]).astype(np.float64)
                 total = (counts, log) if total is None else (total[0] + counts, total[1] + log)
         if total is not None:
             state, place = np.indices(total[0].shape)
@@ -291,7 +320,7 @@ def score_documents(docs, states=STATES, steps=STEPS, head=HEAD, text="text", id
                        in_fold(id_column, 7, 2).alias("held_out"),
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     counts = word_counts(rows.where("NOT held_out").select("text"))
-    frequent = counts.orderBy(F.col("n").desc(), "word").limit(head).collect()  # at most ``head`` rows
+    frequent = frequent_words(counts, head)
     context = spark.sparkContext
     logs = {bytes(r.word): float(np.log10(r.n + 1)) for r in frequent}
     own = {bytes(r.word): i for i, r in enumerate(frequent[:OWN])}
