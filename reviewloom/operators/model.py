@@ -78,7 +78,7 @@ def join_labels(rows, labels, id_col, max_rows=None):
 
 
 def train_model(hashed, training_dir, label_col="label", labels=LABELS, max_iter=20,
-                regularisation=0.001, tree_depth=3):
+                regularisation=0.05, tree_depth=3):
     """Fit a logistic regression on a table from ``hash_texts`` with a label column.
 
     Counts are weighed by rarity and each text brought to unit length, so that long texts and common words do
