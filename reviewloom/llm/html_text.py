@@ -1,15 +1,16 @@
 """Main text of web pages by site template removal.
 
-Every element outside a page's article is hashed with its whole subtree (tags, class and id,
-text). Spark counts, per host, the pages on which a hash occurs. A subtree that recurs on
-many pages of its host belongs to the site's template and is deleted, with all
-it holds. What the markup itself names as something other than the article
+Every element is hashed with its whole subtree (tags, class and id, text). Spark counts, per host,
+the pages on which a hash occurs. A subtree that recurs on many pages of its host belongs to the
+site's template and is deleted, with all it holds. Inside articles whole blocks (not rows, items,
+headings or words in bold) are counted per different article, and deleted if at least
+``MIN_ARTICLES`` articles and ``ARTICLE_SHARE`` of those of the host have them: articles may quote each
+other, and near copies share most of their blocks. What the markup itself names as something other than the article
 (menus, headers, footers, forms, scripts, and blocks classed as adverts, notices,
 sidebars or comments) is deleted as well, since some of it changes with every page.
 
 A page's article is its ``article`` or ``main`` element. Where it has one, only that
-element's text counts, and a paragraph in it is never template: articles may quote each other. Where it
-has none, everything not deleted counts.
+element's text counts. Where it has none, everything not deleted counts.
 
 The templates of a host are few (see ``SHARE``), so they are joined to the pages by host; Spark
 broadcasts them while they are small, and splits a hot host otherwise.
@@ -23,7 +24,6 @@ import hashlib
 import html as entities
 import re
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -31,6 +31,9 @@ from .common import stored
 
 MIN_PAGES = 5   # a template element is on so many pages of its host,
 SHARE = 0.1     # and on this share of them, so a host has few
+MIN_ARTICLES = 20   # a template block inside articles is in so many different ones of its host,
+ARTICLE_SHARE = 0.5  # and in this share of them: less may be a quote or a group of near copies
+PAGE, ARTICLE = 0, 1  # in place of hashes: the page itself, and its articles
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -46,6 +49,11 @@ CLOSES_P = BLOCKS - frozenset("body html li dd dt option tbody td tfoot th thead
 SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
                "td": {"td", "th"}, "th": {"td", "th"}}
 LIST_ROOTS = frozenset("ul ol menu dl table select".split())
+ARTICLES = frozenset(("article", "main"))
+NEVER = RAW | ARTICLES | frozenset("#root html body head".split())
+# Blocks that are no part of another one, as rows, items and headings are.
+WHOLE = BLOCKS - ARTICLES - frozenset(
+    "body dd dt h1 h2 h3 h4 h5 h6 hr html li option summary tbody td tfoot th thead tr".split())
 # What is never part of an article.
 DROPPED = frozenset(
     "head title script style template noscript iframe object svg canvas nav header footer aside form button select "
@@ -57,10 +65,11 @@ DROPPED_NAMES = re.compile(
 
 
 class Element:
-    __slots__ = ("tag", "names", "parts", "digest")
+    __slots__ = ("tag", "names", "parts", "digest", "home", "gone", "holds")
 
     def __init__(self, tag, names=""):
         self.tag, self.names, self.parts, self.digest = tag, names, [], None
+        self.home, self.gone, self.holds = None, False, False
 
 
 def _names(attributes):
@@ -118,42 +127,35 @@ def _close(stack, tags, barriers):
 
 
 def walk(root):
-    """Elements, every child before its parent."""
+    """Elements, every child before its parent; each gets the article it is in, and whether it is in a dropped element."""
     order, todo = [], [root]
     while todo:
         element = todo.pop()
         order.append(element)
-        todo.extend(part for part in element.parts if isinstance(part, Element))
-    return reversed(order)
+        element.gone = element.gone or element.tag in DROPPED
+        home = element if element.tag in ARTICLES else element.home
+        for part in element.parts:
+            if isinstance(part, Element):
+                part.home, part.gone = home, element.gone
+                todo.append(part)
+    return list(reversed(order))
 
 
 def dropped(element):
     return element.tag in DROPPED or bool(element.names and DROPPED_NAMES.search(element.names))
 
 
-def digest_tree(root, articles):
-    """Set the digest of every element outside the articles, from its tag, names, text and children.
-
-    An element that holds an article has none: it is never template.
-    """
-    inside, todo = set(), list(articles)
-    while todo:
-        element = todo.pop()
-        inside.add(id(element))
-        todo.extend(part for part in element.parts if isinstance(part, Element))
-    for element in walk(root):
-        if id(element) in inside:
-            continue
+def digest_tree(order):
+    """Set the digest of every element, from its tag, names, text and children, and whether it holds an article."""
+    for element in order:
         state = hashlib.blake2b(f"{element.tag}\0{element.names}\0".encode("utf-8", "replace"), digest_size=8)
         for part in element.parts:
             if isinstance(part, str):
                 state.update(b"\1" + " ".join(part.split()).encode("utf-8", "replace"))
-            elif part.digest is None:
-                break
             else:
                 state.update(part.digest)
-        else:
-            element.digest = state.digest()
+                element.holds = element.holds or part.holds or part.tag in ARTICLES
+        element.digest = state.digest()
 
 
 def article_of(root):
@@ -163,7 +165,7 @@ def article_of(root):
         element = todo.pop(0)
         for part in element.parts:
             if isinstance(part, Element):
-                if part.tag in ("article", "main"):
+                if part.tag in ARTICLES:
                     found.append(part)
                 elif not dropped(part):
                     todo.append(part)
@@ -174,21 +176,44 @@ def _number(digest):
     return int.from_bytes(digest, "little", signed=True)
 
 
+def candidates(order):
+    """(element, hash) of the elements that may be template; the lowest bit of the hash says if it is in an article.
+
+    Neither an article nor what holds one is template. In an article only whole blocks are: a word in bold, a
+    heading or a cell of a table recurs in texts that have nothing else in common.
+    """
+    for element in order:
+        if element.gone or element.holds or not element.parts or element.tag in NEVER:
+            continue
+        if element.home is None:
+            yield element, _number(element.digest) & ~1
+        elif element.tag in WHOLE:
+            yield element, _number(element.digest) | 1
+
+
 def template_hashes(page):
-    """The distinct hashes of the page's elements that may be template."""
-    root = parse(page)
-    digest_tree(root, article_of(root))
-    return {_number(element.digest) for element in walk(root)
-            if element.digest and element.parts and element.tag not in ("#root", "html", "body", "head")
-            and element.tag not in RAW}
+    """The distinct hashes of the page's elements that may be template, each with the number of its article, if any.
+
+    ``ARTICLE`` stands for all that the page has in articles.
+    """
+    order = walk(parse(page))
+    digest_tree(order)
+    found = {(number, _number(element.home.digest) if element.home else None) for element, number in candidates(order)}
+    whole = [element.digest for element in order if element.tag in ARTICLES and not element.home and not element.gone]
+    if whole:
+        found.add((ARTICLE, _number(hashlib.blake2b(b"".join(whole), digest_size=8).digest())))
+    return found
 
 
 def main_text(page, templates=frozenset()):
     """The text of a page without dropped elements and those whose hash is in ``templates``."""
     root = parse(page)
-    articles = article_of(root)
+    order = walk(root)
+    template = set()
     if templates:
-        digest_tree(root, articles)
+        digest_tree(order)
+        template = {id(element) for element, number in candidates(order) if number in templates}
+    articles = article_of(root)
     narrowed = {id(a) for a in articles}
     blocks, current = [], []
 
@@ -208,11 +233,11 @@ def main_text(page, templates=frozenset()):
                 current.append(part)
         elif part.tag == "br" or part.tag == "wbr":
             current.append(" " if part.tag == "br" else "")
-        elif dropped(part) and part.tag not in ("article", "main"):
+        elif dropped(part) and part.tag not in ARTICLES:
             # Text on both sides of a dropped block are separate blocks.
             if part.tag in BLOCKS:
                 flush()
-        elif part.digest and _number(part.digest) in templates:
+        elif id(part) in template:
             flush()
         else:
             within = within or id(part) in narrowed
@@ -225,27 +250,23 @@ def main_text(page, templates=frozenset()):
 
 
 def hash_batches(batches):
+    """(host, page, html) to the page's hashes, and the article of each hash from inside one."""
     for batch in batches:
-        found = [sorted(template_hashes(page)) for page in batch.column(2).to_pylist()]
+        hashes, articles = [], []
+        for page in batch.column(2).to_pylist():
+            found = [(PAGE, None), *sorted(template_hashes(page), key=str)]
+            hashes.append([number for number, _ in found])
+            articles.append([article for _, article in found])
+        lists = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(found, type=pa.list_(pa.int64()))],
-            names=["host", "page", "hashes"])
+            [batch.column(0), batch.column(1), pa.array(hashes, type=lists), pa.array(articles, type=lists)],
+            names=["host", "page", "hashes", "articles"])
 
 
 def text_batches(batches):
     for batch in batches:
         ids, urls, pages, templates = (batch.column(i) for i in range(4))
-        known, texts = {}, []
-        for page, hashes in zip(pages.to_pylist(), templates):
-            key = hashes.values if hashes.is_valid else None
-            if key is None:
-                found = frozenset()
-            else:
-                key = np.asarray(key).tobytes()
-                found = known.get(key)
-                if found is None:
-                    found = known[key] = frozenset(hashes.as_py())
-            texts.append(main_text(page, found))
+        texts = [main_text(page, frozenset(found or ())) for page, found in zip(pages.to_pylist(), templates.to_pylist())]
         yield pa.RecordBatch.from_arrays([ids, urls, pa.array(texts, type=pa.string())], names=["page_id", "url", "text"])
 
 
@@ -256,21 +277,23 @@ def host_of(url):
 
 
 def site_templates(pages, min_pages=MIN_PAGES, share=SHARE):
-    """(host, templates): the hashes of subtrees that recur on many pages of the host.
+    """(host, templates): the hashes of subtrees that recur on many pages of the host, or in most of its articles.
 
     ``pages`` has host and html. Spark sums the counts within each task before it shuffles them.
     """
     hashed = pages.where("host <> ''").select("host", F.xxhash64("html").alias("page"), "html").mapInArrow(
-        hash_batches, "host string, page bigint, hashes array<bigint>")
-    # Copies of a page count once, or a page copied often enough would be its own template.
-    distinct = hashed.groupBy("host", "page").agg(F.first("hashes").alias("hashes"))
-    # A null stands for the page itself.
-    counts = (distinct.select("host", F.explode(F.concat(F.array(F.lit(None).cast("bigint")), "hashes")).alias("hash"))
-              .groupBy("host", "hash").count())
-    counts = stored(counts.where(F.col("hash").isNull() | (F.col("count") >= min_pages)), "page-hashes")
-    hosts = counts.where("hash IS NULL").select("host", F.col("count").alias("pages"))
-    return (counts.where("hash IS NOT NULL").join(hosts, "host")
-            .where(F.col("count") >= F.col("pages") * share)
+        hash_batches, "host string, page bigint, hashes array<bigint>, articles array<bigint>")
+    # Copies of a page or an article count once, or one copied often enough would be its own template.
+    distinct = hashed.groupBy("host", "page").agg(F.first(F.arrays_zip("hashes", "articles")).alias("found"))
+    counts = (distinct.select("host", "page", F.explode("found").alias("found"))
+              .select("host", F.col("found.hashes").alias("hash"), F.coalesce("found.articles", "page").alias("unit"))
+              .distinct().groupBy("host", "hash").count())
+    counts = stored(counts.where(F.col("hash").isin(PAGE, ARTICLE) | (F.col("count") >= min_pages)), "page-hashes")
+    totals = counts.groupBy("host").agg(*(F.max(F.when(F.col("hash") == kind, F.col("count"))).alias(name)
+                                          for kind, name in ((PAGE, "pages"), (ARTICLE, "articles"))))
+    many = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 0, F.col("count") >= F.col("pages") * share).otherwise(
+        (F.col("count") >= MIN_ARTICLES) & (F.col("count") >= F.col("articles") * ARTICLE_SHARE))
+    return (counts.where(~F.col("hash").isin(PAGE, ARTICLE)).join(totals, "host").where(many)
             .groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("templates")))
 
 

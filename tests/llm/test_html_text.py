@@ -63,6 +63,20 @@ def test_articles_may_quote_each_other(spark):
     assert got == [f"Quoted by all\n\n{i}" for i in range(9)]
 
 
+def test_notices_inside_articles_go(spark):
+    notice = "<div><p>Read our letter</p><p>Every day</p></div>"
+    quote = "<p>Quoted by some</p>"
+
+    def body(i):
+        return f"<div>{i}</div><article><h2>Summary</h2><p>{i} <b>Note</b></p>{quote if i < 12 else ''}{notice}</article>"
+    # The copies of one article under another menu count as one.
+    rows = site("a.example", 30, body) + [(100 + i, f"https://a.example/c{i}", f"<div>{i}</div><main><p>Copied</p></main>")
+                                          for i in range(60)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[20] == "Summary\n\n20 Note" and got[3] == "Summary\n\n3 Note\n\nQuoted by some"
+    assert {got[100 + i] for i in range(60)} == {"Copied"}
+
+
 def test_copies_of_a_page_are_no_template(spark):
     rows = [(i, f"https://a.example/{i}", "<div><p>One text</p></div>") for i in range(20)]
     assert {r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()} == {"One text"}
