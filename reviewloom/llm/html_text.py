@@ -9,8 +9,9 @@ other, and near copies share most of their blocks. What the markup itself names
 (menus, headers, footers, forms, scripts, and blocks classed as adverts, notices,
 sidebars or comments) is deleted as well, since some of it changes with every page.
 
-A page's article is its ``article`` or ``main`` element. Where it has one, only that
-element's text counts. Where it has none, everything not deleted counts.
+A page's articles are its ``article`` and ``main`` elements. Where they have ``ARTICLE_PART`` of the text that
+is not deleted, only their text counts; else they are empty places or teasers, and everything not
+deleted counts. A name or a form around most of a page deletes nothing.
 
 The templates of a host are few (see ``SHARE``), so they are joined to the pages by host; Spark
 broadcasts them while they are small, and splits a hot host otherwise.
@@ -32,6 +33,7 @@ from .common import stored
 MIN_PAGES = 5   # a template element is on so many pages of its host,
 SHARE = 0.1     # and on this share of them, so a host has few
 MIN_ARTICLES = 20   # a template block inside articles is in so many different ones of its host,
+ARTICLE_PART = 0.25  # articles with less of a page's text are not the main text
 ARTICLE_SHARE = 0.5  # and in this share of them: less may be a quote or a group of near copies
 PAGE, ARTICLE = 0, 1  # in place of hashes: the page itself, and its articles
 
@@ -51,12 +53,14 @@ SAME_CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {
 LIST_ROOTS = frozenset("ul ol menu dl table select".split())
 ARTICLES = frozenset(("article", "main"))
 NEVER = RAW | ARTICLES | frozenset("#root html body head".split())
+# Elements whose names do not decide.
+LAYOUT = ARTICLES | frozenset(("html", "body"))
 # Blocks that are no part of another one, as rows, items and headings are.
 WHOLE = BLOCKS - ARTICLES - frozenset(
     "body dd dt h1 h2 h3 h4 h5 h6 hr html li option summary tbody td tfoot th thead tr".split())
-# What is never part of an article.
+# What is never part of an article, besides forms.
 DROPPED = frozenset(
-    "head title script style template noscript iframe object svg canvas nav header footer aside form button select "
+    "head title script style template noscript iframe object svg canvas nav header footer aside button select "
     "textarea input dialog menu noembed noframes xmp".split())
 DROPPED_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|"
@@ -65,11 +69,11 @@ DROPPED_NAMES = re.compile(
 
 
 class Element:
-    __slots__ = ("tag", "names", "parts", "digest", "home", "gone", "holds")
+    __slots__ = ("tag", "names", "parts", "digest", "home", "gone", "holds", "size", "told")
 
     def __init__(self, tag, names=""):
         self.tag, self.names, self.parts, self.digest = tag, names, [], None
-        self.home, self.gone, self.holds = None, False, False
+        self.home, self.gone, self.holds, self.size, self.told = None, False, False, 0, 0
 
 
 def _names(attributes):
@@ -127,7 +131,7 @@ def _close(stack, tags, barriers):
 
 
 def walk(root):
-    """Elements, every child before its parent; each gets the article it is in, and whether it is in a dropped element."""
+    """Elements, every child before its parent; each knows the article it is in, and if it is dropped or holds an article."""
     order, todo = [], [root]
     while todo:
         element = todo.pop()
@@ -138,15 +142,44 @@ def walk(root):
             if isinstance(part, Element):
                 part.home, part.gone = home, element.gone
                 todo.append(part)
-    return list(reversed(order))
+    order.reverse()
+    for element in order:
+        element.holds = any(isinstance(part, Element) and (part.holds or part.tag in ARTICLES) for part in element.parts)
+    return order
+
+
+def measure(order, template):
+    """Set the number of letters of every element without dropped ones and ``template``, and those of them in articles."""
+    for element in order:
+        if element.gone or id(element) in template:
+            continue
+        for part in element.parts:
+            if isinstance(part, str):
+                element.size += sum(map(len, part.split()))
+            else:
+                element.size += part.size
+                element.told += part.told
+        if element.tag in ARTICLES or element.home:
+            element.told = element.size
 
 
-def dropped(element):
-    return element.tag in DROPPED or bool(element.names and DROPPED_NAMES.search(element.names))
+def dropped(element, page):
+    """Whether an element of the measured tree ``page`` is no part of the text, by its tag or by its names.
+
+    Names also describe layout (``has-sidebar``), and a form may be around a whole page. So neither
+    counts for what holds most of the page's text or of its articles, unless another article is left.
+    """
+    if element.tag in DROPPED:
+        return True
+    if element.tag in LAYOUT or not (element.tag == "form" or element.names and DROPPED_NAMES.search(element.names)):
+        return False
+    most = 2 * element.size > page.size or (
+        element.holds and 2 * element.told >= page.told and element.size >= ARTICLE_PART * page.size)
+    return not most or page.told - element.told >= ARTICLE_PART * page.size
 
 
 def digest_tree(order):
-    """Set the digest of every element, from its tag, names, text and children, and whether it holds an article."""
+    """Set the digest of every element, from its tag, names, text and children."""
     for element in order:
         state = hashlib.blake2b(f"{element.tag}\0{element.names}\0".encode("utf-8", "replace"), digest_size=8)
         for part in element.parts:
@@ -154,24 +187,9 @@ def digest_tree(order):
                 state.update(b"\1" + " ".join(part.split()).encode("utf-8", "replace"))
             else:
                 state.update(part.digest)
-                element.holds = element.holds or part.holds or part.tag in ARTICLES
         element.digest = state.digest()
 
 
-def article_of(root):
-    """The outermost article or main elements; none if the page has none with text."""
-    found, todo = [], [root]
-    while todo:
-        element = todo.pop(0)
-        for part in element.parts:
-            if isinstance(part, Element):
-                if part.tag in ARTICLES:
-                    found.append(part)
-                elif not dropped(part):
-                    todo.append(part)
-    return found
-
-
 def _number(digest):
     return int.from_bytes(digest, "little", signed=True)
 
@@ -213,40 +231,40 @@ def main_text(page, templates=frozenset()):
     if templates:
         digest_tree(order)
         template = {id(element) for element, number in candidates(order) if number in templates}
-    articles = article_of(root)
-    narrowed = {id(a) for a in articles}
+    measure(order, template)
     blocks, current = [], []
 
-    def flush():
+    def flush(within):
         text = " ".join(entities.unescape("".join(current)).split())
         if text:
-            blocks.append(text)
+            blocks.append((within, text))
         current.clear()
 
-    todo, within = [(root, not articles)], not articles
+    todo, within = [(root, False)], False
     while todo:
         part, within = todo.pop()
         if part is None:
-            flush()
+            flush(within)
         elif isinstance(part, str):
-            if within:
-                current.append(part)
+            current.append(part)
         elif part.tag == "br" or part.tag == "wbr":
             current.append(" " if part.tag == "br" else "")
-        elif dropped(part) and part.tag not in ARTICLES:
+        elif dropped(part, root):
             # Text on both sides of a dropped block are separate blocks.
             if part.tag in BLOCKS:
-                flush()
+                flush(within)
         elif id(part) in template:
-            flush()
+            flush(within)
         else:
-            within = within or id(part) in narrowed
             if part.tag in BLOCKS or part.tag == "#root":
-                flush()
+                flush(within)
+                within = within or part.tag in ARTICLES
                 todo.append((None, within))
             todo.extend((inner, within) for inner in reversed(part.parts))
-    flush()
-    return "\n\n".join(blocks)
+    flush(within)
+    told = sum(len(text) for inside, text in blocks if inside)
+    narrow = told and told >= ARTICLE_PART * sum(len(text) for _, text in blocks)
+    return "\n\n".join(text for inside, text in blocks if inside or not narrow)
 
 
 def hash_batches(batches):

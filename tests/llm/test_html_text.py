@@ -29,6 +29,23 @@ PAGES = "page_id bigint, url string, html string"
     ("<ARTICLE><P>Up</P></ARTICLE>", "Up"),
     ("<article>one</article><article>two</article>", "one\n\ntwo"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
+    # No main text: an empty place, a teaser.
+    ("<main></main><div>real text</div>", "real text"),
+    ("<article><img></article><main> </main><p>real", "real"),
+    ("<article>tease</article><div>" + "real " * 20 + "</div>", "tease\n\n" + " ".join(["real"] * 20)),
+    # Names and forms around the text.
+    ("<body class='has-sidebar'><article>x</article></body>", "x"),
+    ("<body class='no-banner'><p>x</p><footer>f</footer></body>", "x"),
+    ("<html id=menu><div class='page with-sidebar'><main>The text</main><div class='sidebar'>side</div></div></html>", "The text"),
+    ("<form><nav>n</nav><div><article>x</article></div></form>", "x"),
+    ("<form action=q><p>All of the page</p></form><form>q</form>", "All of the page"),
+    ("<main><div class='content has-sidebar'><article>x</article><p class=ad>a</p></div></main>", "x"),
+    ("<form class='no-menu'><article>The text</article>tail</form><p>out", "The text"),
+    # They still count for what is around something else.
+    ("<article>The text of it</article><div class='comments'><article>And a comment that is longer</article></div>",
+     "The text of it"),
+    ("<div class='related'><article>t</article></div><div>All of the real text</div>", "All of the real text"),
+    ("<aside><article>no</article></aside><p>yes", "yes"),
 ])
 def test_one_page(page, text):
     assert main_text(page) == text
