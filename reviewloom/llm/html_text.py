@@ -13,8 +13,8 @@ A page's articles are its ``article`` and ``main`` elements. Where they have ``A
 is not deleted, only their text counts; else they are empty places or teasers, and everything not
 deleted counts. A name or a form around most of a page deletes nothing.
 
-The templates of a host are few (see ``SHARE``), so they are joined to the pages by host; Spark
-broadcasts them while they are small, and splits a hot host otherwise.
+The templates of a host may be many. They are joined to the hashes of each page, and what a page
+has of them to the page; no task holds those of a host.
 
 Special cases: a null or empty html gives an empty text. A null url, or one without a host,
 has no template. Unclosed elements end with their parent, unmatched end tags are
@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-MIN_PAGES = 5   # a template element is on so many pages of its host,
-SHARE = 0.1     # and on this share of them, so a host has few
+MIN_PAGES = 5   # a template element is on so many different pages of its host
 MIN_ARTICLES = 20   # a template block inside articles is in so many different ones of its host,
 ARTICLE_PART = 0.25  # articles with less of a page's text are not the main text
 ARTICLE_SHARE = 0.5  # and in this share of them: less may be a quote or a group of near copies
-PAGE, ARTICLE = 0, 1  # in place of hashes: the page itself, and its articles
+HOT, SALTS = 1_000, 32  # the pages of a hash on more of them are joined in so many tasks
+ARTICLE = 1         # in place of a hash: all that a page has in articles
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -272,7 +272,7 @@ def hash_batches(batches):
     for batch in batches:
         hashes, articles = [], []
         for page in batch.column(2).to_pylist():
-            found = [(PAGE, None), *sorted(template_hashes(page), key=str)]
+            found = sorted(template_hashes(page), key=str)
             hashes.append([number for number, _ in found])
             articles.append([article for _, article in found])
         lists = pa.list_(pa.int64())
@@ -294,31 +294,67 @@ def host_of(url):
     return F.lower(F.regexp_replace(F.regexp_replace(authority, r"^.*@", ""), r":[0-9]*$", ""))
 
 
-def site_templates(pages, min_pages=MIN_PAGES, share=SHARE):
-    """(host, templates): the hashes of subtrees that recur on many pages of the host, or in most of its articles.
+def page_hashes(pages):
+    """(host, page, found) of the different pages of each host; ``found`` has the hashes and their articles.
 
-    ``pages`` has host and html. Spark sums the counts within each task before it shuffles them.
+    ``pages`` has host and html. Pages without a host have no template.
     """
     hashed = pages.where("host <> ''").select("host", F.xxhash64("html").alias("page"), "html").mapInArrow(
         hash_batches, "host string, page bigint, hashes array<bigint>, articles array<bigint>")
-    # Copies of a page or an article count once, or one copied often enough would be its own template.
-    distinct = hashed.groupBy("host", "page").agg(F.first(F.arrays_zip("hashes", "articles")).alias("found"))
-    counts = (distinct.select("host", "page", F.explode("found").alias("found"))
-              .select("host", F.col("found.hashes").alias("hash"), F.coalesce("found.articles", "page").alias("unit"))
-              .distinct().groupBy("host", "hash").count())
-    counts = stored(counts.where(F.col("hash").isin(PAGE, ARTICLE) | (F.col("count") >= min_pages)), "page-hashes")
-    totals = counts.groupBy("host").agg(*(F.max(F.when(F.col("hash") == kind, F.col("count"))).alias(name)
-                                          for kind, name in ((PAGE, "pages"), (ARTICLE, "articles"))))
-    many = F.when(F.col("hash").bitwiseAND(F.lit(1)) == 0, F.col("count") >= F.col("pages") * share).otherwise(
-        (F.col("count") >= MIN_ARTICLES) & (F.col("count") >= F.col("articles") * ARTICLE_SHARE))
-    return (counts.where(~F.col("hash").isin(PAGE, ARTICLE)).join(totals, "host").where(many)
+    # Copies of a page count once, or one copied often enough would be its own template.
+    return hashed.groupBy("host", "page").agg(F.first(F.arrays_zip("hashes", "articles")).alias("found"))
+
+
+def recurring(hashes, min_pages=MIN_PAGES):
+    """(host, hash, pages, template): subtrees on many pages of their host, or in most of its articles, are template.
+
+    Those on more than ``HOT`` pages are there in any case. Spark sums the counts within each task before it shuffles them.
+    """
+    # Copies of an article count once.
+    units = (hashes.select("host", "page", F.explode("found").alias("found"))
+             .groupBy("host", F.col("found.hashes").alias("hash"), F.coalesce("found.articles", "page").alias("unit"))
+             .agg(F.count("*").alias("pages")))
+    inside = F.col("hash").bitwiseAND(F.lit(1)) == 1
+    many = F.when(inside, F.col("count") >= MIN_ARTICLES).otherwise(F.col("count") >= min_pages)
+    counts = units.groupBy("host", "hash").agg(F.count("*").alias("count"), F.sum("pages").alias("pages"))
+    counts = stored(counts.where((F.col("hash") == ARTICLE) | many | (F.col("pages") > HOT)), "hash-counts")
+    totals = counts.where(F.col("hash") == ARTICLE).select("host", F.col("count").alias("articles"))
+    most = F.col("count") >= F.col("articles") * ARTICLE_SHARE
+    return (counts.where(F.col("hash") != ARTICLE).join(totals, "host", "left")
+            .select("host", "hash", "pages", (many & (~inside | most)).alias("template"))
+            .where(F.col("template") | (F.col("pages") > HOT)))
+
+
+def site_templates(pages, min_pages=MIN_PAGES):
+    """(host, templates): the hashes of a host's templates in one list, to look at; ``extract_text`` gathers none."""
+    return (recurring(page_hashes(pages), min_pages).where("template")
             .groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("templates")))
 
 
-def extract_text(pages, min_pages=MIN_PAGES, share=SHARE):
+def page_templates(hashes, counted):
+    """(host, page, templates): those of a page's own hashes that ``counted`` (host, hash, pages, template) calls template.
+
+    The pages of a hash on more than ``HOT`` are dealt to ``SALTS`` tasks. There is at most one such hash
+    for ``HOT`` rows.
+    """
+    rows = (hashes.select("host", "page", F.explode("found.hashes").alias("hash")).where(F.col("hash") != ARTICLE)
+            .withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int")))
+    key = ["host", "hash", "salt"]
+    hot = counted.where(F.col("pages") > HOT).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rare = counted.where(F.col("pages") <= HOT)
+    found = rows.join(hot.where("template"), key, "left_semi").unionByName(
+        rows.join(hot, key, "left_anti").join(rare, ["host", "hash"], "left_semi"))
+    return found.groupBy("host", "page").agg(F.collect_set("hash").alias("templates"))
+
+
+def extract_text(pages, min_pages=MIN_PAGES):
     """page_id, url and main text of every row of ``pages`` (page_id, url, html)."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"),
                         host_of(F.col("url")).alias("host"))
-    templates = stored(site_templates(rows, min_pages, share), "templates")
-    return (rows.join(templates, "host", "left").select("page_id", "url", "html", "templates")
+    hashes = stored(page_hashes(rows), "page-hashes")
+    counted = stored(recurring(hashes, min_pages), "templates")
+    found = stored(page_templates(hashes, counted), "page-templates")
+    # A row for each page is too much to broadcast; by hashes the pages need no sort.
+    return (rows.withColumn("page", F.xxhash64("html")).join(found.hint("shuffle_hash"), ["host", "page"], "left")
+            .select("page_id", "url", "html", "templates")
             .mapInArrow(text_batches, "page_id bigint, url string, text string"))

@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from reviewloom.llm import html_text
 from reviewloom.llm.html_text import extract_text, host_of, main_text, site_templates, template_hashes
 
 PAGES = "page_id bigint, url string, html string"
@@ -99,6 +100,18 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()} == {"One text"}
 
 
+def test_templates_do_not_depend_on_the_size_of_the_host(spark, monkeypatch):
+    monkeypatch.setattr(html_text, "HOT", 8)
+
+    def body(i):
+        return (f"<div>On each</div>{'<div>Section</div>' if i < 6 else ''}<p>Text {i}</p>"
+                f"{'<div>Few</div>' if i < 4 else ''}")
+    rows = site("a.example", 200, body) + [(1, "https://a.example/again", body(1))]
+    got = {(r.page_id, r.url[-5:]): r.text for r in extract_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert len(got) == 201 and got[1, "again"] == got[1, "ple/1"] == "Text 1\n\nFew"
+    assert got[5, "ple/5"] == "Text 5" and got[199, "e/199"] == "Text 199"
+
+
 def test_templates_are_counted_per_host(spark):
     rows = spark.createDataFrame(
         [(i, "h", f"<div>t</div><p>{i}</p>") for i in range(6)] + [(i, "g", "<div>t</div>" + "x" * i) for i in range(4)],
