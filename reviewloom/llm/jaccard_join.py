@@ -21,6 +21,9 @@ Within a block sorted by size, a step of more than a third ends the block: no si
    joined, all pairs that are left. Blocks with the same members are treated once. A block beyond ``PAGE`` members is cut in pages, and each
    pair of pages is a task of its own.
 
+``jaccard_links`` and ``link_counts`` settle no block: the R-tree join gives all pairs of every block within the bound,
+and all of them are verified.
+
 Sets are fetched for verification only, for the documents of pairs within the bound.
 
 Sets and classes are known by 64-bit hashes of the words and of the sorted set. Only the frequent
@@ -350,16 +353,20 @@ def verify_batches(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
 
 
-def verified(pairs, rows, classes, page=VERIFY_PAGE):
+def verified(pairs, rows, classes, page=VERIFY_PAGE, whole=False):
     """Those of ``pairs`` (a, b) that are similar, by the sets of their documents in ``rows`` (id, text).
 
     The pairs are dealt by their component, a large one in pages, and each set goes where its pairs are:
-    once, unless it is paired across pages.
+    once, unless it is paired across pages. With ``whole`` both sides of the pairs are cut in pages, so that a task
+    holds two pages of sets even if all sets of a large component are paired.
     """
     roots = connected(pairs)
     sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(page)).alias("pages"))
+    at = F.pmod(F.xxhash64("b"), F.col("pages"))
+    if whole:
+        at = F.pmod(F.xxhash64("a"), F.col("pages")) * F.col("pages") + at
     dealt = stored(pairs.join(roots.withColumnRenamed("node", "a"), "a").join(sizes, "root")
-                   .select("root", F.pmod(F.xxhash64("b"), F.col("pages")).cast("int").alias("page"), "a", "b"), "dealt")
+                   .select("root", at.cast("int").alias("page"), "a", "b"), "dealt")
     wanted = stored(dealt.select("root", "page", F.explode(F.array("a", "b")).alias("k")).distinct()
                     .join(classes.select("k", "first"), "k").select("root", "page", "k", "first"), "wanted")
     small = wanted.count() <= MAX_BROADCAST
@@ -387,7 +394,13 @@ def open_pairs(stars, pairs, roots, classes, page=PAGE, nearest=False):
     larger = stars.where("place = 2").select(block)
     unsettled = stored(stars.join(larger, block, "left_semi").join(failed, ["low", "k"], "left_semi").select(block).distinct(),
                        "unsettled")
-    rows = stars.join(unsettled, block, "left_semi")
+    return tree_pairs(stars, unsettled, roots, classes, page, nearest)
+
+
+def tree_pairs(stars, chosen, roots, classes, page=PAGE, nearest=False):
+    """Pairs of different components that an R-tree join of the ``chosen`` blocks (token, low) finds."""
+    block = ["token", "low"]
+    rows = stars.join(chosen, block, "left_semi")
     rows = rows.select(*block, "k").unionByName(rows.where("place = 1").select(*block, F.col("low").alias("k")))
     # Blocks with the same members are one.
     same = rows.groupBy(block).agg(F.count("*").alias("size"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("sum"))
@@ -411,8 +424,8 @@ def ordered(pairs):
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
-    """id, n_shingles and component_id of every row of ``docs``."""
+def blocks_of(docs, text, id_column):
+    """Of ``docs``: rows (id, text), sets (id, n, k, ..), classes (k, first, n, point) and stars."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"),
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
@@ -424,6 +437,48 @@ def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
     stars = stored(sets.where("tokens IS NOT NULL").select(F.explode("tokens").alias("token"), "n", "k")
                    .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "n", "k")
                    .mapInArrow(star_batches, STARS), "stars")
+    return rows, sets, classes, stars
+
+
+def _links(rows, classes, stars, page):
+    pairs = ordered(stars.select(F.col("low").alias("a"), F.col("k").alias("b")))
+    # A block of two is the pair of its star; in the larger ones no class has a component yet, so no pair is left out.
+    single = classes.select(F.col("k").alias("node"), F.col("k").alias("root"))
+    found = tree_pairs(stars, stars.where("place = 2").select("token", "low"), single, classes, page)
+    asked = stored(bounded(pairs, classes).unionByName(found).distinct(), "link-pairs")
+    return stored(verified(asked, rows, classes, whole=True), "all-links")
+
+
+def jaccard_links(docs, text="text", id_column="doc_id", page=PAGE):
+    """(a, b, rows_a, rows_b): every link of two classes of equal sets, each once, by their lowest ids and numbers of rows.
+
+    Rows of one class are linked with each other and with all rows of a linked class. A group of m classes that
+    are near copies has up to m (m - 1) / 2 links, and the time to find them grows likewise.
+    """
+    rows, sets, classes, stars = blocks_of(docs, text, id_column)
+    links = _links(rows, classes, stars, page)
+    sizes = classes.join(sets.where("n > 0").groupBy("k").agg(F.count("*").alias("rows")), "k")
+    a, b = (sizes.select(F.col("k").alias(x), F.col("first").alias(f"first_{x}"), F.col("rows").alias(f"rows_{x}")) for x in "ab")
+    return links.join(a, "a").join(b, "b").select(
+        F.col("first_a").alias("a"), F.col("first_b").alias("b"), "rows_a", "rows_b")
+
+
+def link_counts(docs, text="text", id_column="doc_id", page=PAGE):
+    """id, n_shingles and n_links of every row of ``docs``: the number of other rows that it is linked with."""
+    rows, sets, classes, stars = blocks_of(docs, text, id_column)
+    links = _links(rows, classes, stars, page)
+    sizes = stored(sets.where("n > 0").groupBy("k").agg(F.count("*").alias("rows")), "class-rows")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    other = both.join(sizes.withColumnRenamed("k", "b"), "b").groupBy("a").agg(F.sum("rows").alias("others"))
+    counts = (sizes.join(other.withColumnRenamed("a", "k"), "k", "left")
+              .select("k", (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
+    return sets.select("id", "n", "k").join(counts, "k", "left").select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
+    """id, n_shingles and component_id of every row of ``docs``; links within a settled component are not looked for."""
+    rows, sets, classes, stars = blocks_of(docs, text, id_column)
     pairs = stored(stars.select(F.col("low").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
     near = stored(bounded(ordered(pairs), classes), "near")
     links = stored(verified(near, rows, classes), "star-links")

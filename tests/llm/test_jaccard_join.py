@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -99,6 +99,40 @@ def test_hot_group_of_near_copies(documents):
     assert got(jj.jaccard_components(documents(docs), page=16)) == brute(docs)
 
 
+def brute_links(docs):
+    """(number of linked pairs of rows, (doc_id, n_shingles, n_links)) by comparing all pairs."""
+    sets, n = [shingle_set(t) for _, t in docs], [0] * len(docs)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and 100 * both >= 75 * (len(a) + len(sets[j]) - both):
+                n[i] += 1
+                n[j] += 1
+    return sum(n) // 2, sorted(((d, len(s), m) for (d, _), s, m in zip(docs, sets, n)), key=repr)
+
+
+def near_copies():
+    """Different near copies, all in one component, and copies of some."""
+    base = [f"b{i}" for i in range(60)]
+    docs = [" ".join([*base[:i], f"x{i}", *base[i + 1:]]) for i in range(0, 60, 2)]
+    return list(enumerate(docs + docs[:5] + [" ".join(base)] * 3))
+
+
+@pytest.mark.parametrize("docs, page", [(corpus(1), 2048), (corpus(2), 3), (near_copies(), 8), (CASES, 512)])
+def test_links_within_components(documents, monkeypatch, docs, page):
+    total, counts = brute_links(docs)
+    assert got(jj.link_counts(documents(docs), page=page)) == counts
+    monkeypatch.setattr(jj.verified, "__defaults__", (4, False))
+    links = jj.jaccard_links(documents(docs), page=page).collect()
+    classes = Counter(s for s in (shingle_set(t) for _, t in docs) if s)
+    assert total == sum(r.rows_a * r.rows_b for r in links) + sum(m * (m - 1) // 2 for m in classes.values())
+
+
+def test_no_links(documents):
+    assert jj.jaccard_links(documents([])).count() == 0
+    assert jj.link_counts(documents([(1, None)])).collect() == [(1, 0, 0)]
+
+
 def test_whole_table(spark, sf):
     from reviewloom.llm.queries import QUERIES
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
