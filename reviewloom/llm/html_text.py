@@ -38,7 +38,9 @@ HOT, SALTS = 1_000, 32  # the pages of a hash on more of them are joined in so m
 ARTICLE = 1         # in place of a hash: all that a page has in articles
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    # A quote opens a value only after "=".
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)"""
+    r"""((?:[^>=]++|=(?>\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?+)*+)>""", re.S)
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

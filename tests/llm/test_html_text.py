@@ -30,6 +30,9 @@ PAGES = "page_id bigint, url string, html string"
     ("<ARTICLE><P>Up</P></ARTICLE>", "Up"),
     ("<article>one</article><article>two</article>", "one\n\ntwo"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
+    ("<p title=Bob's>Hello don't stop</p>", "Hello don't stop"),
+    ('<a href="x"">link</a> and <a href="y"">more</a>', "link and more"),
+    ('<a href= "1 > 0" class=b>c</a><a href=/q?a="b>d</a><a =>e</a>', "cde"),
     # No main text: an empty place, a teaser.
     ("<main></main><div>real text</div>", "real text"),
     ("<article><img></article><main> </main><p>real", "real"),
