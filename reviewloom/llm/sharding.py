@@ -12,6 +12,9 @@
 Only the row counts of the partitions reach the driver. Everything else is DataFrame
 operations. The same seed on the same input partitions gives the same shuffle.
 
+A limit: numpy draws from fewer than 10^9 places on either side, so tables from about 1.14 billion rows on (8 shards) are
+refused with a message before the exchange.
+
 Special cases: a null text has no bytes and the checksum of an empty text. Null
 or repeated ids and repeated texts are rows like any other. An empty table gives an empty result.
 """
@@ -23,12 +26,16 @@ from pyspark.sql import functions as F
 from .common import stored
 
 CUT_ROWS = 50_000  # rows of a cut, about
+DRAW_LIMIT = 10 ** 9  # of numpy's hypergeometric
 
 
 def draw_matrix(counts, shards, seed):
     """Exact counts (partition by shard) of a uniform shuffle of ``counts`` rows."""
     total = sum(counts)
     free = np.array([total // shards + (s < total % shards) for s in range(shards)])
+    most = int(max(free.max(), total - free.min()))
+    if most >= DRAW_LIMIT:
+        raise ValueError(f"{total} rows in {shards} shards need draws from {most} places; numpy takes fewer than {DRAW_LIMIT}")
     rng = np.random.default_rng(seed)
     matrix = []
     for n in counts:

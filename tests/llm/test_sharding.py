@@ -28,6 +28,12 @@ def test_matrix_margins():
     assert sum(columns) == 1023 and max(columns) - min(columns) <= 1
 
 
+def test_limit_is_stated():
+    assert [sum(row) for row in draw_matrix([600_000_000, 500_000_000], 8, 3)] == [600_000_000, 500_000_000]
+    with pytest.raises(ValueError, match="1200000000 rows in 8 shards"):
+        draw_matrix([600_000_000, 600_000_000], 8, 3)
+
+
 def test_matrix_is_hypergeometric():
     """Mean and variance of one cell over many draws."""
     cells = np.array([draw_matrix([40, 60], 2, seed)[0][0] for seed in range(4000)])
