@@ -11,6 +11,7 @@ from .bpe import round_trip
 from .common import LOWER, UPPER, table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .fill_middle import fill_middle, restore
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .licenses import license_report
@@ -117,3 +118,25 @@ def op9_hmm_score(spark, sf_dir):
 def op10_importance(spark, sf_dir):
     """No SQL: the n-grams are hashed."""
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS hs FROM d),
+c AS (SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+             CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR hs[3] % 100 >= 90 THEN 'plain'
+                  WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                   ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+""")
+def op11_fill_middle(spark, sf_dir):
+    made = table(spark, sf_dir, "documents").select("doc_id", fill_middle().alias("fim"))
+    sha = lambda text: F.sha2(F.col(text).cast("binary"), 256)
+    return (made.select("doc_id", "fim.*", restore("fim.output", "fim.form").alias("restored"))
+            .select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                    sha("output").alias("output_sha256"), sha("restored").alias("restored_sha256")))

@@ -21,11 +21,12 @@ def test_matches_sql(spark, name):
     got, want = QUERIES[name](spark, SF), con.execute(ORACLE[name])
     columns = sorted(got.columns)
     assert {c: TYPES[t] for c, t in got.dtypes} == {d[0]: str(d[1]) for d in want.description}
-    want = want.fetchdf()[columns]
-    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.values.tolist()))
+    at = [[d[0] for d in want.description].index(c) for c in columns]
+    want = [tuple(row[i] for i in at) for row in want.fetchall()]
+    assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted(want, key=repr)
 
 
 def test_one_query_per_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [n for n in range(1, 14) if n not in (12, 13)]
     assert QUERIES.items() <= __spark_entry__.queries().items()
     assert "pipeline" in __spark_entry__.queries()
