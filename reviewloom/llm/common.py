@@ -23,6 +23,11 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(column):
+    """The column of this name, whatever signs are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def stored(df, purpose):
     """``df`` written to the shared folder and read again, so that its lineage ends there."""
     spark = df.sparkSession

@@ -15,8 +15,10 @@ from .fill_middle import fill_middle, restore
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .licenses import license_report
+from .packing import cut_documents, pack
 from .quality import resample
 from .sharding import shard_documents
+from .target_sample import draw
 
 QUERIES, ORACLE = {}, {}
 
@@ -140,3 +142,44 @@ def op11_fill_middle(spark, sf_dir):
     return (made.select("doc_id", "fim.*", restore("fim.output", "fim.form").alias("restored"))
             .select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                     sha("output").alias("output_sha256"), sha("restored").alias("restored_sha256")))
+
+
+@query()
+def op12_best_fit(spark, sf_dir):
+    """No SQL: the tokens come from a vocabulary, the sequences from a dynamic program."""
+    pieces = cut_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+#: DuckDB: words and pairs of neighbouring words.
+SQL_FEATURES = ("unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature")
+
+
+@query(f"""
+WITH crc AS (SELECT list(c ORDER BY i) AS tab FROM (
+       SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+       FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+df AS (SELECT doc_id, {SQL_FEATURES} FROM d),
+bf AS (SELECT {SQL_FEATURES} FROM (SELECT {SQL_WORDS} AS w FROM benchmark)),
+h AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT feature FROM df UNION SELECT feature FROM bf)),
+b AS (SELECT feature, xor(list_reduce(list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT)),
+                                      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+      FROM h, crc),
+r AS (SELECT bucket, count(*) AS n FROM df JOIN b USING (feature) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN b USING (feature) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * ((SELECT count(*) FROM df) + 10000)
+                                 / (CAST(r.n + 1 AS DOUBLE) * ((SELECT count(*) FROM bf) + 10000)))) AS BIGINT) AS gain
+      FROM r LEFT JOIN t USING (bucket)),
+m AS (SELECT doc_id, count(*) AS n_features, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+      FROM df JOIN b USING (feature) JOIN g USING (bucket) GROUP BY doc_id),
+s AS (SELECT doc_id, len(w) >= 20 AS eligible, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                                                             / 4294967296))) AS BIGINT) AS score
+      FROM d LEFT JOIN m USING (doc_id)),
+k AS (SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id) AS nth,
+             25 * count(*) FILTER (eligible) OVER () // 100 AS k FROM s)
+SELECT doc_id, n_features, weight, score, CASE WHEN eligible AND nth <= k THEN nth END AS rank FROM k
+""")
+def op13_target_sample(spark, sf_dir):
+    return draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("n_words")
