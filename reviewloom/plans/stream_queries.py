@@ -1,19 +1,28 @@
 """Registered queries that run a stream to its end and read what it wrote."""
 
+import time
+
 from pyspark.sql import functions as F
 
+from ..functions.text import PROMPT
 from ..operators.contract import check_contract, keep_bad_lines
-from ..schema import ENVELOPE, MESSAGE
+from ..operators.ledger import LabelLedger, text_key
+from ..operators.parse import decode_values, parse_records
+from ..operators.remote import RemoteScorer
+from ..schema import ENVELOPE, KAFKA_ROW, MESSAGE, REVIEW
 from ..session import work_dir
 from ..sources.lines import NO_FILE_TOO_OLD
-from ..sources.tables import contract_lines, review_lines, reviews, table
+from ..sources.ranges import stream_ranges, total_bytes
+from ..sources.tables import contract_lines, gappy_reviews, kafka_rows, review_lines, reviews, table
 from ..streaming.audit import AUDIT, COUNTS, audited_delivery, read_audit, read_deliveries
+from ..streaming.isolate import isolating_delivery
 from ..streaming.landing import land, pace, replay_stream
-from ..streaming.sinks import FileSink, start_batches, start_stream
+from ..streaming.sinks import FileSink, finish, start_batches, start_stream
 from ..streaming.supervise import supervise
 from .enrich import enrich_lines, enrich_messages, label_lines, raw_messages
 from .registry import query
-from .table_queries import LEXICON, SQL_CONTRACT, SQL_FEEDBACK, SQL_LABEL, SQL_REVIEWS
+from .table_queries import (LEXICON, SQL_CONTRACT, SQL_FEEDBACK, SQL_GAPPY, SQL_LABEL, SQL_REVIEWS, rule_client,
+                            sql_json)
 
 
 def _pace(spark, sf_dir):
@@ -67,6 +76,34 @@ def stream_resume(spark, sf_dir):
     return spark.read.schema(ENVELOPE).parquet(f"{home}/out")
 
 
+def _after_batches(query, n):
+    """Wait until ``n`` batches are done, or the query has failed or waits for input."""
+    while query.isActive and not (query.lastProgress and query.lastProgress.batchId + 1 >= n):
+        if query.status["message"].startswith("Waiting for data") and query.lastProgress:
+            return
+        time.sleep(0.05)
+    if query.exception():
+        raise query.exception()
+
+
+@query(SQL_FEEDBACK)
+def stream_byte_ranges(spark, sf_dir):
+    """Files cut into byte ranges: stopped inside a file, started again, each line labelled once."""
+    home = work_dir(spark, "byte-ranges")
+    land(review_lines(reviews(spark, sf_dir)), f"{home}/landed")
+    batch = max(1, total_bytes(f"{home}/landed") // 7)
+    for stop_midway in (True, False):
+        lines = stream_ranges(spark, f"{home}/landed", f"{home}/index", bytes_per_batch=batch,
+                              bytes_per_task=max(1, batch // spark.sparkContext.defaultParallelism))
+        running = start_stream(enrich_lines(lines, LEXICON), FileSink(f"{home}/out"), "ranges", f"{home}/checkpoints")
+        if stop_midway:
+            _after_batches(running, 2)
+            running.stop()
+        else:
+            finish(running)
+    return spark.read.schema(ENVELOPE).parquet(f"{home}/out")
+
+
 @query(SQL_FEEDBACK)
 def stream_recovery(spark, sf_dir):
     """The first batch fails after it was written; the supervised restart repeats it."""
@@ -118,3 +155,60 @@ def stream_contract(spark, sf_dir):
                  f"{home}/checkpoints", until_done=True).awaitTermination()
     return (spark.read.schema(checked.schema).parquet(f"{home}/out")
             .select("review_id", "stars", "text", "line", "reason", "status"))
+
+
+POISON = 250   # one row in so many
+
+
+@query(f"""WITH {SQL_REVIEWS}, labelled AS (SELECT *, {SQL_LABEL} AS feedback, doc_id % {POISON} = 7 AS bad FROM reviews)
+SELECT doc_id AS "offset", CASE WHEN bad THEN 'quarantine' ELSE 'delivered' END AS status,
+  CASE WHEN NOT bad THEN {sql_json(*REVIEW.names, 'feedback')} END AS value,
+  CASE WHEN bad THEN 'MALFORMED_CHARACTER_CODING' END AS reason FROM labelled""")
+def poison_records(spark, sf_dir):
+    """Messages that cannot be decoded stop their batch; they are found and set aside, the others delivered once."""
+    home = work_dir(spark, "poison")
+    rows = kafka_rows(reviews(spark, sf_dir))
+    spoilt = F.when(F.pmod("offset", F.lit(POISON)) == 7, F.concat("value", F.lit(b"\xff"))).otherwise(F.col("value"))
+    rows_per_file, files = _pace(spark, sf_dir)
+    rows.withColumn("value", spoilt).write.option("maxRecordsPerFile", rows_per_file).parquet(f"{home}/topic")
+    deliver = audited_delivery("enrich", f"{home}/out", f"{home}/audit")
+
+    def start():
+        topic = (spark.readStream.schema(KAFKA_ROW).options(**NO_FILE_TOO_OLD)
+                 .option("maxFilesPerTrigger", files).parquet(f"{home}/topic"))
+        return start_batches(topic, handle, "enrich", f"{home}/checkpoints", until_done=True)
+
+    handle = isolating_delivery(lambda batch: label_lines(decode_values(batch, "fail"), LEXICON), deliver, f"{home}/bad")
+    supervise(start, backoff_s=0)
+    delivered = read_deliveries(spark, f"{home}/out").select(
+        F.col("key").cast("bigint").alias("offset"), F.lit("delivered").alias("status"), "value", F.lit(None).cast("string").alias("reason"))
+    bad = spark.read.schema(f"{KAFKA_ROW.toDDL()}, reason string").parquet(f"{home}/bad").select(
+        "offset", F.lit("quarantine").alias("status"), F.lit(None).cast("string").alias("value"), "reason")
+    return delivered.unionByName(bad)
+
+
+@query(f"""WITH {SQL_GAPPY} SELECT review_id, text,
+  CASE WHEN text IS NULL THEN NULL WHEN text = '' THEN 'Empty' ELSE
+    CASE (length(text) + {len(PROMPT % '')}) % 4 WHEN 0 THEN 'POSITIVE' WHEN 1 THEN 'NEGATIVE'
+      WHEN 2 THEN 'NEUTRAL' ELSE 'UNKNOWN' END END AS feedback,
+  CASE WHEN text <> '' THEN 1 ELSE 0 END::BIGINT AS n_calls FROM gappy""")
+def label_ledger(spark, sf_dir):
+    """Every second batch is lost after its delivery and repeated, by when the client replies otherwise: labels stay, and
+    no text is asked about twice, neither in its batch nor in another."""
+    home = work_dir(spark, "ledger")
+    source = _replay(spark, sf_dir, home, review_lines(gappy_reviews(spark, sf_dir)))
+    ledger = LabelLedger(spark, f"{home}/labels", buckets=8)
+    tries = {}
+
+    def handle(batch, batch_id):
+        tries[batch_id] = tries.get(batch_id, -1) + 1
+        scorer = RemoteScorer(rule_client(shift=tries[batch_id]))
+        labelled = ledger.classify(parse_records(batch).select("review_id", "text"), scorer)
+        labelled.write.mode("overwrite").parquet(f"{home}/out/batch_id={batch_id}")
+        if batch_id % 2 == 0 and not tries[batch_id]:
+            raise RuntimeError("lost after the delivery")
+
+    supervise(lambda: start_batches(source(), handle, "label", f"{home}/checkpoints", until_done=True), backoff_s=0)
+    out = spark.read.parquet(f"{home}/out").withColumn("text_key", text_key(F.col("text")))
+    return out.join(ledger.calls(spark), "text_key", "left").select(
+        "review_id", "text", "feedback", F.coalesce("n_calls", F.lit(0)).cast("bigint").alias("n_calls"))

@@ -308,10 +308,11 @@ def label_normalise(spark, sf_dir):
         normalise_label(odd, passed=("Empty",)).alias("passed"))
 
 
-def rule_client():
-    """Factory of a plain function in place of a client: the reply follows the prompt's length."""
+def rule_client(shift=0):
+    """Factory of a plain function in place of a client: the reply follows the prompt's length; with another
+    ``shift`` it is another one."""
     replies = ["Positive.", "\nnegative", "It is NEUTRAL, I think", "no idea"]
-    return lambda: lambda prompt, timeout: replies[len(prompt) % len(replies)]
+    return lambda: lambda prompt, timeout: replies[(len(prompt) + shift) % len(replies)]
 
 
 @query(f"""WITH {SQL_GAPPY} SELECT review_id,

@@ -74,6 +74,14 @@ def start_stream(messages, sink, name, checkpoint_root, every=None, until_done=F
     return _start(writer, name, checkpoint_root, every, until_done)
 
 
+def finish(query):
+    """Let a query work off all that its source has now, batch by batch, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def start_batches(df, handle_batch, name, checkpoint_root, every=None, until_done=False):
     """Start a query that hands every batch to ``handle_batch(batch, batch_id)``."""
     return _start(df.writeStream.foreachBatch(handle_batch), name, checkpoint_root, every, until_done)
