@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import PROMPT
 from ..operators.contract import check_contract, keep_bad_lines
+from ..operators.envelope import to_envelope
 from ..operators.ledger import LabelLedger, text_key
 from ..operators.parse import decode_values, parse_records
 from ..operators.remote import RemoteScorer
@@ -19,6 +20,7 @@ from ..streaming.isolate import isolating_delivery
 from ..streaming.landing import land, pace, replay_stream
 from ..streaming.sinks import FileSink, finish, start_batches, start_stream
 from ..streaming.supervise import supervise
+from ..streaming.topic import TopicSink, read_reports, register
 from .enrich import enrich_lines, enrich_messages, label_lines, raw_messages
 from .registry import query
 from .table_queries import (LEXICON, SQL_CONTRACT, SQL_FEEDBACK, SQL_GAPPY, SQL_LABEL, SQL_REVIEWS, rule_client,
@@ -212,3 +214,26 @@ def label_ledger(spark, sf_dir):
     out = spark.read.parquet(f"{home}/out").withColumn("text_key", text_key(F.col("text")))
     return out.join(ledger.calls(spark), "text_key", "left").select(
         "review_id", "text", "feedback", F.coalesce("n_calls", F.lit(0)).cast("bigint").alias("n_calls"))
+
+
+PARTITIONS, LARGEST = 8, 4000   # of the topic, and bytes of its largest value
+
+
+@query(f"""WITH {SQL_REVIEWS}, sent AS (
+  SELECT CAST(doc_id % {PARTITIONS + 1} AS INT) AS p, octet_length(encode({sql_json(*REVIEW.names)})) <= {LARGEST} AS fits FROM reviews)
+SELECT p AS partition, count(*) FILTER (delivered) AS n_records, min(CASE WHEN delivered THEN 0 END)::BIGINT AS first_offset,
+  nullif(count(*) FILTER (delivered), 0) - 1 AS last_offset, count(*) FILTER (NOT delivered) AS n_failed
+FROM (SELECT p, fits AND p < {PARTITIONS} AS delivered FROM sent) GROUP BY p""")
+def delivery_records(spark, sf_dir):
+    """Messages streamed to a topic whose records are too large or name no partition now and then: what was delivered to each."""
+    home = work_dir(spark, "topic")
+    register(spark)
+    source = _replay(spark, sf_dir, home, review_lines(reviews(spark, sf_dir)))
+    messages = to_envelope(parse_records(source())).withColumn(
+        "partition", F.pmod(F.col("key").cast("bigint"), F.lit(PARTITIONS + 1)).cast("int"))
+    start_stream(messages, TopicSink(f"{home}/out", PARTITIONS, LARGEST), "deliver", f"{home}/checkpoints",
+                 until_done=True).awaitTermination()
+    # A partition that the topic does not have is reported under its own number.
+    return read_reports(spark, f"{home}/out").groupBy("partition").agg(
+        F.sum("n_records").alias("n_records"), F.min("first_offset").alias("first_offset"),
+        F.max("last_offset").alias("last_offset"), F.sum("n_failed").alias("n_failed"))
