@@ -14,18 +14,27 @@ from ..functions.labels import normalise_label
 from ..functions.records import field
 from ..functions.text import PROMPT
 from ..schema import LABELS, UNKNOWN
+from .throttle import CircuitOpen, Throttle
 
 _REPLY = "__reply"
 
 #: HTTP states that a repeated call would meet again: bad request, refused key, no such model.
 LASTING = frozenset({400, 401, 403, 404, 405, 422})
 
+#: States of a service that has too much to do.
+REFUSED = frozenset({429, 503, 529})
+
 
 def is_lasting(error):
     """Whether asking again is of no use."""
     return getattr(error, "status_code", None) in LASTING
 
 
+def is_refused(error):
+    """Whether the service had too much to do."""
+    return getattr(error, "status_code", None) in REFUSED
+
+
 @dataclass(frozen=True)
 class RemoteScorer:
     """``client_factory()`` runs once per partition, on the executor, and returns
@@ -34,7 +43,10 @@ class RemoteScorer:
     Only text that is neither null nor empty reaches the client. A task has up to ``concurrency``
     calls under way, so ``ask`` must be thread-safe above 1. ``max_in_flight`` bounds the calls of the
     whole job: it is shared out over the cluster's slots, and where there are more slots than
-    calls, the rows go to as many partitions as calls. A call that raises is tried
+    calls, the rows go to as many partitions as calls. With ``adaptive`` that number is the most: a task starts with one
+    call at a time, adds one after each round without a refusal, and halves them when the service refuses; after many refusals in a row it
+    pauses, and fails when pauses do not help (see ``Throttle``). A call that is refused for its load, as ``refused(error)`` tells, is
+    repeated until then, whatever ``retries``; the executors need this package for it. Any other call that raises is tried
     ``retries`` more times inside the task, after a wait that doubles and varies at random, since a
     failed task would repeat every call of its partition; an error that ``lasting(error)`` calls lasting
     (a refused key) is not tried again. After that the task fails, or with ``on_failure="unknown"``
@@ -55,6 +67,8 @@ class RemoteScorer:
     max_in_flight: int | None = None
     lasting: Callable = is_lasting
     on_failure: str = "raise"
+    adaptive: bool = False
+    refused: Callable = is_refused
     partitions: int | None = None
 
     def __post_init__(self):
@@ -80,11 +94,31 @@ class RemoteScorer:
         # Plain values only, so the function travels to the executors by itself.
         factory, template, timeout_s = self.client_factory, self.template, self.timeout_s
         retries, backoff_s = self.retries, self.backoff_s
-        lasting = _by_value(self.lasting)
+        lasting = _by_value(self.lasting, is_lasting, LASTING)
+        refused = _by_value(self.refused, is_refused, REFUSED)
+        # Named only where they are needed: the plain function travels without the package.
+        given_up = (CircuitOpen,) if self.adaptive else ()
+        throttle_of = (lambda: Throttle(concurrency, first=1, pause_s=backoff_s)) if self.adaptive else lambda: None
         fallback = UNKNOWN if self.on_failure == "unknown" else None
 
         def reply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            ask = factory()
+            client, throttle = factory(), throttle_of()
+
+            def ask(prompt):
+                if throttle is None:
+                    return client(prompt, timeout_s)
+                while True:
+                    number = throttle.acquire()
+                    try:
+                        reply = client(prompt, timeout_s)
+                    except Exception as error:
+                        if not refused(error):
+                            throttle.drop(number)
+                            raise
+                        throttle.refuse(number)
+                    else:
+                        throttle.succeed(number)
+                        return reply
 
             def one(text):
                 if not text:
@@ -92,9 +126,9 @@ class RemoteScorer:
                 for attempt in range(retries + 1):
                     try:
                         # An empty reply is a reply: it ends up as UNKNOWN, not as null.
-                        return ask(template % text, timeout_s) or ""
+                        return ask(template % text) or ""
                     except Exception as error:
-                        if attempt == retries or lasting(error):
+                        if attempt == retries or isinstance(error, given_up) or lasting(error):
                             if fallback is None:
                                 raise
                             return fallback
@@ -123,11 +157,10 @@ class RemoteScorer:
         return F.pandas_udf(reply, "string").asNondeterministic()
 
 
-def _by_value(lasting):
-    """``is_lasting`` as a function that needs no package on the executors."""
-    if lasting is not is_lasting:
-        return lasting
-    states = LASTING
+def _by_value(test, own, states):
+    """The module's own test as a function that needs no package on the executors."""
+    if test is not own:
+        return test
     return lambda error: getattr(error, "status_code", None) in states
 
 

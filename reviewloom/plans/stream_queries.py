@@ -19,6 +19,7 @@ from ..streaming.audit import AUDIT, COUNTS, audited_delivery, read_audit, read_
 from ..streaming.isolate import isolating_delivery
 from ..streaming.landing import land, pace, replay_stream
 from ..streaming.sinks import FileSink, finish, start_batches, start_stream
+from ..streaming.reconcile import digest, reconcile
 from ..streaming.supervise import supervise
 from ..streaming.topic import TopicSink, read_reports, register
 from .enrich import enrich_lines, enrich_messages, label_lines, raw_messages
@@ -237,3 +238,29 @@ def delivery_records(spark, sf_dir):
     return read_reports(spark, f"{home}/out").groupBy("partition").agg(
         F.sum("n_records").alias("n_records"), F.min("first_offset").alias("first_offset"),
         F.max("last_offset").alias("last_offset"), F.sum("n_failed").alias("n_failed"))
+
+
+@query(f"""WITH {SQL_REVIEWS} SELECT review_id AS key, 1::BIGINT AS n_left,
+  CASE doc_id % 100 WHEN 13 THEN 0 WHEN 57 THEN 2 ELSE 1 END::BIGINT AS n_right,
+  CASE doc_id % 100 WHEN 13 THEN 'lost' WHEN 57 THEN 'doubled' ELSE 'changed' END AS what
+FROM reviews WHERE doc_id % 100 IN (13, 57, 71)""")
+def hops_reconciled(spark, sf_dir):
+    """A second hop that loses, doubles and changes some messages: digests written with both hops tell which."""
+    home = work_dir(spark, "reconcile")
+    source = _replay(spark, sf_dir, home, review_lines(reviews(spark, sf_dir)))
+    first = to_envelope(parse_records(source()))
+    start_stream(first, FileSink(f"{home}/first"), "first", f"{home}/checkpoints", until_done=True).awaitTermination()
+    rows = spark.readStream.schema(ENVELOPE).options(**NO_FILE_TOO_OLD).parquet(f"{home}/first")
+    digit = F.pmod(F.col("key").cast("bigint"), F.lit(100))
+    copies = F.when(digit == 13, 0).when(digit == 57, 2).otherwise(1)
+    # Not filter and union: one pass with as many copies as each message gets.
+    second = rows.select("key", F.when(digit == 71, F.concat("value", F.lit(" "))).otherwise(F.col("value")).alias("value"),
+                         F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("key", "value")
+    start_stream(second, FileSink(f"{home}/second"), "second", f"{home}/checkpoints", until_done=True).awaitTermination()
+    sides, digests = [], []
+    for hop in ("first", "second"):
+        side = spark.read.schema(ENVELOPE).parquet(f"{home}/{hop}")
+        digest(side, "key").write.parquet(f"{home}/{hop}-digest")
+        sides.append(side)
+        digests.append(spark.read.parquet(f"{home}/{hop}-digest"))
+    return reconcile(*sides, "key", *digests)
