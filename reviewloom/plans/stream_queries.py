@@ -19,6 +19,7 @@ from ..streaming.audit import AUDIT, COUNTS, audited_delivery, read_audit, read_
 from ..streaming.isolate import isolating_delivery
 from ..streaming.landing import land, pace, replay_stream
 from ..streaming.sinks import FileSink, finish, start_batches, start_stream
+from ..streaming.open_schema import OpenTable
 from ..streaming.reconcile import digest, reconcile
 from ..streaming.supervise import supervise
 from ..streaming.topic import TopicSink, read_reports, register
@@ -264,3 +265,18 @@ def hops_reconciled(spark, sf_dir):
         sides.append(side)
         digests.append(spark.read.parquet(f"{home}/{hop}-digest"))
     return reconcile(*sides, "key", *digests)
+
+
+@query(f"""WITH {SQL_REVIEWS}, waves AS (
+  SELECT event_id, event_type, props, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, value FROM events)
+SELECT * REPLACE (CAST(user_id AS VARCHAR) AS user_id) FROM waves
+  UNION ALL BY NAME SELECT * EXCLUDE doc_id REPLACE (CAST(stars AS DOUBLE) AS stars) FROM reviews""")
+def stream_schema(spark, sf_dir):
+    """Two waves of lines with fields of their own, and one field that is a number first and text later."""
+    home = work_dir(spark, "open-schema")
+    out = OpenTable(f"{home}/out")
+    for wave in (table(spark, sf_dir, "events"), reviews(spark, sf_dir)):
+        land(review_lines(wave), f"{home}/landed", _pace(spark, sf_dir)[0], mode="append")
+        source = replay_stream(spark, f"{home}/landed", files_per_trigger=_pace(spark, sf_dir)[1])
+        start_batches(source, out.deliver, "open", f"{home}/checkpoints", until_done=True).awaitTermination()
+    return out.read(spark)
