@@ -10,7 +10,7 @@ from ..functions.text import PROMPT, decode_utf8, encode_utf8, prompt, strip
 from ..operators.classify import classify
 from ..operators.contract import check_contract, split_contract
 from ..operators.envelope import to_envelope
-from ..operators.lexicon import LexiconScorer
+from ..operators.lexicon import LEAST_Z, PRIOR, LexiconScorer, learn_words
 from ..operators.model import hash_texts, join_labels, train_model
 from ..operators.parse import parse_records
 from ..operators.remote import RemoteScorer
@@ -374,3 +374,60 @@ def model_quality(spark, sf_dir):
         F.avg((F.col("feedback") == F.col("label")).cast("double")).alias("recall"), F.count("*").alias("n"))
     return right.groupBy("held_out").agg(
         F.sum("n").alias("n_rows"), (F.avg("recall") > 1 / F.count("*")).alias("beats_majority"))
+
+
+# ---- a lexicon learnt from labels ------------------------------------------
+
+def _sql_z(own, total):
+    share = f"({PRIOR} * n_all / t.n)"
+    odds = lambda n, words: f"ln(({n} + {share}) / ({words} + {PRIOR} - {n} - {share}))"
+    rest, others = f"(n_all - {own})", f"(t.n - {total})"
+    return f"({odds(own, total)} - {odds(rest, others)}) / sqrt(1 / ({own} + {share}) + 1 / ({rest} + {share}))"
+
+
+# Learnt from four fifths of the labelled documents.
+SQL_LEARNT = f"""marked AS (SELECT doc_id, text, {MARK} AS label FROM documents JOIN labels USING (doc_id)),
+seen AS (SELECT DISTINCT doc_id, label, unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM marked WHERE doc_id % 5 <> 0),
+counts AS (SELECT word, count(*) AS n_all, count(*) FILTER (label = 'POSITIVE') AS n_positive,
+           count(*) FILTER (label = 'NEGATIVE') AS n_negative FROM seen WHERE word <> '' GROUP BY word),
+t AS (SELECT CAST(sum(n_all) AS DOUBLE) AS n, CAST(sum(n_positive) AS DOUBLE) AS p, CAST(sum(n_negative) AS DOUBLE) AS m FROM counts),
+learnt AS (SELECT word, n_all, n_positive, n_negative, {_sql_z('n_positive', 't.p')} AS z_positive,
+           {_sql_z('n_negative', 't.m')} AS z_negative FROM counts, t),
+worth AS (SELECT word, (z_positive >= {LEAST_Z})::INT - (z_negative >= {LEAST_Z})::INT AS worth FROM learnt),
+hits AS (SELECT doc_id, sum(worth) AS balance FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents)
+         JOIN worth USING (word) GROUP BY doc_id),
+told AS (SELECT doc_id, CASE sign(coalesce(balance, 0)) WHEN 1 THEN 'POSITIVE' WHEN -1 THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS feedback
+         FROM documents LEFT JOIN hits USING (doc_id))"""
+
+
+def _labelled_documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(_marks(spark, sf_dir), "doc_id")
+
+
+def _learnt_words(spark, sf_dir):
+    trained = _labelled_documents(spark, sf_dir).where("doc_id % 5 <> 0")
+    return learn_words(trained, work_dir(spark, "lexicon"))
+
+
+@query(f"""WITH {SQL_LEARNT} SELECT word, n_all, n_positive, n_negative,
+  round(z_positive, 6) AS z_positive, round(z_negative, 6) AS z_negative FROM learnt""")
+def lexicon_learnt(spark, sf_dir):
+    """How telling every word is."""
+    return _learnt_words(spark, sf_dir).select(
+        "word", "n_all", "n_positive", "n_negative", F.round("z_positive", 6).alias("z_positive"), F.round("z_negative", 6).alias("z_negative"))
+
+
+@query(f"WITH {SQL_LEARNT} SELECT doc_id, feedback FROM told")
+def feedback_learnt(spark, sf_dir):
+    """Documents labelled by the words that training found telling."""
+    scorer = LexiconScorer.learnt(_learnt_words(spark, sf_dir))
+    return classify(table(spark, sf_dir, "documents").select("doc_id", "text"), scorer).select("doc_id", "feedback")
+
+
+@query(f"""WITH {SQL_LEARNT} SELECT doc_id % 5 = 0 AS held_out, label, feedback, count(*) AS n_rows
+FROM marked JOIN told USING (doc_id) GROUP BY ALL""")
+def lexicon_quality(spark, sf_dir):
+    """How often the learnt lexicon is right, on the rows it was learnt from and on those held out."""
+    scorer = LexiconScorer.learnt(_learnt_words(spark, sf_dir))
+    told = classify(_labelled_documents(spark, sf_dir), scorer)
+    return told.groupBy((F.col("doc_id") % 5 == 0).alias("held_out"), "label", "feedback").agg(F.count("*").alias("n_rows"))

@@ -1,0 +1,71 @@
+"""Learnt word lists, and negation."""
+
+import math
+
+import pytest
+
+from reviewloom.operators.classify import classify
+from reviewloom.operators.lexicon import LexiconScorer, learn_words
+from reviewloom.plans import table_queries
+
+
+def labels(spark, scorer, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    return [r.feedback for r in classify(df, scorer).orderBy("id").collect()]
+
+
+def test_negations_turn_the_words_in_their_scope(spark):
+    scorer = LexiconScorer(["good", "fine"], ["bad"], negations=["not", "never"], scope=2)
+    assert labels(spark, scorer, "good", "not good", "not a good", "not at all good", "Not BAD, good", "never bad bad bad bad", "not not good",
+                  "not bad good fine", "", None, "not") == [
+        "POSITIVE", "NEGATIVE", "NEGATIVE", "POSITIVE", "NEUTRAL", "NEUTRAL", "NEGATIVE", "POSITIVE", "Empty", None, "NEUTRAL"]
+
+
+def test_without_negations_nothing_changes(spark):
+    texts = ["not good", "good bad", "bad", "x"]
+    assert labels(spark, LexiconScorer(["good"], ["bad"]), *texts) == ["POSITIVE", "NEUTRAL", "NEGATIVE", "NEUTRAL"]
+    with pytest.raises(ValueError):
+        LexiconScorer(["good"], ["bad"], negations=["don't"])
+
+
+def test_z_by_hand(spark, tmp_path):
+    rows = [("POSITIVE", "good day day"), ("POSITIVE", "Good"), ("NEGATIVE", "bad day"), ("NEUTRAL", "day"), (None, "good"), ("POSITIVE", None)]
+    got = {r.word: r for r in learn_words(spark.createDataFrame(rows, "label string, text string"), str(tmp_path / "w"), prior=10.0).collect()}
+    assert {w: (r.n_all, r.n_positive, r.n_negative) for w, r in got.items()} == {"good": (2, 2, 0), "day": (3, 1, 1), "bad": (1, 0, 1)}
+    share = 10 * 2 / 6
+    odds = lambda n, all_words: math.log((n + share) / (all_words + 10 - n - share))
+    assert got["good"].z_positive == pytest.approx((odds(2, 3) - odds(0, 3)) / math.sqrt(1 / (2 + share) + 1 / share))
+    assert got["bad"].z_negative > 0 > got["good"].z_negative
+
+
+def test_empty_training(spark, tmp_path):
+    words = learn_words(spark.createDataFrame([], "label string, text string"), str(tmp_path / "w"))
+    scorer = LexiconScorer.learnt(words)
+    assert not scorer.positive and not scorer.negative
+    assert labels(spark, scorer, "any") == ["NEUTRAL"]
+
+
+def test_lists_are_bounded(spark):
+    words = spark.createDataFrame([("a", 9.0, 0.0), ("b", 8.0, 0.0), ("c", 7.0, 5.0), ("d", 2.0, 4.0)], "word string, z_positive double, z_negative double")
+    scorer = LexiconScorer.learnt(words, most_words=2)
+    assert (scorer.positive, scorer.negative) == ({"a", "b"}, {"c", "d"})
+
+
+def recalls(rows):
+    """Mean over the labels of the share that is told right, on held-out rows."""
+    right, total = {}, {}
+    for r in rows:
+        if r.held_out:
+            total[r.label] = total.get(r.label, 0) + r.n_rows
+            right[r.label] = right.get(r.label, 0) + r.n_rows * (r.label == r.feedback)
+    return sum(right[k] / total[k] for k in total) / len(total)
+
+
+def test_learnt_words_beat_the_given_ones(spark):
+    """Held out of training, sf0.1: 0.51 against 0.36 of the six given words and 0.33 of naming one label always."""
+    sf = "/root/testdata/sf0.1"
+    learnt = recalls(table_queries.lexicon_quality(spark, sf).collect())
+    told = classify(table_queries._labelled_documents(spark, sf), table_queries.LEXICON)
+    given = recalls(told.selectExpr("doc_id % 5 = 0 AS held_out", "label", "feedback").groupBy("held_out", "label", "feedback").count()
+                    .withColumnRenamed("count", "n_rows").collect())
+    assert learnt > 0.48 and given < 0.4 and learnt > given + 0.1
