@@ -12,6 +12,7 @@ from ..operators.contract import check_contract, split_contract
 from ..operators.envelope import to_envelope
 from ..operators.lexicon import LEAST_Z, PRIOR, LexiconScorer, learn_words
 from ..operators.model import hash_texts, join_labels, train_model
+from ..operators.nested_contract import check_nested, compile_contract
 from ..operators.parse import parse_records
 from ..operators.remote import RemoteScorer
 from ..operators.union import union_records
@@ -431,3 +432,38 @@ def lexicon_quality(spark, sf_dir):
     scorer = LexiconScorer.learnt(_learnt_words(spark, sf_dir))
     told = classify(_labelled_documents(spark, sf_dir), scorer)
     return told.groupBy((F.col("doc_id") % 5 == 0).alias("held_out"), "label", "feedback").agg(F.count("*").alias("n_rows"))
+
+
+# ---- a nested contract -------------------------------------------------------
+
+NESTED = """{"type": "record", "name": "review", "fields": [
+  {"name": "id", "type": "long"},
+  {"name": "lang", "type": {"type": "enum", "name": "lang", "symbols": ["de", "en", "es", "fr"]}},
+  {"name": "author", "type": {"type": "record", "name": "author", "fields": [
+    {"name": "name", "type": "string"}, {"name": "mail", "type": ["null", "string"]}]}},
+  {"name": "tags", "type": {"type": "array", "items": {"type": "record", "name": "tag", "fields": [{"name": "name", "type": "string"}]}}},
+  {"name": "reply", "type": ["null", "author"]},
+  {"name": "currency", "type": "string", "default": "EUR"}
+]}"""
+
+
+@query("""WITH told AS (SELECT doc_id, CASE doc_id % 10 WHEN 1 THEN 'missing:author.name' WHEN 2 THEN 'missing:tags[].name' WHEN 3 THEN 'malformed'
+    WHEN 4 THEN 'symbol:lang' WHEN 5 THEN 'missing:reply.name' WHEN 7 THEN 'blank' WHEN 8 THEN 'malformed' END AS reason FROM documents)
+SELECT CASE WHEN reason IS NULL THEN doc_id END AS id, CASE WHEN reason IS NULL THEN 'EUR' END AS currency,
+  CASE WHEN reason IS NULL THEN 'valid' ELSE 'quarantine' END AS status, reason FROM told""")
+def contract_nested(spark, sf_dir):
+    """Nested lines with defects. 1: no author's name, 2: a tag without name, 3: cut, 4: no such language, 5: a reply without
+    name, 6: no reply, 7: blank, 8: a text for an array."""
+    digit = F.pmod("doc_id", F.lit(10))
+    named = lambda name: F.struct(name.alias("name"), F.lit(None).cast("string").alias("mail"))
+    missing = lambda n, value: F.when(digit != n, value)
+    tags = F.array(F.struct(F.lit("a").alias("name")), F.struct(missing(2, F.col("source")).alias("name")))
+    lang = F.when(digit == 4, "xx").when(F.col("lang").isin("de", "en", "es", "fr"), F.col("lang")).otherwise("en")
+    fields = [F.col("doc_id").alias("id"), lang.alias("lang"), named(missing(1, F.col("source"))).alias("author"),
+              F.when(digit != 6, named(missing(5, F.lit("x")))).alias("reply")]
+    line = F.when(digit == 8, F.to_json(F.struct(*fields, F.lit("none").alias("tags")))).otherwise(F.to_json(F.struct(*fields, tags.alias("tags"))))
+    spoilt = F.when(digit == 3, F.substring(line, 1, 20)).when(digit == 7, " ").otherwise(line)
+    lines = table(spark, sf_dir, "documents").select(spoilt.alias("value"))
+    valid = F.col("status") == "valid"
+    return check_nested(lines, compile_contract(NESTED)).select(
+        F.when(valid, F.col("id")).alias("id"), F.when(valid, F.col("currency")).alias("currency"), "status", "reason")
