@@ -48,6 +48,8 @@ def _check(top, args):
         top.error("--scorer lexicon needs --positive and --negative")
     if getattr(args, "scorer", None) == "model" and not args.model:
         top.error("--scorer model needs --model, the folder of a saved model")
+    if args.job == "enrich-ranges" and args.mode == "split":
+        top.error("enrich-ranges has no --mode split")
     if getattr(args, "mode", None) == "split" and not (args.quarantine and args.audit):
         top.error("--mode split needs --quarantine and --audit")
     if getattr(args, "quarantine", None) and args.mode != "split":
@@ -116,6 +118,16 @@ def parser():
     job.add_argument("--every", help='pace of the batches, such as "10 seconds"')
     job.add_argument("--until-done", action="store_true", help="handle what is there and stop")
     _add_scorer(job)
+    job = jobs.add_parser("enrich-ranges", help="line files of any size to a table, by byte ranges")
+    job.add_argument("--input", required=True, help="file or folder of lines")
+    job.add_argument("--out", required=True)
+    job.add_argument("--audit", required=True)
+    job.add_argument("--bad", required=True, help="folder for records that make their batch fail")
+    job.add_argument("--ledger", help="folder of the labels of all texts asked about: none is asked about twice")
+    job.add_argument("--bytes-per-batch", type=int, help="bytes of a batch, or of the first one with --target-seconds")
+    job.add_argument("--target-seconds", type=float, help="how long a batch should last")
+    job.add_argument("--until-done", action="store_true", help="handle what is there and stop")
+    _add_scorer(job)
     return top
 
 
@@ -150,6 +162,10 @@ def enrich_job(spark, args):
         enrich.run_topic_job(spark, KafkaSettings.from_env(), scorer, args.checkpoint,
                              args.source, args.target, on_error=args.on_error, audit_dir=args.audit,
                              limits={"starting": args.starting, "max_offsets": args.max_offsets}, **options)
+    elif args.job == "enrich-ranges":
+        del options["quarantine_dir"]
+        enrich.run_ranges_job(spark, args.input, scorer, args.out, args.audit, args.checkpoint, args.bad, ledger_dir=args.ledger,
+                              bytes_per_batch=args.bytes_per_batch, target_s=args.target_seconds, until_done=args.until_done, **options)
     else:
         limits = {"files_per_trigger": args.files_per_batch, "archive_dir": args.archive}
         enrich.run_files_job(spark, args.landed, scorer, args.out, args.audit, args.checkpoint,

@@ -6,14 +6,17 @@ from ..functions.records import to_json
 from ..operators.classify import classify
 from ..operators.contract import check_contract, keep_bad_lines
 from ..operators.envelope import to_envelope, to_messages
+from ..operators.ledger import LabelLedger
 from ..operators.parse import decode_values, parse_records
 from ..schema import REVIEW
 from ..sources.kafka import stream_topic
 from ..sources.lines import read_lines, strip_lines
+from ..sources.ranges import stream_ranges
 from ..sources.sockets import stream_socket
 from ..streaming.audit import audited_delivery, observe_delivery
+from ..streaming.isolate import isolating_delivery
 from ..streaming.landing import replay_stream
-from ..streaming.sinks import KafkaSink, start_batches, start_stream, write_batch
+from ..streaming.sinks import KafkaSink, finish_aside, start_batches, start_stream, write_batch
 from ..streaming.supervise import supervise
 
 # Topic names.
@@ -136,3 +139,28 @@ def run_files_job(spark, landed_dir, scorer, out_dir, audit_dir, checkpoint_root
         return start_batches(rows, deliver, name, checkpoint_root, every, until_done)
 
     return supervise(start, **supervision)
+
+
+def run_ranges_job(spark, path, scorer, out_dir, audit_dir, checkpoint_root, bad_dir, name="range-reviews",
+                   ledger_dir=None, bytes_per_batch=None, target_s=None, until_done=False, mode="permissive", after=2,
+                   **supervision):
+    """Line files of any size to a table, byte range by byte range, through failures of every kind.
+
+    Batches admit ``bytes_per_batch``, or what lets each last ``target_s``. Records that make a batch fail ``after`` times
+    go to ``bad_dir``. With ``ledger_dir`` a text is asked about once, whatever is repeated; the probes for bad records
+    then run one after the other.
+    """
+    ledger = LabelLedger(spark, ledger_dir) if ledger_dir else None
+
+    def process(batch):
+        rows = parse_records(batch, mode=mode)
+        return ledger.classify(rows, scorer) if ledger else classify(rows, scorer)
+
+    deliver = audited_delivery(name, out_dir, audit_dir)
+    handle = isolating_delivery(process, deliver, bad_dir, after, parallel=1 if ledger else 8)
+
+    def start():
+        lines = stream_ranges(spark, path, f"{checkpoint_root.rstrip('/')}/{name}-files", bytes_per_batch, target_s=target_s)
+        return start_batches(lines, handle, name, checkpoint_root)
+
+    return supervise(start, on_start=finish_aside if until_done else None, **supervision)

@@ -1,7 +1,10 @@
 """Where messages go, and how queries are started."""
 
+import threading
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
+
 from ..settings import KafkaSettings
 
 
@@ -82,6 +85,16 @@ def finish(query):
         query.stop()
 
 
+def finish_aside(query):
+    """As ``finish``, in a thread of its own, while the caller waits for the query; a failure is left to the caller."""
+    def work():
+        try:
+            finish(query)
+        except StreamingQueryException:
+            pass
+    threading.Thread(target=work, daemon=True).start()
+
+
 def start_batches(df, handle_batch, name, checkpoint_root, every=None, until_done=False):
     """Start a query that hands every batch to ``handle_batch(batch, batch_id)``."""
     return _start(df.writeStream.foreachBatch(handle_batch), name, checkpoint_root, every, until_done)

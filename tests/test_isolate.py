@@ -124,3 +124,43 @@ def test_a_broken_job_sets_nothing_aside(spark, tmp_path):
         run(spark, tmp_path, landed(spark, tmp_path), lambda df: df.selectExpr("CAST('x' || value AS INT) AS n"),
             write_batches(tmp_path), max_bad=20)
     assert not (tmp_path / "bad").exists()
+
+
+def failing_client(folder):
+    """A client that can never answer one prompt, and leaves a file per answer."""
+    def factory():
+        import os
+        import uuid
+
+        def ask(prompt, timeout):
+            if "poison" in prompt:
+                raise ValueError("cannot answer")
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as file:
+                file.write(prompt)
+            return "positive"
+        return ask
+    return factory
+
+
+def test_ranges_job_with_ledger_and_poison(spark, tmp_path):
+    """All together: one file, byte ranges, a text that the client always fails on, no call made twice."""
+    import json
+
+    from reviewloom.operators.remote import RemoteScorer
+    from reviewloom.plans.enrich import run_ranges_job
+    from reviewloom.streaming.audit import read_audit, read_deliveries
+
+    (tmp_path / "calls").mkdir()
+    rows = [{"review_id": str(i), "text": "poison" if i == 41 else f"text {i % 30}"} for i in range(120)]
+    (tmp_path / "lines.json").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    outcome = run_ranges_job(spark, str(tmp_path / "lines.json"), RemoteScorer(failing_client(str(tmp_path / "calls")), template="%s", retries=0),
+                             str(tmp_path / "out"), str(tmp_path / "audit"), str(tmp_path / "checkpoints"), str(tmp_path / "bad"),
+                             ledger_dir=str(tmp_path / "ledger"), bytes_per_batch=1500, until_done=True, backoff_s=0)
+    assert outcome.restarts == 1
+    assert sorted(int(r.key) for r in read_deliveries(spark, str(tmp_path / "out")).collect()) == [i for i in range(120) if i != 41]
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert [json.loads(r.value)["review_id"] for r in bad] == ["41"]
+    assert read_audit(spark, str(tmp_path / "audit")).agg(F.sum("n_rows")).first()[0] == 119
+    written = [p.read_text() for p in (tmp_path / "calls").iterdir()]
+    # A failed job may lose labels of texts that it asked about; what was written is not asked for again.
+    assert set(written) == {f"text {i}" for i in range(30)} and len(written) < 120
