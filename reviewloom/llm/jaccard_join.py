@@ -24,7 +24,8 @@ Within a block sorted by size, a step of more than a third ends the block: no si
 ``jaccard_links`` and ``link_counts`` settle no block: the R-tree join gives all pairs of every block within the bound,
 and all of them are verified.
 
-Sets are fetched for verification only, for the documents of pairs within the bound.
+Sets are fetched for verification only, for the documents of pairs within the bound. They are found again by the id and a hash of the
+text of one row of their class, so rows that share an id, or have none, meet only their own.
 
 Sets and classes are known by 64-bit hashes of the words and of the sorted set. Only the frequent
 shingles reach the driver, from a bounded sample (they set the order, never the result).
@@ -114,16 +115,16 @@ def within_bound(shared, n_a, n_b):
 
 # ---- sets ----
 
-SETS = "id bigint, n bigint, k bigint, tokens array<bigint>, point binary"
+SETS = "id bigint, h bigint, n bigint, k bigint, tokens array<bigint>, point binary"
 
 
 def set_batches(shared):
-    """(id, text) to the set's size and key; the first of equal sets in a task has the prefix and the point."""
+    """(id, h, text) to the set's size and key; the first of equal sets in a task has the prefix and the point."""
     def sets(batches):
         frequent, seen = shared.value, set()
         for batch in batches:
             sizes, keys, tokens, points = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 members = shingles(text)
                 key = set_key(members)
                 new = len(members) and key not in seen
@@ -133,9 +134,9 @@ def set_batches(shared):
                 tokens.append(prefix(members, frequent).view(np.int64) if new else None)
                 points.append(point(members).tobytes() if new else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, type=pa.int64()), pa.array(keys, type=pa.int64()),
+                [batch.column(0), batch.column(1), pa.array(sizes, type=pa.int64()), pa.array(keys, type=pa.int64()),
                  pa.array(tokens, type=pa.list_(pa.int64())), pa.array(points, type=pa.binary())],
-                names=["id", "n", "k", "tokens", "point"])
+                names=["id", "h", "n", "k", "tokens", "point"])
     return sets
 
 
@@ -320,11 +321,11 @@ def bounded(pairs, classes):
             .select("a", "b", "n_a", "n_b", "point_a", "point_b").mapInArrow(bound_batches, "a bigint, b bigint"))
 
 
-PAGE_ROWS = "root bigint, page int, kind int, a bigint, b bigint, members binary"
+PAGE_ROWS = "root bigint, page bigint, kind int, a bigint, b bigint, members binary"
 
 
 def member_batches(batches):
-    """(root, page, k, text) to the sorted sets, as rows of kind 0. A text of another key has the same id only."""
+    """(root, page, k, text) to the sorted sets, as rows of kind 0. A text of another key has the same id and hash only."""
     for batch in batches:
         sets = [shingles(text) for text in batch.column(3).to_pylist()]
         own = pa.array([set_key(s) == k for s, k in zip(sets, batch.column(2).to_pylist())], type=pa.bool_())
@@ -353,24 +354,38 @@ def verify_batches(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
 
 
-def verified(pairs, rows, classes, page=VERIFY_PAGE, whole=False):
-    """Those of ``pairs`` (a, b) that are similar, by the sets of their documents in ``rows`` (id, text).
+def dealt_pairs(pairs, page, whole):
+    """(root, page, a, b): ``pairs`` by their component, those of a large one by pages.
 
-    The pairs are dealt by their component, a large one in pages, and each set goes where its pairs are:
-    once, unless it is paired across pages. With ``whole`` both sides of the pairs are cut in pages, so that a task
-    holds two pages of sets even if all sets of a large component are paired.
+    A pair goes to the page of that of its two that has fewer pairs, which so is wanted there only, and a document that
+    all others are paired with goes to several pages, with some of its partners each. With ``whole`` both sides are cut in pages,
+    so that a task holds two pages of sets even if all sets of a large component are paired.
     """
     roots = connected(pairs)
     sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(page)).alias("pages"))
-    at = F.pmod(F.xxhash64("b"), F.col("pages"))
+    sized = stored(pairs.join(roots.withColumnRenamed("node", "a"), "a").join(sizes, "root").select("root", "pages", "a", "b"), "sized")
+    cell = lambda k: F.pmod(F.xxhash64(k), F.col("pages"))
     if whole:
-        at = F.pmod(F.xxhash64("a"), F.col("pages")) * F.col("pages") + at
-    dealt = stored(pairs.join(roots.withColumnRenamed("node", "a"), "a").join(sizes, "root")
-                   .select("root", at.cast("int").alias("page"), "a", "b"), "dealt")
+        return sized.select("root", (cell("a") * F.col("pages") + cell("b")).alias("page"), "a", "b")
+    large = sized.where("pages > 1")
+    degrees = stored(large.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count("*").alias("degree")), "degrees")
+    of = lambda x: degrees.select(F.col("k").alias(x), F.col("degree").alias(f"degree_{x}"))
+    fewer = F.when(F.col("degree_a") < F.col("degree_b"), F.col("a")).otherwise(F.col("b"))
+    return (sized.where("pages = 1").select("root", F.lit(0).cast("bigint").alias("page"), "a", "b")
+            .unionByName(large.join(of("a"), "a").join(of("b"), "b").select("root", cell(fewer).alias("page"), "a", "b")))
+
+
+def verified(pairs, rows, classes, page=VERIFY_PAGE, whole=False):
+    """Those of ``pairs`` (a, b) that are similar, by the sets of their documents in ``rows`` (id, h, text).
+
+    The pairs are dealt by ``dealt_pairs``, and each set goes where its pairs are.
+    """
+    dealt = stored(dealt_pairs(pairs, page, whole), "dealt")
     wanted = stored(dealt.select("root", "page", F.explode(F.array("a", "b")).alias("k")).distinct()
-                    .join(classes.select("k", "first"), "k").select("root", "page", "k", "first"), "wanted")
+                    .join(classes.select("k", "row"), "k").select("root", "page", "k", "row"), "wanted")
     small = wanted.count() <= MAX_BROADCAST
-    texts = rows.join(F.broadcast(wanted) if small else wanted, F.col("id").eqNullSafe(F.col("first")))
+    same = F.col("id").eqNullSafe(F.col("row.id")) & (F.col("h") == F.col("row.h"))
+    texts = rows.join(F.broadcast(wanted) if small else wanted, same)
     sets = texts.select("root", "page", "k", "text").mapInArrow(member_batches, PAGE_ROWS)
     asked = dealt.select("root", "page", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("members"))
     where = ["root", "page"]
@@ -425,21 +440,32 @@ def ordered(pairs):
 
 
 def blocks_of(docs, text, id_column):
-    """Of ``docs``: rows (id, text), sets (id, n, k, ..), classes (k, first, n, point) and stars."""
+    """Of ``docs``: rows (id, h, text), sets (id, h, n, k, ..), classes (k, first, row, n, point) and stars.
+
+    ``row`` is the id and the text's hash of one row of the class; ``rows`` is to be joined by both, and has such a row once.
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"),
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), text_hash(text).alias("h"),
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows))  # at most MAX_FREQUENT numbers
     sets = stored(rows.mapInArrow(set_batches(shared), SETS), "sets")
     classes = stored(sets.where("n > 0").groupBy("k").agg(
-        F.min("id").alias("first"), F.max("n").alias("n"), F.first("point", ignorenulls=True).alias("point")), "classes")
+        F.min("id").alias("first"), F.min(F.struct("id", "h")).alias("row"), F.max("n").alias("n"), F.first("point", ignorenulls=True).alias("point")), "classes")
 
     stars = stored(sets.where("tokens IS NOT NULL").select(F.explode("tokens").alias("token"), "n", "k")
                    .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "n", "k")
                    .mapInArrow(star_batches, STARS), "stars")
+    if not sets.where("n > 0").groupBy("id", "h").count().where("count > 1").isEmpty():
+        # Rows that share id and text: one of them stands for all. Spark keeps one per task before it shuffles.
+        rows = rows.groupBy("id", "h").agg(F.first("text").alias("text"))
     return rows, sets, classes, stars
 
 
+def text_hash(text="text"):
+    """A 64-bit hash of a text column; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
 def _links(rows, classes, stars, page):
     pairs = ordered(stars.select(F.col("low").alias("a"), F.col("k").alias("b")))
     # A block of two is the pair of its star; in the larger ones no class has a component yet, so no pair is left out.
@@ -476,8 +502,13 @@ def link_counts(docs, text="text", id_column="doc_id", page=PAGE):
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
-    """id, n_shingles and component_id of every row of ``docs``; links within a settled component are not looked for."""
+def jaccard_groups(docs, text="text", id_column="doc_id", page=PAGE):
+    """id, h, n and component of every row of ``docs``, where h is the text's hash and component a number that rows of one
+    component share, null for empty sets. Links within a settled component are not looked for."""
+    return _groups(docs, text, id_column, page).select("id", "h", "n", F.col("root").alias("component"))
+
+
+def _groups(docs, text, id_column, page):
     rows, sets, classes, stars = blocks_of(docs, text, id_column)
     pairs = stored(stars.select(F.col("low").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
     near = stored(bounded(ordered(pairs), classes), "near")
@@ -495,8 +526,12 @@ def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
         asked = stored(asked.unionByName(found), "asked")
     whole = stored(classes.join(whole.withColumnRenamed("node", "k"), "k", "left")
                    .select("k", "first", F.coalesce("root", "k").alias("root")), "component-roots")
-    lowest = whole.groupBy("root").agg(F.min("first").alias("component"))
-    named = whole.join(lowest, "root").select("k", "component")
-    return (sets.select("id", "n", "k").join(named, "k", "left")
-            .select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")))
+    lowest = whole.groupBy("root").agg(F.min("first").alias("lowest"))
+    return sets.select("id", "h", "n", "k").join(whole.join(lowest, "root").select("k", "root", "lowest"), "k", "left")
+
+
+def jaccard_components(docs, text="text", id_column="doc_id", page=PAGE):
+    """id, n_shingles and component_id of every row of ``docs``; links within a settled component are not looked for."""
+    return _groups(docs, text, id_column, page).select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("id")).alias("component_id"))

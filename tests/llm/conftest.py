@@ -3,7 +3,8 @@ import pytest
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Names that the operators use for columns of their own.
 CLASHING = ["id", "row", "part", "k", "n", "token", "shard", "slot", "score", "cell", "bucket", "page", "key",
-            "word", "kept", "text_key", "place", "w", "shingle", "g", "data", "cut", "rank", "symbols", "host", "hashes"]
+            "word", "kept", "text_key", "place", "w", "shingle", "g", "data", "cut", "rank", "symbols", "host", "hashes",
+            "gone_0", "r_id", "key_0", "h", "first", "component", "row_id", "fim", "sequence_id", "length", "ids"]
 
 
 @pytest.fixture

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -202,3 +203,44 @@ def test_components(spark, links):
             x, y = sorted((find(a), find(b)))
             parent[y] = x
     assert {tuple(r) for r in connected(frame).collect()} == {(x, find(x)) for x in parent}
+
+
+def near_copies(n, seed=5):
+    """n texts, each with one near copy among the others."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n // 2):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+        out += [" ".join(words), " ".join([*words[:-1], "end"])]
+    return out
+
+
+def test_equal_and_null_ids_take_no_longer(spark, tmp_path):
+    """Rows that share an id are fetched by their own text; joined by id alone, 2,000 of them were two million."""
+    texts, took = near_copies(2000), {}
+    for kind, ids in (("first", range(2000)), ("unique", range(2000)), ("one", [7] * 2000), ("null", [None] * 2000)):
+        path = str(tmp_path / kind)
+        spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").write.parquet(path)
+        since = time.monotonic()
+        rows = jj.jaccard_groups(spark.read.parquet(path)).collect()
+        took[kind] = time.monotonic() - since
+        sizes = Counter(r.component for r in rows)
+        assert len(rows) == 2000 and len(sizes) == 1000 and set(sizes.values()) == {2}
+    assert max(took["one"], took["null"]) < 2 * took["unique"] + 3, took
+
+
+def test_many_rows_with_the_same_id_and_text(spark):
+    texts = near_copies(6)
+    rows = [(None, texts[0])] * 300 + [(3, t) for t in texts] * 50 + [(3, texts[1])] * 200
+    got = jj.jaccard_groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)).collect()
+    assert Counter(Counter(r.component for r in got).values()) == Counter([300 + 100 + 200, 100, 100])
+
+
+def test_pairs_of_a_hub_are_dealt_to_many_pages(spark):
+    """Whichever side of its pairs the hub stands on."""
+    for hub in (-5, 10**6):
+        pairs = spark.createDataFrame([(min(hub, i), max(hub, i)) for i in range(1000)], "a bigint, b bigint")
+        dealt = jj.dealt_pairs(pairs, 50, False).collect()
+        assert sorted((r.a, r.b) for r in dealt) == sorted((min(hub, i), max(hub, i)) for i in range(1000))
+        sizes = Counter(r.page for r in dealt)
+        assert len(sizes) == 21 and max(sizes.values()) < 100
