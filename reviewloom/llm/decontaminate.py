@@ -152,14 +152,16 @@ def contamination(docs, items, window=WINDOW, block_rows=BLOCK_ROWS):
     """Per distinct (doc_id, text): text_key (its hash), copies (rows), n_words, n_hit,
     items (sorted names), spans (word ranges) and contaminated."""
     windows = stored(item_windows(items, window=window), "windows")
-    found = find_windows(docs.select("doc_id", "text"), windows, block_rows)
-    key = ["doc_id", "text_key"]
-    named = (found.select(*key, F.explode(F.array_distinct("hits.window")).alias("window"))
-             .join(windows, "window").select(*key, F.explode("items").alias("item"))
-             .groupBy(*key).agg(F.collect_set(F.col("item").cast("string")).alias("items")))
+    found = stored(find_windows(docs.select("doc_id", "text"), windows, block_rows)
+                   .withColumn("windows", F.array_sort(F.array_distinct("hits.window")))
+                   .withColumn("set", F.when(F.size("windows") > 0, F.sha2(F.array_join("windows", "\n").cast("binary"), 256))), "found")
+    # The items of each distinct set of windows, once: many documents may share the windows of many items.
+    sets = found.where("set IS NOT NULL").groupBy("set").agg(F.first("windows").alias("windows"))
+    named = (sets.select("set", F.explode("windows").alias("window"))
+             .join(windows, "window").select("set", F.explode("items").alias("item"))
+             .groupBy("set").agg(F.collect_set(F.col("item").cast("string")).alias("items")))
     f, n = found.alias("f"), named.alias("n")
-    same = F.col("f.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("f.text_key") == F.col("n.text_key"))
-    joined = f.join(n, same, "left").withColumn("spans", spans("f.hits"))
+    joined = f.join(n, "set", "left").withColumn("spans", spans("f.hits"))
     none = F.array().cast("array<string>")
     return joined.select(
         "f.doc_id", "f.text_key", "f.copies", "f.n_words", covered("spans").alias("n_hit"),

@@ -94,3 +94,12 @@ def test_plan_is_native(spark, sf):
     for name in ("op1_decontaminate", "op2_shard"):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_items_of_shared_windows_are_resolved_once(spark):
+    """300 documents that hold a window which 300 items share: one set, of 300 items."""
+    line = " ".join(f"w{i}" for i in range(10))
+    docs = spark.createDataFrame([(i, f"{line} {i}") for i in range(300)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(f"i{i}", line) for i in range(300)], "item_id string, text string")
+    got = contamination(docs, items).collect()
+    assert len(got) == 300 and all(sorted(r["items"]) == sorted(f"i{i}" for i in range(300)) and r.n_hit == 10 for r in got)
