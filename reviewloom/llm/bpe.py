@@ -21,6 +21,7 @@ and repeated texts are rows like any other; an empty table gives an empty result
 
 import base64
 import hashlib
+import heapq
 import re
 import unicodedata
 from itertools import chain
@@ -38,7 +39,8 @@ PACK_WORDS = 20_000        # words of an Arrow batch
 MERGE_WORDS = 200_000      # words that are merged, and packed by part, at a time
 PACK_TOKENS = 200_000      # words of the documents in a packed row, about
 NO_RANK = 1 << 40          # higher than any rank
-TEXT_AT_ONCE = 1 << 22     # characters that are held as separate words at a time, about
+LONG_WORD = 200            # bytes; a longer word is merged with a heap
+TEXT_AT_ONCE = 1 << 20     # characters that are held as separate words at a time, about
 
 
 def load_ranks(path):
@@ -55,6 +57,8 @@ def merge(word, ranks):
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
+    if len(word) > LONG_WORD:
+        return merge_long(word, ranks)
     parts = [word[i:i + 1] for i in range(len(word))]
     pairs = [ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
     while pairs and (best := min(pairs)) != NO_RANK:
@@ -68,6 +72,27 @@ def merge(word, ranks):
     return [ranks[part] for part in parts]
 
 
+def merge_long(word, ranks):
+    """As ``merge``, in time n log n: pairs wait in a heap by rank and place, and parts are linked to their neighbours."""
+    n = len(word)
+    ends = list(range(1, n + 1))          # of the part that begins at a byte; 0 if none does
+    before = list(range(-1, n - 1))       # the begin of the part before
+    heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(word[i:i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, end = heapq.heappop(heap)
+        middle = ends[i]
+        if not middle or middle == n or ends[middle] != end:
+            continue                      # one of the two parts is no more
+        ends[i], ends[middle] = end, 0
+        if end < n:
+            before[end] = i
+        for begin, stop in ((before[i], end), (i, ends[end] if end < n else 0)):
+            if begin >= 0 and stop and (rank := ranks.get(word[begin:stop])) is not None:
+                heapq.heappush(heap, (rank, begin, stop))
+    return [ranks[word[i:end]] for i, end in enumerate(ends) if end]
+
+
 def _characters(test):
     """The first 256 characters that pass, for a character class."""
     return "".join(re.escape(chr(c)) for c in range(256) if test(chr(c)))
