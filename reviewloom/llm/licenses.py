@@ -55,43 +55,58 @@ NOTICES = {
     "all rights reserved": "all-rights-reserved",
 }
 TAGS = ["spdx-license-identifier:", "license-identifier:", "license-expression:"]
-# The beginnings of licence identifiers, the longest first, with label and obligation.
+# The names of licence identifiers, the longest first where one begins another, with label and obligation.
 IDENTIFIERS = [
     ("cc-by-nc", "cc-by-nc", 4), ("cc-by-nd", "cc-by-nd", 4), ("cc-by-sa", "cc-by-sa", 3), ("cc-by", "cc-by", 1),
-    ("cc0", "cc0", 0), ("unlicense", "public-domain", 0), ("0bsd", "bsd", 0),
+    ("cc0", "cc0", 0), ("unlicense", "public-domain", 0), ("wtfpl", "public-domain", 0), ("0bsd", "bsd", 0),
     ("agpl", "agpl", 4), ("lgpl", "lgpl", 2), ("gpl", "gpl", 3), ("mpl", "mpl", 2), ("epl", "epl", 2),
+    ("cddl", "cddl", 2), ("cpl", "cpl", 2), ("eupl", "eupl", 3), ("osl", "osl", 3), ("gfdl", "gfdl", 3),
+    ("odbl", "odbl", 3), ("ms-rl", "ms-rl", 2), ("ms-pl", "ms-pl", 1), ("artistic", "artistic", 2), ("cecill", "cecill", 3),
     ("apache", "apache", 1), ("mit", "mit", 1), ("bsd", "bsd", 1), ("isc", "isc", 1), ("zlib", "zlib", 1),
+    ("bsl", "bsl", 1), ("afl", "afl", 1), ("ncsa", "ncsa", 1), ("openssl", "openssl", 1), ("postgresql", "postgresql", 1),
+    ("python", "python", 1), ("psf", "python", 1), ("php", "php", 1), ("ruby", "ruby", 1), ("vim", "vim", 1), ("x11", "x11", 1),
 ]
+VERSION = re.compile(r"$|[-.+]|v?[0-9]")   # what may follow a name
 UNKNOWN = 5
 PRIORITY = {"or": 1, "and": 2, "with": 3}
 WEIGHTS = {"base": 0.6, "notice": 0.7, "tag": 0.95}
-EXPRESSION = re.compile(rb"[^\r\n]*")
-PART = re.compile(r"[()]|[^\s()]+")
+# A line end is a part of its own: it ends an expression.
+PART = re.compile(rb"[\r\n()]|[^\s()]+")
+OPERAND = re.compile(r"[a-z0-9](?:[a-z0-9.+:-]*[a-z0-9.+-])?")   # what ends with a colon is a tag
 
 PLACE = "array<struct<label:string,kind:string,start:bigint,len:int>>"
 FOUND = f"_id bigint, n_words bigint, places {PLACE}, expressions array<struct<text:string,labels:array<string>,obligation:int>>"
 
 
 def identify(name):
-    """(label, obligation) of a licence identifier."""
+    """(label, obligation) of a licence identifier: its name up to a version, a variant or the end."""
     for start, label, level in IDENTIFIERS:
-        if name.startswith(start):
+        if name.startswith(start) and VERSION.match(name, len(start)):
             return label, level
     return "other", UNKNOWN
 
 
 def _operand(part):
-    return re.fullmatch(r"[a-z0-9][a-z0-9.+:-]*", part) and part not in PRIORITY
+    return part not in PRIORITY and OPERAND.fullmatch(part)
 
 
 def to_postfix(line):
     """The postfix form of the longest valid beginning of ``line``, and its text."""
-    best, best_parts = [], []
-    out, stack, used = [], [], []
+    return read_expression(parts_after(line.encode(), 0))
+
+
+def read_expression(parts):
+    """The postfix form of the longest valid beginning of ``parts``, and its text.
+
+    Reads no further than the first part that cannot go on.
+    """
+    valid = (0, (), 0)  # so many of out and used, and the operators that are still to come
+    out, stack, used, opened = [], [], [], 0
     wants_operand, after_with = True, False
-    for part in PART.findall(line):
+    for part in parts:
         if wants_operand and part == "(" and not after_with:
             stack.append(part)
+            opened += 1
         elif wants_operand and _operand(part):
             out.append(("exception" if after_with else "licence", part))
             wants_operand = after_with = False
@@ -100,17 +115,28 @@ def to_postfix(line):
                 out.append(("operator", stack.pop()))
             stack.append(part)
             wants_operand, after_with = True, part == "with"
-        elif not wants_operand and part == ")" and "(" in stack:
+        elif not wants_operand and part == ")" and opened:
             while stack[-1] != "(":
                 out.append(("operator", stack.pop()))
             stack.pop()
+            opened -= 1
         else:
             break
         used.append(part)
-        if not wants_operand and "(" not in stack:
-            best = out + [("operator", op) for op in reversed(stack)]
-            best_parts = list(used)
-    return best, " ".join(best_parts).replace("( ", "(").replace(" )", ")")
+        if not wants_operand and not opened:
+            valid = len(out), tuple(reversed(stack)), len(used)  # at most one operator of each kind
+    n, operators, n_used = valid
+    text = " ".join(used[:n_used]).replace("( ", "(").replace(" )", ")")
+    return out[:n] + [("operator", op) for op in operators], text
+
+
+def parts_after(lowered, place):
+    """The parts of the expression that begins at ``place`` of the bytes, one by one, to the end of the line."""
+    for found in PART.finditer(lowered, place):
+        part = found.group()
+        if part in (b"\r", b"\n"):
+            return
+        yield part.decode("utf-8", "replace")
 
 
 def evaluate(postfix):
@@ -161,8 +187,7 @@ def scan_text(text, phrases, tags):
         places.sort(key=lambda p: (p[2], p[3], p[1], p[0]))
     expressions, lowered = {}, text.lower()
     for end, _ in tags.iter(lowered.decode("latin-1")):
-        line = EXPRESSION.match(lowered, end + 1).group().decode("utf-8", "replace")
-        postfix, read = to_postfix(line)
+        postfix, read = read_expression(parts_after(lowered, end + 1))
         if postfix and read not in expressions:
             expressions[read] = (read, *evaluate(postfix))
     return len(parts), places, list(expressions.values())

@@ -1,8 +1,10 @@
 import re
+import time
 
 import pytest
 
-from reviewloom.llm.licenses import BASE, evaluate, identify, license_report, scan_licenses, to_postfix
+from reviewloom.llm.licenses import (BASE, TAGS, automaton, evaluate, identify, license_report, phrase_automaton, scan_licenses,
+                                      scan_text, to_postfix)
 
 ROWS = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
 
@@ -84,3 +86,19 @@ def test_identifiers():
 
 def test_empty_table(documents):
     assert license_report(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("text", [b"license-identifier: mit " * 42_000, b"spdx-license-identifier: " + b"mit or " * 150_000,
+                                  b"license-identifier: " + b"(" * 1_000_000, b"license-identifier: or " * 45_000])
+def test_a_megabyte_on_one_line(text):
+    """46 kB of tags once took 1.7 s, and four times as long for twice as many."""
+    since = time.monotonic()
+    scan_text(text, phrase_automaton(), automaton({tag: tag for tag in TAGS}))
+    assert time.monotonic() - since < 20
+
+
+@pytest.mark.parametrize("name,label", [("mitre", "other"), ("mit", "mit"), ("mit-0", "mit"), ("iscsi", "other"), ("epla", "other"),
+                                        ("apachesomething", "other"), ("apache-2.0", "apache"), ("gplv3+", "gpl"), ("gpl2", "gpl"),
+                                        ("bsd-3-clause", "bsd"), ("cc-by-4.0", "cc-by"), ("cc-by-sa-3.0", "cc-by-sa"), ("cc-bystander", "other")])
+def test_identifiers_end_at_a_version(name, label):
+    assert identify(name)[0] == label
