@@ -41,6 +41,7 @@ TOKEN = re.compile(
     # A quote opens a value only after "=".
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)"""
     r"""((?:[^>=]++|=(?>\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?+)*+)>""", re.S)
+COMMENT = re.compile(r"<!--.*", re.S)   # one that no ">" ends, behind the last tag
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -82,56 +83,71 @@ def _names(attributes):
     return " ".join(m.strip("\"'").lower() for m in NAMED.findall(attributes)) if attributes else ""
 
 
+class Stack:
+    """The open elements, and for every tag the places where it is open: a search takes no walk."""
+
+    def __init__(self, root):
+        self.open, self.places = [root], {}
+
+    def push(self, element):
+        self.places.setdefault(element.tag, []).append(len(self.open))
+        self.open.append(element)
+
+    def innermost(self, tags):
+        """The place of the innermost open element of ``tags``, 0 if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+
+    def close(self, place):
+        """End the element at ``place`` and all within."""
+        while len(self.open) > place:
+            self.places[self.open.pop().tag].pop()
+
+    def close_within(self, tags, barriers):
+        """End the innermost open element of ``tags``, if none of ``barriers`` is inside of it."""
+        place = self.innermost(tags)
+        if place and place >= self.innermost(barriers):
+            self.close(place)
+
+
 def parse(page):
     """The element tree of a page; parts of an element are its texts and elements."""
     root = Element("#root")
-    stack, at = [root], 0
+    stack, at = Stack(root), 0
     position, size = 0, len(page)
+    last = page.rfind(">")   # no tag ends behind it
     while position < size:
-        match = TOKEN.search(page, position)
+        match = TOKEN.search(page, position) if position <= last else COMMENT.search(page, position)
         if match is None:
             break
         if match.start() > at:
-            stack[-1].parts.append(page[at:match.start()])
+            stack.open[-1].parts.append(page[at:match.start()])
         at = position = match.end()
-        tag = match.group(2)
+        tag = match.group(2) if match.re is TOKEN else None
         if tag is None:
             continue
         tag = tag.lower()
         if match.group(1):
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if place := stack.innermost((tag,)):
+                stack.close(place)
             continue
         if tag in CLOSES_P:
-            _close(stack, {"p"}, BLOCKS - {"p"})
+            stack.close_within({"p"}, BLOCKS - {"p"})
         if tag in SAME_CLOSES:
-            _close(stack, SAME_CLOSES[tag], LIST_ROOTS if tag not in ("td", "th") else LIST_ROOTS | {"tr"})
+            stack.close_within(SAME_CLOSES[tag], LIST_ROOTS if tag not in ("td", "th") else LIST_ROOTS | {"tr"})
         element = Element(tag, _names(match.group(3)))
-        stack[-1].parts.append(element)
+        stack.open[-1].parts.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             stop = end.start() if end else size
             element.parts.append(page[at:stop])
             at = position = end.end() if end else size
         elif tag not in VOID:
-            stack.append(element)
+            stack.push(element)
     if at < size:
-        stack[-1].parts.append(page[at:])
+        stack.open[-1].parts.append(page[at:])
     return root
 
 
-def _close(stack, tags, barriers):
-    """End the innermost open element of ``tags``, if none of ``barriers`` is inside of it."""
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].tag in tags:
-            del stack[depth:]
-            return
-        if stack[depth].tag in barriers:
-            return
-
-
 def walk(root):
     """Elements, every child before its parent; each knows the article it is in, and if it is dropped or holds an article."""
     order, todo = [], [root]
