@@ -12,13 +12,15 @@
 Only the row counts of the partitions reach the driver. Everything else is DataFrame
 operations. The same seed on the same input partitions gives the same shuffle.
 
-A limit: numpy draws from fewer than 10^9 places on either side, so tables from about 1.14 billion rows on (8 shards) are
-refused with a message before the exchange.
+Draws from fewer than 10^9 places are numpy's, which takes no more; larger ones invert the distribution around its
+mode, as far as a double can tell it from nothing. So a table may have any number of rows that a bigint can count.
 
 Special cases: a null text has no bytes and the checksum of an empty text. Null
 or repeated ids and repeated texts are rows like any other. An empty table gives an empty result.
 """
 
+import math
+
 import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -27,22 +29,46 @@ from .common import stored
 
 CUT_ROWS = 50_000  # rows of a cut, about
 DRAW_LIMIT = 10 ** 9  # of numpy's hypergeometric
+REACH = 40  # deviations from the mode beyond which a double has no probability left
+
+
+def hypergeometric(rng, good, bad, n):
+    """How many of ``n`` places, drawn without replacement, are among the ``good`` ones."""
+    if not n or not good:
+        return 0
+    if max(good, bad, n) < DRAW_LIMIT:
+        return int(rng.hypergeometric(good, bad, n))
+    return wide_hypergeometric(rng, good, bad, n)
+
+
+def wide_hypergeometric(rng, good, bad, n):
+    """As ``hypergeometric``, for any numbers: by the ratios of neighbouring probabilities, from the mode outwards.
+
+    The deviation, and with it the work, is at most half the root of ``n``, the rows of an input partition.
+    """
+    total = good + bad
+    mode = (n + 1) * (good + 1) // (total + 2)
+    reach = 50 + int(REACH * math.sqrt(n * (good / total) * (bad / total) * (total - n) / max(total - 1, 1)))
+    first, last = max(0, n - bad, mode - reach), min(good, n, mode + reach)
+    k = np.arange(last - first, dtype=np.float64)
+    # Differences of whole numbers first, then doubles: each ratio of neighbours is right to its last bits.
+    ratio = ((good - first) - k) * ((n - first) - k) / (((first + 1) + k) * ((bad - n + first + 1) + k))
+    level = np.concatenate([[0.0], np.cumsum(np.log(ratio))])
+    upto = np.cumsum(np.exp(level - level.max()))
+    return first + int(np.searchsorted(upto, rng.random() * upto[-1], side="right"))
 
 
 def draw_matrix(counts, shards, seed):
     """Exact counts (partition by shard) of a uniform shuffle of ``counts`` rows."""
     total = sum(counts)
     free = np.array([total // shards + (s < total % shards) for s in range(shards)])
-    most = int(max(free.max(), total - free.min()))
-    if most >= DRAW_LIMIT:
-        raise ValueError(f"{total} rows in {shards} shards need draws from {most} places; numpy takes fewer than {DRAW_LIMIT}")
     rng = np.random.default_rng(seed)
     matrix = []
     for n in counts:
         row, left, places = [], n, int(free.sum())
         for s in range(shards):
             places -= int(free[s])
-            taken = int(rng.hypergeometric(free[s], places, left)) if left and free[s] else 0
+            taken = hypergeometric(rng, int(free[s]), places, left)
             row.append(taken)
             left -= taken
         free -= row

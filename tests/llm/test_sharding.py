@@ -3,7 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from reviewloom.llm.sharding import draw_matrix, shard_documents, uniform_shards
+from reviewloom.llm.sharding import draw_matrix, shard_documents, uniform_shards, wide_hypergeometric
 
 
 def check_exact(rows, shards):
@@ -28,10 +28,36 @@ def test_matrix_margins():
     assert sum(columns) == 1023 and max(columns) - min(columns) <= 1
 
 
-def test_limit_is_stated():
-    assert [sum(row) for row in draw_matrix([600_000_000, 500_000_000], 8, 3)] == [600_000_000, 500_000_000]
-    with pytest.raises(ValueError, match="1200000000 rows in 8 shards"):
-        draw_matrix([600_000_000, 600_000_000], 8, 3)
+@pytest.mark.parametrize("counts", [[600_000_000, 600_000_000], [10**11], [1, 10**11, 5, 0, 3 * 10**9], [10**7] * 3000 + [10**10]])
+def test_matrix_of_a_large_table(counts):
+    """numpy refuses draws from 10^9 places and more."""
+    matrix = draw_matrix(counts, 8, 3)
+    assert [sum(row) for row in matrix] == counts
+    columns = [sum(c) for c in zip(*matrix)]
+    assert max(columns) - min(columns) <= 1 and min(min(row) for row in matrix) >= 0
+
+
+def test_wide_draws_have_the_moments_of_a_large_table():
+    """10^11 rows in 8 shards: a partition of a million rows, and one of a tenth of the table."""
+    rng = np.random.default_rng(5)
+    total = 10**11
+    for n in (10**6, 10**10):
+        drawn = np.array([wide_hypergeometric(rng, total // 8, total - total // 8, n) for _ in range(3000 if n == 10**6 else 60)], dtype=float)
+        variance = n * (1 / 8) * (7 / 8) * (total - n) / (total - 1)
+        assert abs(drawn.mean() - n / 8) < 5 * (variance / len(drawn)) ** 0.5
+        assert abs(drawn.var() / variance - 1) < 5 * (2 / len(drawn)) ** 0.5
+
+
+@pytest.mark.parametrize("good, bad, n", [(5, 3, 4), (50, 950, 100), (1, 7, 8), (300, 2, 301), (40, 60, 1), (2000, 3000, 2500)])
+def test_wide_draws_are_distributed_alike(good, bad, n):
+    """Against the probabilities themselves, as whole numbers."""
+    from math import comb
+    rng, draws = np.random.default_rng(7), 20_000
+    found = Counter(wide_hypergeometric(rng, good, bad, n) for _ in range(draws))
+    assert set(found) <= set(range(max(0, n - bad), min(good, n) + 1))
+    for k, seen in found.items():
+        expected = draws * comb(good, k) * comb(bad, n - k) / comb(good + bad, n)
+        assert abs(seen - expected) < 5.5 * (expected + 1) ** 0.5
 
 
 def test_matrix_is_hypergeometric():
