@@ -99,9 +99,18 @@ def test_exact_stage_edge_rows(spark, documents, sf):
 
 def test_near_stage_edge_rows(spark, documents, sf):
     text = " ".join(f"w{i}" for i in range(60))
-    rows = [(9, text), (4, text + " end"), (None, text), (5, None), (6, ""), (7, "short text"), (7, "other text here")]
+    other = " ".join(f"v{i}" for i in range(60))
+    third = " ".join(f"u{i}" for i in range(60))
+    rows = [(9, text), (4, text + " end"), (None, text), (5, None), (6, ""), (7, "short text"), (7, "other text here"),
+            (8, other), (8, other), (8, "unlike the others with this id"), (None, third), (None, third + " end"), (None, "unlike"),
+            (None, "unlike"), (None, None), (None, "")]
     kept = pipeline.near(spark, documents(rows), sf)
-    assert sorted(pairs(kept), key=repr) == sorted([rows[1], *rows[3:]], key=repr)
+    assert kept.columns == documents([]).columns
+    got = pairs(kept)
+    # Of null ids, too, one row of each group stays.
+    assert sum(t in (third, third + " end") for _, t in got) == 1
+    want = [rows[1], *rows[3:8], rows[9], rows[12], *rows[14:]]
+    assert sorted((r for r in got if r[1] not in (third, third + " end")), key=repr) == sorted(want, key=repr)
 
 
 def test_clean_stage_edge_rows(spark, documents, sf):
