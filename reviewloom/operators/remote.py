@@ -46,7 +46,7 @@ class RemoteScorer:
     calls, the rows go to as many partitions as calls. With ``adaptive`` that number is the most: a task starts with one
     call at a time, adds one after each round without a refusal, and halves them when the service refuses; after many refusals in a row it
     pauses, and fails when pauses do not help (see ``Throttle``). A call that is refused for its load, as ``refused(error)`` tells, is
-    repeated until then, whatever ``retries``; the executors need this package for it. Any other call that raises is tried
+    repeated until then, whatever ``retries``. Any other call that raises is tried
     ``retries`` more times inside the task, after a wait that doubles and varies at random, since a
     failed task would repeat every call of its partition; an error that ``lasting(error)`` calls lasting
     (a refused key) is not tried again. After that the task fails, or with ``on_failure="unknown"``

@@ -1,8 +1,14 @@
 """How many calls a task may have under way, learnt from how they end."""
 
+import sys
 import threading
 import time
 
+from pyspark import cloudpickle
+
+# The classes travel by value, so neither the driver's planner nor the executors need a copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class CircuitOpen(RuntimeError):
     """The service has refused so many calls in a row that asking on is of no use."""

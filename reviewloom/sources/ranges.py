@@ -19,6 +19,7 @@ names and sizes; it reads none of them.
 """
 
 import json
+import sys
 import time
 import uuid
 from bisect import bisect_right
@@ -27,10 +28,14 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 from ..streaming.pacing import Pacer
 
+# The classes travel by value, so neither the driver's planner nor the executors need a copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NAME = "line_ranges"
 BYTES_PER_BATCH = 1 << 30
 BYTES_PER_TASK = 1 << 27

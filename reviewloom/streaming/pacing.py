@@ -1,7 +1,13 @@
 """How much the next batch of a stream should admit."""
 
+import sys
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
+
+# The classes travel by value, so neither the driver's planner nor the executors need a copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_GROWTH, MAX_CUT = 2.0, 0.25   # of the next batch against the last
 SMOOTHING = 0.5                   # weight of the last batch in the rate
 

@@ -14,6 +14,7 @@ A partition is no task: a hot one is written by many. Nothing is shuffled; the m
 
 import io
 import json
+import sys
 import uuid
 from dataclasses import dataclass, field
 
@@ -22,11 +23,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage
 
 from ..sources.ranges import locate
 
+# The classes travel by value, so neither the driver's planner nor the executors need a copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NAME = "file_topic"
 MAX_BYTES = 1 << 20     # of a value
 TOO_LARGE, NO_PARTITION = "too large", "no such partition"

@@ -215,3 +215,23 @@ def test_stream_follows_slow_and_fast_batches(spark, tmp_path):
                          handle, "q", str(tmp_path / "checkpoints")))
     assert sorted(rows) == sorted(wanted)
     assert took[0] < 60 < max(took) and len(took) < 40
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """The planner and the tasks run in processes that cannot import it."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+import __spark_entry__
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate())
+queries = __spark_entry__.queries()
+assert queries["stream_byte_ranges"](spark, "/root/testdata/sf0.001").count() == 200
+assert queries["delivery_records"](spark, "/root/testdata/sf0.001").count() == 9
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=300)
