@@ -16,7 +16,7 @@ from ..sources.lines import NO_FILE_TOO_OLD
 from ..sources.ranges import stream_ranges, total_bytes
 from ..sources.tables import contract_lines, gappy_reviews, kafka_rows, review_lines, reviews, table
 from ..streaming.audit import AUDIT, COUNTS, audited_delivery, read_audit, read_deliveries
-from ..streaming.isolate import isolating_delivery
+from ..streaming.isolate import MAX_BAD, isolating_delivery
 from ..streaming.landing import land, pace, replay_stream
 from ..streaming.sinks import FileSink, finish, start_batches, start_stream
 from ..streaming.open_schema import OpenTable
@@ -174,6 +174,8 @@ def poison_records(spark, sf_dir):
     rows = kafka_rows(reviews(spark, sf_dir))
     spoilt = F.when(F.pmod("offset", F.lit(POISON)) == 7, F.concat("value", F.lit(b"\xff"))).otherwise(F.col("value"))
     rows_per_file, files = _pace(spark, sf_dir)
+    # A batch has half as many bad rows as may be set aside, or less.
+    files = max(1, min(files, MAX_BAD * POISON // 2 // rows_per_file))
     rows.withColumn("value", spoilt).write.option("maxRecordsPerFile", rows_per_file).parquet(f"{home}/topic")
     deliver = audited_delivery("enrich", f"{home}/out", f"{home}/audit")
 
@@ -182,7 +184,8 @@ def poison_records(spark, sf_dir):
                  .option("maxFilesPerTrigger", files).parquet(f"{home}/topic"))
         return start_batches(topic, handle, "enrich", f"{home}/checkpoints", until_done=True)
 
-    handle = isolating_delivery(lambda batch: label_lines(decode_values(batch, "fail"), LEXICON), deliver, f"{home}/bad")
+    handle = isolating_delivery(lambda batch: label_lines(decode_values(batch, "fail"), LEXICON), deliver, f"{home}/bad",
+                                 narrow=True)
     supervise(start, backoff_s=0)
     delivered = read_deliveries(spark, f"{home}/out").select(
         F.col("key").cast("bigint").alias("offset"), F.lit("delivered").alias("status"), "value", F.lit(None).cast("string").alias("reason"))

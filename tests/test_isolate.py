@@ -126,6 +126,46 @@ def test_a_broken_job_sets_nothing_aside(spark, tmp_path):
     assert not (tmp_path / "bad").exists()
 
 
+def test_parts_are_dealt_to_partitions(spark):
+    rows = NumberedRows(spark.range(0, 1000, numPartitions=3).withColumn("part", F.lit("x")))
+    parts = [(3, 10), (10, 11), (330, 340), (990, 1000)]
+    dealt = rows.dealt(parts)
+    assert dealt.columns == ["id", "part"]
+    assert sorted((r.p, r.id) for r in dealt.select("id", F.spark_partition_id().alias("p")).collect()) == [
+        (i, place) for i, (b, e) in enumerate(parts) for place in range(b, e)]
+
+
+def test_tries_of_a_round_are_planned_once(spark, tmp_path):
+    """60 of 2,000 rows: some 800 tries, and a few plans for each round. No row is blamed for a try beside its own."""
+    bad, plans = set(random.Random(6).sample(range(2000), 60)), []
+
+    def process(df):
+        plans.append(1)
+        return df.selectExpr("id", f"CAST(CASE WHEN id IN ({','.join(map(str, bad))}) THEN 'x' ELSE value END AS INT) AS n", "map(id, value) AS m")
+
+    run(spark, tmp_path, landed(spark, tmp_path, 2000), process, write_batches(tmp_path), narrow=True)
+    assert len(plans) < 150
+    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(set(range(2000)) - bad)
+    aside = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted(r.id for r in aside) == sorted(bad) and {r.reason for r in aside} == {"CAST_INVALID_INPUT"}
+
+
+def test_errors_without_a_condition_keep_their_reason(spark, tmp_path):
+    @F.udf("int")
+    def broken(value):
+        if int(value) % 50 == 7:
+            raise ValueError("never")
+        return int(value)
+
+    reasons = {}
+    for narrow in (False, True):
+        place = tmp_path / str(narrow)
+        run(spark, place, landed(spark, place, 300), lambda df: df.select("id", broken("value").alias("n")), write_batches(place), narrow=narrow)
+        reasons[narrow] = sorted((r.id, r.reason) for r in spark.read.parquet(str(place / "bad")).collect())
+    assert [i for i, _ in reasons[True]] == list(range(7, 300, 50))
+    assert {why for _, why in reasons[True]} == {why for _, why in reasons[False]}
+
+
 def failing_client(folder):
     """A client that can never answer one prompt, and leaves a file per answer."""
     def factory():
