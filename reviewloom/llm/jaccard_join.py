@@ -28,7 +28,8 @@ Sets are fetched for verification only, for the documents of pairs within the bo
 text of one row of their class, so rows that share an id, or have none, meet only their own.
 
 Sets and classes are known by 64-bit hashes of the words and of the sorted set. Only the frequent
-shingles reach the driver, from a bounded sample (they set the order, never the result).
+shingles reach the driver, by their number, the upper half of the hash, under which all documents' shingles are
+counted (they set the order, never the result).
 
 Special cases: null, empty and blank texts have an empty set and are linked with nothing.
 Texts with fewer than five words have one shingle, the whole text. Repeated rows are copies. A null id
@@ -49,9 +50,12 @@ LONG = 100_000          # the bound passes all sets of so many shingles, whose c
 LEAF = 16               # points of a leaf, and nodes of an inner node
 PAGE = 512              # members of a block that one task joins
 VERIFY_PAGE = 256       # documents of a component that one task verifies, beside those they are paired with
-SAMPLE_ROWS = 20_000    # documents sampled for the order of shingles
-FREQUENT_ROWS = 2       # a shingle in so many of them is frequent
+FREQUENT_ROWS = 2       # a shingle in so many documents is frequent,
+FREQUENT_OF = 20_000    # or in so many of each of these many
 MAX_FREQUENT = 200_000
+COUNT_SHIFT = 32        # of a shingle's hash, to the number that it is counted by
+COUNT_SHINGLES = 1 << 22  # shingles that a task counts before it hands them on
+COUNT_ROWS = 4096       # documents whose numbers make a piece of all numbers
 MAX_BROADCAST = 500_000  # ids broadcast at once
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -85,12 +89,13 @@ def needed(n):
     return n - (3 * n + 3) // 4 + 1
 
 
-def prefix(members, frequent):
-    """The first shingles of a set: the rare before the frequent, each by hash."""
+def prefix(members, frequent, shift=0):
+    """The first shingles of a set: the rare before the frequent, which are known by their upper bits, each by hash."""
     n = needed(len(members))
     if len(frequent):
-        at = np.searchsorted(frequent, members).clip(max=len(frequent) - 1)
-        common = frequent[at] == members
+        numbers = members >> np.uint64(shift)
+        at = np.searchsorted(frequent, numbers).clip(max=len(frequent) - 1)
+        common = frequent[at] == numbers
         if common.any():
             members = np.concatenate([members[~common], members[common]])
     return members[:n]
@@ -131,7 +136,7 @@ def set_batches(shared):
                 seen.add(key)
                 sizes.append(len(members))
                 keys.append(key)
-                tokens.append(prefix(members, frequent).view(np.int64) if new else None)
+                tokens.append(prefix(members, frequent, COUNT_SHIFT).view(np.int64) if new else None)
                 points.append(point(members).tobytes() if new else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, type=pa.int64()), pa.array(keys, type=pa.int64()),
@@ -140,24 +145,85 @@ def set_batches(shared):
     return sets
 
 
-def sample_batches(batches):
-    for batch in batches:
-        found = {}
-        for text in batch.column(0).to_pylist():
-            members = shingles(text)
-            found[set_key(members)] = members
-        tokens = np.concatenate([np.zeros(0, np.uint64), *found.values()])
-        yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], names=["token"])
+NUMBERS = "piece bigint, once binary, more binary, counts binary"
+
+
+def number_batches(pieces):
+    """(text) to the numbers of all shingles by piece: those that the task has seen once, and others with their counts.
+
+    Equal sets of a task count once.
+    """
+    def counted(held):
+        numbers, counts = np.unique(np.concatenate(held), return_counts=True)
+        edges = np.searchsorted(numbers, -(-(np.arange(pieces + 1) << COUNT_SHIFT) // pieces))
+        several = counts > 1
+        rows = []
+        for piece, (begin, end) in enumerate(zip(edges, edges[1:])):
+            if begin < end:
+                own, n, some = numbers[begin:end], counts[begin:end], several[begin:end]
+                rows.append((piece, own[~some].tobytes(), own[some].tobytes(), n[some].astype(np.int64).tobytes()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, type=kind) for column, kind in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 3))],
+            names=["piece", "once", "more", "counts"])
+
+    def number(batches):
+        seen, held, size = set(), [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                members = shingles(text)
+                key = set_key(members)
+                if len(members) and key not in seen:
+                    seen.add(key)
+                    held.append((members >> np.uint64(COUNT_SHIFT)).astype(np.uint32))
+                    size += len(members)
+                if size >= COUNT_SHINGLES:
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
+    return number
+
+
+def frequent_batches(least):
+    """Rows of ``NUMBERS``, sorted by piece, to the numbers (number, n) that ``least`` documents have."""
+    def frequent(held):
+        once, more, counts = (np.frombuffer(b"".join(column), dtype=kind)
+                              for column, kind in zip(zip(*held), (np.uint32, np.uint32, np.int64)))
+        numbers, n = np.unique(once, return_counts=True)
+        # The few that came with counts are added by place.
+        every = np.union1d(numbers, more)
+        total = np.zeros(len(every), dtype=np.int64)
+        total[np.searchsorted(every, numbers)] = n
+        np.add.at(total, np.searchsorted(every, more), counts)
+        kept = total >= least
+        return pa.RecordBatch.from_arrays([pa.array(every[kept].astype(np.int64)), pa.array(total[kept])], names=["number", "n"])
+
+    def pieces(batches):
+        at, held = None, []
+        for batch in batches:
+            for piece, *row in zip(*(column.to_pylist() for column in batch.columns)):
+                if piece != at:
+                    if held:
+                        yield frequent(held)
+                    at, held = piece, []
+                held.append(row)
+        if held:
+            yield frequent(held)
+    return pieces
 
 
 def frequent_shingles(rows):
-    """Hashes of shingles that many sampled documents share, sorted."""
-    every = max(1, rows.count() // SAMPLE_ROWS)
-    sample = rows.where(F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(every)) == 0)
-    counts = stored(sample.select("text").mapInArrow(sample_batches, "token bigint")
-                    .groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT_ROWS), "frequent")
+    """The numbers of the shingles that many documents share, sorted; every document is counted."""
+    spark = rows.sparkSession
+    n = rows.count()
+    parts = shuffle_partitions(spark)
+    pieces = max(parts, -(-n // COUNT_ROWS))
+    least = max(FREQUENT_ROWS, -(-FREQUENT_ROWS * n // FREQUENT_OF))
+    counts = stored(rows.select("text").mapInArrow(number_batches(pieces), NUMBERS)
+                    .repartition(parts, "piece").sortWithinPartitions("piece")
+                    .mapInArrow(frequent_batches(least), "number bigint, n bigint"), "frequent")
     top = most_frequent(counts, MAX_FREQUENT)
-    return np.unique(np.array([r.token for r in top], dtype=np.int64).view(np.uint64))
+    return np.sort(np.array([r.number for r in top], dtype=np.int64).view(np.uint64))
 
 
 # ---- blocks ----

@@ -244,3 +244,31 @@ def test_pairs_of_a_hub_are_dealt_to_many_pages(spark):
         assert sorted((r.a, r.b) for r in dealt) == sorted((min(hub, i), max(hub, i)) for i in range(1000))
         sizes = Counter(r.page for r in dealt)
         assert len(sizes) == 21 and max(sizes.values()) < 100
+
+
+def test_every_document_counts_for_the_order(spark):
+    """60,000 documents, of which 6 must share a shingle for it to be frequent: 7 share some, 5 others."""
+    phrases = {f"p{i} of each some words": 7 if i % 2 else 5 for i in range(100)}
+    rows = spark.createDataFrame(
+        [(None, 0, f"{phrase} u{i}x{j}".encode()) for i, (phrase, n) in enumerate(phrases.items()) for j in range(n)]
+        + [(i, 0, f"single{i}".encode()) for i in range(59_400)], "id bigint, h bigint, text binary")
+    wanted = [jj.shingles(phrase.encode())[0] >> np.uint64(jj.COUNT_SHIFT) for phrase, n in phrases.items() if n == 7]
+    assert list(jj.frequent_shingles(rows.repartition(16))) == sorted(wanted)
+
+
+def test_counts_of_numbers_are_exact(monkeypatch):
+    monkeypatch.setattr(jj, "COUNT_SHINGLES", 50)
+    rng, texts = np.random.default_rng(5), []
+    for i in range(400):
+        texts.append(" ".join(f"w{x}" for x in rng.integers(0, 6, rng.integers(1, 12))).encode())
+    found = {}
+    for text in {jj.shingles(t).tobytes() for t in texts}:
+        for member in np.frombuffer(text, dtype=np.uint64):
+            found[int(member >> np.uint64(32))] = found.get(int(member >> np.uint64(32)), 0) + 1
+    for pieces in (1, 3, 16):
+        batches = jj.number_batches(pieces)([pa.RecordBatch.from_arrays([pa.array(texts[i:i + 90])], names=["text"]) for i in range(0, 400, 90)])
+        rows = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[0])
+        again = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["piece", "once", "more", "counts"])
+        for least in (1, 3):
+            got = [pair for b in jj.frequent_batches(least)([again]) for pair in zip(*(c.to_pylist() for c in b.columns))]
+            assert sorted(got) == sorted((k, n) for k, n in found.items() if n >= least)
