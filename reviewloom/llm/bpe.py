@@ -32,7 +32,7 @@ import regex
 import xxhash
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import shuffle_partitions, squeezed, unsqueezed
 
 MAX_RANKS = 1_000_000      # the vocabulary is broadcast only up to this size
 PACK_WORDS = 20_000        # words of an Arrow batch
@@ -118,19 +118,6 @@ def splitter(pattern):
     return lambda text: (short if text.isascii() or max(text) < "\u0100" else whole).findall(text)
 
 
-def squeezed(numbers):
-    """Unsigned 32-bit numbers, compressed: all low bytes, then all second bytes, ..."""
-    numbers = np.ascontiguousarray(numbers, dtype=np.uint32)
-    planes = numbers.view(np.uint8).reshape(-1, 4).T
-    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
-
-
-def unsqueezed(block):
-    n = int.from_bytes(block[:8], "little")
-    planes = pa.decompress(block[8:], decompressed_size=4 * n, codec="zstd", asbytes=True)
-    return np.frombuffer(planes, dtype=np.uint8).reshape(4, n).T.copy().view(np.uint32).ravel()
-
-
 class Part:
     """The distinct words of an input partition, numbered from the most frequent, and its texts as numbers.
 

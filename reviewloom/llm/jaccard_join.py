@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from .common import most_frequent, shuffle_partitions, stored
+from .common import most_frequent, shuffle_partitions, squeezed, stored, unsqueezed
 from .components import connected
 
 SHINGLE = 5
@@ -51,7 +51,9 @@ LEAF = 16               # points of a leaf, and nodes of an inner node
 PAGE = 512              # members of a block that one task joins
 VERIFY_PAGE = 256       # documents of a component that one task verifies, beside those they are paired with
 FREQUENT_ROWS = 2       # a shingle in so many documents is frequent,
-FREQUENT_OF = 20_000    # or in so many of each of these many
+FREQUENT_OF = 20_000    # or in so many of each of these many,
+FREQUENT_ANYWAY = 8     # or, in a large corpus, in so many,
+FREQUENT_STEP = 1 << 18  # and one more for each of these many; numbers that agree by chance stay far below
 MAX_FREQUENT = 200_000
 COUNT_SHIFT = 32        # of a shingle's hash, to the number that it is counted by
 COUNT_SHINGLES = 1 << 22  # shingles that a task counts before it hands them on
@@ -106,6 +108,17 @@ def point(members):
     return np.minimum(counts, 255).astype(np.uint8)
 
 
+def packed(counts):
+    """A point as it is shuffled and stored, about half as long as Spark's own compression makes it."""
+    return pa.compress(counts.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(points):
+    """The packed points, one a row."""
+    whole = [pa.decompress(p, decompressed_size=GROUPS, codec="zstd", asbytes=True) for p in points]
+    return np.frombuffer(b"".join(whole), dtype=np.uint8).reshape(-1, GROUPS)
+
+
 def most_shared(high_a, high_b, n_a, n_b):
     """What sets of at most so many members, whose counts are no higher, share at most; row by row."""
     least = np.minimum(n_a, n_b)
@@ -137,7 +150,7 @@ def set_batches(shared):
                 sizes.append(len(members))
                 keys.append(key)
                 tokens.append(prefix(members, frequent, COUNT_SHIFT).view(np.int64) if new else None)
-                points.append(point(members).tobytes() if new else None)
+                points.append(packed(point(members)) if new else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, type=pa.int64()), pa.array(keys, type=pa.int64()),
                  pa.array(tokens, type=pa.list_(pa.int64())), pa.array(points, type=pa.binary())],
@@ -148,10 +161,19 @@ def set_batches(shared):
 NUMBERS = "piece bigint, once binary, more binary, counts binary"
 
 
+def steps(numbers):
+    """Sorted 32-bit numbers by the steps from each to the next, compressed."""
+    return squeezed(np.diff(numbers, prepend=numbers[:1] * 0))
+
+
+def from_steps(block):
+    return np.cumsum(unsqueezed(block), dtype=np.uint32)
+
+
 def number_batches(pieces):
     """(text) to the numbers of all shingles by piece: those that the task has seen once, and others with their counts.
 
-    Equal sets of a task count once.
+    Equal sets of a task count once. The numbers are sorted, and given by their steps.
     """
     def counted(held):
         numbers, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -161,7 +183,7 @@ def number_batches(pieces):
         for piece, (begin, end) in enumerate(zip(edges, edges[1:])):
             if begin < end:
                 own, n, some = numbers[begin:end], counts[begin:end], several[begin:end]
-                rows.append((piece, own[~some].tobytes(), own[some].tobytes(), n[some].astype(np.int64).tobytes()))
+                rows.append((piece, steps(own[~some]), steps(own[some]), squeezed(n[some])))
         return pa.RecordBatch.from_arrays(
             [pa.array(column, type=kind) for column, kind in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 3))],
             names=["piece", "once", "more", "counts"])
@@ -187,8 +209,8 @@ def number_batches(pieces):
 def frequent_batches(least):
     """Rows of ``NUMBERS``, sorted by piece, to the numbers (number, n) that ``least`` documents have."""
     def frequent(held):
-        once, more, counts = (np.frombuffer(b"".join(column), dtype=kind)
-                              for column, kind in zip(zip(*held), (np.uint32, np.uint32, np.int64)))
+        once, more, counts = (np.concatenate([read(block) for block in column])
+                              for column, read in zip(zip(*held), (from_steps, from_steps, unsqueezed)))
         numbers, n = np.unique(once, return_counts=True)
         # The few that came with counts are added by place.
         every = np.union1d(numbers, more)
@@ -218,7 +240,7 @@ def frequent_shingles(rows):
     n = rows.count()
     parts = shuffle_partitions(spark)
     pieces = max(parts, -(-n // COUNT_ROWS))
-    least = max(FREQUENT_ROWS, -(-FREQUENT_ROWS * n // FREQUENT_OF))
+    least = min(FREQUENT_ANYWAY + n // FREQUENT_STEP, max(FREQUENT_ROWS, -(-FREQUENT_ROWS * n // FREQUENT_OF)))
     counts = stored(rows.select("text").mapInArrow(number_batches(pieces), NUMBERS)
                     .repartition(parts, "piece").sortWithinPartitions("piece")
                     .mapInArrow(frequent_batches(least), "number bigint, n bigint"), "frequent")
@@ -345,7 +367,7 @@ def block_batches(nearest):
 
 def _block_pairs(block, held, nearest):
     keys, sizes, _, components, pages = (np.array(column) if i != 2 else None for i, column in enumerate(zip(*held)))
-    points = np.frombuffer(b"".join(h[2] for h in held), dtype=np.uint8).reshape(-1, GROUPS)
+    points = unpacked(h[2] for h in held)
     numbers = np.unique(components, return_inverse=True)[1]
     tree = lambda x: Tree(points[x], sizes[x], numbers[x])
     if block[2] == block[3]:
@@ -374,8 +396,7 @@ def bound_batches(batches):
     for batch in batches:
         a, b = batch.column(0), batch.column(1)
         n_a, n_b = (batch.column(i).to_numpy() for i in (2, 3))
-        left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, GROUPS)
-                       for i in (4, 5))
+        left, right = (unpacked(batch.column(i).to_pylist()) for i in (4, 5))
         kept = pa.array(within_bound(most_shared(left, right, n_a, n_b), n_a, n_b))
         yield pa.RecordBatch.from_arrays([a.filter(kept), b.filter(kept)], names=["a", "b"])
 

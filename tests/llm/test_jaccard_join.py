@@ -272,3 +272,27 @@ def test_counts_of_numbers_are_exact(monkeypatch):
         for least in (1, 3):
             got = [pair for b in jj.frequent_batches(least)([again]) for pair in zip(*(c.to_pylist() for c in b.columns))]
             assert sorted(got) == sorted((k, n) for k, n in found.items() if n >= least)
+
+
+def test_large_corpus_orders_by_lower_counts(spark):
+    """Of 120,000 documents not 12 must share a shingle for it to be frequent, but 8."""
+    rows = spark.range(0, 120_000, numPartitions=8).selectExpr("id", "0L AS h", "cast(concat('single', id) AS binary) AS text")
+    phrases = {f"p{i} of each some words": 8 if i % 2 else 7 for i in range(100)}
+    shared = spark.createDataFrame([(None, 0, f"{phrase} u{i}x{j}".encode()) for i, (phrase, n) in enumerate(phrases.items()) for j in range(n)],
+                                   "id bigint, h bigint, text binary")
+    wanted = [jj.shingles(phrase.encode())[0] >> np.uint64(jj.COUNT_SHIFT) for phrase, n in phrases.items() if n == 8]
+    assert list(jj.frequent_shingles(rows.unionByName(shared))) == sorted(wanted)
+
+
+def test_numbers_and_points_are_shuffled_packed():
+    rng = np.random.default_rng(3)
+    numbers = np.unique(rng.integers(0, 1 << 32, 200_000, dtype=np.uint32))
+    for some in (numbers, numbers[:1], numbers[:0], np.array([0, 1, (1 << 32) - 1], dtype=np.uint32)):
+        assert np.array_equal(jj.from_steps(jj.steps(some)), some)
+    assert len(jj.steps(numbers)) < 0.7 * numbers.nbytes
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, n)).encode() for n in (1, 30, 500, 5000)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(range(4)), pa.array(texts)], names=["id", "h", "text"])
+    batch, = jj.set_batches(type("Shared", (), {"value": np.zeros(0, dtype=np.uint64)}))([rows])
+    points = batch.column("point").to_pylist()
+    assert np.array_equal(jj.unpacked(points), [jj.point(jj.shingles(t)) for t in texts])
+    assert sum(map(len, points)) < 0.5 * jj.GROUPS * len(points)
