@@ -250,7 +250,7 @@ def frequent_shingles(rows):
 
 # ---- blocks ----
 
-STARS = "token bigint, low bigint, k bigint, place bigint"
+STARS = "token bigint, low bigint, k bigint, place bigint, mate bigint"
 
 
 def star_batches(batches):
@@ -282,6 +282,25 @@ def star_batches(batches):
         token, low, last, last_n, place = t[-1], lows[-1], k[-1], int(n[-1]), int(places[-1])
 
 
+def mated_batches(batches):
+    """``star_batches``; the second further member of a block has the first as its ``mate``."""
+    last = 0
+    for batch in star_batches(batches):
+        k, place = batch.column("k").to_numpy(), batch.column("place").to_numpy()
+        before = np.concatenate([[last], k])
+        last = before[-1]
+        yield batch.append_column("mate", pa.array(before[:-1], mask=place != 2))
+
+
+def members_of(stars):
+    """(token, low, k) of every member, the smallest too, of the blocks of three or more.
+
+    A block's second further member stands for those before it, so no join has to tell which blocks have three.
+    """
+    some = F.when(F.col("place") == 2, F.array("low", "mate", "k")).otherwise(F.array("k"))
+    return stars.where("place >= 2").select("token", "low", F.explode(some).alias("k"))
+
+
 class Tree:
     """An R-tree packed over points sorted by size; nodes of a level are consecutive.
 
@@ -493,17 +512,14 @@ def open_pairs(stars, pairs, roots, classes, page=PAGE, nearest=False):
         .select(F.col("a").alias("low"), F.col("b").alias("k")), "failed")
     # A block of two is settled: its one pair has been looked at.
     block = ["token", "low"]
-    larger = stars.where("place = 2").select(block)
-    unsettled = stored(stars.join(larger, block, "left_semi").join(failed, ["low", "k"], "left_semi").select(block).distinct(),
-                       "unsettled")
-    return tree_pairs(stars, unsettled, roots, classes, page, nearest)
+    members = members_of(stars)
+    unsettled = stored(members.join(failed, ["low", "k"], "left_semi").select(block).distinct(), "unsettled")
+    return tree_pairs(stored(members.join(unsettled, block, "left_semi"), "open-members"), roots, classes, page, nearest)
 
 
-def tree_pairs(stars, chosen, roots, classes, page=PAGE, nearest=False):
-    """Pairs of different components that an R-tree join of the ``chosen`` blocks (token, low) finds."""
+def tree_pairs(rows, roots, classes, page=PAGE, nearest=False):
+    """Pairs of different components that an R-tree join of blocks, given by their members (token, low, k), finds."""
     block = ["token", "low"]
-    rows = stars.join(chosen, block, "left_semi")
-    rows = rows.select(*block, "k").unionByName(rows.where("place = 1").select(*block, F.col("low").alias("k")))
     # Blocks with the same members are one.
     same = rows.groupBy(block).agg(F.count("*").alias("size"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("sum"))
     blocks = stored(same.groupBy("size", "sum", "low").agg(F.min("token").alias("token")).select(*block, "size"), "blocks")
@@ -541,7 +557,7 @@ def blocks_of(docs, text, id_column):
 
     stars = stored(sets.where("tokens IS NOT NULL").select(F.explode("tokens").alias("token"), "n", "k")
                    .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "n", "k")
-                   .mapInArrow(star_batches, STARS), "stars")
+                   .mapInArrow(mated_batches, STARS), "stars")
     if not sets.where("n > 0").groupBy("id", "h").count().where("count > 1").isEmpty():
         # Rows that share id and text: one of them stands for all. Spark keeps one per task before it shuffles.
         rows = rows.groupBy("id", "h").agg(F.first("text").alias("text"))
@@ -557,7 +573,7 @@ def _links(rows, classes, stars, page):
     pairs = ordered(stars.select(F.col("low").alias("a"), F.col("k").alias("b")))
     # A block of two is the pair of its star; in the larger ones no class has a component yet, so no pair is left out.
     single = classes.select(F.col("k").alias("node"), F.col("k").alias("root"))
-    found = tree_pairs(stars, stars.where("place = 2").select("token", "low"), single, classes, page)
+    found = tree_pairs(members_of(stars), single, classes, page)
     asked = stored(bounded(pairs, classes).unionByName(found).distinct(), "link-pairs")
     return stored(verified(asked, rows, classes, whole=True), "all-links")
 

@@ -296,3 +296,16 @@ def test_numbers_and_points_are_shuffled_packed():
     points = batch.column("point").to_pylist()
     assert np.array_equal(jj.unpacked(points), [jj.point(jj.shingles(t)) for t in texts])
     assert sum(map(len, points)) < 0.5 * jj.GROUPS * len(points)
+
+
+def test_members_of_large_blocks_need_no_join(spark):
+    """(token, n, k), in batches of any size, to the members of blocks of three or more."""
+    rows = [(1, 9, 5), (2, 6, 1), (2, 6, 1), (2, 7, 3), (2, 8, 0), (2, 8, 0), (2, 8, 4), (2, 11, 2), (2, 12, 9), (3, 30, 1), (3, 40, 2), (3, 41, -7), (4, 9, 9)]
+    want = [(2, 1, 0), (2, 1, 1), (2, 1, 3), (2, 1, 4), (3, 1, -7), (3, 1, 1), (3, 1, 2)]
+    for size in range(1, len(rows) + 1):
+        batches = [pa.record_batch({name: pa.array(column, pa.int64()) for name, column in zip("tnk", zip(*part))})
+                   for part in (rows[i:i + size] for i in range(0, len(rows), size))]
+        stars = [tuple(r.values()) for b in jj.mated_batches(iter(batches)) for r in b.to_pylist()]
+        members = jj.members_of(spark.createDataFrame(stars, jj.STARS))
+        assert sorted(map(tuple, members.collect())) == want, size
+    assert "Exchange" not in members._jdf.queryExecution().executedPlan().toString()
