@@ -32,6 +32,10 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: several times over in the memory of the executor and its Python workers.
 BATCH_BYTES = 4 << 20
 
+#: Keys that are broadcast whole; of more keys hashes are broadcast, and rows with one of these are compared by their keys.
+MAX_KEYS = 100_000
+MAX_HASHES = 5_000_000
+
 
 def bounded(stage):
     """A stage whose batches to Python are bounded by bytes, and which begins with Python workers that hold no spare memory."""
@@ -73,11 +77,22 @@ def _own_names(docs, n):
 
 
 def _without(docs, gone, keys):
-    """Rows of ``docs`` whose keys (name in ``gone`` to expression) are not in ``gone``, which Spark broadcasts if it is small."""
-    names = _own_names(docs, len(keys))
+    """Rows of ``docs`` whose keys (name in ``gone`` to expression) are not in ``gone``.
+
+    Rows are long, so those that stay are not shuffled to find that out: ``gone`` is broadcast, or else the hashes of its keys,
+    and only rows with such a hash meet the keys in a shuffle.
+    """
+    mark, *names = _own_names(docs, 1 + len(keys))
     gone = stored(gone.select([F.col(key).alias(name) for key, name in zip(keys, names)]).distinct(), "gone")
     same = [value.eqNullSafe(gone[name]) for value, name in zip(keys.values(), names)]
-    return docs.join(gone, same, "left_anti")
+    n = gone.count()
+    if n <= MAX_KEYS:
+        return docs.join(F.broadcast(gone), same, "left_anti")
+    if n > MAX_HASHES:
+        return docs.join(gone, same, "left_anti")
+    hashes = F.broadcast(gone.select(F.xxhash64(*names).alias(mark)).distinct())
+    found = F.xxhash64(*[value.cast(gone.schema[name].dataType) for value, name in zip(keys.values(), names)]) == F.col(mark)
+    return docs.join(hashes, found, "left_anti").union(docs.join(hashes, found, "left_semi").join(gone, same, "left_anti"))
 
 
 def _only(docs, judged, keys):

@@ -97,6 +97,28 @@ def test_exact_stage_edge_rows(spark, documents, sf):
         [(1, "alpha beta gamma"), (3, None), (5, "same row"), (6, "one"), (6, "two"), (7, "x " * 50_000), (8, " ")], key=repr)
 
 
+@pytest.mark.parametrize("most_keys", [100, 0])
+def test_rows_that_stay_are_not_shuffled(spark, documents, monkeypatch, most_keys):
+    """However many keys are gone; rows whose hash alone is among theirs stay."""
+    monkeypatch.setattr(pipeline, "MAX_KEYS", most_keys)
+    rows = [(i % 50 if i % 7 else None, f"text {i}") for i in range(300)]
+    docs = documents(rows)
+    gone = documents([rows[i] for i in (0, 7, 8, 13, 299)] + [(7, "text 8"), (1, None)], clashing=False)
+    keys = {"doc_id": docs["doc_id"], "text": docs["text"]}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "0")
+    try:
+        left = pipeline._without(docs, gone, keys)
+        want = [r for i, r in enumerate(rows) if i not in (0, 7, 8, 13, 299)]
+        assert left.columns == docs.columns and sorted(pairs(left), key=repr) == sorted(want, key=repr)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan) == (not most_keys)
+        # With one hash for all rows the keys still decide.
+        monkeypatch.setattr(pipeline.F, "xxhash64", lambda *columns: pipeline.F.lit(1).cast("bigint"))
+        assert sorted(pairs(pipeline._without(docs, gone, keys)), key=repr) == sorted(want, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_near_stage_edge_rows(spark, documents, sf):
     text = " ".join(f"w{i}" for i in range(60))
     other = " ".join(f"v{i}" for i in range(60))
