@@ -52,8 +52,8 @@ EDGES = [(None, "null id"), (1, None), (2, ""), (3, "a <P> b"), (4, "<S"), (5, "
 def test_edges_by_hand(spark, documents):
     for rows in (EDGES, EDGES[::-1], []):
         df = documents(rows).withColumn("output", F.lit("clash")).withColumn("form", F.lit("clash"))
-        made = df.select("*", fim.fill_middle().alias("fim"))
-        back = made.select("doc_id", "text", "fim.*", fim.restore("fim.output", "fim.form").alias("back")).collect()
+        made = df.select("*", fim.fill_middle().alias("made"))
+        back = made.select("doc_id", "text", "made.*", fim.restore("made.output", "made.form").alias("back")).collect()
         got = sorted(((r.doc_id, r.text, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in back), key=repr)
         assert got == sorted(((i, t, *by_hand(i, t)) for i, t in rows), key=repr)
         assert all(r.back == (r.text or "") for r in back)
