@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from reviewloom.llm.bpe import round_trip
-from reviewloom.llm.common import stored, table
+from reviewloom.llm.common import gathered, stored, table
 from reviewloom.llm.decontaminate import contamination
 from reviewloom.llm.exact_dedup import exact_groups, text_digest
 from reviewloom.llm.jaccard_join import jaccard_groups, text_hash
@@ -83,7 +83,7 @@ def _without(docs, gone, keys):
     and only rows with such a hash meet the keys in a shuffle.
     """
     mark, *names = _own_names(docs, 1 + len(keys))
-    gone = stored(gone.select([F.col(key).alias(name) for key, name in zip(keys, names)]).distinct(), "gone")
+    gone = gathered(gone.select([F.col(key).alias(name) for key, name in zip(keys, names)]).distinct(), "gone")
     same = [value.eqNullSafe(gone[name]) for value, name in zip(keys.values(), names)]
     n = gone.count()
     if n <= MAX_KEYS:
@@ -106,7 +106,7 @@ def _only(docs, judged, keys):
         return left
     # Rows with the same id and text: one of them stays.
     names = _own_names(docs, len(keys))
-    some = stored(repeated.select([F.col(key).alias(name) for key, name in zip(keys, names)]), "repeated")
+    some = gathered(repeated.select([F.col(key).alias(name) for key, name in zip(keys, names)]), "repeated")
     same = [value.eqNullSafe(some[name]) for value, name in zip(keys.values(), names)]
     twice = left.join(some, same).dropDuplicates(names).drop(*names)
     return _without(left, repeated, keys).unionByName(twice)
@@ -122,7 +122,7 @@ def toxic(spark, docs, sf_dir):
 @bounded
 def exact(spark, docs, sf_dir):
     """One row of each group of equal texts: that with the smallest id."""
-    groups = stored(exact_groups(docs), "exact-groups")
+    groups = gathered(exact_groups(docs), "exact-groups")
     judged = groups.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     return _only(docs, judged, {"doc_id": docs["doc_id"], "text_sha256": text_digest("text")})
 
@@ -130,10 +130,10 @@ def exact(spark, docs, sf_dir):
 @bounded
 def near(spark, docs, sf_dir):
     """One row of each component of near copies: that with the smallest id, then the smallest hash of its text."""
-    groups = stored(jaccard_groups(docs).where("component IS NOT NULL"), "near-groups")
+    groups = gathered(jaccard_groups(docs).where("component IS NOT NULL"), "near-groups")
     # A null id comes last; the rows of a component are pre-aggregated in their tasks.
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h"))
-    chosen = stored(groups.groupBy("component").agg(first.alias("first")), "near-chosen")
+    chosen = gathered(groups.groupBy("component").agg(first.alias("first")), "near-chosen")
     kept = chosen.select(F.col("first.id").alias("kept_id"), F.col("first.h").alias("kept_h"))
     # Joined by row, not by component: a large one has no place to gather.
     judged = (groups.groupBy("id", "h").agg(F.count("*").alias("n"))

@@ -13,6 +13,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD_GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
+#: On a local file system an executor starts a helper program for every file that it makes, to set its permissions, and
+#: until that program has begun its own work, the executor's memory counts twice. A file of checksums is one more file.
+NO_CHECKSUM_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+PARTITIONS_OF_FILE = 8
+
 #: The same word rule for bytes: capitals become small, separators become spaces.
 WORD_BYTES = bytes(
     c + 32 if 0x41 <= c <= 0x5A
@@ -34,10 +39,23 @@ def stored(df, purpose):
     """``df`` written to the shared folder and read again, so that its lineage ends there."""
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{purpose}")
-    df.write.parquet(path)
+    df.write.options(**NO_CHECKSUM_FILES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_files(spark):
+    """The most files of a table by ``gathered``: two for each core, or one for eight shuffle partitions if that is more."""
+    return max(2 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // PARTITIONS_OF_FILE)
+
+
+def gathered(df, purpose):
+    """``stored`` in few files, where the last step has as many partitions as its input takes and leaves each little.
+
+    A task takes several partitions, one after the other; cores have as much to do as before.
+    """
+    return stored(df.coalesce(few_files(df.sparkSession)), purpose)
+
+
 def ascii_lower(text):
     """``text`` with A-Z lower-cased and every other character kept.
 

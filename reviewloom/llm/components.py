@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import gathered
 
 
 def _digest(links):
@@ -22,7 +22,7 @@ def connected(links):
     a node's neighbours on the lowest of them. Every step is two shuffles of
     the links, written to the shared folder; none gathers a node's neighbours in one place.
     """
-    links = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+    links = gathered(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                    "links")
     state = _digest(links)
     while state[0]:
@@ -34,7 +34,7 @@ def connected(links):
         small = large.join(_lowest(large), "a").select(
             F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("low").alias("b")),
                               F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("l")).select("l.*")
-        links = stored(small.where("a <> b").distinct(), "links")
+        links = gathered(small.where("a <> b").distinct(), "links")
         last, state = state, _digest(links)
         if state == last:
             break

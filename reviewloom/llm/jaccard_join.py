@@ -41,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from .common import most_frequent, shuffle_partitions, squeezed, stored, unsqueezed
+from .common import gathered, most_frequent, shuffle_partitions, squeezed, stored, unsqueezed
 from .components import connected
 
 SHINGLE = 5
@@ -241,9 +241,9 @@ def frequent_shingles(rows):
     parts = shuffle_partitions(spark)
     pieces = max(parts, -(-n // COUNT_ROWS))
     least = min(FREQUENT_ANYWAY + n // FREQUENT_STEP, max(FREQUENT_ROWS, -(-FREQUENT_ROWS * n // FREQUENT_OF)))
-    counts = stored(rows.select("text").mapInArrow(number_batches(pieces), NUMBERS)
-                    .repartition(parts, "piece").sortWithinPartitions("piece")
-                    .mapInArrow(frequent_batches(least), "number bigint, n bigint"), "frequent")
+    counts = gathered(rows.select("text").mapInArrow(number_batches(pieces), NUMBERS)
+                      .repartition(parts, "piece").sortWithinPartitions("piece")
+                      .mapInArrow(frequent_batches(least), "number bigint, n bigint"), "frequent")
     top = most_frequent(counts, MAX_FREQUENT)
     return np.sort(np.array([r.number for r in top], dtype=np.int64).view(np.uint64))
 
@@ -469,12 +469,12 @@ def dealt_pairs(pairs, page, whole):
     """
     roots = connected(pairs)
     sizes = roots.groupBy("root").agg(F.ceil(F.count("*") / F.lit(page)).alias("pages"))
-    sized = stored(pairs.join(roots.withColumnRenamed("node", "a"), "a").join(sizes, "root").select("root", "pages", "a", "b"), "sized")
+    sized = gathered(pairs.join(roots.withColumnRenamed("node", "a"), "a").join(sizes, "root").select("root", "pages", "a", "b"), "sized")
     cell = lambda k: F.pmod(F.xxhash64(k), F.col("pages"))
     if whole:
         return sized.select("root", (cell("a") * F.col("pages") + cell("b")).alias("page"), "a", "b")
     large = sized.where("pages > 1")
-    degrees = stored(large.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count("*").alias("degree")), "degrees")
+    degrees = gathered(large.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count("*").alias("degree")), "degrees")
     of = lambda x: degrees.select(F.col("k").alias(x), F.col("degree").alias(f"degree_{x}"))
     fewer = F.when(F.col("degree_a") < F.col("degree_b"), F.col("a")).otherwise(F.col("b"))
     return (sized.where("pages = 1").select("root", F.lit(0).cast("bigint").alias("page"), "a", "b")
@@ -486,9 +486,9 @@ def verified(pairs, rows, classes, page=VERIFY_PAGE, whole=False):
 
     The pairs are dealt by ``dealt_pairs``, and each set goes where its pairs are.
     """
-    dealt = stored(dealt_pairs(pairs, page, whole), "dealt")
-    wanted = stored(dealt.select("root", "page", F.explode(F.array("a", "b")).alias("k")).distinct()
-                    .join(classes.select("k", "row"), "k").select("root", "page", "k", "row"), "wanted")
+    dealt = gathered(dealt_pairs(pairs, page, whole), "dealt")
+    wanted = gathered(dealt.select("root", "page", F.explode(F.array("a", "b")).alias("k")).distinct()
+                      .join(classes.select("k", "row"), "k").select("root", "page", "k", "row"), "wanted")
     small = wanted.count() <= MAX_BROADCAST
     same = F.col("id").eqNullSafe(F.col("row.id")) & (F.col("h") == F.col("row.h"))
     texts = rows.join(F.broadcast(wanted) if small else wanted, same)
@@ -506,15 +506,15 @@ def open_pairs(stars, pairs, roots, classes, page=PAGE, nearest=False):
     ``nearest`` only the best partner of each member is given.
     """
     a, b = (roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-    failed = stored(
+    failed = gathered(
         pairs.join(a, "a", "left").join(b, "b", "left")
         .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
         .select(F.col("a").alias("low"), F.col("b").alias("k")), "failed")
     # A block of two is settled: its one pair has been looked at.
     block = ["token", "low"]
     members = members_of(stars)
-    unsettled = stored(members.join(failed, ["low", "k"], "left_semi").select(block).distinct(), "unsettled")
-    return tree_pairs(stored(members.join(unsettled, block, "left_semi"), "open-members"), roots, classes, page, nearest)
+    unsettled = gathered(members.join(failed, ["low", "k"], "left_semi").select(block).distinct(), "unsettled")
+    return tree_pairs(gathered(members.join(unsettled, block, "left_semi"), "open-members"), roots, classes, page, nearest)
 
 
 def tree_pairs(rows, roots, classes, page=PAGE, nearest=False):
@@ -522,7 +522,7 @@ def tree_pairs(rows, roots, classes, page=PAGE, nearest=False):
     block = ["token", "low"]
     # Blocks with the same members are one.
     same = rows.groupBy(block).agg(F.count("*").alias("size"), F.sum(F.xxhash64("k").cast("decimal(38,0)")).alias("sum"))
-    blocks = stored(same.groupBy("size", "sum", "low").agg(F.min("token").alias("token")).select(*block, "size"), "blocks")
+    blocks = gathered(same.groupBy("size", "sum", "low").agg(F.min("token").alias("token")).select(*block, "size"), "blocks")
     pages = F.ceil(F.col("size") / F.lit(page)).cast("int")
     rows = (rows.join(blocks, block)
             .join(roots.withColumnRenamed("node", "k"), "k", "left")
@@ -552,12 +552,12 @@ def blocks_of(docs, text, id_column):
                        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     shared = spark.sparkContext.broadcast(frequent_shingles(rows))  # at most MAX_FREQUENT numbers
     sets = stored(rows.mapInArrow(set_batches(shared), SETS), "sets")
-    classes = stored(sets.where("n > 0").groupBy("k").agg(
+    classes = gathered(sets.where("n > 0").groupBy("k").agg(
         F.min("id").alias("first"), F.min(F.struct("id", "h")).alias("row"), F.max("n").alias("n"), F.first("point", ignorenulls=True).alias("point")), "classes")
 
-    stars = stored(sets.where("tokens IS NOT NULL").select(F.explode("tokens").alias("token"), "n", "k")
-                   .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "n", "k")
-                   .mapInArrow(mated_batches, STARS), "stars")
+    stars = gathered(sets.where("tokens IS NOT NULL").select(F.explode("tokens").alias("token"), "n", "k")
+                     .repartition(shuffle_partitions(spark), "token").sortWithinPartitions("token", "n", "k")
+                     .mapInArrow(mated_batches, STARS), "stars")
     if not sets.where("n > 0").groupBy("id", "h").count().where("count > 1").isEmpty():
         # Rows that share id and text: one of them stands for all. Spark keeps one per task before it shuffles.
         rows = rows.groupBy("id", "h").agg(F.first("text").alias("text"))
@@ -574,8 +574,8 @@ def _links(rows, classes, stars, page):
     # A block of two is the pair of its star; in the larger ones no class has a component yet, so no pair is left out.
     single = classes.select(F.col("k").alias("node"), F.col("k").alias("root"))
     found = tree_pairs(members_of(stars), single, classes, page)
-    asked = stored(bounded(pairs, classes).unionByName(found).distinct(), "link-pairs")
-    return stored(verified(asked, rows, classes, whole=True), "all-links")
+    asked = gathered(bounded(pairs, classes).unionByName(found).distinct(), "link-pairs")
+    return gathered(verified(asked, rows, classes, whole=True), "all-links")
 
 
 def jaccard_links(docs, text="text", id_column="doc_id", page=PAGE):
@@ -596,7 +596,7 @@ def link_counts(docs, text="text", id_column="doc_id", page=PAGE):
     """id, n_shingles and n_links of every row of ``docs``: the number of other rows that it is linked with."""
     rows, sets, classes, stars = blocks_of(docs, text, id_column)
     links = _links(rows, classes, stars, page)
-    sizes = stored(sets.where("n > 0").groupBy("k").agg(F.count("*").alias("rows")), "class-rows")
+    sizes = gathered(sets.where("n > 0").groupBy("k").agg(F.count("*").alias("rows")), "class-rows")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     other = both.join(sizes.withColumnRenamed("k", "b"), "b").groupBy("a").agg(F.sum("rows").alias("others"))
     counts = (sizes.join(other.withColumnRenamed("a", "k"), "k", "left")
@@ -613,22 +613,22 @@ def jaccard_groups(docs, text="text", id_column="doc_id", page=PAGE):
 
 def _groups(docs, text, id_column, page):
     rows, sets, classes, stars = blocks_of(docs, text, id_column)
-    pairs = stored(stars.select(F.col("low").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
-    near = stored(bounded(ordered(pairs), classes), "near")
-    links = stored(verified(near, rows, classes), "star-links")
-    roots = stored(connected(links), "roots")
+    pairs = gathered(stars.select(F.col("low").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
+    near = gathered(bounded(ordered(pairs), classes), "near")
+    links = gathered(verified(near, rows, classes), "star-links")
+    roots = gathered(connected(links), "roots")
 
     # First the best partners, which joins most of what belongs together, then all pairs that are left.
     asked, whole = ordered(pairs), roots
     for nearest in (True, False):
-        found = stored(open_pairs(stars, pairs, whole, classes, page, nearest).join(asked, ["a", "b"], "left_anti"), "tree-pairs")
+        found = gathered(open_pairs(stars, pairs, whole, classes, page, nearest).join(asked, ["a", "b"], "left_anti"), "tree-pairs")
         if found.isEmpty():
             continue
         more = verified(found, rows, classes)
-        whole = stored(connected(more.unionByName(whole.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
-        asked = stored(asked.unionByName(found), "asked")
-    whole = stored(classes.join(whole.withColumnRenamed("node", "k"), "k", "left")
-                   .select("k", "first", F.coalesce("root", "k").alias("root")), "component-roots")
+        whole = gathered(connected(more.unionByName(whole.select(F.col("node").alias("a"), F.col("root").alias("b")))), "roots")
+        asked = gathered(asked.unionByName(found), "asked")
+    whole = gathered(classes.join(whole.withColumnRenamed("node", "k"), "k", "left")
+                     .select("k", "first", F.coalesce("root", "k").alias("root")), "component-roots")
     lowest = whole.groupBy("root").agg(F.min("first").alias("lowest"))
     return sets.select("id", "h", "n", "k").join(whole.join(lowest, "root").select("k", "root", "lowest"), "k", "left")
 

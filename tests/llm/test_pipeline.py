@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -10,7 +11,9 @@ import tiktoken
 
 import corpus_pipeline as pipeline
 from reviewloom.llm.bpe import load_ranks
+from reviewloom.llm.common import few_files
 from reviewloom.llm.toxicity import THRESHOLD, score_documents
+from reviewloom.session import work_dir
 
 from .test_decontaminate import brute as brute_contamination
 from .test_jaccard_join import brute as brute_components
@@ -135,6 +138,29 @@ def test_near_stage_edge_rows(spark, documents, sf):
     assert sorted((r for r in got if r[1] not in (third, third + " end")), key=repr) == sorted(want, key=repr)
 
 
+def test_near_stage_writes_few_files(spark, documents, sf):
+    """Every file starts a helper program on a local file system, with which the executor's memory counts twice for a moment."""
+    base = [" ".join(f"w{i}-{j}" for j in range(40)) for i in range(100)]
+    rows = [(i, text) for i, text in enumerate(base)] + [(100 + i, text + " end") for i, text in enumerate(base)]
+    folder = Path(work_dir(spark, "any")).parent
+    before = set(folder.glob("*"))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "160")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = pairs(pipeline.near(spark, documents(rows), sf))
+        most = few_files(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(kept) == rows[:100]
+    assert most == max(2 * spark.sparkContext.defaultParallelism, 20)
+    written = [list(path.iterdir()) for path in set(folder.glob("*")) - before]
+    assert len(written) > 10
+    assert max(sum(f.suffix == ".parquet" for f in files) for files in written) <= most
+    assert not any(f.suffix == ".crc" for files in written for f in files)
+
+
 def test_clean_stage_edge_rows(spark, documents, sf):
     item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 100").first().text
     rows = [(1, "x " + item), (None, item), (2, None), (3, ""), (4, "clean"), (4, item), (None, None)]
