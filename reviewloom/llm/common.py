@@ -17,6 +17,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 #: until that program has begun its own work, the executor's memory counts twice. A file of checksums is one more file.
 NO_CHECKSUM_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 PARTITIONS_OF_FILE = 8
+FILE_BYTES = 16 << 20
 
 #: The same word rule for bytes: capitals become small, separators become spaces.
 WORD_BYTES = bytes(
@@ -48,12 +49,13 @@ def few_files(spark):
     return max(2 * spark.sparkContext.defaultParallelism, shuffle_partitions(spark) // PARTITIONS_OF_FILE)
 
 
-def gathered(df, purpose):
+def gathered(df, purpose, size=0):
     """``stored`` in few files, where the last step has as many partitions as its input takes and leaves each little.
 
-    A task takes several partitions, one after the other; cores have as much to do as before.
+    A task takes several partitions, one after the other; cores have as much to do as before. Of a step that reads
+    ``size`` bytes, no fewer tasks than one for ``FILE_BYTES`` of them are left, if it has as many partitions.
     """
-    return stored(df.coalesce(few_files(df.sparkSession)), purpose)
+    return stored(df.coalesce(max(few_files(df.sparkSession), int(size // FILE_BYTES))), purpose)
 
 
 def ascii_lower(text):

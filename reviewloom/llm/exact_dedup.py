@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from .common import SPACES, shuffle_partitions, stored
+from .common import SPACES, few_files, gathered, shuffle_partitions, stored
 
 MAX_DEPTH = 20          # at most 2**20 directory cells, about 20 MB
 MIN_BUCKET_BYTES = 1 << 16
@@ -185,7 +185,7 @@ def build_index(docs, text="text", id_column="doc_id", bucket_bytes=None, key=F.
                      F.col("text").cast("binary").alias("text"))
              .repartition("bucket", "page")
              .sortWithinPartitions("bucket", "page", "key", F.col("id").asc_nulls_last()))
-    return cells, stored(paged.mapInArrow(own_pages, ENTRY), "dedup-entries")
+    return cells, gathered(paged.mapInArrow(own_pages, ENTRY), "dedup-entries", load.sum())
 
 
 def exact_groups(docs, text="text", id_column="doc_id", bucket_bytes=None, key=F.xxhash64):
@@ -200,9 +200,10 @@ def exact_groups(docs, text="text", id_column="doc_id", bucket_bytes=None, key=F
         *place, F.col("keep").alias("all_keep"), F.col("members").alias("all_members"),
         F.col("first").alias("all_first"))
     whole = F.col("all_members").isNull()
-    return entries.drop("text").join(merged, place, "left").select(
+    groups = entries.drop("text").join(merged, place, "left").select(
         F.col("id").alias(id_column),
         F.when(whole, F.col("keep")).otherwise(F.col("all_keep")).alias("keep_id"),
         F.when(whole, F.col("members")).otherwise(F.col("all_members")).alias("group_size"),
         (F.col("first") & F.coalesce("all_first", F.lit(True))).alias("kept"),
         F.col("sha").alias("text_sha256"))
+    return groups.coalesce(few_files(docs.sparkSession))  # short rows: whoever writes them makes few files

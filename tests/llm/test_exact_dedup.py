@@ -1,12 +1,15 @@
 import hashlib
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from reviewloom.llm import common
 from reviewloom.llm.exact_dedup import build_index, exact_groups, split_depths
+from reviewloom.session import work_dir
 
 
 def brute(docs):
@@ -51,6 +54,39 @@ def test_hot_group_is_paged(documents):
     assert order(exact_groups(documents(docs), bucket_bytes=1500).collect()) == order(brute(docs))
 
 
+@pytest.fixture
+def many_partitions(spark):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "160")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("bucket_bytes", [None, 1500])
+def test_few_files(spark, documents, many_partitions, bucket_bytes):
+    """Every file starts a helper program on a local file system, with which the executor's memory counts twice for a moment."""
+    docs = [(i, "same text" if i % 3 else f"own {i} " + "x" * 3000) for i in range(1200)]
+    folder = Path(work_dir(spark, "any")).parent
+    before = set(folder.glob("llm-dedup-*"))
+    out = Path(work_dir(spark, "few-files").removeprefix("file:"))
+    exact_groups(documents(docs), bucket_bytes=bucket_bytes).write.parquet(str(out))
+    assert order(spark.read.parquet(str(out)).collect()) == order(brute(docs))
+    written = [out, *set(folder.glob("llm-dedup-*")) - before]
+    assert len(written) == 3
+    assert max(len(list(path.glob("*.parquet"))) for path in written) <= common.few_files(spark) == 20
+
+
+def test_large_tables_keep_their_tasks(spark, documents, many_partitions, monkeypatch):
+    monkeypatch.setattr(common, "FILE_BYTES", 4000)
+    docs = [(i, f"own {i} " + "x" * 3000) for i in range(100)]
+    _, entries = build_index(documents(docs), bucket_bytes=3000)
+    files = len(entries.inputFiles())
+    assert common.few_files(spark) < files <= 75
+    assert entries.count() == 100
+
+
 def test_empty_table(documents):
     assert exact_groups(documents([])).count() == 0
 
