@@ -17,7 +17,7 @@ from ..sources.ranges import stream_ranges, total_bytes
 from ..sources.tables import contract_lines, gappy_reviews, kafka_rows, review_lines, reviews, table
 from ..streaming.audit import AUDIT, COUNTS, audited_delivery, read_audit, read_deliveries
 from ..streaming.isolate import MAX_BAD, isolating_delivery
-from ..streaming.landing import land, pace, replay_stream
+from ..streaming.landing import MIN_ROWS_PER_FILE, land, pace, replay_stream
 from ..streaming.sinks import FileSink, finish, start_batches, start_stream
 from ..streaming.open_schema import OpenTable
 from ..streaming.reconcile import digest, reconcile
@@ -164,6 +164,12 @@ def stream_contract(spark, sf_dir):
 POISON = 250   # one row in so many
 
 
+def _at_most(rows_per_file, files, rows, slots):
+    """(rows per file, files per batch) for batches of at most ``rows`` rows, cut so that each has files for all slots."""
+    fewer = min(rows_per_file, max(rows // slots, MIN_ROWS_PER_FILE))
+    return fewer, max(1, min(rows_per_file * files, rows) // fewer)
+
+
 @query(f"""WITH {SQL_REVIEWS}, labelled AS (SELECT *, {SQL_LABEL} AS feedback, doc_id % {POISON} = 7 AS bad FROM reviews)
 SELECT doc_id AS "offset", CASE WHEN bad THEN 'quarantine' ELSE 'delivered' END AS status,
   CASE WHEN NOT bad THEN {sql_json(*REVIEW.names, 'feedback')} END AS value,
@@ -173,9 +179,8 @@ def poison_records(spark, sf_dir):
     home = work_dir(spark, "poison")
     rows = kafka_rows(reviews(spark, sf_dir))
     spoilt = F.when(F.pmod("offset", F.lit(POISON)) == 7, F.concat("value", F.lit(b"\xff"))).otherwise(F.col("value"))
-    rows_per_file, files = _pace(spark, sf_dir)
     # A batch has half as many bad rows as may be set aside, or less.
-    files = max(1, min(files, MAX_BAD * POISON // 2 // rows_per_file))
+    rows_per_file, files = _at_most(*_pace(spark, sf_dir), MAX_BAD * POISON // 2, spark.sparkContext.defaultParallelism)
     rows.withColumn("value", spoilt).write.option("maxRecordsPerFile", rows_per_file).parquet(f"{home}/topic")
     deliver = audited_delivery("enrich", f"{home}/out", f"{home}/audit")
 

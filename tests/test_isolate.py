@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from reviewloom.streaming.isolate import NumberedRows, TooManyBad, cut, find_bad, isolating_delivery, reason_of
+from reviewloom.plans.stream_queries import _at_most
+from reviewloom.streaming.isolate import NumberedRows, TooManyBad, confirm, cut, find_bad, isolating_delivery, reason_of
 from reviewloom.streaming.sinks import start_batches
 from reviewloom.streaming.supervise import GaveUp, supervise
 
@@ -56,6 +57,31 @@ def test_too_many_bad_rows_give_up_early():
     assert len(tried) < 1000
 
 
+def test_known_places_are_not_tried_again():
+    tried = []
+
+    def fails(begin, end):
+        tried.append((begin, end))
+        return ValueError("broken") if any(begin <= b < end for b in (3, 4, 70, 99)) else None
+
+    assert find_bad(100, fails, known={3: "x", 99: "x"}) == {4: "broken", 70: "broken"}
+    assert tried[:2] == [(0, 3), (4, 99)] and not {(3, 4), (99, 100)} & set(tried)
+    assert find_bad(2, fails, known={0: "x", 1: "x"}) == {}
+    with pytest.raises(TooManyBad):
+        find_bad(100, fails, max_bad=3, known={3: "x", 99: "x"})
+
+
+def test_rows_that_failed_once_are_tried_until_they_failed_often_enough():
+    seen = []
+
+    def fails(begin, end):
+        seen.append(begin)
+        return ValueError("odd") if begin == 4 or seen.count(9) < 2 else None
+
+    assert confirm([4, 9], fails, tries=3) == {4: "odd"}
+    assert confirm([4], fails, tries=1) == {4: "odd"} and confirm([], fails) == {}
+
+
 def test_reason():
     assert reason_of(ValueError("[FOREACH_BATCH_X] and [CAST_INVALID_INPUT] more [X.Y]")) == "CAST_INVALID_INPUT"
     assert reason_of(ValueError("plain\ntrace")) == "plain"
@@ -150,6 +176,54 @@ def test_tries_of_a_round_are_planned_once(spark, tmp_path):
     assert sorted(r.id for r in aside) == sorted(bad) and {r.reason for r in aside} == {"CAST_INVALID_INPUT"}
 
 
+def test_one_pass_tells_the_rows_that_fail(spark, tmp_path):
+    """60 of 2,000 rows in two batches: each is planned for two failures, the pass, the tries of single rows and the others."""
+    bad, plans = set(random.Random(6).sample(range(2000), 60)), []
+
+    def process(df):
+        plans.append(1)
+        half = df.selectExpr("id", f"CAST(CASE WHEN id IN ({','.join(map(str, bad))}) THEN 'x' ELSE value END AS INT) AS n")
+        return half.selectExpr("n", "n + 1 AS more", "map(id, n) AS m")
+
+    run(spark, tmp_path, landed(spark, tmp_path, 2000), process, write_batches(tmp_path), narrow=True)
+    assert len(plans) <= 10
+    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(set(range(2000)) - bad)
+    aside = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted(r.id for r in aside) == sorted(bad) and {r.reason for r in aside} == {"CAST_INVALID_INPUT"}
+
+
+def test_caught_rows(spark):
+    rows = NumberedRows(spark.range(0, 1000, numPartitions=7).selectExpr("id", "CASE WHEN id % 100 = 7 THEN 'x' ELSE CAST(id AS STRING) END AS value").where("id % 3 > 0"))
+    wanted = [place for place, i in enumerate(i for i in range(1000) if i % 3) if i % 100 == 7]
+    process = lambda df: df.selectExpr("CAST(value AS INT) AS n").selectExpr("n", "n + 1 AS more").where("more IS NOT NULL")
+    plain = lambda df: df.select(F.col("value").cast("int").alias("n")).select("n", (F.col("n") + 1).alias("more"))
+    assert rows.caught(plain, 10) == wanted and rows.caught(plain, len(wanted)) == wanted
+    assert rows.caught(plain, len(wanted) - 1) is None
+    assert rows.caught(lambda df: df, 10) == []
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):   # of a filter, which is no expression of a column
+        rows.caught(process, 10)
+
+
+@pytest.mark.parametrize("told", [[7, 8], [5], None])
+def test_the_pass_is_not_trusted(spark, tmp_path, monkeypatch, told):
+    """Rows that it misses are found by trying parts, and rows that do not fail by themselves are delivered."""
+    monkeypatch.setattr(NumberedRows, "caught", lambda self, process, most: told)
+    process = lambda df: df.selectExpr("CAST(CASE WHEN id IN (7, 30, 150) THEN 'x' ELSE value END AS INT) AS n")
+    (spark.range(200).selectExpr("id", "CAST(id AS STRING) AS value").coalesce(1).write.parquet(str(tmp_path / "in")))
+    source = lambda: spark.readStream.schema("id bigint, value string").parquet(str(tmp_path / "in"))
+    run(spark, tmp_path, source, process, write_batches(tmp_path), narrow=True)
+    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(set(range(200)) - {7, 30, 150})
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [7, 30, 150]
+
+
+def test_batches_of_poison_have_files_for_all_slots():
+    assert _at_most(250, 10, 125_000, 8) == (250, 10)          # a small table, as it is
+    assert _at_most(8000, 8, 125_000, 8) == (8000, 8)
+    assert _at_most(100_000, 8, 125_000, 8) == (15_625, 8)     # no longer a batch of one file
+    assert _at_most(100_000, 8, 125_000, 1000) == (250, 500)
+    assert _at_most(100_000, 8, 100, 8) == (250, 1)
+
+
 def test_errors_without_a_condition_keep_their_reason(spark, tmp_path):
     @F.udf("int")
     def broken(value):
